@@ -1,2 +1,284 @@
-QUERIES = {}
-ORACLES = {}
+"""Registered queries of the site analytics, each with the SQL that gives the same rows."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sitewise.functions.expressions import near_literal
+from sitewise.jobs import fixtures as X
+from sitewise.jobs.preprocess import sited_lists, sites_of
+from sitewise.operators import alignments as A
+from sitewise.operators import allelic as L
+from sitewise.operators import reads as R
+from sitewise.operators import sites as S
+from sitewise.operators import summary as M
+from sitewise.operators import umis as U
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str, *names: str):
+    """Registers a query under its function's name, with its SQL over the named fixture tables."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        ORACLES[f.__name__] = X.sql(sql, *names) if names else sql
+        return f
+
+    return add
+
+
+def _placed(spark, d) -> DataFrame:
+    return A.with_site_position(A.clean(X.alignments(spark, d))).select("chrom", "pos", "seq")
+
+
+def _assigned(spark, d) -> DataFrame:
+    return S.nearest_site(_placed(spark, d), X.cut_sites(spark, d))
+
+
+def _joined(df: DataFrame) -> DataFrame:
+    """Lists as text, for comparing across engines."""
+    return df.withColumns({c: F.array_join(c, " ") for c in ("seqs", "quals") if c in df.columns})
+
+
+@query("SELECT chrom, rs_pos AS pos, count(*) AS n_reads, count(DISTINCT seq) AS n_umis FROM near WHERE d_rs <= 20 GROUP BY 1, 2", "near")
+def flagship_sites(spark, d):
+    return sites_of(X.alignments(spark, d), X.cut_sites(spark, d))
+
+
+@query("SELECT * FROM aln WHERE mapq >= 30 AND chrom <> 'chrM'", "aln")
+def clean_alignments(spark, d):
+    return A.clean(X.alignments(spark, d))
+
+
+@query(
+    """SELECT count(*) FILTER (mapq < 30) AS low_mapq, count(*) FILTER (chrom = 'chrM') AS chrm,
+    count(*) FILTER (mapq >= 30 AND chrom <> 'chrM') AS mapped, count(*) AS total FROM aln""", "aln",
+)
+def alignment_counters(spark, d):
+    return A.alignment_counters(X.alignments(spark, d))
+
+
+@query("SELECT chrom, pos, seq FROM umi", "umi")
+def strand_positions(spark, d):
+    return _placed(spark, d)
+
+
+@query(
+    """SELECT library_id, chrom, pos, string_agg(seq, ' ' ORDER BY line_no) AS seqs, string_agg(qual, ' ' ORDER BY line_no) AS quals, count(*) AS n
+    FROM oumi GROUP BY library_id, chrom, pos""", "oumi",
+)
+def group_umis(spark, d):
+    return _joined(U.group_umis(X.ordered_umis(spark, d), "line_no", ("library_id", "chrom", "pos")))
+
+
+@query("SELECT chrom, pos, seq, rs_pos, d_rs FROM near", "near")
+def nearest_site(spark, d):
+    return _assigned(spark, d)
+
+
+@query("SELECT chrom, pos, seq, rs_pos, d_rs FROM near WHERE d_rs <= 20", "near")
+def within_distance(spark, d):
+    return S.within_distance(_assigned(spark, d))
+
+
+@query("SELECT chrom, rs_pos AS pos, seq, count(*) AS n FROM near WHERE d_rs > 20 GROUP BY 1, 2, 3", "near")
+def orphans(spark, d):
+    return S.orphans(_assigned(spark, d)).groupBy("chrom", F.col("rs_pos").alias("pos"), "seq").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT DISTINCT chrom FROM umi WHERE chrom NOT IN (SELECT chrom FROM cs)", "umi", "cs")
+def missing_chroms(spark, d):
+    return S.missing_chroms(_placed(spark, d), X.cut_sites(spark, d))
+
+
+@query("SELECT chrom FROM umi INTERSECT SELECT chrom FROM cs", "umi", "cs")
+def shared_chroms(spark, d):
+    return S.shared_chroms(_placed(spark, d), X.cut_sites(spark, d))
+
+
+@query("SELECT count(*) AS n_locations, count(*) AS n_umis, min(d_rs) AS min_d, avg(d_rs) AS mean_d, max(d_rs) AS max_d FROM near", "near")
+def assignment_stats(spark, d):
+    return S.assignment_stats(_assigned(spark, d))
+
+
+_MERGED = "SELECT chrom, rs_pos AS pos, string_agg(seq, ' ' ORDER BY pos, line_no) AS seqs, string_agg(qual, ' ' ORDER BY pos, line_no) AS quals, count(*) AS n"
+
+
+@query(f"{_MERGED} FROM osite GROUP BY chrom, rs_pos", "osite")
+def merge_same_site(spark, d):
+    return _joined(sited_lists(X.ordered_umis(spark, d), X.event_sites(spark, d), "line_no"))
+
+
+@query(
+    f"""{_MERGED} FROM (SELECT *, (rs_pos, pos) = max((rs_pos, pos)) OVER (PARTITION BY chrom) AS terminal FROM osite) GROUP BY chrom, rs_pos, terminal""",
+    "osite",
+)
+def merge_same_site_terminal_row(spark, d):
+    return _joined(sited_lists(X.ordered_umis(spark, d), X.event_sites(spark, d), "line_no", keep_terminal_row=True))
+
+
+_DEDUP = """(SELECT chrom, rs_pos AS pos, seq, min((pos, line_no)) AS first, count(*) AS n FROM osite GROUP BY 1, 2, 3)"""
+
+
+@query(f"SELECT chrom, pos, string_agg(seq, ' ' ORDER BY first) AS seqs, CAST(sum(n) AS BIGINT) AS pre_n, count(*) AS post_n FROM {_DEDUP} GROUP BY chrom, pos", "osite")
+def dedup_umis(spark, d):
+    return _joined(U.dedup_umis(sited_lists(X.ordered_umis(spark, d), X.event_sites(spark, d), "line_no")))
+
+
+@query(f"SELECT CAST(sum(n) AS BIGINT) AS n_reads, CAST(sum(n) - count(*) AS BIGINT) AS n_duplicates, count(*) AS n_umis FROM {_DEDUP}", "osite")
+def dedup_stats(spark, d):
+    return U.dedup_stats(U.dedup_umis(sited_lists(X.ordered_umis(spark, d), X.event_sites(spark, d), "line_no")))
+
+
+@query(
+    """SELECT count(DISTINCT n) AS n_lengths, avg(DISTINCT n) AS mean_length, CAST(min(n) AS INT) AS min_length, CAST(max(n) AS INT) AS max_length
+    FROM (SELECT length(substr(seq, 1, CAST(4 + line_no % 5 AS INT))) AS n FROM oumi)""", "oumi",
+)
+def umi_lengths(spark, d):
+    cut = F.substring("seq", F.lit(1), (4 + F.col("line_no") % 5).cast("int"))
+    return U.umi_lengths(X.ordered_umis(spark, d).withColumn("seq", cut))
+
+
+_COUNTS = "(SELECT chrom, rs_pos AS pos, count(DISTINCT seq) AS post_n FROM near WHERE d_rs <= 20 GROUP BY 1, 2)"
+
+
+def _site_counts(spark, d) -> DataFrame:
+    return flagship_sites(spark, d).select("chrom", "pos", F.col("n_umis").alias("post_n"))
+
+
+@query(f'SELECT chrom, pos AS start, pos AS stop, concat(\'pos_\', row_number() OVER (ORDER BY chrom, pos)) AS name, post_n AS score FROM {_COUNTS}', "near")
+def bed5(spark, d):
+    return U.bed5(_site_counts(spark, d))
+
+
+@query(
+    f"""SELECT chrom, pos, post_n, row_number() OVER (ORDER BY chrom, pos) AS number, (row_number() OVER (ORDER BY chrom, pos) - 1) // 1000 + 1 AS row_group
+    FROM {_COUNTS}""", "near",
+)
+def row_groups(spark, d):
+    return U.row_groups(_site_counts(spark, d), 1000)
+
+
+@query(
+    """SELECT read_id, substr(seq, 1, 8) AS umi, substr(qual, 1, 8) AS umi_qual, substr(seq, 9, 8) AS bc, substr(qual, 9, 8) AS bc_qual, substr(seq, 17, 4) AS cs,
+    substr(qual, 17, 4) AS cs_qual, substr(seq, 21) AS seq, substr(qual, 21) AS qual, true AS matched FROM rp""", "rp",
+)
+def prefix_slices(spark, d):
+    return R.slice_prefix(X.prefixed_reads(spark, d))
+
+
+@query(
+    """SELECT read_id, substr(qual, 1, 8) AS umi_qual,
+    len(list_filter(range(1, 9), lambda i: ascii(substr(qual, CAST(i AS INT), 1)) - 33 < 30)) / 8 <= 0.2 AS high_quality FROM rp""", "rp",
+)
+def umi_quality_filter(spark, d):
+    return R.pass_umi_quality(R.slice_prefix(X.prefixed_reads(spark, d))).select("read_id", "umi_qual", "high_quality")
+
+
+@query(
+    """SELECT read_id, bc, length(bc) = 8 AND hamming(bc, 'GTCGTATC') <= 1 AS passed FROM (SELECT p_partkey AS read_id,
+      concat(substr(c, 1, 4), substr('ACGT', CAST(1 + p_partkey % 4 AS INT), 1), substr(c, 6)) AS bc FROM (SELECT p_partkey, p_size,
+        concat(substr('GTCGTATC', 1, CAST(p_partkey % 8 AS INT)), substr('ACGT', CAST(1 + p_size % 4 AS INT), 1), substr('GTCGTATC', CAST(2 + p_partkey % 8 AS INT))) AS c FROM part))"""
+)
+def barcode_hamming(spark, d):
+    return X.barcodes(spark, d).withColumn("passed", near_literal(F.col("bc"), "GTCGTATC"))
+
+
+@query(
+    """SELECT 'bc' AS flag, substr(seq, 9, 8) AS value, count(*) AS reads FROM rp GROUP BY 2
+    UNION ALL SELECT 'cs', substr(seq, 17, 4), count(*) FROM rp GROUP BY 2""", "rp",
+)
+def flag_histogram(spark, d):
+    return R.flag_histogram(R.slice_prefix(X.prefixed_reads(spark, d)), "bc", "cs")
+
+
+@query("SELECT line_no, seq AS umi, qual AS umi_qual FROM oumi", "oumi")
+def read_name_tokens(spark, d):
+    return A.read_name_flags(X.named_reads(spark, d)).select("line_no", "umi", "umi_qual")
+
+
+@query(r"SELECT library_id, 'from_cs' AS metric, arg_max(CAST(regexp_extract(line, 'Output: (\d+)', 1) AS BIGINT), line_no) AS value FROM lg GROUP BY library_id", "lg")
+def log_extract_last(spark, d):
+    return M.log_values(X.log_lines(spark, d))
+
+
+@query(
+    """SELECT library_id, max(CASE WHEN metric = 'view' THEN value END) AS "view", max(CASE WHEN metric = 'click' THEN value END) AS click,
+    max(CASE WHEN metric = 'purchase' THEN value END) AS purchase,
+    CAST(max(CASE WHEN metric = 'click' THEN value END) AS DOUBLE) / max(CASE WHEN metric = 'view' THEN value END) AS click_share FROM ct GROUP BY library_id""", "ct",
+)
+def summary_pivot(spark, d):
+    table = M.wide(X.event_counters(spark, d), ("view", "click", "purchase"))
+    return M.with_shares(table, [("click_share", "click", "view")])
+
+
+@query("SELECT split_part(concat('TK', event_id % 3, '_S1_R', event_id % 2, '.fastq.gz'), '_', 1) AS library_id, count(DISTINCT event_id % 2) AS files FROM events GROUP BY 1")
+def library_discovery(spark, d):
+    from sitewise.sources.readers import library_of
+
+    e = F.col("event_id")
+    path = F.concat(F.lit("/data/fastq/TK"), e % 3, F.lit("_S1_R"), e % 2, F.lit(".fastq.gz"))
+    files = X.table(spark, d, "events").select(path.alias("path")).distinct()
+    return files.groupBy(library_of(F.col("path")).alias("library_id")).agg(F.count(F.lit(1)).alias("files"))
+
+
+def _overlaps(spark, d) -> DataFrame:
+    found = L.snp_overlap(X.allelic_reads(spark, d), X.snps(spark, d))
+    return found.withColumn("base", F.substring("seq", (1 + (F.col("snp_pos") - F.col("start_pos")) % 8).cast("int"), F.lit(1))).drop("seq")
+
+
+@query("SELECT * FROM ov", "ov")
+def snp_overlap(spark, d):
+    return _overlaps(spark, d)
+
+
+@query("SELECT * FROM cls", "cls")
+def allele_class(spark, d):
+    return L.allele_class(_overlaps(spark, d))
+
+
+def _genome_reads(spark, d) -> DataFrame:
+    """Reads of genome1 and genome2, and both again as genome12."""
+    reads = X.allelic_reads(spark, d).join(L.allele_class(_overlaps(spark, d)).select("read_id", "class"), "read_id")
+    one, two = reads.where("class = 'genome1'"), reads.where("class = 'genome2'")
+    return L.genome_union(g1=one, g2=two, m=one.unionByName(two))
+
+
+_GENOMES = """(SELECT 'g1' AS genome, * FROM r WHERE class = 'genome1' UNION ALL SELECT 'g2', * FROM r WHERE class = 'genome2'
+    UNION ALL SELECT 'm', * FROM r WHERE class IN ('genome1', 'genome2'))"""
+_R = "r AS (SELECT rd.*, class FROM rd JOIN cls USING (read_id))"
+
+
+@query(f"SELECT genome, chrom, count(*) AS reads, count(DISTINCT start_pos) AS positions FROM (WITH {_R} SELECT * FROM {_GENOMES}) GROUP BY genome, chrom", "rd", "cls")
+def genome_union_sites(spark, d):
+    each = _genome_reads(spark, d).groupBy("genome", "chrom", "start_pos").agg(F.count(F.lit(1)).alias("n"))
+    return each.groupBy("genome", "chrom").agg(F.sum("n").alias("reads"), F.count("start_pos").alias("positions"))
+
+
+@query(
+    f"""SELECT 0 AS library_id, mapped, unassigned, genome1, genome2, weird, conflict, g1_from_cs, g2_from_cs, m_from_cs, g1_uniq, g2_uniq, m_uniq,
+      unassigned / mapped AS unassigned_share, genome1 / mapped AS genome1_share, genome2 / mapped AS genome2_share, weird / mapped AS weird_share, conflict / mapped AS conflict_share,
+      g1_from_cs / genome1 AS g1_from_cs_share, g1_uniq / g1_from_cs AS g1_uniq_share, g1_uniq / genome1 AS g1_out_share,
+      g2_from_cs / genome2 AS g2_from_cs_share, g2_uniq / g2_from_cs AS g2_uniq_share, g2_uniq / genome2 AS g2_out_share,
+      m_from_cs / (genome1 + genome2) AS m_from_cs_share, m_uniq / m_from_cs AS m_uniq_share, m_uniq / (genome1 + genome2) AS m_out_share
+    FROM (SELECT count(*) AS mapped, count(*) FILTER (class = 'unassignable') AS unassigned, count(*) FILTER (class = 'genome1') AS genome1, count(*) FILTER (class = 'genome2') AS genome2,
+      count(*) FILTER (weird) AS weird, count(*) FILTER (class = 'conflict') AS conflict FROM cls),
+    (SELECT count(*) FILTER (genome = 'g1') AS g1_from_cs, count(*) FILTER (genome = 'g2') AS g2_from_cs, count(*) FILTER (genome = 'm') AS m_from_cs,
+      count(DISTINCT (chrom, start_pos, seq)) FILTER (genome = 'g1') AS g1_uniq, count(DISTINCT (chrom, start_pos, seq)) FILTER (genome = 'g2') AS g2_uniq,
+      count(DISTINCT (chrom, start_pos, seq)) FILTER (genome = 'm') AS m_uniq FROM (WITH {_R} SELECT * FROM {_GENOMES}))""", "rd", "cls",
+)
+def allelic_summary(spark, d):
+    """Counters of one library from classes and genomes; each read's start stands for its site."""
+    library, none = F.lit(0).alias("library_id"), F.lit("").alias("genome")
+    classes = L.allele_class(_overlaps(spark, d))
+    names = {"mapped": F.lit(True), "unassigned": F.col("class") == "unassignable", "genome1": F.col("class") == "genome1", "genome2": F.col("class") == "genome2", "weird": F.col("weird"), "conflict": F.col("class") == "conflict"}
+    whole = classes.agg(*(F.count_if(x).alias(c) for c, x in names.items()))
+    each = _genome_reads(spark, d).groupBy("genome", "chrom", "start_pos", "seq").agg(F.count(F.lit(1)).alias("n"))
+    tails = each.groupBy("genome").agg(F.sum("n").alias("from_cs"), F.count(F.lit(1)).alias("uniq"))
+    long = whole.select(library, none, "*").unpivot(["library_id", "genome"], list(names), "metric", "value")
+    return M.allelic_summary(long.unionByName(tails.select(library, "*").unpivot(["library_id", "genome"], ["from_cs", "uniq"], "metric", "value")))
