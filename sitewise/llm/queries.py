@@ -17,6 +17,12 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents"), hash_all=True)
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sitewise.llm.packing import pack
+
+    return pack(_table(spark, sf_dir, "documents"))
+
+
 OP6_SQL = r"""
 WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS h FROM documents),
 g AS (SELECT h, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY h)
@@ -24,6 +30,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, h AS text_sha256 F
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op6_exact_dedup": op6_exact_dedup,
 }
 ORACLES: dict[str, str] = {
