@@ -42,8 +42,9 @@ from sitewise.llm.shingles import WORDS, shingle_set
 PERCENT = 80
 #: The sketch: 2**22 counters in pieces of 2**16.
 SKETCH_BITS, PIECE_BITS = 22, 16
-#: Leader rounds go on while they still join components, at most so many; what they leave is done exactly by the last step.
-LEADER_ROUNDS = 6
+#: Leader rounds go on while each settles at least this share of the open lists' postings, at most so many rounds. What they leave
+#: is done exactly by the last step, so neither number changes the result.
+WORTHWHILE, LEADER_ROUNDS = 0.05, 8
 
 
 def _ceil_div(a, b: int):
@@ -170,8 +171,14 @@ def _often_enough(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.where(F.col("on") >= F.greatest(F.lit(1), needed - F.greatest(long_lists("na"), long_lists("nb"))))
 
 
-def _probe(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) that link: exact overlaps by binary search of the smaller set in the larger one."""
+def _probe(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) that link: exact overlaps by binary search of the smaller set in the larger one.
+
+    Sets are made again from the texts, for the documents of these pairs alone; a bitmap keeps the others out of the scan.
+    """
+    named = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
+    bitmap = saved(key_bitmap(named, F.xxhash64("doc_id")), "join-wanted")
+    sets = _full_sets(with_maybe(docs, F.xxhash64("doc_id"), bitmap).where("maybe").select("doc_id", "text"), words)
     both = pairs.select("a", "b").join(sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("ta")), "a")
     both = both.join(sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("tb")), "b")
 
@@ -217,15 +224,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     maybe = with_maybe(postings, F.xxhash64("key"), saved(key_bitmap(lists, F.xxhash64("key")), "join-maybe")).where("maybe").drop("maybe")
     postings = saved(maybe.join(lists, "key").select("key", "doc_id", "n", "place"), "join-postings")
 
-    listed = saved(postings.select("doc_id").distinct(), "join-listed")
-    wanted = with_maybe(docs.where("doc_id is not null"), F.xxhash64("doc_id"), saved(key_bitmap(listed, F.xxhash64("doc_id")), "join-wanted"))
-    sets = saved(_full_sets(wanted.where("maybe").select("doc_id", "text"), words), "join-sets")
-
     def links_of(left: DataFrame, right: DataFrame, name: str) -> DataFrame:
-        return saved(_probe(_often_enough(_candidates(left, right, percent), percent), sets, percent), name)
+        pairs = saved(_often_enough(_candidates(left, right, percent), percent).select("a", "b"), f"{name}-pairs")
+        return saved(_probe(pairs, docs, words, percent), name)
 
     links = spark.createDataFrame([], "a long, b long")
-    open_lists = postings.withColumn("component", F.col("doc_id"))
+    open_lists, still_open = postings.withColumn("component", F.col("doc_id")), postings.count()
     for turn in range(LEADER_ROUNDS):
         # One leader for each list, by an order of documents that changes each turn, so that alike documents share their leaders.
         order = F.struct(F.xxhash64("doc_id", F.lit(turn)).alias("h"), "doc_id", "n", "place", "component")
@@ -234,7 +238,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         if not new.limit(1).count():
             break
         links = links.unionByName(new)
-        open_lists = saved(_open(postings, components(links)), f"join-open{turn}")
+        open_lists, before = saved(_open(postings, components(links)), f"join-open{turn}"), still_open
+        still_open = open_lists.count()
+        if still_open > (1 - WORTHWHILE) * before:
+            break
 
     # What is left, exactly: of each list, the documents outside its largest component with all others.
     sizes = open_lists.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"))
