@@ -17,6 +17,23 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents"), hash_all=True)
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sitewise.llm.vectors import near_vectors
+
+    return near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+OP1_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0 AND len(list_filter(embedding, lambda e: e <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.98),
+r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a), n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings e JOIN c ON c.a = e.vec_id LEFT JOIN n ON n.a = e.vec_id
+"""
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sitewise.llm.packing import pack
 
@@ -26,8 +43,46 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sitewise.llm.jaccard import jaccard_components
 
-    return jaccard_components(_table(spark, sf_dir, "documents"))
+    return jaccard_components(_table(spark, sf_dir, "documents")).drop("same_set_id")
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sitewise.llm.quality import quality
+
+    return quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sitewise.llm.toxicity import toxicity
+
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sitewise.llm.warc import lookup, write_archive
+
+    pages = _table(spark, sf_dir, "pages")
+    return lookup(spark, write_archive(pages), pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP10_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages), d AS (SELECT page_id, octet_length(b) AS n, sha1(b) AS h FROM p),
+m AS (SELECT h, max(page_id) AS top FROM d WHERE n >= 1000 GROUP BY h)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, h AS payload_digest, CASE WHEN n >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN n >= 1000 AND page_id <> top THEN top END AS refers_to FROM d LEFT JOIN m USING (h)
+"""
+
+OP4_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w),
+t AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c FROM t a JOIN t b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p WHERE 100 * c >= 80 * (na + nb - c)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, component_id FROM s JOIN c ON c.a = s.doc_id
+"""
 
 OP6_SQL = r"""
 WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS h FROM documents),
@@ -36,10 +91,17 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, h AS text_sha256 F
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_quality_classifier": op7_quality_classifier,
+    "op9_toxicity": op9_toxicity,
+    "op10_warc": op10_warc,
 }
 ORACLES: dict[str, str] = {
+    "op1_embedding_near_dedup": OP1_SQL,
+    "op4_ngram_jaccard_join": OP4_SQL,
     "op6_exact_dedup": OP6_SQL,
+    "op10_warc": OP10_SQL,
 }

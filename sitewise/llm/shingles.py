@@ -41,13 +41,18 @@ class _Powers:
         return cls.up, cls.down
 
 
+def word_spans(between: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and stops of the runs of bytes that are not between words."""
+    edge = np.diff(np.concatenate([[True], between, [True]]).astype(np.int8))
+    return np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+
+
 def word_hashes(text: str) -> np.ndarray:
     """A hash for each word [^\\x20\\x09-\\x0D]+ of the text, A-Z lower-cased, in order."""
     raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)
     if not len(raw):
         return np.empty(0, dtype=np.uint64)
-    edge = np.diff(np.concatenate([[True], _SPACE[raw], [True]]).astype(np.int8))
-    start, stop = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    start, stop = word_spans(_SPACE[raw])
     up, down = _Powers.get(len(raw) + 1)
     total = np.zeros(len(raw) + 1, dtype=np.uint64)
     np.cumsum(_BYTE[raw] * up[: len(raw)], out=total[1:])
