@@ -173,7 +173,7 @@ class _Part:
         self.name = uuid.uuid4().hex
         self.fs, self.path = _files(path)
         self.fs.create_dir(self.path, recursive=True)
-        self.index, self.at, self.records = self.fs.open_output_stream(f"{self.path}/{self.name}.cdx"), 0, 0
+        self.index, self.at, self.records = self.fs.open_output_stream(f"{self.path}/{self.name}.cdx", compression=None), 0, 0
         self.file, self.out, self.size = -1, None, 0
         self.block: list[tuple] = []
         self.directory: list[tuple] = []
@@ -196,7 +196,7 @@ class _Part:
         if self.out is not None:
             self.out.close()
         self.file += 1
-        self.out, self.size = self.fs.open_output_stream(f"{self.path}/{self.name}-{self.file}.warc.gz"), 0
+        self.out, self.size = self.fs.open_output_stream(f"{self.path}/{self.name}-{self.file}.warc.gz", compression=None), 0
 
     def flush(self) -> None:
         packed = _pack_lines(self.block)
