@@ -34,6 +34,12 @@ FROM embeddings e JOIN c ON c.a = e.vec_id LEFT JOIN n ON n.a = e.vec_id
 """
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sitewise.llm.html import main_text
+
+    return main_text(_table(spark, sf_dir, "pages"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sitewise.llm.packing import pack
 
@@ -92,6 +98,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, h AS text_sha256 F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
+    "op2_html_extraction": op2_html_extraction,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op6_exact_dedup": op6_exact_dedup,
