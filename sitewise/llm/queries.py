@@ -52,12 +52,24 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents")).drop("same_set_id")
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sitewise.llm.lm import score_documents
+
+    return score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sitewise.llm.quality import quality
 
     return quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sitewise.llm.mixing import rates
+
+    return rates(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sitewise.llm.toxicity import toxicity
 
@@ -101,8 +113,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_html_extraction": op2_html_extraction,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_mixing_to_target_weights": op8_mixing,
     "op9_toxicity": op9_toxicity,
     "op10_warc": op10_warc,
 }

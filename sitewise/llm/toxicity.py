@@ -14,12 +14,14 @@ An empty table gives an empty result.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from sitewise.llm.common import slices
 from sitewise.llm.features import text_bytes, word_features
 from sitewise.llm.labelled import MAX_LABELLED, labelled_sample, scored, sigmoid
 
@@ -115,3 +117,14 @@ def toxicity(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED, thre
     model: Toxicity = fit_on(docs, labels, limit)
     score: Callable[[str], float] = model.score
     return scored(docs, score, MODULUS, HELD_OUT, threshold)
+
+
+def keep_below(docs: DataFrame, model: Toxicity, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """The rows of docs whose text scores below the threshold, as they are."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            yield batch.filter(pa.array([model.score(t.as_py() or "") < threshold for t in batch.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
