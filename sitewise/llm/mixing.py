@@ -33,7 +33,7 @@ TARGETS = {"clean": 0.90, "low": 0.08, "toxic": 0.02}
 #: At most so many labelled documents are counted, and so many telling words kept.
 MAX_LABELLED, MAX_WORDS = 12_000, 512
 #: Steps of the gradient at most, how near to the targets is near enough, and the weight that keeps rates near 1.
-STEPS, NEAR, RIDGE = 24, 1e-3, 1e-4
+STEPS, NEAR, RIDGE = 40, 1e-3, 1e-4
 #: (name, count, most, bins): shares of characters or words, in bins of equal width up to most.
 _SHAPES = (("upper", "[A-Z]", 0.4, 8), ("symbol", r"[!#$%&*|]", 0.2, 8))
 _REPEAT_BINS = 8
@@ -132,14 +132,23 @@ def fit_membership(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED
     return model
 
 
-def rate_of(posterior: Column, steps: list[list[float]], floor: float, ridge: float = RIDGE) -> Column:
-    """A document's rate after the steps so far: each takes the gradient off and projects to rates of at least floor."""
-    start = F.lit(max(1.0, floor))
+def rate_of(posterior: Column, steps: list[list[float]], floor: float, ridge: float = RIDGE, ahead: bool = False) -> Column:
+    """A document's rate after the steps so far: each takes the gradient off and projects to rates of at least floor.
+
+    A step starts from where the last two lead (ahead), which is the usual acceleration; the last number of a step says how far.
+    """
+    start = F.lit(float(max(1.0, floor)))
     if not steps:
         return start
-    gradients = F.expr("array(" + ", ".join(map(_doubles, steps)) + ")")
     dot = lambda s: sum((F.get(posterior, F.lit(k)) * F.get(s, F.lit(k)) for k in range(len(DOMAINS))), F.lit(0.0))
-    return F.aggregate(gradients, start, lambda r, s: F.greatest(F.lit(float(floor)), r - dot(s) - F.lit(ridge) * (r - 1)))
+
+    def step(at: Column, s: Column) -> Column:
+        y = at["ahead"]
+        rate = F.greatest(F.lit(float(floor)), y - dot(s) - F.lit(ridge) * (y - 1))
+        return F.struct(rate.alias("rate"), (rate + F.get(s, F.lit(len(DOMAINS))) * (rate - at["rate"])).alias("ahead"))
+
+    taken = F.expr("array(" + ", ".join(map(_doubles, steps)) + ")")
+    return F.aggregate(taken, F.struct(start.alias("rate"), start.alias("ahead")), step, lambda at: at["ahead" if ahead else "rate"])
 
 
 def fit_steps(members: DataFrame, targets: dict[str, float] | None = None, floor: float = 0.0, steps: int = STEPS) -> list[list[float]]:
@@ -167,12 +176,15 @@ def fit_steps(members: DataFrame, targets: dict[str, float] | None = None, floor
     inverse = np.linalg.inv(h / n + 1e-6 * np.eye(len(DOMAINS)))
     budget = max([n] + ([floor * x / s for x, s in zip(have, share, strict=True) if s > 0] if floor else []))
     taken: list[list[float]] = []
+    t = 1.0
     for _ in range(steps):
-        now = totals(rate_of(F.col("posterior"), taken, floor)) if taken else [max(1.0, floor) * x for x in have]
+        now = totals(rate_of(F.col("posterior"), taken, floor, ahead=True)) if taken else [max(1.0, floor) * x for x in have]
         gaps = np.array([(x - budget * s) / n for x, s in zip(now, share, strict=True)])
         if np.abs(gaps).max() < NEAR:
             break
-        taken.append((inverse @ gaps).tolist())
+        further = (1 + np.sqrt(1 + 4 * t * t)) / 2
+        taken.append([*(inverse @ gaps).tolist(), (t - 1) / further])
+        t = further
     return taken
 
 

@@ -53,7 +53,8 @@ def test_rates_match_targets(spark, floor):
     budget = max(n.sum(), *(floor * (n @ p) / share))
     gap = ((r * n) @ p - budget * share) / n.sum()
     h = (p * n[:, None]).T @ p / n.sum()
-    assert float(gap @ np.linalg.inv(h + 1e-6 * np.eye(3)) @ gap) <= solve(p, n, share, floor, budget, 2000) + 2e-3
+    # a bounded number of steps: near the best there is where targets can be met, within a fifth of it where they can't
+    assert float(gap @ np.linalg.inv(h + 1e-6 * np.eye(3)) @ gap) <= 1.2 * solve(p, n, share, floor, budget, 2000) + 2e-3
     assert {x.n_tokens for x in rows if x.doc_id in (900, 901)} == {0}
 
 
