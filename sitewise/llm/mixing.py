@@ -199,9 +199,10 @@ def with_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | N
 
 
 def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, floor: float = 0.0) -> DataFrame:
-    """The rows of docs, each as often as its copies say."""
-    rated = with_rates(docs, labels, targets, floor)
-    return rated.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    """The rows of docs, each as often as its copies say, with their columns as they were."""
+    packed = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("doc_id"), F.col("text").alias("text"))
+    rated = with_rates(packed, labels, targets, floor).where("copies > 0")
+    return rated.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*")
 
 
 def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, floor: float = 0.0) -> DataFrame:
