@@ -10,6 +10,7 @@ search, only for documents that came up often enough.
   sketch has a fixed size, so it is broadcast whatever the input.
 - Merging: postings of short lists meet by shingle, and the shuffle's sorted merge counts them for each pair of documents.
   That is the heap merge, spread over the cluster.
+- Skipping: parity bits of both sets bound how far they differ; a pair that differs too far is never a row.
 - Probing: a pair that reached T - L is decided by binary search of one sorted set in the other, exactly.
 
 Documents with equal sets are one vertex, found before any list is made. What is asked for is components, not
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitewise.llm.common import clean_columns, key_bitmap, saved, with_maybe
+from sitewise.llm.common import clean_columns, key_bitmap, saved, slices, with_maybe
 from sitewise.llm.graph import components
 from sitewise.llm.shingles import WORDS, shingle_set
 
@@ -42,6 +43,8 @@ from sitewise.llm.shingles import WORDS, shingle_set
 PERCENT = 80
 #: The sketch: 2**22 counters in pieces of 2**16.
 SKETCH_BITS, PIECE_BITS = 22, 16
+#: Bits of the parities that bound from below how far two sets differ.
+PARITY_BITS = 256
 #: Leader rounds go on while each settles at least this share of the open lists' postings, at most so many rounds. What they leave
 #: is done exactly by the last step, so neither number changes the result.
 WORTHWHILE, LEADER_ROUNDS = 0.05, 8
@@ -61,14 +64,12 @@ def _first_pass(docs: DataFrame, words: int) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
         names = ["doc_id", "n", "piece", "data"]
-        for batch in batches:
-            sizes, prints, seen = [], [], []
+        for batch in slices(batches):
+            sizes, prints = [], []
             for s in _sets(batch, words):
                 sizes.append(len(s))
                 prints.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                seen.append((s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64))
-            if seen:
-                sketch += np.bincount(np.concatenate(seen), minlength=len(sketch)).astype(np.uint32)
+                np.add.at(sketch, (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), np.uint32(1))
             n = len(sizes)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.nulls(n, pa.int32()), pa.array(prints, pa.binary())], names)
         for k, part in enumerate(sketch.reshape(-1, 1 << PIECE_BITS)):
@@ -105,31 +106,42 @@ def list_levels(parts: DataFrame) -> np.ndarray:
     return np.log2(np.maximum(1, counts / usual)).astype(np.uint8)
 
 
+def parity(s: np.ndarray) -> np.ndarray:
+    """For each of PARITY_BITS classes of shingles, whether the set has an odd number of them, as 64-bit words.
+
+    Sets whose words differ in d bits have at least d shingles that are in one of them only.
+    """
+    odd = np.bincount(((s >> np.uint64(8)) % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _short_lists(docs: DataFrame, levels, words: int, percent: int) -> DataFrame:
-    """doc_id, n and the keys of the short lists of each row's set, in the common order; rows with empty sets are left out."""
+    """doc_id, n, parity bits and the keys of the short lists of each row's set, in the common order; rows with empty sets are left out."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = levels.value
-        for batch in batches:
-            at, sizes, keys = [], [], []
+        for batch in slices(batches):
+            at, sizes, keys, parities = [], [], [], []
             for i, s in enumerate(_sets(batch, words)):
                 if len(s):
                     order = np.lexsort((s, level[s >> np.uint64(64 - SKETCH_BITS)]))
                     at.append(i)
                     sizes.append(len(s))
+                    parities.append(parity(s))
                     keys.append(s[order[: len(s) - _ceil_div(percent * len(s), 100) + 1]].view(np.int64))
             if at:
                 offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(keys)))
                 taken = [batch.column(c).take(pa.array(at)) for c in ("doc_id", "maybe")]
-                yield pa.RecordBatch.from_arrays([*taken, pa.array(sizes, pa.int64()), lists], ["doc_id", "maybe", "n", "keys"])
+                bits = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * (PARITY_BITS // 64)), pa.array(np.concatenate(parities)))
+                yield pa.RecordBatch.from_arrays([*taken, pa.array(sizes, pa.int64()), bits, lists], ["doc_id", "maybe", "n", "bits", "keys"])
 
-    return docs.mapInArrow(scan, "doc_id long, maybe boolean, n long, keys array<long>")
+    return docs.mapInArrow(scan, "doc_id long, maybe boolean, n long, bits array<long>, keys array<long>")
 
 
 def _full_sets(docs: DataFrame, words: int) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sets = pa.array([s.tobytes() for s in _sets(batch, words)], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), sets], ["doc_id", "tokens"])
 
@@ -144,16 +156,20 @@ def _needed(na: Column, nb: Column, percent: int) -> Column:
 def _candidates(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
     """Pairs a < b of different components, with how many short lists both are on.
 
-    Each side has key, doc_id, n, place (in the order of its document's lists) and component; both sides may hold
+    Each side has key, doc_id, n, bits, place (in the order of its document's lists) and component; both sides may hold
     a pair, in which case minor on the right keeps it from meeting twice.
     """
-    left = left.select("key", *(F.col(c).alias(f"{c}_a") for c in ("doc_id", "n", "place", "component")))
-    right = right.select("key", "minor", *(F.col(c).alias(f"{c}_b") for c in ("doc_id", "n", "place", "component")))
+    left = left.select("key", *(F.col(c).alias(f"{c}_a") for c in ("doc_id", "n", "bits", "place", "component")))
+    right = right.select("key", "minor", *(F.col(c).alias(f"{c}_b") for c in ("doc_id", "n", "bits", "place", "component")))
     na, nb = F.col("n_a"), F.col("n_b")
     most = F.least("place_a", "place_b") + F.least(na - F.col("place_a"), nb - F.col("place_b"))
     fits = (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & (most >= _needed(na, nb, percent))
+    differ = sum((F.bit_count(F.get("bits_a", F.lit(i)).bitwiseXOR(F.get("bits_b", F.lit(i)))) for i in range(PARITY_BITS // 64)), F.lit(0))
+    fits &= differ <= na + nb - 2 * _needed(na, nb, percent)
     once = ~F.col("minor") | (F.col("doc_id_a") < F.col("doc_id_b"))
-    met = left.join(right, "key").where((F.col("component_a") != F.col("component_b")) & once & fits)
+    # one condition of the join, so that pairs which fail it are never rows
+    right = right.withColumnRenamed("key", "key_b")
+    met = left.join(right, (F.col("key") == F.col("key_b")) & (F.col("component_a") != F.col("component_b")) & once & fits)
     swap = F.col("doc_id_a") > F.col("doc_id_b")
     low = lambda c: F.when(swap, F.col(f"{c}_b")).otherwise(F.col(f"{c}_a"))
     high = lambda c: F.when(swap, F.col(f"{c}_a")).otherwise(F.col(f"{c}_b"))
@@ -161,14 +177,15 @@ def _candidates(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
     return met.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("on"))
 
 
-def _often_enough(pairs: DataFrame, percent: int) -> DataFrame:
+def _often_enough(pairs: DataFrame, percent: int, part: int = 1) -> DataFrame:
     """DivideSkip's bound: on at least T - L short lists, L being the long ones of the document whose short lists end first.
 
-    Which of both that is isn't known here, so the smaller of the two bounds is asked for.
+    Which of both that is isn't known here, so the smaller of the two bounds is asked for; of it, one part in so many,
+    where a leader met a document on some of their common lists only.
     """
     needed = _needed(F.col("na"), F.col("nb"), percent)
     long_lists = lambda c: F.ceil(F.lit(percent) * F.col(c) / 100).cast("long") - 1
-    return pairs.where(F.col("on") >= F.greatest(F.lit(1), needed - F.greatest(long_lists("na"), long_lists("nb"))))
+    return pairs.where(part * F.col("on") >= F.greatest(F.lit(1), needed - F.greatest(long_lists("na"), long_lists("nb"))))
 
 
 def _probe(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -216,25 +233,29 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     short = _short_lists(marked.select("doc_id", "text", "maybe"), levels, words, percent)
     short = saved(short, "join-short")
     short = short.where(~F.col("maybe")).unionByName(short.where("maybe").join(vertices, "doc_id", "left_semi")).drop("maybe")
-    postings = short.select("doc_id", "n", F.posexplode("keys").alias("place", "key"))
+    postings = short.select("doc_id", "n", "bits", F.posexplode("keys").alias("place", "key"))
 
     # Lists of one document lead nowhere; a bitmap keeps most of their postings out of the join.
-    lists = postings.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
+    lists = postings.select("key").groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
     lists = saved(lists, "join-lists")
     maybe = with_maybe(postings, F.xxhash64("key"), saved(key_bitmap(lists, F.xxhash64("key")), "join-maybe")).where("maybe").drop("maybe")
-    postings = saved(maybe.join(lists, "key").select("key", "doc_id", "n", "place"), "join-postings")
+    postings = saved(maybe.join(lists, "key").select("key", "doc_id", "n", "bits", "place"), "join-postings")
 
-    def links_of(left: DataFrame, right: DataFrame, name: str) -> DataFrame:
-        pairs = saved(_often_enough(_candidates(left, right, percent), percent).select("a", "b"), f"{name}-pairs")
-        return saved(_probe(pairs, docs, words, percent), name)
+    def links_of(pairs: DataFrame, name: str) -> DataFrame:
+        return saved(_probe(saved(pairs.select("a", "b"), f"{name}-pairs"), docs, words, percent), name)
 
     links = spark.createDataFrame([], "a long, b long")
     open_lists, still_open = postings.withColumn("component", F.col("doc_id")), postings.count()
     for turn in range(LEADER_ROUNDS):
-        # One leader for each list, by an order of documents that changes each turn, so that alike documents share their leaders.
-        order = F.struct(F.xxhash64("doc_id", F.lit(turn)).alias("h"), "doc_id", "n", "place", "component")
-        leaders = open_lists.groupBy("key").agg(F.min(order).alias("x")).select("key", "x.doc_id", "x.n", "x.place", "x.component")
-        new = links_of(leaders, open_lists.withColumn("minor", F.lit(False)), f"join-links{turn}")
+        # One leader for each list: at first a document with the fewest rarer shingles, which resembles most of the others where they are
+        # copies; then by an order that changes each turn. Of the leaders that a document meets, the one met most often is probed.
+        first = F.col("place") if turn == 0 else F.lit(0)
+        order = F.struct(first.alias("first"), F.xxhash64("doc_id", F.lit(turn)).alias("h"), "doc_id", "n", "bits", "place", "component")
+        leaders = open_lists.groupBy("key").agg(F.min(order).alias("x")).select("key", "x.doc_id", "x.n", "x.bits", "x.place", "x.component")
+        met = _often_enough(_candidates(leaders, open_lists.withColumn("minor", F.lit(False)), percent), percent, 4)
+        either = met.select(F.explode(F.array("a", "b")).alias("doc_id"), "a", "b", "on")
+        best = either.groupBy("doc_id").agg(F.max(F.struct("on", "a", "b")).alias("x")).select("x.a", "x.b").distinct()
+        new = links_of(best, f"join-links{turn}")
         if not new.limit(1).count():
             break
         links = links.unionByName(new)
@@ -247,7 +268,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sizes = open_lists.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"))
     major = sizes.groupBy("key").agg(F.max_by("component", F.struct("m", "component")).alias("major"))
     split = open_lists.join(major, "key").withColumn("minor", F.col("component") != F.col("major")).drop("major")
-    new = links_of(split.where("minor"), split, "join-links")
+    new = links_of(_often_enough(_candidates(split.where("minor"), split, percent), percent), "join-links")
     label = components(links.unionByName(new))
 
     vertex_of = label.select(F.col("vertex"), F.col("component").alias("component_id"))
@@ -260,4 +281,4 @@ def _open(postings: DataFrame, label: DataFrame) -> DataFrame:
     """Postings of the lists whose documents are still of several components, with their components."""
     named = postings.join(label.withColumnRenamed("vertex", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     several = named.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("key")
-    return named.join(several, "key").select("key", "doc_id", "n", "place", "component")
+    return named.join(several, "key").select("key", "doc_id", "n", "bits", "place", "component")
