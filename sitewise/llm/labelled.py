@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from sitewise.llm.common import clean_columns
 
 #: At most so many labelled documents are learnt from: those with the least hashes of their ids.
-MAX_LABELLED = 12_000
+MAX_LABELLED = 8_000
 
 
 def remainder(id_column: Column, modulus: int) -> Column:
