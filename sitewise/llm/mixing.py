@@ -7,9 +7,9 @@ the expected tokens of each domain, the sum of rate x tokens x posterior, are to
 weight keeps rates near 1.
 
 A step of the gradient needs sums over all documents, one for each domain: an aggregation whose result is three numbers.
-Rates aren't stored between steps. A document's rate is a function of its own posterior and the few numbers of each
-step so far, so each step is one pass over a narrow table, and a lost executor loses nothing. The classifier
-and the steps are small constants, so rates are applied to full rows without a join.
+A document's rate is a function of its own posterior and the few numbers of each step so far, so each step is one pass over
+a narrow table, in which rates are written every KEEP steps. The classifier and the steps are small constants, so
+rates are applied to full rows without a join.
 
 Null texts are empty: no tokens, a rate like other documents of their posterior. Repeated rows have equal rates; a null id has its rate.
 Labels other than 0 and 1, and rows without an id, are left out; of several labels of an id, the largest count. Without
@@ -34,6 +34,8 @@ TARGETS = {"clean": 0.90, "low": 0.08, "toxic": 0.02}
 MAX_LABELLED, MAX_WORDS = 12_000, 512
 #: Steps of the gradient at most, how near to the targets is near enough, and the weight that keeps rates near 1.
 STEPS, NEAR, RIDGE = 40, 1e-3, 1e-4
+#: Steps after which the rates so far are written, so that a pass never takes more than so many.
+KEEP = 8
 #: (name, count, most, bins): shares of characters or words, in bins of equal width up to most.
 _SHAPES = (("upper", "[A-Z]", 0.4, 8), ("symbol", r"[!#$%&*|]", 0.2, 8))
 _REPEAT_BINS = 8
@@ -132,12 +134,13 @@ def fit_membership(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED
     return model
 
 
-def rate_of(posterior: Column, steps: list[list[float]], floor: float, ridge: float = RIDGE, ahead: bool = False) -> Column:
-    """A document's rate after the steps so far: each takes the gradient off and projects to rates of at least floor.
+def state_after(posterior: Column, steps: list[list[float]], floor: float, start: Column | None = None, ridge: float = RIDGE) -> Column:
+    """A document's rate, and where the next step starts from, after steps: each takes the gradient off and projects to rates of at least floor.
 
-    A step starts from where the last two lead (ahead), which is the usual acceleration; the last number of a step says how far.
+    A step starts ahead of the rate, where the last two lead, which is the usual acceleration; the last number of a step says how far.
     """
-    start = F.lit(float(max(1.0, floor)))
+    one = F.lit(float(max(1.0, floor)))
+    start = F.struct(one.alias("rate"), one.alias("ahead")) if start is None else start
     if not steps:
         return start
     dot = lambda s: sum((F.get(posterior, F.lit(k)) * F.get(s, F.lit(k)) for k in range(len(DOMAINS))), F.lit(0.0))
@@ -147,8 +150,7 @@ def rate_of(posterior: Column, steps: list[list[float]], floor: float, ridge: fl
         rate = F.greatest(F.lit(float(floor)), y - dot(s) - F.lit(ridge) * (y - 1))
         return F.struct(rate.alias("rate"), (rate + F.get(s, F.lit(len(DOMAINS))) * (rate - at["rate"])).alias("ahead"))
 
-    taken = F.expr("array(" + ", ".join(map(_doubles, steps)) + ")")
-    return F.aggregate(taken, F.struct(start.alias("rate"), start.alias("ahead")), step, lambda at: at["ahead" if ahead else "rate"])
+    return F.aggregate(F.expr("array(" + ", ".join(map(_doubles, steps)) + ")"), start, step)
 
 
 def fit_steps(members: DataFrame, targets: dict[str, float] | None = None, floor: float = 0.0, steps: int = STEPS) -> list[list[float]]:
@@ -163,12 +165,13 @@ def fit_steps(members: DataFrame, targets: dict[str, float] | None = None, floor
     k = range(len(DOMAINS))
     p = [F.get("posterior", F.lit(i)) for i in k]
 
-    def totals(rate: Column, *more: Column) -> list[float]:
-        row = members.agg(*(F.sum(rate * F.col("n_tokens") * p[i]).alias(f"s{i}") for i in k), *more).first()
+    def totals(table: DataFrame, *more: Column) -> list[float]:
+        row = table.agg(*(F.sum(F.col("at.ahead") * F.col("n_tokens") * p[i]).alias(f"s{i}") for i in k), *more).first()
         return [x or 0.0 for x in row]
 
+    members = members.select("n_tokens", "posterior", state_after(F.col("posterior"), [], floor).alias("at"))
     outer = [F.sum(F.col("n_tokens") * p[i] * p[j]).alias(f"h{i}{j}") for i in k for j in k]
-    have = totals(F.lit(1.0), *outer)
+    have = [x / max(1.0, floor) if i < len(DOMAINS) else x for i, x in enumerate(totals(members, *outer))]
     have, h = have[: len(DOMAINS)], np.array(have[len(DOMAINS) :]).reshape(len(DOMAINS), -1)
     n = sum(have)
     if not n:
@@ -176,15 +179,19 @@ def fit_steps(members: DataFrame, targets: dict[str, float] | None = None, floor
     inverse = np.linalg.inv(h / n + 1e-6 * np.eye(len(DOMAINS)))
     budget = max([n] + ([floor * x / s for x, s in zip(have, share, strict=True) if s > 0] if floor else []))
     taken: list[list[float]] = []
-    t = 1.0
+    since, t = 0, 1.0
     for _ in range(steps):
-        now = totals(rate_of(F.col("posterior"), taken, floor, ahead=True)) if taken else [max(1.0, floor) * x for x in have]
+        # in a column of its own, which all sums read
+        now = totals(members.withColumn("at", state_after(F.col("posterior"), taken[since:], floor, F.col("at"))))
         gaps = np.array([(x - budget * s) / n for x, s in zip(now, share, strict=True)])
         if np.abs(gaps).max() < NEAR:
             break
         further = (1 + np.sqrt(1 + 4 * t * t)) / 2
         taken.append([*(inverse @ gaps).tolist(), (t - 1) / further])
         t = further
+        if len(taken) - since == KEEP:
+            members = saved(members.withColumn("at", state_after(F.col("posterior"), taken[since:], floor, F.col("at"))), "mix-members")
+            since = len(taken)
     return taken
 
 
@@ -193,7 +200,7 @@ def with_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | N
     model = fit_membership(docs, labels, limit)
     members = saved(model.with_posterior(docs.select(text_col), text_col).select("n_tokens", "posterior"), "mix-members")
     steps = fit_steps(members, targets, floor)
-    out = model.with_posterior(docs.drop("n_tokens", "posterior", "rate", "copies"), text_col).withColumn("rate", rate_of(F.col("posterior"), steps, floor))
+    out = model.with_posterior(docs.drop("n_tokens", "posterior", "rate", "copies"), text_col).withColumn("rate", state_after(F.col("posterior"), steps, floor)["rate"])
     chance = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col), F.lit("mix")), F.lit(1 << 20)) / float(1 << 20)
     return out.withColumn("copies", (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("int")).cast("int"))
 
