@@ -200,9 +200,8 @@ def with_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | N
     model = fit_membership(docs, labels, limit)
     members = saved(model.with_posterior(docs.select(text_col), text_col).select("n_tokens", "posterior"), "mix-members")
     steps = fit_steps(members, targets, floor)
-    out = model.with_posterior(docs.drop("n_tokens", "posterior", "rate", "copies"), text_col).withColumn("rate", state_after(F.col("posterior"), steps, floor)["rate"])
-    chance = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col), F.lit("mix")), F.lit(1 << 20)) / float(1 << 20)
-    return out.withColumn("copies", (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("int")).cast("int"))
+    out = model.with_posterior(docs.drop("n_tokens", "posterior", "rate", "copies"), text_col).withColumn("chance", _chance(id_col, text_col))
+    return _with_copies(out, steps, floor).drop("chance")
 
 
 def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, floor: float = 0.0) -> DataFrame:
@@ -215,5 +214,18 @@ def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None =
 def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, floor: float = 0.0) -> DataFrame:
     """doc_id, n_tokens, a posterior for each domain, rate and copies for each row."""
     named = clean_columns(docs, doc_id="doc_id", text="text")
-    rated = with_rates(named, labels, targets, floor)
+    members = fit_membership(named, labels).with_posterior(named, "text").withColumn("chance", _chance("doc_id", "text")).drop("text")
+    members = saved(members, "mix-members")  # texts are read once: rates come from this table
+    rated = _with_copies(members, fit_steps(members, targets, floor), floor)
     return rated.select("doc_id", "n_tokens", *(F.get("posterior", F.lit(k)).alias(f"p_{d}") for k, d in enumerate(DOMAINS)), "rate", "copies")
+
+
+def _chance(id_col: str, text_col: str) -> Column:
+    """A number from 0 to below 1 from a row's id and text."""
+    return F.pmod(F.xxhash64(F.col(id_col), F.col(text_col), F.lit("mix")), F.lit(1 << 20)) / float(1 << 20)
+
+
+def _with_copies(members: DataFrame, steps: list[list[float]], floor: float) -> DataFrame:
+    """Adds rate and copies to rows with posterior and chance."""
+    out = members.withColumn("rate", state_after(F.col("posterior"), steps, floor)["rate"])
+    return out.withColumn("copies", (F.floor("rate") + (F.col("chance") < F.col("rate") - F.floor("rate")).cast("int")).cast("int"))
