@@ -7,7 +7,7 @@ from dataclasses import dataclass
 import numpy as np
 
 #: Positions of a window, and how many of them only give context to the rest in every window but the first.
-WINDOW, OVERLAP, DIM = 32, 8, 16
+WINDOW, OVERLAP, DIM = 32, 8, 24
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -83,33 +83,45 @@ class Attention:
         g["q"], g["k"], g["v"] = flat(x).T @ flat(dq), flat(x).T @ flat(dk), flat(x).T @ flat(dv)
         g["at"] = np.zeros_like(p["at"])
         g["at"][: x.shape[1]] = dx.sum(0)
-        g["e"] = np.zeros_like(p["e"])
-        np.add.at(g["e"], units.ravel(), flat(dx))
+        cells = (units.ravel()[:, None] * x.shape[-1] + np.arange(x.shape[-1])).ravel()
+        g["e"] = np.bincount(cells, dx.ravel(), p["e"].size).reshape(p["e"].shape).astype(p["e"].dtype)
         return loss, g
 
     def train(self, units: np.ndarray, classes: np.ndarray, weight: np.ndarray, epochs: int = 2, batch: int = 64, rate: float = 1e-2, seed: int = 2) -> float:
         """Adam over shuffled windows with a falling rate; returns the last epoch's mean loss."""
-        m = {n: np.zeros_like(v) for n, v in self.p.items()}
-        s = {n: np.zeros_like(v) for n, v in self.p.items()}
-        order, step, last = np.random.default_rng(seed), 0, 0.0
+        adam, order, step, last = Adam(self), np.random.default_rng(seed), 0, 0.0
         steps = max(1, epochs * -(-len(units) // batch))
         for _ in range(epochs):
             losses = []
             index = order.permutation(len(units))
             for at in range(0, len(index), batch):
                 i = index[at : at + batch]
-                loss, g = self.gradients(units[i], classes[i], weight[i])
-                losses.append(loss)
                 step += 1
-                lr = rate * min(1.0, step / 50) * (1 - 0.9 * step / steps)
-                for n, d in g.items():
-                    m[n] += 0.1 * (d - m[n])
-                    s[n] += 0.01 * (d * d - s[n])
-                    self.p[n] -= (lr * (m[n] / (1 - 0.9**step)) / (np.sqrt(s[n] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+                losses.append(adam.step(units[i], classes[i], weight[i], rate * min(1.0, step / 50) * (1 - 0.9 * step / steps)))
             last = float(np.mean(losses)) if losses else 0.0
         return last
 
 
+class Adam:
+    """Running means of the gradients of one model, which step() changes."""
+
+    def __init__(self, model: Attention) -> None:
+        self.model, self.steps = model, 0
+        self.m = {n: np.zeros_like(v) for n, v in model.p.items()}
+        self.s = {n: np.zeros_like(v) for n, v in model.p.items()}
+
+    def step(self, units: np.ndarray, classes: np.ndarray, weight: np.ndarray, rate: float) -> float:
+        """One step over a batch of windows; returns its loss before the step."""
+        loss, g = self.model.gradients(units, classes, weight)
+        self.steps += 1
+        m, s, k = self.m, self.s, self.steps
+        for n, d in g.items():
+            m[n] += 0.1 * (d - m[n])
+            s[n] += 0.01 * (d * d - s[n])
+            self.model.p[n] -= (rate * (m[n] / (1 - 0.9**k)) / (np.sqrt(s[n] / (1 - 0.99**k)) + 1e-8)).astype(np.float32)
+        return loss
+
+
 def windows(n: int) -> list[tuple[int, int]]:
     """(first place, places that only give context) of each window over n places: every place is scored in one of them."""
     out, at = [(0, 0)], WINDOW

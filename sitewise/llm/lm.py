@@ -5,9 +5,12 @@ probability of an id is that of its class, given by masked self-attention over t
 within its class, counted over all training documents. The most frequent ids are classes of their own. So every id
 has a probability, and those of all continuations sum to one.
 
-What covers what. Counts of words and of ids cover every training document and are aggregated by Spark; the ids' counts are as
-many as the vocabulary has. The attention's weights and the grouping of ids into classes are learnt by gradient descent
-in numpy from at most SAMPLE_DOCS documents and SAMPLE_WINDOWS windows, those with the least hashes.
+What covers what. Everything is learnt from all training documents: the counts of words and of ids, the grouping of ids into
+classes and the attention's weights. Spark aggregates the counts and the grouping's sums, as many as the vocabulary has. The weights begin
+from a fit in the driver to at most SAMPLE_DOCS texts; then all documents are dealt to ROUNDS rounds. In a round each task
+goes by gradient descent through the windows of its own documents, from the same weights, and the next round begins from
+the tasks' weights averaged by their numbers of windows. So each training document is gone through once, and weights depend
+a little on how rows are dealt to tasks.
 
 Scoring. Each text is cut into overlapping windows; every id is scored once, with at least OVERLAP ids before it save at
 the beginning. For the word count, frequent words (at most HEAD) are looked up in each task; only rarer ones go through a
@@ -21,7 +24,7 @@ gives an empty result. Columns other than the two named are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cache
 
 import numpy as np
@@ -30,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitewise.llm.attention import OVERLAP, WINDOW, Attention, windows
+from sitewise.llm.attention import OVERLAP, WINDOW, Adam, Attention, windows
 from sitewise.llm.common import clean_columns, saved, slices
 from sitewise.llm.labelled import remainder
 from sitewise.llm.shingles import word_hashes
@@ -42,6 +45,8 @@ END_WORD = -1
 HEAD, SAMPLE_DOCS, SAMPLE_WINDOWS, EPOCHS = 1 << 16, 2000, 24_000, 5
 SINGLES, GROUPS, OWN_UNITS = 64, 64, 1024
 SMOOTH = 0.1
+#: Rounds over all documents, windows in a step, windows that a task shuffles at a time, and the first round's rate.
+ROUNDS, BATCH, SHUFFLED, RATE = 4, 64, 4096, 4e-3
 #: Distinct words that a task holds before it hands its counts on.
 FLUSH_WORDS = 2_000_000
 #: Windows at a time: few enough that their arrays stay in the cache.
@@ -73,44 +78,151 @@ def text_ids(text: str | None, path: str) -> np.ndarray:
     return np.array([*ids, END_ID], dtype=np.int64)
 
 
-def _counts(docs: DataFrame, path: str) -> DataFrame:
-    """kind (0 word, 1 id), key and n over all rows."""
+def _word_counts(docs: DataFrame) -> DataFrame:
+    """key and n of each word over all rows."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, words, numbers, held = np.zeros(VOCABULARY, dtype=np.int64), [], [], 0
+        words, numbers, held = [], [], 0
 
-        def rows(kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, dtype=np.int32)), pa.array(keys.astype(np.int64)), pa.array(n.astype(np.int64))], ["kind", "key", "n"])
+        def rows(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
 
         def merged() -> tuple[np.ndarray, np.ndarray]:
             keys, which = np.unique(np.concatenate(words), return_inverse=True)
             return keys, np.bincount(which, np.concatenate(numbers)).astype(np.int64)
 
         for batch in slices(batches):
-            found, ends = [], 0
-            for t in batch.column("text"):
-                text = t.as_py() or ""
-                found.append(word_hashes(text).view(np.int64))
-                ids += np.bincount(text_ids(text, path), minlength=VOCABULARY)
-                ends += 1
+            found = [word_hashes(t.as_py() or "").view(np.int64) for t in batch.column("text")]
             if not found:
                 continue
             keys, n = np.unique(np.concatenate(found), return_counts=True)
             words += [keys, np.array([END_WORD])]
-            numbers += [n, np.array([ends])]
+            numbers += [n, np.array([len(found)])]
             held += len(keys) + 1
             if held > FLUSH_WORDS:
                 keys, n = merged()
                 words, numbers, held = [keys], [n], len(keys)
                 if held > FLUSH_WORDS // 2:
-                    yield rows(0, keys, n)
+                    yield rows(keys, n)
                     words, numbers, held = [], [], 0
         if words:
-            yield rows(0, *merged())
-        at = np.flatnonzero(ids)
-        yield rows(1, at, ids[at])
+            yield rows(*merged())
 
-    return docs.mapInArrow(count, "kind int, key long, n long")
+    return docs.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def _encoded(docs: DataFrame, path: str) -> DataFrame:
+    """round and ids, two bytes each, of every row."""
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId()
+        for batch in slices(batches):
+            ids = [text_ids(t.as_py(), path).astype(np.uint16).tobytes() for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([pa.array((row + np.arange(len(ids))) % ROUNDS, pa.int32()), pa.array(ids, pa.binary())], ["round", "ids"])
+            row += len(ids)
+
+    return docs.mapInArrow(encode, "round int, ids binary")
+
+
+def _ids_of(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    for batch in batches:
+        for ids in batch.column("ids"):
+            yield np.frombuffer(ids.as_py(), dtype=np.uint16).astype(np.int64)
+
+
+def _id_counts(encoded: DataFrame) -> np.ndarray:
+    """How often each id occurs in all documents."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(VOCABULARY, dtype=np.int64)
+        for ids in _ids_of(batches):
+            np.add.at(total, ids, 1)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], ["key", "n"])
+
+    counts = np.zeros(VOCABULARY)
+    for r in encoded.select("ids").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).collect():  # at most the vocabulary
+        counts[r.key] = r.n
+    return counts
+
+
+def _usage(documents: Iterator[np.ndarray], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each id how often it occurs, and the summed shares of the frequent ids in the documents that hold it."""
+    rank = np.full(VOCABULARY, -1)
+    rank[_order(counts)[:SINGLES]] = np.arange(SINGLES)
+    seen, about = np.zeros(VOCABULARY), np.zeros((VOCABULARY, SINGLES), dtype=np.float32)
+    for ids in documents:
+        used = rank[ids]
+        shares = np.bincount(used[used >= 0], minlength=SINGLES) / max(1, len(ids))
+        at, n = np.unique(ids, return_counts=True)
+        seen[at] += n
+        about[at] += n[:, None] * shares.astype(np.float32)
+    return seen, about
+
+
+def _whole_usage(encoded: DataFrame, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """_usage over all documents: a row for each id, summed by Spark."""
+    names = [f"u{k}" for k in range(SINGLES)]
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, about = _usage(_ids_of(batches), counts)
+        at = np.flatnonzero(seen)
+        for k in range(0, len(at), 4096):
+            part = at[k : k + 4096]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), *(pa.array(about[part, c]) for c in range(SINGLES))], ["key", *names])
+
+    made = encoded.select("ids").mapInArrow(sums, "key long, " + ", ".join(f"{c} float" for c in names))
+    about = np.zeros((VOCABULARY, SINGLES), dtype=np.float32)
+    table = made.groupBy("key").agg(*(F.sum(c).cast("float").alias(c) for c in names)).toArrow()  # at most the vocabulary
+    for k, c in enumerate(names):
+        about[table["key"].to_numpy(), k] = table[c].to_numpy()
+    return counts, about
+
+
+def _trained(model: Model, encoded: DataFrame, rounds: int = ROUNDS) -> Model:
+    """The model after its attention has gone through all documents, in rounds of which each averages what the tasks have learnt."""
+    names = sorted(model.attention.p)
+    for number in range(rounds):
+        shared = encoded.sparkSession.sparkContext.broadcast(model)
+        rate = RATE * (1 - 0.8 * number / rounds)
+
+        def learn(batches: Iterator[pa.RecordBatch], shared=shared, rate=rate, number=number) -> Iterator[pa.RecordBatch]:
+            model, r, seen, rows = shared.value, np.random.default_rng(number), 0, []
+            own = Attention({n: v.copy() for n, v in model.attention.p.items()})
+            adam = Adam(own)
+
+            def take() -> None:
+                u, c, w = (np.stack(x) for x in zip(*rows, strict=True))
+                order = r.permutation(len(u))
+                for at in range(0, len(order), BATCH):
+                    i = order[at : at + BATCH]
+                    adam.step(u[i], c[i], w[i], rate * min(1.0, (adam.steps + 1) / 10))
+
+            for ids in _ids_of(batches):
+                for row in model.windows(ids):
+                    rows.append(row)
+                    if len(rows) == SHUFFLED:
+                        take()
+                        seen += len(rows)
+                        rows.clear()
+            if rows:
+                take()
+                seen += len(rows)
+            if seen:
+                flat = np.concatenate([own.p[n].ravel() for n in names]).astype(np.float64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat)), pa.int32()), pa.array(flat * seen), pa.array(np.full(len(flat), float(seen)))], ["place", "total", "n"])
+
+        made = encoded.where(F.col("round") == number).select("ids").mapInArrow(learn, "place int, total double, n double")
+        table = made.groupBy("place").agg((F.sum("total") / F.sum("n")).alias("w")).toArrow()  # as many as the weights
+        shared.unpersist()
+        if not table.num_rows:
+            continue
+        flat = np.zeros(table.num_rows, dtype=np.float32)
+        flat[table["place"].to_numpy()] = table["w"].to_numpy()
+        sizes = np.cumsum([model.attention.p[n].size for n in names])
+        parts = np.split(flat, sizes[:-1])
+        model = replace(model, attention=Attention({n: x.reshape(model.attention.p[n].shape) for n, x in zip(names, parts, strict=True)}))
+    return model
 
 
 @dataclass
@@ -127,6 +239,15 @@ class Model:
         """The unit before each id; the last unit stands before the first id."""
         return np.concatenate([[len(self.attention.p["e"]) - 1], self.unit_of[ids[:-1]]])
 
+    def windows(self, ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Units, classes and weights of each window of a text, for training."""
+        before, classes = self.inputs(ids), self.class_of[ids]
+        for at, skip in windows(len(ids)):
+            u, c, w = np.zeros(WINDOW, np.int64), np.zeros(WINDOW, np.int64), np.zeros(WINDOW, np.float32)
+            n = min(WINDOW, len(ids) - at)
+            u[:n], c[:n], w[skip:n] = before[at : at + n], classes[at : at + n], 1
+            yield u, c, w
+
     def log10(self, texts: list[np.ndarray]) -> np.ndarray:
         """log10 of the probability of each sequence of ids."""
         lengths = np.array([len(t) for t in texts])
@@ -148,21 +269,13 @@ class Model:
         return total
 
 
-def _classes(counts: np.ndarray, sample: list[np.ndarray], spaced: np.ndarray, seed: int = 3) -> np.ndarray:
+def _classes(counts: np.ndarray, usage: tuple[np.ndarray, np.ndarray], spaced: np.ndarray, seed: int = 3) -> np.ndarray:
     """The end and frequent ids alone; the others by the frequent ids that their documents hold (which tells languages apart), apart by whether they begin a word."""
     order = _order(counts)
     class_of = np.full(len(counts), SINGLES, dtype=np.int64)
     class_of[order[:SINGLES]] = np.arange(SINGLES)
-    rank = np.full(len(counts), -1)
-    rank[order[:SINGLES]] = np.arange(SINGLES)
-    seen, about = np.zeros(len(counts)), np.zeros((len(counts), SINGLES), dtype=np.float32)
-    for ids in sample:
-        used = rank[ids]
-        usage = np.bincount(used[used >= 0], minlength=SINGLES) / max(1, len(ids))
-        at, n = np.unique(ids, return_counts=True)
-        seen[at] += n
-        about[at] += n[:, None] * usage.astype(np.float32)
-    about /= np.maximum(seen, 1)[:, None]
+    seen, about = usage
+    about = about / np.maximum(seen, 1)[:, None]
     if (seen > 0).any():
         about[seen == 0] = about[seen > 0].mean(0)
     r, half = np.random.default_rng(seed), GROUPS // 2
@@ -191,29 +304,22 @@ def _order(counts: np.ndarray) -> np.ndarray:
     return np.lexsort((np.arange(len(counts)), -first))
 
 
-def fit(texts: list[str | None], counts: np.ndarray, path: str, most_windows: int = SAMPLE_WINDOWS, epochs: int = EPOCHS) -> Model:
-    """Learns the attention from the texts; counts are those of all training documents' ids."""
+def fit(texts: list[str | None], counts: np.ndarray, path: str, most_windows: int = SAMPLE_WINDOWS, epochs: int = EPOCHS, usage: tuple[np.ndarray, np.ndarray] | None = None) -> Model:
+    """Learns the attention from the texts; counts are those of all training documents' ids, and so is usage (of the texts where left out)."""
     _, ranks = _vocabulary(path)
     spaced = np.zeros(VOCABULARY, dtype=np.float32)
     for token, rank in ranks.items():
         spaced[rank] = token.startswith(b" ")
     spaced[END_ID] = 1
     sample = [text_ids(t, path) for t in texts]
-    class_of = _classes(counts, sample, spaced)
+    class_of = _classes(counts, usage or _usage(iter(sample), counts), spaced)
     totals, sizes = np.bincount(class_of, counts, SINGLES + GROUPS), np.bincount(class_of, minlength=SINGLES + GROUPS)
     within = np.log10((counts + SMOOTH) / (totals + SMOOTH * sizes)[class_of])
     order = _order(counts)
     unit_of = OWN_UNITS + class_of
     unit_of[order[:OWN_UNITS]] = np.arange(OWN_UNITS)
     model = Model(path, class_of, unit_of, within, Attention.new(OWN_UNITS + SINGLES + GROUPS + 1, SINGLES + GROUPS))
-    rows = []
-    for ids in sample:
-        before, classes = model.inputs(ids), class_of[ids]
-        for at, skip in windows(len(ids)):
-            u, c, w = np.zeros(WINDOW, np.int64), np.zeros(WINDOW, np.int64), np.zeros(WINDOW, np.float32)
-            n = min(WINDOW, len(ids) - at)
-            u[:n], c[:n], w[skip:n] = before[at : at + n], classes[at : at + n], 1
-            rows.append((u, c, w))
+    rows = [row for ids in sample for row in model.windows(ids)]
     if rows:
         keep = np.random.default_rng(4).permutation(len(rows))[:most_windows]
         u, c, w = (np.stack([rows[i][k] for i in keep]) for k in range(3))
@@ -229,18 +335,17 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = clean_columns(docs, doc_id=id_col, text=text_col)
     held_out = F.coalesce(remainder(F.col("doc_id"), MODULUS) == HELD_OUT, F.lit(False))
     train = docs.where(~held_out)
-    counts = saved(_counts(train.select("text"), path).groupBy("kind", "key").agg(F.sum("n").alias("n")), "lm-counts")
-    words = counts.where("kind = 0").select("key", "n")
+    words = saved(_word_counts(train.select("text")), "lm-counts")
+    encoded = saved(_encoded(train.select("text"), path), "lm-ids")
     size = words.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     train_tokens, distinct = size.n or 0, size.v
-    id_counts = np.zeros(VOCABULARY)
-    for r in counts.where("kind = 1").collect():  # at most the vocabulary
-        id_counts[r.key] = r.n
+    id_counts = _id_counts(encoded)
     frequent = words.orderBy(F.desc("n"), "key").limit(head).collect()  # at most head
     frequent.sort(key=lambda r: r.key)
     keys, numbers = np.array([r.key for r in frequent], dtype=np.int64), np.array([r.n for r in frequent], dtype=np.int64)
     chosen = train.where("text is not null").orderBy(F.xxhash64("text"), "doc_id").limit(sample_docs)
-    model = fit([r.text for r in chosen.select("text").collect()], id_counts, path)
+    start = fit([r.text for r in chosen.select("text").collect()], id_counts, path, usage=_whole_usage(encoded, id_counts))
+    model = _trained(start, encoded)
     shared = docs.sparkSession.sparkContext.broadcast((model, keys, np.log10(numbers + SMOOTH)))
 
     kinds = f"row long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, key long, n long, base double, score double"

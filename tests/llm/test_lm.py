@@ -107,3 +107,14 @@ def test_training_lowers_the_loss():
     before = np.concatenate([np.full((300, 1), 11), seq[:, :-1]], 1)
     start = model.gradients(before, seq, np.ones(seq.shape))[0]
     assert model.train(before, seq, np.ones(seq.shape, np.float32), epochs=12) < 0.45 * start
+
+
+def test_attention_learns_from_documents_outside_the_sample(spark):
+    """With no text sampled, only going through all documents can teach the order of words."""
+    r = random.Random(7)
+    cycle = [f"{a}{b}" for a in ("red", "old", "sea") for b in ("house", "stone", "river", "cloud")]
+    texts = [" ".join(cycle[(s + k) % len(cycle)] for k in range(100)) for s in (r.randrange(len(cycle)) for _ in range(1500))]
+    got = L.score_documents(spark.createDataFrame(list(enumerate(texts)), SCHEMA).repartition(4), sample_docs=0).where("held_out").collect()
+    start = L.fit([], sum(np.bincount(L.text_ids(t, L.default_path()), minlength=L.VOCABULARY) for i, t in enumerate(texts) if not held(i)).astype(float), L.default_path())
+    of_start = start.log10([L.text_ids(texts[x.doc_id], L.default_path()) for x in got])
+    assert np.mean([x.score for x in got]) > 0.6 * np.mean(of_start)
