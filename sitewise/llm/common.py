@@ -56,6 +56,14 @@ def normal_space(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, " ")
 
 
+def distinct_sample(df: DataFrame, column: str, limit: int) -> list[str]:
+    """At most limit distinct texts of a column, those with the least hashes: a group of copies is one text. Only hashes are shuffled before the choice."""
+    hashed = df.where(F.col(column).isNotNull()).select(F.xxhash64(column).alias("h"), F.col(column).alias("text"))
+    chosen = saved(hashed.select("h").distinct().orderBy("h").limit(limit), "sample")
+    texts = hashed.join(F.broadcast(chosen), "h", "left_semi").groupBy("h").agg(F.min("text").alias("text"))
+    return [r.text for r in texts.orderBy("h").collect()]  # at most limit
+
+
 def key_bitmap(keys: DataFrame, slot: Column) -> DataFrame:
     """One row for each 2**15 slots that occur in keys: at most 512 rows of 4 KB, a proven bound for a broadcast."""
     slot = F.pmod(slot, F.lit(1 << BITMAP_BITS))

@@ -28,9 +28,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitewise.llm.boosting import Boosted, boost
-from sitewise.llm.common import clean_columns
+from sitewise.llm.common import clean_columns, distinct_sample
 
-#: At most so many pages are learnt from: those with the least hashes of their text.
+#: At most so many distinct pages are learnt from: those with the least hashes of their text.
 SAMPLE_PAGES = 150
 
 #: Element names by what they mean for reading a page.
@@ -371,8 +371,7 @@ def extract_batch(pages: list[str | None], model: Boosted) -> list[str]:
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", sample: int = SAMPLE_PAGES, batch: int = 64) -> DataFrame:
     """page_id, url, text and n_chars for each row."""
     named = clean_columns(pages, page_id=id_col, url=url_col, html=html_col)
-    chosen = named.where("html is not null and html <> ''").select("html", F.xxhash64("html").alias("h")).orderBy("h").limit(sample)
-    model = fit([r.html for r in chosen.collect()])  # at most sample pages
+    model = fit(distinct_sample(named.where("html <> ''"), "html", sample))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

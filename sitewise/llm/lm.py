@@ -7,7 +7,7 @@ has a probability, and those of all continuations sum to one.
 
 What covers what. Everything is learnt from all training documents: the counts of words and of ids, the grouping of ids into
 classes and the attention's weights. Spark aggregates the counts and the grouping's sums, as many as the vocabulary has. The weights begin
-from a fit in the driver to at most SAMPLE_DOCS texts; then all documents are dealt to ROUNDS rounds. In a round each task
+from a fit in the driver to at most SAMPLE_DOCS distinct texts; then all documents are dealt to ROUNDS rounds. In a round each task
 goes by gradient descent through the windows of its own documents, from the same weights, and the next round begins from
 the tasks' weights averaged by their numbers of windows. So each training document is gone through once, and weights depend
 a little on how rows are dealt to tasks.
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitewise.llm.attention import OVERLAP, WINDOW, Adam, Attention, windows
-from sitewise.llm.common import clean_columns, saved, slices
+from sitewise.llm.common import clean_columns, distinct_sample, saved, slices
 from sitewise.llm.labelled import remainder
 from sitewise.llm.shingles import word_hashes
 
@@ -343,8 +343,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     frequent = words.orderBy(F.desc("n"), "key").limit(head).collect()  # at most head
     frequent.sort(key=lambda r: r.key)
     keys, numbers = np.array([r.key for r in frequent], dtype=np.int64), np.array([r.n for r in frequent], dtype=np.int64)
-    chosen = train.where("text is not null").orderBy(F.xxhash64("text"), "doc_id").limit(sample_docs)
-    start = fit([r.text for r in chosen.select("text").collect()], id_counts, path, usage=_whole_usage(encoded, id_counts))
+    start = fit(distinct_sample(train, "text", sample_docs), id_counts, path, usage=_whole_usage(encoded, id_counts))
     model = _trained(start, encoded)
     shared = docs.sparkSession.sparkContext.broadcast((model, keys, np.log10(numbers + SMOOTH)))
 

@@ -92,3 +92,11 @@ def test_boosting_learns_an_interaction():
     y = ((x[:, 0] > 0) ^ (x[:, 3] > 0.5)).astype(float)
     model = boost(x[:1500], y[:1500])
     assert ((model.predict(x[1500:]) > 0.5) == y[1500:]).mean() > 0.95
+
+
+def test_copies_of_a_page_are_one_page_of_the_sample(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(H, "fit", lambda pages: seen.extend(pages))
+    rows = [(i, "u", f"<p>{i // 100}</p>") for i in range(1000)] + [(1001, "u", None), (1002, "u", "")]
+    H.main_text(spark.createDataFrame(rows, SCHEMA), sample=5)
+    assert len(seen) == len(set(seen)) == 5 and "" not in seen

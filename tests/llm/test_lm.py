@@ -118,3 +118,12 @@ def test_attention_learns_from_documents_outside_the_sample(spark):
     start = L.fit([], sum(np.bincount(L.text_ids(t, L.default_path()), minlength=L.VOCABULARY) for i, t in enumerate(texts) if not held(i)).astype(float), L.default_path())
     of_start = start.log10([L.text_ids(texts[x.doc_id], L.default_path()) for x in got])
     assert np.mean([x.score for x in got]) > 0.6 * np.mean(of_start)
+
+
+def test_sample_takes_each_text_once(spark, monkeypatch):
+    seen = []
+    fit = L.fit
+    monkeypatch.setattr(L, "fit", lambda texts, *a, **k: seen.extend(texts) or fit(texts, *a, **k))
+    rows = [(i, f"copied text {i // 100}") for i in range(1000)]
+    L.score_documents(spark.createDataFrame(rows, SCHEMA), sample_docs=5)
+    assert len(seen) == len(set(seen)) == 5
