@@ -74,14 +74,15 @@ def snps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def allelic_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reads by order and line; rows that repeat a line are one read."""
-    return alignments_with_id(spark, sf_dir).groupBy("read_id", "chrom", "start_pos", "end_pos", "seq").agg(F.count(F.lit(1)).alias("copies")).drop("copies")
+    return alignments_with_id(spark, sf_dir).groupBy("read_id", "chrom", "start_pos", "end_pos", "reverse_strand", "seq").agg(F.count(F.lit(1)).alias("copies")).drop("copies")
 
 
 def alignments_with_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     return lines.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("read_id"), F.concat(F.lit("chr"), (F.col("l_suppkey") % 21).cast("string")).alias("chrom"),
-        F.col("l_orderkey").alias("start_pos"), (F.col("l_orderkey") + F.col("l_quantity").cast("bigint")).alias("end_pos"), bases(F.col("l_partkey") % 16).alias("seq"),
+        F.col("l_orderkey").alias("start_pos"), (F.col("l_orderkey") + F.col("l_quantity").cast("bigint")).alias("end_pos"),
+        (F.col("l_linenumber") % 2 == 0).alias("reverse_strand"), bases(F.col("l_partkey") % 16).alias("seq"),
     )
 
 

@@ -229,7 +229,7 @@ def library_discovery(spark, d):
 
 def _overlaps(spark, d) -> DataFrame:
     found = L.snp_overlap(X.allelic_reads(spark, d), X.snps(spark, d))
-    return found.withColumn("base", F.substring("seq", (1 + (F.col("snp_pos") - F.col("start_pos")) % 8).cast("int"), F.lit(1))).drop("seq")
+    return found.withColumn("base", F.substring("seq", (1 + (F.col("snp_pos") - F.col("start_pos")) % 8).cast("int"), F.lit(1))).drop("seq", "reverse_strand")
 
 
 @query("SELECT * FROM ov", "ov")
@@ -237,14 +237,19 @@ def snp_overlap(spark, d):
     return _overlaps(spark, d)
 
 
+def _classes(spark, d) -> DataFrame:
+    """All reads, also those that cover no variant."""
+    return L.allele_class(_overlaps(spark, d), reads=X.allelic_reads(spark, d))
+
+
 @query("SELECT * FROM cls", "cls")
 def allele_class(spark, d):
-    return L.allele_class(_overlaps(spark, d))
+    return _classes(spark, d)
 
 
 def _genome_reads(spark, d) -> DataFrame:
     """Reads of genome1 and genome2, and both again as genome12."""
-    reads = X.allelic_reads(spark, d).join(L.allele_class(_overlaps(spark, d)).select("read_id", "class"), "read_id")
+    reads = X.allelic_reads(spark, d).join(L.allele_class(_overlaps(spark, d)).select("read_id", "class"), "read_id")  # of the genomes, all cover a variant
     one, two = reads.where("class = 'genome1'"), reads.where("class = 'genome2'")
     return L.genome_union(g1=one, g2=two, m=one.unionByName(two))
 
@@ -273,12 +278,14 @@ def genome_union_sites(spark, d):
       count(DISTINCT (chrom, start_pos, seq)) FILTER (genome = 'm') AS m_uniq FROM (WITH {_R} SELECT * FROM {_GENOMES}))""", "rd", "cls",
 )
 def allelic_summary(spark, d):
-    """Counters of one library from classes and genomes; each read's start stands for its site."""
+    """Counters of one library from classes and genomes; each genome's reads go to their nearest site within the distance limit before they are counted."""
     library, none = F.lit(0).alias("library_id"), F.lit("").alias("genome")
-    classes = L.allele_class(_overlaps(spark, d))
+    classes = _classes(spark, d)
     names = {"mapped": F.lit(True), "unassigned": F.col("class") == "unassignable", "genome1": F.col("class") == "genome1", "genome2": F.col("class") == "genome2", "weird": F.col("weird"), "conflict": F.col("class") == "conflict"}
     whole = classes.agg(*(F.count_if(x).alias(c) for c, x in names.items()))
-    each = _genome_reads(spark, d).groupBy("genome", "chrom", "start_pos", "seq").agg(F.count(F.lit(1)).alias("n"))
+    placed = A.with_site_position(_genome_reads(spark, d)).select("genome", "chrom", "pos", "seq")
+    sited = S.within_distance(S.nearest_site(placed, X.cut_sites(spark, d)))
+    each = sited.groupBy("genome", "chrom", "rs_pos", "seq").agg(F.count(F.lit(1)).alias("n"))
     tails = each.groupBy("genome").agg(F.sum("n").alias("from_cs"), F.count(F.lit(1)).alias("uniq"))
     long = whole.select(library, none, "*").unpivot(["library_id", "genome"], list(names), "metric", "value")
     return M.allelic_summary(long.unionByName(tails.select(library, "*").unpivot(["library_id", "genome"], ["from_cs", "uniq"], "metric", "value")))

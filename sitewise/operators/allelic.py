@@ -23,12 +23,17 @@ def snp_overlap(reads: DataFrame, snps: DataFrame, bucket: int = BUCKET) -> Data
     return found.where("snp_pos >= start_pos and snp_pos < end_pos").drop("bucket")
 
 
-def allele_class(overlaps: DataFrame, base: str = "base", read: str = "read_id") -> DataFrame:
-    """A class for each read: genome1, genome2, conflict or unassignable; weird says that some base was neither allele."""
+def allele_class(overlaps: DataFrame, base: str = "base", read: str = "read_id", reads: DataFrame | None = None) -> DataFrame:
+    """A class for each read: genome1, genome2, conflict or unassignable; weird says that some base was neither allele.
+
+    reads are all reads, of which those that cover no variant are unassignable; without them only reads with overlaps are classed.
+    """
     counts = overlaps.groupBy(read).agg(
         F.count_if(F.col(base) == F.col("ref")).alias("n_ref"), F.count_if(F.col(base) == F.col("alt")).alias("n_alt"),
         F.count_if((F.col(base) != F.col("ref")) & (F.col(base) != F.col("alt"))).alias("n_other"),
     )
+    if reads is not None:
+        counts = reads.select(read).distinct().join(counts, read, "left").na.fill(0, ["n_ref", "n_alt", "n_other"])
     kind = (
         F.when((F.col("n_ref") > 0) & (F.col("n_alt") > 0), "conflict")
         .when(F.col("n_ref") > 0, "genome1")

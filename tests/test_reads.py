@@ -101,3 +101,32 @@ def test_allelic_summary_ratios(spark):
     rows = [("L", "", "mapped", 100), ("L", "", "genome1", 40), ("L", "", "genome2", 10), ("L", "g1", "from_cs", 20), ("L", "g1", "uniq", 10), ("L", "m", "uniq", 25)]
     r = M.allelic_summary(spark.createDataFrame(rows, "library_id string, genome string, metric string, value long")).first()
     assert (r.genome1_share, r.g1_from_cs_share, r.g1_uniq_share, r.g1_out_share, r.m_out_share, r.g2_out_share) == (0.4, 0.5, 0.5, 0.25, 0.5, None)
+
+
+def test_reads_without_a_variant_are_unassignable(spark):
+    over = spark.createDataFrame([("a", "A", "C", "A")], "read_id string, ref string, alt string, base string")
+    got = L.allele_class(over, reads=spark.createDataFrame([("a",), ("b",)], "read_id string")).collect()
+    assert {(r.read_id, r["class"], r.weird, r.n_ref) for r in got} == {("a", "genome1", False, 1), ("b", "unassignable", False, 0)}
+
+
+def test_allelic_summary_counts_all_reads_and_sites(spark, sf_dir):
+    from sitewise.jobs import fixtures as X
+    from sitewise.jobs import queries as Q
+
+    r = Q.allelic_summary(spark, sf_dir).first()
+    reads = {x.read_id: x for x in X.allelic_reads(spark, sf_dir).collect()}
+    sites = {}
+    for x in X.cut_sites(spark, sf_dir).collect():
+        sites.setdefault(x.chrom, []).append(x.start)
+    kinds = {x.read_id: x["class"] for x in Q.allele_class(spark, sf_dir).collect()}
+    assert r.mapped == len(reads) == len(kinds) == r.unassigned + r.genome1 + r.genome2 + r.conflict
+    n, distinct = 0, set()
+    for i, kind in kinds.items():
+        x = reads[i]
+        at = x.end_pos if x.reverse_strand else x.start_pos - 4
+        if kind == "genome1" and x.chrom in sites:
+            near = min(sites[x.chrom], key=lambda s: (abs(at - s), s))
+            if abs(at - near) <= 20:
+                n += 1
+                distinct.add((x.chrom, near, x.seq))
+    assert (r.g1_from_cs, r.g1_uniq) == (n, len(distinct)) and n > 0
