@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -17,12 +18,16 @@ WORD = rb"[^\x20\x09-\x0D]+"
 #: A key bitmap has 2**BITMAP_BITS bits in pieces of 2**15: 512 rows of 4 KB, however many keys it holds.
 BITMAP_BITS = 24
 _PIECE_BITS = 15
+#: Leading bits of hashes that are counted at a time.
+_SLOT_BITS = 16
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder that the driver and all executors share: spark.checkpoint.dir. Where it is unset, a folder of our own in local mode, and an error on a cluster."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -56,11 +61,35 @@ def normal_space(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, " ")
 
 
+def least_hashes(df: DataFrame, hashed: str, limit: int) -> Column:
+    """A condition that at most limit rows of df meet, those with the least values of the column hashed, 64-bit hashes.
+
+    Only counts of hashes by their leading bits are gathered: 2**_SLOT_BITS numbers at a time, whatever the input. Where the rows of one slot
+    are too many, its next bits are counted. Rows of equal hashes are taken or left together.
+    """
+    taken, shift, chosen = 0, 64 - _SLOT_BITS, F.lit(False)
+    here = F.lit(True)
+    while shift >= 0:
+        slot = F.shiftrightunsigned(hashed, shift).bitwiseAND(F.lit((1 << _SLOT_BITS) - 1))
+        counts = sorted(tuple(r) for r in df.where(here).groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n")).collect())
+        for k, n in counts:
+            if taken + n > limit:
+                chosen, here = chosen | (here & (slot < k)), here & (slot == k)
+                break
+            taken += n
+        else:
+            return chosen | here
+        if taken >= limit * 0.9:
+            break
+        shift -= _SLOT_BITS
+    return chosen
+
+
 def distinct_sample(df: DataFrame, column: str, limit: int) -> list[str]:
-    """At most limit distinct texts of a column, those with the least hashes: a group of copies is one text. Only hashes are shuffled before the choice."""
+    """At most limit distinct texts of a column, those with the least hashes: a group of copies is one text. No text is moved before the choice."""
     hashed = df.where(F.col(column).isNotNull()).select(F.xxhash64(column).alias("h"), F.col(column).alias("text"))
-    chosen = saved(hashed.select("h").distinct().orderBy("h").limit(limit), "sample")
-    texts = hashed.join(F.broadcast(chosen), "h", "left_semi").groupBy("h").agg(F.min("text").alias("text"))
+    chosen = least_hashes(saved(hashed.select("h").distinct(), "sample"), "h", limit)
+    texts = hashed.where(chosen).groupBy("h").agg(F.min("text").alias("text"))
     return [r.text for r in texts.orderBy("h").collect()]  # at most limit
 
 
