@@ -6,19 +6,24 @@ by Spark, gives every document a posterior for each domain from its telling word
 the expected tokens of each domain, the sum of rate x tokens x posterior, are to match the targets, while a small
 weight keeps rates near 1.
 
-A step of the gradient needs sums over all documents, one for each domain: an aggregation whose result is three numbers.
-A document's rate is a function of its own posterior and the few numbers of each step so far, so each step is one pass over
-a narrow table, in which rates are written every KEEP steps. The classifier and the steps are small constants, so
-rates are applied to full rows without a join.
+A document's rate is a function of its posterior. So Spark sums tokens and tokens x posterior, as they are, over cells of a grid of
+posteriors (GRID steps to a side, at most 1,326 cells, whatever the input), and the documents of a cell share a rate: expected totals are
+exact, only rates have the grid's steps. The gradient has three numbers, one for each domain; rates are a step along it from the usual
+rate of one, projected to rates of at least the floor. Each iteration is one aggregation of the cells: the gaps that projected rates leave, and
+the curvature of the cells that are free to move, which says how far to go next; of several lengths the best is taken. It ends at the
+optimum. Where that leaves a gap, the targets can't be met with these posteriors, and Fit tells how much is left.
+
+Texts are read once: what the posteriors come from goes no further than the table of members that is written.
 
 Null texts are empty: no tokens, a rate like other documents of their posterior. Repeated rows have equal rates; a null id has its rate.
 Labels other than 0 and 1, and rows without an id, are left out; of several labels of an id, the largest count. Without
-labels every document is clean. An empty table gives an empty result. Columns of docs that have the names
-of results are replaced.
+labels every document is clean. An empty table gives an empty result. Extra columns of docs are ignored by rates() and
+kept by mixed(), whatever their names.
 """
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass, field
 from math import log
 
@@ -26,29 +31,30 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitewise.llm.common import clean_columns, saved
+from sitewise.llm.common import clean_columns, least_hashes, saved
 
 DOMAINS = ("clean", "low", "toxic")
 TARGETS = {"clean": 0.90, "low": 0.08, "toxic": 0.02}
 #: At most so many labelled documents are counted, and so many telling words kept.
 MAX_LABELLED, MAX_WORDS = 12_000, 512
-#: Steps of the gradient at most, how near to the targets is near enough, and the weight that keeps rates near 1.
-STEPS, NEAR, RIDGE = 40, 1e-3, 1e-4
-#: Steps after which the rates so far are written, so that a pass never takes more than so many.
-KEEP = 8
-#: (name, count, most, bins): shares of characters or words, in bins of equal width up to most.
+#: Steps of the grid of posteriors, how near to the targets is near enough, and the weight that keeps rates near 1.
+GRID, NEAR, RIDGE = 50, 1e-3, 1e-4
+#: Fractions of a step that are tried at once.
+_FRACTIONS = (1.0, 0.5, 0.2, 0.05, 0.01, 1e-3)
+#: (name, pattern that is counted, most, bins): shares of characters, in bins of equal width up to most.
 _SHAPES = (("upper", "[A-Z]", 0.4, 8), ("symbol", r"[!#$%&*|]", 0.2, 8))
 _REPEAT_BINS = 8
-_BINNED = ("upper", "symbol", "repeat")
+#: Bins of each shape: one below the first and one above the last.
+_BINNED = {"upper": 10, "symbol": 10, "repeat": _REPEAT_BINS + 2}
 
 
-def _shaped(docs: DataFrame, text_col: str) -> DataFrame:
+def _shaped(docs: DataFrame) -> DataFrame:
     """Adds n_tokens and what the classifier sees of a text: mix_words, and its shape in bins.
 
     Each step's columns are read more than once by the next, which keeps the steps apart: higher-order functions aren't
     recognised as common parts of one expression and would be worked out for each use.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    text = F.coalesce(F.col("text"), F.lit(""))
     shares = {f"mix_{name}": F.regexp_count(text, F.lit(pattern)) / F.greatest(F.length(text), F.lit(1)) for name, pattern, _, _ in _SHAPES}
     out = docs.withColumns({
         "mix_all": F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "n_tokens": (F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+"))).cast("long"), **shares,
@@ -58,174 +64,207 @@ def _shaped(docs: DataFrame, text_col: str) -> DataFrame:
     return out.withColumn("mix_repeat", F.width_bucket(repeated, F.lit(0.0), F.lit(1.0), F.lit(_REPEAT_BINS)).cast("int")).drop("mix_all")
 
 
-def _doubles(values) -> str:
-    return "array(" + ", ".join(f"{float(v)!r}D" for v in values) + ")"
+def _doubles(values) -> Column:
+    """An array of numbers from one string, which the optimiser turns into one constant: plans stay small."""
+    return F.split(F.lit(",".join(repr(float(v)) for v in values)), ",").cast("array<double>")
 
 
 @dataclass
 class Membership:
-    """Counts of the labelled sample as logarithms: of domains, of shape bins, and of telling words."""
-
-    prior: dict[str, float] = field(default_factory=lambda: {"clean": 0.0, "low": -20.0, "toxic": -20.0})
-    bins: dict[tuple[str, int], dict[str, float]] = field(default_factory=dict)
-    words: dict[str, dict[str, float]] = field(default_factory=dict)
-
-    def with_posterior(self, docs: DataFrame, text_col: str) -> DataFrame:
-        """Adds n_tokens and posterior, an array in the order of DOMAINS."""
-        names = sorted(self.words)
-        out = _shaped(docs, text_col)
-        known = "array(" + ", ".join(f"'{w}'" for w in names) + ")" if names else "cast(array() as array<string>)"  # letters and digits only
-        # for each telling word that occurs, its place among the names; then a logarithm for each domain
-        out = out.withColumn("mix_hits", F.transform(F.array_intersect("mix_words", F.expr(known)), lambda w: F.array_position(F.expr(known), w).cast("int")))
+    """Logarithms from the labelled sample's counts: of domains, of shape bins by domain, and of telling words by domain."""
+
+    prior: list[float] = field(default_factory=lambda: [0.0, -20.0, -20.0])
+    bins: dict[str, list[list[float]]] = field(default_factory=dict)
+    words: list[str] = field(default_factory=list)
+    logs: list[list[float]] = field(default_factory=list)
+
+    def with_posterior(self, docs: DataFrame) -> DataFrame:
+        """docs (with a column text) with n_tokens and posterior, an array in the order of DOMAINS, in the text's place."""
+        out = _shaped(docs)
+        if self.words:
+            known = F.split(F.lit(" ".join(self.words)), " ")  # of letters and digits only
+            out = out.withColumn("mix_hits", F.transform(F.array_intersect("mix_words", known), lambda w: F.array_position(known, w).cast("int")))
         logs = []
-        for d in DOMAINS:
-            total = F.lit(self.prior[d])
-            for s in _BINNED:
-                pick = F.lit(min((v[d] for (name, _), v in self.bins.items() if name == s), default=0.0))
-                for (name, b), v in sorted(self.bins.items()):
-                    if name == s:
-                        pick = F.when(F.col(f"mix_{s}") == b, F.lit(v[d])).otherwise(pick)
-                total = total + pick
-            if names:
-                total = total + _summed(F.transform("mix_hits", _element_of(F.expr(_doubles(self.words[w][d] for w in names)))))
+        for k in range(len(DOMAINS)):
+            total = F.lit(self.prior[k])
+            for s, by_domain in self.bins.items():
+                total = total + F.element_at(_doubles(by_domain[k]), F.col(f"mix_{s}") + 1)
+            if self.words:
+                total = total + F.aggregate("mix_hits", F.lit(0.0), _adding(_doubles(self.logs[k])))
             logs.append(total)
         out = out.withColumn("mix_logs", F.array(*logs))
         out = out.withColumn("mix_most", F.array_max("mix_logs"))
-        out = out.withColumn("mix_odds", F.array(*(F.exp(F.greatest(F.get("mix_logs", F.lit(k)) - F.col("mix_most"), F.lit(-60.0))) for k in range(len(DOMAINS)))))
-        out = out.withColumn("mix_total", _summed(F.col("mix_odds")))
+        out = out.withColumn("mix_odds", F.transform("mix_logs", lambda x: F.exp(F.greatest(x - F.col("mix_most"), F.lit(-60.0)))))
+        total = sum((F.get("mix_odds", F.lit(k)) for k in range(1, len(DOMAINS))), F.get("mix_odds", F.lit(0)))
+        out = out.withColumn("mix_total", total)
         out = out.withColumn("posterior", F.array(*(F.get("mix_odds", F.lit(k)) / F.col("mix_total") for k in range(len(DOMAINS)))))
-        return out.drop(*(c for c in out.columns if c.startswith("mix_")))
-
-
-def _summed(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda t, x: t + x)
+        return out.drop("text", *(c for c in out.columns if c.startswith("mix_")))
 
 
-def _element_of(values: Column):
-    return lambda place: F.element_at(values, place)
+def _adding(values: Column):
+    return lambda total, place: total + F.element_at(values, place)
 
 
 def fit_membership(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED, most_words: int = MAX_WORDS) -> Membership:
-    """Counts the labelled documents: those with the least hashes of their ids, at most limit."""
+    """Counts the labelled documents: those with the least hashes of their ids, at most limit. docs has doc_id and text."""
     marked = clean_columns(labels, doc_id="doc_id", quality="quality", toxic="toxic").where("doc_id is not null and (quality in (0, 1) or toxic in (0, 1))")
     marked = marked.groupBy("doc_id").agg(F.max(F.when(F.col("quality").isin(0, 1), F.col("quality"))).alias("quality"), F.max(F.when(F.col("toxic").isin(0, 1), F.col("toxic"))).alias("toxic"))
     domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "low").otherwise("clean")
-    marked = marked.select("doc_id", domain.alias("domain")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    marked = saved(marked.select("doc_id", domain.alias("domain"), F.xxhash64("doc_id").alias("h")), "mix-marks")
+    marked = marked.where(least_hashes(marked, "h", limit)).drop("h")
     texts = clean_columns(docs, doc_id="doc_id", text="text").join(F.broadcast(marked), "doc_id")  # at most limit rows
-    sample = saved(_shaped(texts, "text").drop("doc_id", "text"), "mix-sample")
+    sample = saved(_shaped(texts).drop("doc_id", "text"), "mix-sample")
 
     model = Membership()
     sizes = {r.domain: r["count"] for r in sample.groupBy("domain").count().collect()}
     if not sizes:
         return model
     n = sum(sizes.values())
-    model.prior = {d: log((sizes.get(d, 0) + 0.5) / (n + 1.5)) for d in DOMAINS}
+    model.prior = [log((sizes.get(d, 0) + 0.5) / (n + 1.5)) for d in DOMAINS]
+    model.bins = {s: [[log(1 / (sizes.get(d, 0) + 10))] * bins for d in DOMAINS] for s, bins in _BINNED.items()}
     shapes = F.explode(F.array(*(F.struct(F.lit(s).alias("shape"), F.col(f"mix_{s}").alias("bin")) for s in _BINNED)))
     for r in sample.select("domain", shapes.alias("x")).groupBy("x.shape", "x.bin").pivot("domain", list(DOMAINS)).count().collect():
-        model.bins[(r["shape"], r["bin"])] = {d: log(((r[d] or 0) + 1) / (sizes.get(d, 0) + 10)) for d in DOMAINS}
+        for k, d in enumerate(DOMAINS):
+            model.bins[r["shape"]][k][r["bin"]] = log(((r[d] or 0) + 1) / (sizes.get(d, 0) + 10))
 
     each = sample.select("domain", F.explode("mix_words").alias("word")).where("word <> ''").groupBy("word").pivot("domain", list(DOMAINS)).count().na.fill(0)
     both = sum((F.col(d) for d in DOMAINS), F.lit(0))
-    z = [F.abs(F.col(d) - sizes.get(d, 0) / n * both) / F.sqrt(F.greatest(both * (sizes.get(d, 0) / n) * (1 - sizes.get(d, 0) / n), F.lit(1e-9))) for d in DOMAINS if 0 < sizes.get(d, 0) < n]
+    # words that are commoner than chance in a domain other than clean; that a word of clean texts is missing tells only that a text is short
+    z = [(F.col(d) - sizes.get(d, 0) / n * both) / F.sqrt(F.greatest(both * (sizes.get(d, 0) / n) * (1 - sizes.get(d, 0) / n), F.lit(1e-9))) for d in DOMAINS[1:] if 0 < sizes.get(d, 0) < n]
     if z:
         telling = each.where(both >= 4).withColumn("z", F.greatest(*z, F.lit(0.0))).where("z > 5").orderBy(F.desc("z"), "word").limit(most_words)
-        for r in telling.collect():
-            model.words[r.word] = {d: log((r[d] + 0.5) / (sizes.get(d, 0) + 1)) for d in DOMAINS}
+        found = sorted(telling.collect(), key=lambda r: r.word)
+        model.words = [r.word for r in found]
+        # a word that is missing tells something too: the prior takes all as missing, and a word that occurs makes up for it
+        for k, d in enumerate(DOMAINS):
+            p = [(r[d] + 0.5) / (sizes.get(d, 0) + 1) for r in found]
+            model.prior[k] += sum(log(1 - x) for x in p)
+            model.logs.append([log(x / (1 - x)) for x in p])
     return model
 
 
-def state_after(posterior: Column, steps: list[list[float]], floor: float, start: Column | None = None, ridge: float = RIDGE) -> Column:
-    """A document's rate, and where the next step starts from, after steps: each takes the gradient off and projects to rates of at least floor.
+def cell_of(posterior: Column) -> Column:
+    """The cell of the grid that holds a posterior."""
+    first, second = (F.round(F.get(posterior, F.lit(k)) * GRID).cast("int") for k in (0, 1))
+    return first * (GRID + 1) + second
 
-    A step starts ahead of the rate, where the last two lead, which is the usual acceleration; the last number of a step says how far.
-    """
-    one = F.lit(float(max(1.0, floor)))
-    start = F.struct(one.alias("rate"), one.alias("ahead")) if start is None else start
-    if not steps:
-        return start
-    dot = lambda s: sum((F.get(posterior, F.lit(k)) * F.get(s, F.lit(k)) for k in range(len(DOMAINS))), F.lit(0.0))
 
-    def step(at: Column, s: Column) -> Column:
-        y = at["ahead"]
-        rate = F.greatest(F.lit(float(floor)), y - dot(s) - F.lit(ridge) * (y - 1))
-        return F.struct(rate.alias("rate"), (rate + F.get(s, F.lit(len(DOMAINS))) * (rate - at["rate"])).alias("ahead"))
+def cells(members: DataFrame) -> DataFrame:
+    """For each cell of members (n_tokens, posterior, cell): its tokens t, and s, tokens x posterior, summed as they are."""
+    sums = (F.sum(F.col("n_tokens") * F.get("posterior", F.lit(k))) for k in range(len(DOMAINS)))
+    return members.groupBy("cell").agg(F.sum("n_tokens").alias("t"), F.array(*sums).alias("s"))
+
+
+@dataclass
+class Fit:
+    """The multipliers of the domains, the least rate, and what is left of each domain's gap as a share of the budget."""
+
+    multipliers: list[float]
+    floor: float
+    gaps: dict[str, float]
+
+    @property
+    def met(self) -> bool:
+        return max(map(abs, self.gaps.values()), default=0.0) <= NEAR
+
 
-    return F.aggregate(F.expr("array(" + ", ".join(map(_doubles, steps)) + ")"), start, step)
+def _mean(k: int) -> Column:
+    """A cell's mean posterior of domain k."""
+    return F.when(F.col("t") > 0, F.get("s", F.lit(k)) / F.col("t")).otherwise(0.0)
 
 
-def fit_steps(members: DataFrame, targets: dict[str, float] | None = None, floor: float = 0.0, steps: int = STEPS) -> list[list[float]]:
-    """The gradients (one number for each domain) of the steps, over members: n_tokens and posterior.
+def _raw(multipliers: list[Column], floor: float) -> Column:
+    """A step along the gradient from the usual rate; the floor is the projection's."""
+    return F.lit(float(max(1.0, floor))) - sum((_mean(k) * x for k, x in enumerate(multipliers)), F.lit(0.0))
 
-    The budget is the tokens there are; with a floor, the least at which no rate has to be below it. The squares are
-    weighed by the inverse of H, the tokens' mean outer product of posteriors, a matrix of the domains: domains that overlap
-    or are small are then fitted as fast as others, and steps of length one never overshoot.
+
+def fit_rates(table: DataFrame, targets: dict[str, float] | None = None, floor: float = 0.0, most: int = 100) -> Fit:
+    """Fits rates over cells (cell, t, s) to shares of the budget.
+
+    The budget is the tokens there are; with a floor, the least at which no rate has to be below it. Gaps are weighed by the inverse
+    of H, the tokens' mean outer product of posteriors: domains that overlap or are small then count like others. The number of steps has a limit only
+    as a guard; a fit that reaches it says so in its log.
     """
     targets = targets or TARGETS
-    share = [targets[d] / sum(targets.values()) for d in DOMAINS]
-    k = range(len(DOMAINS))
-    p = [F.get("posterior", F.lit(i)) for i in k]
-
-    def totals(table: DataFrame, *more: Column) -> list[float]:
-        row = table.agg(*(F.sum(F.col("at.ahead") * F.col("n_tokens") * p[i]).alias(f"s{i}") for i in k), *more).first()
-        return [x or 0.0 for x in row]
-
-    members = members.select("n_tokens", "posterior", state_after(F.col("posterior"), [], floor).alias("at"))
-    outer = [F.sum(F.col("n_tokens") * p[i] * p[j]).alias(f"h{i}{j}") for i in k for j in k]
-    have = [x / max(1.0, floor) if i < len(DOMAINS) else x for i, x in enumerate(totals(members, *outer))]
-    have, h = have[: len(DOMAINS)], np.array(have[len(DOMAINS) :]).reshape(len(DOMAINS), -1)
-    n = sum(have)
+    share = np.array([targets[d] for d in DOMAINS]) / sum(targets.values())
+    k, usual = range(len(DOMAINS)), max(1.0, floor)
+    s = [F.get("s", F.lit(i)) for i in k]
+    outer = [s[i] * _mean(j) for i in k for j in k]
+    first = table.agg(*(F.sum(x).alias(f"x{i}") for i, x in enumerate([*s, *outer]))).first()
+    first = np.array([x or 0.0 for x in first])
+    have, h = first[: len(DOMAINS)], first[len(DOMAINS) :].reshape(len(DOMAINS), -1)
+    n = have.sum()
     if not n:
-        return []
-    inverse = np.linalg.inv(h / n + 1e-6 * np.eye(len(DOMAINS)))
-    budget = max([n] + ([floor * x / s for x, s in zip(have, share, strict=True) if s > 0] if floor else []))
-    taken: list[list[float]] = []
-    since, t = 0, 1.0
-    for _ in range(steps):
-        # in a column of its own, which all sums read
-        now = totals(members.withColumn("at", state_after(F.col("posterior"), taken[since:], floor, F.col("at"))))
-        gaps = np.array([(x - budget * s) / n for x, s in zip(now, share, strict=True)])
-        if np.abs(gaps).max() < NEAR:
+        return Fit([0.0] * len(DOMAINS), floor, dict.fromkeys(DOMAINS, 0.0))
+    # in units of RIDGE, so that a multiplier is what it takes off a rate
+    soft = RIDGE * (h / n + 1e-6 * np.eye(len(DOMAINS)))
+    budget = max([n] + ([floor * x / y for x, y in zip(have, share, strict=True) if y > 0] if floor else []))
+
+    def at(ways: list[np.ndarray]) -> list[tuple[float, np.ndarray, np.ndarray, np.ndarray]]:
+        """For each choice of multipliers: the dual of the squares, its gradient, its curvature and the gaps."""
+        each = F.explode(F.array(*(F.struct(F.lit(i).alias("way"), *(F.lit(float(x)).alias(f"m{j}") for j, x in enumerate(w))) for i, w in enumerate(ways)))).alias("x")
+        rated = table.select("t", "s", each).select("t", "s", "x.*")
+        rated = rated.withColumn("raw", _raw([F.col(f"m{j}") for j in k], floor)).withColumn("rate", F.greatest("raw", F.lit(float(floor))))
+        off = sum((F.col(f"m{j}") * s[j] for j in k), F.lit(0.0))
+        free = F.when(F.col("raw") >= floor, 1.0).otherwise(0.0)
+        sums = [F.sum(F.col("t") * (F.col("rate") - usual) ** 2 / 2 + off * F.col("rate")), *(F.sum(F.col("rate") * x) for x in s), *(F.sum(free * x) for x in outer)]
+        rows = {r.way: np.array(r[1:]) / n for r in rated.groupBy("way").agg(*(c.alias(f"x{i}") for i, c in enumerate(sums))).collect()}
+        out = []
+        for i, w in enumerate(ways):
+            value, total, curve = rows[i][0], rows[i][1 : 1 + len(DOMAINS)], rows[i][1 + len(DOMAINS) :].reshape(len(DOMAINS), -1)
+            gaps = total - budget * share / n
+            out.append((float(value - w @ soft @ w / 2 - w @ (budget * share / n)), gaps - soft @ w, curve + soft, gaps))
+        return out
+
+    m, tried = np.zeros(len(DOMAINS)), 0
+    value, gradient, curve, gaps = at([m])[0]
+    while np.abs(gradient).max() > 1e-9 and tried < most:
+        way = np.linalg.solve(curve, gradient)
+        ways = [m + f * way for f in _FRACTIONS]
+        found = at(ways)
+        i = int(np.argmax([x[0] for x in found]))
+        tried += 1
+        if found[i][0] <= value + 1e-15 * abs(value):
             break
-        further = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        taken.append([*(inverse @ gaps).tolist(), (t - 1) / further])
-        t = further
-        if len(taken) - since == KEEP:
-            members = saved(members.withColumn("at", state_after(F.col("posterior"), taken[since:], floor, F.col("at"))), "mix-members")
-            since = len(taken)
-    return taken
-
-
-def with_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, floor: float = 0.0, id_col: str = "doc_id", text_col: str = "text", limit: int = MAX_LABELLED) -> DataFrame:
-    """docs with n_tokens, posterior, rate and copies: the rate rounded up or down by a hash of the row, so that copies sum to what rates say."""
-    model = fit_membership(docs, labels, limit)
-    members = saved(model.with_posterior(docs.select(text_col), text_col).select("n_tokens", "posterior"), "mix-members")
-    steps = fit_steps(members, targets, floor)
-    out = model.with_posterior(docs.drop("n_tokens", "posterior", "rate", "copies"), text_col).withColumn("chance", _chance(id_col, text_col))
-    return _with_copies(out, steps, floor).drop("chance")
+        m, (value, gradient, curve, gaps) = ways[i], found[i]
+    out = Fit(m.tolist(), floor, dict(zip(DOMAINS, (gaps * n / budget).tolist(), strict=True)))
+    if not out.met:
+        logging.getLogger(__name__).warning("targets are missed by %s of the budget after %d steps", out.gaps, tried)
+    return out
+
+
+def _rated(members: DataFrame, targets: dict[str, float] | None, floor: float) -> DataFrame:
+    """members (cell, posterior, n_tokens, chance and others) with rate and copies: the rate rounded up or down by the row's chance."""
+    table = saved(cells(members), "mix-cells")
+    fit = fit_rates(table, targets, floor)
+    by_cell = table.select("cell", F.greatest(F.lit(float(floor)), _raw([F.lit(x) for x in fit.multipliers], floor)).alias("rate"))  # no more rows than the grid has cells
+    out = members.join(F.broadcast(by_cell), "cell")
+    return out.withColumn("copies", (F.floor("rate") + (F.col("chance") < F.col("rate") - F.floor("rate")).cast("int")).cast("int"))
 
 
-def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, floor: float = 0.0) -> DataFrame:
-    """The rows of docs, each as often as its copies say, with their columns as they were."""
-    packed = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("doc_id"), F.col("text").alias("text"))
-    rated = with_rates(packed, labels, targets, floor).where("copies > 0")
-    return rated.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*")
+def _members(docs: DataFrame, labels: DataFrame, limit: int) -> DataFrame:
+    """docs (doc_id, text and others) with n_tokens, posterior, cell and chance in the text's place, written."""
+    # a number from 0 to below 1 from a row's id and text
+    chance = F.pmod(F.xxhash64("doc_id", "text", F.lit("mix")), F.lit(1 << 20)) / float(1 << 20)
+    out = fit_membership(docs, labels, limit).with_posterior(docs.withColumn("chance", chance))
+    return saved(out.withColumn("cell", cell_of(F.col("posterior"))), "mix-members")
 
 
-def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, floor: float = 0.0) -> DataFrame:
+def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, floor: float = 0.0, limit: int = MAX_LABELLED) -> DataFrame:
     """doc_id, n_tokens, a posterior for each domain, rate and copies for each row."""
-    named = clean_columns(docs, doc_id="doc_id", text="text")
-    members = fit_membership(named, labels).with_posterior(named, "text").withColumn("chance", _chance("doc_id", "text")).drop("text")
-    members = saved(members, "mix-members")  # texts are read once: rates come from this table
-    rated = _with_copies(members, fit_steps(members, targets, floor), floor)
+    rated = _rated(_members(clean_columns(docs, doc_id="doc_id", text="text"), labels, limit), targets, floor)
     return rated.select("doc_id", "n_tokens", *(F.get("posterior", F.lit(k)).alias(f"p_{d}") for k, d in enumerate(DOMAINS)), "rate", "copies")
 
 
-def _chance(id_col: str, text_col: str) -> Column:
-    """A number from 0 to below 1 from a row's id and text."""
-    return F.pmod(F.xxhash64(F.col(id_col), F.col(text_col), F.lit("mix")), F.lit(1 << 20)) / float(1 << 20)
+def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, floor: float = 0.0, limit: int = MAX_LABELLED) -> DataFrame:
+    """The rows of docs, each as often as its copies say, with their columns as they were."""
+    packed = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs["doc_id"].alias("doc_id"), docs["text"].alias("text"))
+    rated = _rated(_members(packed, labels, limit), targets, floor).where("copies > 0")
+    return rated.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*")
 
 
-def _with_copies(members: DataFrame, steps: list[list[float]], floor: float) -> DataFrame:
-    """Adds rate and copies to rows with posterior and chance."""
-    out = members.withColumn("rate", state_after(F.col("posterior"), steps, floor)["rate"])
-    return out.withColumn("copies", (F.floor("rate") + (F.col("chance") < F.col("rate") - F.floor("rate")).cast("int")).cast("int"))
+def reached(rated: DataFrame) -> DataFrame:
+    """Of rates(): each domain's share of the expected tokens after mixing."""
+    totals = [F.sum(F.col("rate") * F.col("n_tokens") * F.col(f"p_{d}")).alias(d) for d in DOMAINS]
+    all_ = sum((F.col(d) for d in DOMAINS[1:]), F.col(DOMAINS[0]))
+    return rated.agg(*totals).select(*(F.try_divide(d, all_).alias(d) for d in DOMAINS))
