@@ -277,6 +277,24 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return linked.unionByName(alone)
 
 
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of docs, one of each component: that with the smallest id, nulls last.
+
+    Rows get keys of their own and are written with them, so that ids may repeat or be missing. A bitmap of bounded size lets most rows pass where they
+    are read; only the others are shuffled.
+    """
+    packed = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
+    keyed = saved(packed.withColumn("key", F.monotonically_increasing_id()), "near-rows")
+    found = jaccard_components(keyed, "key", "text", words, percent).select(F.col("doc_id").alias("key"), F.col("component_id").alias("component"))
+    found = saved(found, "near-found")
+    several = saved(found.where("component <> key").select("component").distinct(), "near-several")
+    members = saved(found.join(several, "component").join(keyed.select("key", "doc_id"), "key"), "near-members")
+    first = members.groupBy("component").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "key"))["key"].alias("first"))
+    gone = saved(members.join(first, "component").where("key <> first").select("key"), "near-gone")
+    marked = with_maybe(keyed, F.xxhash64("key"), saved(key_bitmap(gone, F.xxhash64("key")), "near-bitmap"))
+    return marked.where("not maybe").select("row.*").unionByName(marked.where("maybe").join(gone, "key", "left_anti").select("row.*"))
+
+
 def _open(postings: DataFrame, label: DataFrame) -> DataFrame:
     """Postings of the lists whose documents are still of several components, with their components."""
     named = postings.join(label.withColumnRenamed("vertex", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
