@@ -3,10 +3,12 @@
 1. toxicity: documents that the classifier rejects go.
 2. exact dedup: of equal texts, the smallest id stays.
 3. n-gram Jaccard join: of each group of near copies, the smallest id stays.
-4. mixing: documents come as often as their rates say; no rate is below 1, so that no clean document goes.
+4. mixing: documents come as often as their rates say, by the operator's own targets; no rate is below 1, so that no document goes.
 5. packing: the pieces of all documents, each with its sequence and offset.
 
-Stages 1 to 4 return the columns of their input. Each stage sees all that its predecessor kept.
+Stages 1 to 4 return the columns of their input, whatever those are named. Each stage sees all that its predecessor kept. Stages take out rows, not
+ids: of rows with one id and different texts each is judged by itself, of repeated rows one stays, and rows without an id are treated like others, but
+come last where one of a group is chosen. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -14,49 +16,36 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from sitewise.llm.common import key_bitmap, saved, with_maybe
-from sitewise.llm.exact_dedup import exact_groups
-from sitewise.llm.jaccard import jaccard_components
+from sitewise.llm.common import saved
+from sitewise.llm.exact_dedup import distinct_rows
+from sitewise.llm.jaccard import one_of_each
 from sitewise.llm.mixing import mixed
 from sitewise.llm.packing import pack
 from sitewise.llm.toxicity import THRESHOLD, fit_on, keep_below
 
-#: Tokens' shares of the domains after mixing. They lie near what filtered text has, so that a floor of 1 repeats little.
-TARGETS = {"clean": 0.86, "low": 0.11, "toxic": 0.03}
-
-
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """docs whose doc_id isn't among gone. A bitmap of bounded size lets most rows pass where they are read; only the others are shuffled."""
-    gone = saved(gone.select("doc_id").where("doc_id is not null").distinct(), "pipeline-gone")
-    marked = with_maybe(docs, F.xxhash64("doc_id"), saved(key_bitmap(gone, F.xxhash64("doc_id")), "pipeline-bitmap"), "pipeline_maybe")
-    sure = marked.where("not pipeline_maybe").drop("pipeline_maybe")
-    return sure.unionByName(marked.where("pipeline_maybe").drop("pipeline_maybe").join(gone, "doc_id", "left_anti").select(*docs.columns))
-
-
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text scores below the threshold."""
     return keep_below(docs, fit_on(docs, _labels(spark, sf_dir)), THRESHOLD)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of rows with equal texts, those with the smallest id."""
-    return _without(docs, exact_groups(docs).where("not kept"))
+    """Of rows with equal texts, one with the smallest id."""
+    return distinct_rows(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near copies, the row with the smallest id."""
-    return _without(docs, jaccard_components(docs).where("component_id <> doc_id"))
+    """Of each component of near copies, a row with the smallest id."""
+    return one_of_each(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each row as often as its rate says."""
-    return mixed(docs, _labels(spark, sf_dir), TARGETS, floor=1.0)
+    return mixed(docs, _labels(spark, sf_dir), floor=1.0)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
