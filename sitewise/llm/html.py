@@ -19,8 +19,10 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections import Counter
+from collections.abc import Generator, Iterator
+from dataclasses import dataclass, field, replace
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,8 @@ from pyspark.sql import functions as F
 from sitewise.llm.boosting import Boosted, boost
 from sitewise.llm.common import clean_columns, distinct_sample
 
+#: Characters of an element's name that are looked at; none that means anything here is longer.
+MOST_NAME = 64
 #: At most so many distinct pages are learnt from: those with the least hashes of their text.
 SAMPLE_PAGES = 150
 
@@ -69,9 +73,9 @@ _TAGS = (
 )
 _TAG = {t: k for k, names in enumerate(_TAGS) for t in names}
 
-_TOKEN = re.compile(
-    r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<([a-zA-Z][^\s/>]*)([^>]*)>", re.S
-)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_COMMENT_END = re.compile("--!?>")
+_QUOTES = re.compile(r"[>\"']")
 _ATTR = re.compile(r"""(?:^|[\s"'/])(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _WORDS = re.compile(r"[a-z][a-z\-]*[a-z]|[a-z]", re.I)
 _SPACES = re.compile(r"[\x20\x09-\x0D\xA0]+")
@@ -110,15 +114,67 @@ def attribute_tokens(attributes: str) -> frozenset:
     return frozenset(found)
 
 
+def tags(page: str) -> Generator[tuple[int, int, str | None, str | None], int | None, None]:
+    """(start, stop, name, attributes) of each piece of markup: attributes are null for end tags, and so is the name for comments and declarations.
+
+    A tag ends at the first > outside quotes. Where quotes don't close, tags up to there end at the first > of any kind. Where no > follows, what is left is
+    text. The scan only goes forward: its time grows with the page's length, whatever is in it. The receiver may send a place to go on from.
+    """
+    at, loose, size = 0, 0, len(page)
+    while True:
+        start = page.find("<", at)
+        if start < 0 or start + 1 >= size:
+            return
+        at, first = start + 1, page[start + 1]
+        name = attributes = None
+        if first in "!?":
+            if page.startswith("!--", at):
+                if page.startswith((">", "->"), at + 3):
+                    stop = page.index(">", at) + 1
+                else:
+                    m = _COMMENT_END.search(page, at + 3)
+                    stop = m.end() if m else size
+            else:
+                stop = page.find(">", at) + 1 or size
+        elif first == "/":
+            m = _NAME.match(page, at + 1, min(size, at + 1 + MOST_NAME))
+            if not m:
+                continue
+            name, stop = m[0].lower(), page.find(">", m.end()) + 1 or size
+        else:
+            m = _NAME.match(page, at, min(size, at + MOST_NAME))
+            if not m:
+                continue
+            stop = page.find(">", m.end()) + 1
+            if not stop:
+                return
+            k = m.end()
+            while k >= loose:
+                q = _QUOTES.search(page, k)
+                if q is None or q[0] == ">":
+                    stop = q.end() if q else stop
+                    break
+                k = page.find(q[0], q.end()) + 1
+                if not k:
+                    loose = q.end()  # no tag before this quote is scanned past its first > again
+                    break
+            name, attributes = m[0].lower(), page[m.end() : stop - 1]
+        further = yield start, stop, name, attributes
+        at = max(stop, further or 0)
+
+
 def parse(page: str) -> Nodes:
     """The block nodes and text runs of a page; scripts, styles, controls and drawings are left out."""
     nodes = Nodes()
     # open elements: name, its block node, whether it is a link, whether nothing in it is seen
     stack: list[tuple[str, int, bool, bool]] = [("#root", nodes.add("html", -1), False, False)]
     run, at, size = -1, 0, len(page)
+    # how often each name is open, so that no search of the open elements is in vain
+    opened: Counter = Counter()
 
     def close_to(depth: int) -> None:
         nonlocal run
+        opened.subtract(name for name, _, _, _ in stack[depth:])
         if any(block != stack[depth - 1][1] for _, block, _, _ in stack[depth:]):
             run = -1
         del stack[depth:]
@@ -138,18 +194,20 @@ def parse(page: str) -> Nodes:
         if link:
             nodes.linked[run] += len(data.strip())
 
-    while at < size:
-        m = _TOKEN.search(page, at)
-        if m is None:
-            text(page[at:])
+    scan, further = tags(page), None
+    while True:
+        try:
+            start, stop, name, attributes = scan.send(further)
+        except StopIteration:
             break
-        text(page[at : m.start()])
-        at = m.end()
-        name = m[1] or m[2] or m[4]
+        further = None
+        text(page[at:start])
+        at = stop
         if name is None:
             continue
-        name = name.lower()
-        if m[1]:
+        if attributes is None:
+            if not opened[name]:
+                continue
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth][0] == name:
                     close_to(depth)
@@ -158,10 +216,9 @@ def parse(page: str) -> Nodes:
                 if name in INLINE and stack[depth][0] not in INLINE:
                     break
             continue
-        attributes = m[3] if m[2] else m[5]
         if name in RAW:
-            end = re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
-            at = end.end() if end else size
+            end = _raw_end(name).search(page, at)
+            at = further = end.end() if end else size
             if name == "textarea":
                 nodes.inputs[stack[-1][1]] += 1
             continue
@@ -176,7 +233,7 @@ def parse(page: str) -> Nodes:
             continue
         if name == "html":
             continue
-        if name in CLOSES_P:
+        if name in CLOSES_P and opened["p"]:
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth][0] == "p":
                     close_to(depth)
@@ -184,9 +241,9 @@ def parse(page: str) -> Nodes:
                 if stack[depth][0] not in INLINE:
                     break
         if name in ENDS:
-            names, stop = ENDS[name]
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] in stop:
+            names, stops = ENDS[name]
+            for depth in range(len(stack) - 1, 0, -1) if any(opened[n] for n in names) else ():
+                if stack[depth][0] in stops:
                     break
                 if stack[depth][0] in names:
                     close_to(depth)
@@ -195,6 +252,7 @@ def parse(page: str) -> Nodes:
         if attributes.endswith("/") and name in ("svg", "math"):
             continue
         _, block, link, unseen = stack[-1]
+        opened[name] += 1
         if name in INLINE:
             stack.append((name, block, link or name == "a", unseen))
         else:
@@ -203,9 +261,15 @@ def parse(page: str) -> Nodes:
             if name in ("button", "select"):
                 nodes.inputs[block] += 1
             stack.append((name, block if inside else nodes.add(name, block, attribute_tokens(attributes) if attributes else frozenset()), link, inside))
+    text(page[at:])
     return nodes
 
 
+@cache
+def _raw_end(name: str) -> re.Pattern:
+    return re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I)
+
+
 def features(nodes: Nodes) -> np.ndarray:
     """A row for each node; every column is a share, a logarithm or a flag, so that pages of any length compare."""
     n = len(nodes.tag)
@@ -275,7 +339,10 @@ def text_of(nodes: Nodes, kept: np.ndarray) -> str:
 
 
 def weak_labels(nodes: Nodes) -> np.ndarray | None:
-    """1 for nodes of the main element and those that hold it, 0 for others; null for pages that name no main element."""
+    """1 for nodes of the main element and those that hold it, 0 for others; null for pages without text outside what is named otherwise.
+
+    A page that names no main element has it where most of its unlinked text is: in the deepest node that holds DENSE of it.
+    """
     n = len(nodes.tag)
     bad = {k for k, name in enumerate(TOKENS) if name != "main"}
     main, out = np.zeros(n, dtype=bool), np.zeros(n, dtype=bool)
@@ -286,13 +353,22 @@ def weak_labels(nodes: Nodes) -> np.ndarray | None:
         out[i] = gone or (up >= 0 and out[up])
         main[i] = not out[i] and (nodes.tag[i] in ("article", "main") or (up >= 0 and main[up]))
     if not main.any():
-        return None
+        chars = np.array([0 if out[i] else sum(map(len, nodes.text[i])) - nodes.linked[i] for i in range(n)], dtype=float)
+        for i in range(n - 1, 0, -1):
+            chars[nodes.parent[i]] += chars[i]
+        if chars[0] <= 0:
+            return None
+        top = max(i for i in range(n) if chars[i] >= DENSE * chars[0] and nodes.tag[i] != "#text" and nodes.tag[i] not in ("p", "li", "td"))
+        for i in range(top, n):
+            main[i] = not out[i] and (i == top or main[nodes.parent[i]])
     for i in range(n - 1, 0, -1):
         if main[i]:
             main[nodes.parent[i]] = True
     return main.astype(float)
 
 
+#: The share of a page's unlinked text that its main part holds where none is named.
+DENSE = 0.6
 #: What augmented copies get put in: (place, markup around the words). Places are known, so labels are.
 _PUT_IN = (
     ("top", '<div class="{c}"><p>{t}</p><a href="/x">{s}</a></div>', "cookie consent notice alert newsletter popup"), ("top", '<header class="{c}"><div>{s}</div><ul><li><a href="/">{s}</a></li></ul></header>', "header masthead topbar"),
@@ -303,7 +379,7 @@ _PUT_IN = (
     ("end", '<form><label>{s}</label><input name="q"><button>{s}</button><p>{s}</p></form>', "form"), ("end", '<div class="{c}">{t}</div>', "ad advert sponsored promo"),
     ("end", '<div class="{c}"><a href="/">{s}</a> <a href="/">{s}</a> <a href="/">{s}</a></div>', "share social breadcrumb pagination"),
 )
-_MAIN_TAGS = ('<div class="content">', '<main>', '<div id="main-content">', '<section class="post">', '<div class="entry-body">', "<div>")
+_MAIN_TAGS = ('<div class="content">', '<main>', '<div id="main-content">', '<section class="post">', '<div class="entry-body">', *["<div>"] * 5)
 
 
 def _augmented(page: str, r: np.random.Generator) -> Iterator[tuple[Nodes, np.ndarray]]:
@@ -334,18 +410,19 @@ def _augmented(page: str, r: np.random.Generator) -> Iterator[tuple[Nodes, np.nd
         if y is None:
             return
         yield nodes, y
-        # the same nodes under other names: what was the main element, and half of all tags and tokens
-        other = parse(copy)
-        start = _MAIN_TAGS[int(r.integers(len(_MAIN_TAGS)))]
-        for i in range(len(other.tag)):
-            if other.tag[i] in ("article", "main"):
-                other.tag[i] = re.match(r"<(\w+)", start)[1]
-                other.tokens[i] = attribute_tokens(start[start.index(" ") : -1]) if " " in start else frozenset()
-            elif r.random() < 0.2 and other.tag[i] in ("nav", "header", "footer", "aside", "section", "form"):
-                other.tag[i] = "div"
-            elif r.random() < 0.15:
-                other.tokens[i] = frozenset()
-        yield other, y
+        # the same nodes under other names: what was the main element, and some of all tags and tokens
+        for _ in range(2):
+            other = replace(nodes, tag=list(nodes.tag), tokens=list(nodes.tokens))
+            start = _MAIN_TAGS[int(r.integers(len(_MAIN_TAGS)))]
+            for i in range(len(other.tag)):
+                if other.tag[i] in ("article", "main"):
+                    other.tag[i] = re.match(r"<(\w+)", start)[1]
+                    other.tokens[i] = attribute_tokens(start[start.index(" ") : -1]) if " " in start else frozenset()
+                elif r.random() < 0.2 and other.tag[i] in ("nav", "header", "footer", "aside", "section", "form"):
+                    other.tag[i] = "div"
+                elif r.random() < 0.1:
+                    other.tokens[i] = frozenset()
+            yield other, y
 
 
 def fit(pages: list[str], seed: int = 1) -> Boosted:

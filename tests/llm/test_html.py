@@ -1,5 +1,6 @@
 import html as entities
 import re
+import time
 
 import numpy as np
 import pytest
@@ -56,6 +57,22 @@ def test_reading(markup, text):
     assert H.text_of(nodes, np.ones(len(nodes.tag), dtype=bool)) == text
 
 
+@pytest.mark.parametrize("piece,close", [("<a", ""), ("<" + "a" * 1000, ""), ('<a "', ""), ('<a "', ">"), ("<a '\"", ">"), ("<!-- --", ""), ("<!-- a -->", ""), ('<a class="', ">"), ("<div><dd></dd>", ""), ("<div></b></section>", ""), ("<p><b>", ""), ("&", ""), ("<script>", "")])
+def test_bad_markup_takes_linear_time(piece, close):
+    page = (piece * (500_000 // len(piece)) + close) * 2
+    began = time.process_time()
+    assert H.parse(page).tag
+    assert time.process_time() - began < 6  # a second or two; a quadratic scan takes hours
+
+
+def test_unnamed_main_elements(pages):
+    rows = [r.html for r in pages.collect() if r.html]
+    bare = [p.replace("<article>", "<div>").replace("</article>", "</div>") for p in rows]
+    for sample in (rows[:100], bare[:100]):
+        got = H.extract_batch(bare[100:], H.fit(sample))
+        assert np.mean([g == from_markup(p) for g, p in zip(got, rows[100:], strict=True)]) >= 0.9
+
+
 def test_marked_boilerplate_goes(pages):
     model = H.fit([r.html for r in pages.where("html is not null").collect()])
     around = '<html><body><nav><a href="/">Home</a> <a href="/b">B</a></nav>{}<footer>&copy; all</footer></body></html>'
