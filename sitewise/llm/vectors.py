@@ -11,7 +11,8 @@ so that no link is lost to chance.
 
 Vectors are compared within a label and dimension only. Equal vectors become one node with a count before anything is
 compared. The nodes of a label are dealt into blocks by their nearest of a few pivots, and pairs of blocks are
-compared unless the pivots' angles show that no link can cross them. A pair of blocks leaves counts and at
+compared unless the pivots' angles show that no link can cross them. Codes and factors of one block meet the vectors of the other; the vectors of
+both meet for the rows that this leaves undecided alone, in strips of STRIP rows. A pair of blocks leaves counts and at
 most one edge for each row and cell of links, never all pairs: n_links is a sum, and components need a spanning forest.
 
 Vectors that are null, empty or zero, or hold null or non-finite components, and those of a null label, link with
@@ -33,6 +34,8 @@ from sitewise.llm.common import clean_columns, saved
 from sitewise.llm.graph import components
 
 COSINE, BLOCK, PIVOTS, SEED = 0.98, 1024, 16, 20240229
+#: Rows of a block that are compared at a time, so that what a task holds doesn't grow with how many pairs are near.
+STRIP = 128
 #: Standard errors of the confidence bound.
 SURE = 3.0
 
@@ -44,22 +47,35 @@ def rotation(dim: int, seed: int = SEED) -> np.ndarray:
 
 
 class Codes:
-    """Rotated unit vectors, their sign codes as packed bits, and the correction factor of each."""
+    """Sign codes of rotated unit vectors as packed bits, and the correction factor of each."""
 
-    def __init__(self, vectors: np.ndarray):
-        self.exact = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-        self.dim = vectors.shape[1]
-        self.rotated = (self.exact @ rotation(self.dim)).astype(np.float32)
-        self.bits = np.packbits(self.rotated >= 0, axis=1)
-        self.factor = np.abs(self.rotated).sum(1) / np.sqrt(self.dim)
+    def __init__(self, dim: int, bits: np.ndarray, factor: np.ndarray):
+        self.dim, self.bits, self.factor = dim, bits, factor
+
+    @staticmethod
+    def of(unit: np.ndarray) -> Codes:
+        turned = rotated(unit)
+        return Codes(unit.shape[1], np.packbits(turned >= 0, axis=1), np.abs(turned).sum(1) / np.float32(np.sqrt(unit.shape[1])))
+
+    @staticmethod
+    def read(dim: int, bits: bytes, factor: bytes) -> Codes:
+        return Codes(dim, np.frombuffer(bits, dtype=np.uint8).reshape(-1, -(-dim // 8)), np.frombuffer(factor, dtype=np.float32))
 
     def signs(self) -> np.ndarray:
         return np.unpackbits(self.bits, axis=1, count=self.dim).astype(np.float32) * 2 - 1
 
 
-def estimates(queries: Codes, codes: Codes) -> np.ndarray:
+def unit_rows(vectors: np.ndarray) -> np.ndarray:
+    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+
+
+def rotated(unit: np.ndarray) -> np.ndarray:
+    return (unit @ rotation(unit.shape[1])).astype(np.float32)
+
+
+def estimates(queries: np.ndarray, codes: Codes) -> np.ndarray:
     """Unbiased estimates of all cosines of rotated queries with coded vectors."""
-    return queries.rotated @ (codes.signs().T / (np.sqrt(codes.dim) * codes.factor))
+    return queries @ (codes.signs().T / (np.float32(np.sqrt(codes.dim)) * codes.factor))
 
 
 def margins(codes: Codes, cosine: float = COSINE, sure: float = SURE) -> np.ndarray:
@@ -69,12 +85,21 @@ def margins(codes: Codes, cosine: float = COSINE, sure: float = SURE) -> np.ndar
     return np.maximum(likely, certain) + 1e-4
 
 
-def linked(a: Codes, b: Codes, cosine: float = COSINE) -> np.ndarray:
-    """Index pairs (i, j) with cosine at least the threshold, decided in double precision."""
-    i, j = np.nonzero(estimates(a, b) + margins(b, cosine)[None, :] >= cosine)
-    exact = np.einsum("ij,ij->i", a.exact[i], b.exact[j])
-    keep = exact >= cosine
-    return np.stack([i[keep], j[keep]], 1)
+def undecided(queries: np.ndarray, codes: Codes, cosine: float = COSINE) -> tuple[np.ndarray, np.ndarray]:
+    """Which rotated queries, and which coded vectors, are in a pair whose upper bound reaches the cosine: only those are compared exactly."""
+    bound = margins(codes, cosine)[None, :]
+    rows, columns = np.zeros(len(queries), dtype=bool), np.zeros(len(codes.factor), dtype=bool)
+    for k in range(0, len(queries), STRIP):
+        near = estimates(queries[k : k + STRIP], codes) + bound >= cosine
+        rows[k : k + STRIP] = near.any(1)
+        columns |= near.any(0)
+    return np.flatnonzero(rows), np.flatnonzero(columns)
+
+
+def links(a: np.ndarray, b: np.ndarray, cosine: float = COSINE) -> Iterator[tuple[int, np.ndarray]]:
+    """(first row of a strip, which of its rows are linked with which of b), strip by strip, decided in double precision."""
+    for k in range(0, len(a), STRIP):
+        yield k, a[k : k + STRIP] @ b.T >= cosine
 
 
 def forest(pairs: np.ndarray, n: int) -> np.ndarray:
@@ -121,15 +146,25 @@ def near_vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     tasks = left.join(right, ["label", "dim"]).where("block_a <= block_b").where(apart <= F.col("radius_a") + F.col("radius_b") + float(np.arccos(cosine)) + 1e-6)
     tasks = tasks.select("block_a", "block_b")
 
-    data = blocks.select("block", "nodes", "vectors", "copies")
-    pairs = tasks.join(data.select(*(F.col(c).alias(f"{c}_a") for c in data.columns)), "block_a")
-    pairs = pairs.join(data.select(*(F.col(c).alias(f"{c}_b") for c in data.columns)), "block_b")
+    # First codes and factors meet one side's vectors; both sides' vectors meet where that leaves a pair undecided.
+    coded = blocks.select(F.col("block").alias("block_b"), "codes", "factors")
+    whole = lambda side: blocks.select(*(F.col(c).alias(f"{c}_{side}") for c in ("block", "nodes", "vectors", "copies")))
+    queries = blocks.select(F.col("block").alias("block_a"), "dim", F.col("vectors").alias("queries"))
+
+    def estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            rows, columns = undecided(rotated(_matrix(row["queries"], row["dim"])), Codes.read(row["dim"], row["codes"], row["factors"]), cosine)
+            if len(rows):
+                out = {"block_a": row["block_a"], "block_b": row["block_b"], "dim": row["dim"], "rows": rows.astype(np.int32).tobytes(), "columns": columns.astype(np.int32).tobytes()}
+                yield pa.RecordBatch.from_pylist([out], pa.schema([("block_a", pa.int64()), ("block_b", pa.int64()), ("dim", pa.int32()), ("rows", pa.binary()), ("columns", pa.binary())]))
+
+    kinds = "block_a long, block_b long, dim int, rows binary, columns binary"
+    left_open = saved(tasks.join(queries, "block_a").join(coded, "block_b").mapInArrow(estimate, kinds), "vectors-undecided")
+    pairs = left_open.join(whole("a"), "block_a").join(whole("b"), "block_b")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in range(batch.num_rows):
-                row = batch.slice(r, 1).to_pylist()[0]
-                yield pa.RecordBatch.from_pandas(_compare(row, cosine), preserve_index=False)
+        for row in _rows(batches):
+            yield pa.RecordBatch.from_pandas(_compare(row, cosine), preserve_index=False)
 
     found = saved(pairs.mapInArrow(compare, "a long, b long, links long"), "vectors-found")
     counts = found.where("links is not null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
@@ -178,18 +213,19 @@ def _blocks(nodes: DataFrame, block: int) -> DataFrame:
     def packed(pdf: pd.DataFrame) -> pd.DataFrame:
         # a cell holds about a block; what it holds beyond is cut into further blocks
         x = np.array(pdf["vector"].tolist(), dtype=np.float64)
-        unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+        unit = unit_rows(x)
         out = []
         for k in range(0, len(x), 2 * block):
             part, u = slice(k, k + 2 * block), unit[k : k + 2 * block]
             center = u.mean(0)
             center = center / np.linalg.norm(center) if np.linalg.norm(center) > 0 else u[0]
             radius = float(np.arccos(np.clip(u @ center, -1, 1)).max())
-            node = pdf["node"].to_numpy()[part]
-            out.append((int(node.min()), pdf["label"].iloc[0], int(pdf["dim"].iloc[0]), int(pdf["pivot"].iloc[0]), radius, center.tolist(), node.tobytes(), x[part].tobytes(), pdf["copies"].to_numpy()[part].tobytes()))
-        return pd.DataFrame(out, columns=["block", "label", "dim", "pivot", "radius", "center", "nodes", "vectors", "copies"])
+            node, codes = pdf["node"].to_numpy()[part], Codes.of(u)
+            blocks = (node.tobytes(), u.tobytes(), codes.bits.tobytes(), codes.factor.astype(np.float32).tobytes(), pdf["copies"].to_numpy()[part].tobytes())
+            out.append((int(node.min()), pdf["label"].iloc[0], int(pdf["dim"].iloc[0]), int(pdf["pivot"].iloc[0]), radius, center.tolist(), *blocks))
+        return pd.DataFrame(out, columns=["block", "label", "dim", "pivot", "radius", "center", "nodes", "vectors", "codes", "factors", "copies"])
 
-    schema = f"block long, label {label_type}, dim int, pivot int, radius double, center array<double>, nodes binary, vectors binary, copies binary"
+    schema = f"block long, label {label_type}, dim int, pivot int, radius double, center array<double>, nodes binary, vectors binary, codes binary, factors binary, copies binary"
     return cells.groupBy("label", "dim", "pivot", "salt").applyInPandas(packed, schema)
 
 
@@ -198,21 +234,37 @@ def pivots(dim: int, n: int = PIVOTS) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """One row at a time: each holds whole blocks."""
+    for batch in batches:
+        for r in range(batch.num_rows):
+            yield batch.slice(r, 1).to_pylist()[0]
+
+
+def _matrix(data: bytes, dim: int) -> np.ndarray:
+    return np.frombuffer(data).reshape(-1, dim)
+
+
 def _compare(row: dict, cosine: float) -> pd.DataFrame:
-    """Counts (a, null, links) of the rows of two blocks, and edges (a, b, null) of a spanning forest of their links."""
-    na, nb = (np.frombuffer(row[f"nodes_{s}"], dtype=np.int64) for s in "ab")
+    """Counts (a, null, links) of the undecided rows of two blocks, and edges (a, b, null) of a spanning forest of their links."""
+    at, to = (np.frombuffer(row[k], dtype=np.int32) for k in ("rows", "columns"))
+    na, nb = (np.frombuffer(row[f"nodes_{s}"], dtype=np.int64)[i] for s, i in (("a", at), ("b", to)))
+    a, b = (_matrix(row[f"vectors_{s}"], row["dim"])[i] for s, i in (("a", at), ("b", to)))
+    copies_a, copies_b = (np.frombuffer(row[f"copies_{s}"], dtype=np.int64)[i] for s, i in (("a", at), ("b", to)))
     same = row["block_a"] == row["block_b"]
-    a = Codes(np.frombuffer(row["vectors_a"]).reshape(len(na), -1))
-    b = a if same else Codes(np.frombuffer(row["vectors_b"]).reshape(len(nb), -1))
-    copies = [np.frombuffer(row[f"copies_{s}"], dtype=np.int64) for s in "ab"]
-    ij = linked(a, b, cosine)
-    if same:
-        ij = ij[ij[:, 0] != ij[:, 1]]
-    here = np.bincount(ij[:, 0], copies[1][ij[:, 1]], len(na)).astype(np.int64)
-    there = np.zeros(0, np.int64) if same else np.bincount(ij[:, 1], copies[0][ij[:, 0]], len(nb)).astype(np.int64)
-    names = na if same else np.concatenate([na, nb])
-    edges = forest(ij if same else ij + [0, len(na)], len(names))
-    links = np.concatenate([here, there])
-    at = np.flatnonzero(links)
-    out = pd.DataFrame({"a": np.concatenate([names[at], names[edges[:, 0]]]), "b": pd.array([None] * len(at) + names[edges[:, 1]].tolist(), "Int64"), "links": pd.array(links[at].tolist() + [None] * len(edges), "Int64")})
-    return out
+    names, place = np.unique(np.concatenate([na, nb]), return_inverse=True)
+    here, there, edges = np.zeros(len(na), np.int64), np.zeros(len(nb), np.int64), np.zeros((0, 2), np.int64)
+    for k, near in links(a, b, cosine):
+        part = slice(k, k + len(near))
+        if same:
+            near &= na[part, None] != nb[None, :]
+        here[part] = near @ copies_b
+        if not same:
+            there += copies_a[part] @ near
+        i, j = np.nonzero(near)
+        # of each strip only what joins trees is kept
+        edges = forest(np.concatenate([edges, np.stack([place[k + i], place[len(na) + j]], 1)]), len(names))
+    links_of = np.concatenate([here, there])
+    some = np.flatnonzero(links_of)
+    n = len(some)
+    return pd.DataFrame({"a": np.concatenate([np.concatenate([na, nb])[some], names[edges[:, 0]]]), "b": pd.array([None] * n + names[edges[:, 1]].tolist(), "Int64"), "links": pd.array(links_of[some].tolist() + [None] * len(edges), "Int64")})

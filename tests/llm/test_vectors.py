@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 
@@ -52,14 +54,33 @@ def test_other_tables(spark):
 def test_estimates_are_unbiased_and_bounds_hold():
     r = np.random.default_rng(5)
     x = r.standard_normal((600, 64))
-    a, b = V.Codes(x), V.Codes(x[:300] + 0.3 * r.standard_normal((300, 64)))
-    truth = a.exact @ b.exact.T
-    error = V.estimates(a, b) - truth
+    x, y = V.unit_rows(x), V.unit_rows(x[:300] + 0.3 * r.standard_normal((300, 64)))
+    truth = x @ y.T
+    error = V.estimates(V.rotated(x), V.Codes.of(y)) - truth
     assert abs(error.mean()) < 0.002 and 0.05 < error.std() < 0.15
-    near = V.Codes(x + 0.02 * r.standard_normal(x.shape))
-    missed = (V.estimates(a, near) + V.margins(near)[None, :] < V.COSINE) & (a.exact @ near.exact.T >= V.COSINE)
-    assert not missed.any()
-    assert (V.estimates(a, near) + V.margins(near)[None, :] >= V.COSINE).mean() < 0.05
+    y = V.unit_rows(x + 0.003 * r.standard_normal(x.shape))
+    near = V.Codes.of(y)
+    reach = V.estimates(V.rotated(x), near) + V.margins(near)[None, :] >= V.COSINE
+    assert (x @ y.T >= V.COSINE).any() and not (~reach & (x @ y.T >= V.COSINE)).any()
+    assert reach.mean() < 0.05
+
+
+def test_a_large_group_of_near_copies_stays_small(spark):
+    r = np.random.default_rng(8)
+    n, dim = 5000, 64
+    x = r.standard_normal(dim) + 0.02 * r.standard_normal((n, dim))
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(x)]
+    got = V.near_vectors(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(got) == n and {(q.component_id, q.n_links) for q in got} == {(0, n - 1)}
+    # one pair of dense blocks, as a task holds it
+    u = V.unit_rows(x[:2048])
+    row = {"block_a": 1, "block_b": 1, "dim": dim, "nodes_a": np.arange(2048).tobytes(), "vectors_a": u.tobytes(), "copies_a": np.ones(2048, np.int64).tobytes()}
+    row |= {f"{k}_b": row[f"{k}_a"] for k in ("nodes", "vectors", "copies")} | {k: np.arange(2048, dtype=np.int32).tobytes() for k in ("rows", "columns")}
+    tracemalloc.start()
+    out = V._compare(row, V.COSINE)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 300e6 and out["links"].sum() == 2048 * 2047
 
 
 def test_forest_spans():
