@@ -292,5 +292,6 @@ def lookup(spark: SparkSession, archive: Archive, queries: DataFrame, url_col: s
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())])
     batch_of = lambda found: pa.RecordBatch.from_pylist([r._asdict() for r in found], schema=schema)
     placed = keys.mapInArrow(place, "key string, page_id long, at int")
-    sorted_ = placed.repartition("at").sortWithinPartitions("at", "key", F.col("page_id").asc_nulls_first())
+    # a task for each part, however small its keys are: what it reads is payloads
+    sorted_ = placed.where("at >= 0").repartitionById(max(1, len(parts)), "at").sortWithinPartitions("at", "key", F.col("page_id").asc_nulls_first())
     return sorted_.mapInArrow(read, "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary")
