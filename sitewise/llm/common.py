@@ -18,6 +18,9 @@ WORD = rb"[^\x20\x09-\x0D]+"
 #: A key bitmap has 2**BITMAP_BITS bits in pieces of 2**15: 512 rows of 4 KB, however many keys it holds.
 BITMAP_BITS = 24
 _PIECE_BITS = 15
+#: Bytes of a batch for Python while a table is saved.
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Leading bits of hashes that are counted at a time.
 _SLOT_BITS = 16
 
@@ -38,10 +41,18 @@ def new_dir(spark: SparkSession, name: str) -> str:
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
-    """Writes df into the shared folder and reads it back: lineage ends there, and a lost executor costs no recomputation."""
-    path = new_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Writes df into the shared folder and reads it back: lineage ends there, and a lost executor costs no recomputation.
+
+    While it is written, batches for Python have at most BATCH_BYTES, since rows may hold long texts or whole sets.
+    """
+    spark, path = df.sparkSession, new_dir(df.sparkSession, name)
+    usual = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(min(BATCH_BYTES, int(usual.rstrip("b")))) if usual.rstrip("b").isdigit() else str(BATCH_BYTES))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH, usual)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
