@@ -10,14 +10,24 @@ import numpy as np
 WINDOW, OVERLAP, DIM = 32, 8, 24
 
 
+#: Scores beyond this are made smaller before they are raised, so that no exponential overflows; others needn't be.
+_SAFE = 60.0
+
+
+def _exp(z: np.ndarray) -> np.ndarray:
+    """Exponentials in place, up to one factor for each row."""
+    if z.max(initial=0.0) > _SAFE:
+        z -= z.max(-1, keepdims=True)
+    return np.exp(z, out=z)
+
+
 def _softmax(z: np.ndarray) -> np.ndarray:
-    z -= z.max(-1, keepdims=True)
-    np.exp(z, out=z)
+    _exp(z)
     z /= z.sum(-1, keepdims=True)
     return z
 
 
-_MASK = np.where(np.tri(WINDOW, dtype=bool), 0, -1e9).astype(np.float32)
+_MASK = np.where(np.tri(WINDOW, dtype=bool), 0, -1e4).astype(np.float32)
 
 
 @dataclass
@@ -35,56 +45,71 @@ class Attention:
 
     def hidden(self, units: np.ndarray) -> tuple[np.ndarray, tuple]:
         """units [n, t] to hidden states [n, t, dim]; a place sees itself and what precedes it."""
-        p, t = self.p, units.shape[1]
-        x = p["e"][units] + p["at"][:t]
-        q, k, v = x @ p["q"], x @ p["k"], x @ p["v"]
+        p, (n, t) = self.p, units.shape
+        x = (p["e"][units] + p["at"][:t]).reshape(n * t, -1)
+        dim = x.shape[1]
+        q, k, v = np.split((x @ np.concatenate([p["q"] * np.float32(1 / np.sqrt(dim)), p["k"], p["v"]], 1)).reshape(n, t, -1), 3, 2)
         a = q @ k.transpose(0, 2, 1)
-        a *= np.float32(1 / np.sqrt(x.shape[-1]))
         a += _MASK[:t, :t]
         a = _softmax(a)
-        c = a @ v
+        c = (a @ v).reshape(n * t, dim)
         y = x + c @ p["o"]
-        r = np.maximum(y @ p["w1"] + p["b1"], 0)
-        return y + r @ p["w2"], (x, q, k, v, a, c, y, r)
+        r = y @ p["w1"]
+        r += p["b1"]
+        np.maximum(r, 0, out=r)
+        return (y + r @ p["w2"]).reshape(n, t, dim), (x, q, k, v, a, c, y, r)
 
     def log_probabilities(self, units: np.ndarray, classes: np.ndarray, skip: int = 0) -> np.ndarray:
         """Natural logarithms of the probability of each place's class, from place skip on."""
-        h = self.hidden(units)[0][:, skip:]
-        z = h.reshape(-1, h.shape[-1]) @ self.p["out"]
+        n, t = units.shape
+        h = self.hidden(units)[0][:, skip:].reshape(n * (t - skip), -1)
+        z = h @ self.p["out"]
         z += self.p["b"]
-        z -= z.max(1, keepdims=True)
-        right = z[np.arange(len(z)), classes[:, skip:].ravel()]
-        np.exp(z, out=z)
-        return (right - np.log(z.sum(1))).reshape(h.shape[:2])
+        at = np.arange(len(z)), classes[:, skip:].ravel()
+        _exp(z)
+        return np.log(z[at] / z.sum(1) + 1e-30).reshape(n, t - skip)
 
     def gradients(self, units: np.ndarray, classes: np.ndarray, weight: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean loss over places of weight 1, and its gradient."""
-        p = self.p
+        p, (n, t) = self.p, units.shape
         h, (x, q, k, v, a, c, y, r) = self.hidden(units)
-        total = max(1.0, float(weight.sum()))
-        z = _softmax(h @ p["out"] + p["b"])
-        loss = -float((np.log(np.take_along_axis(z, classes[..., None], -1)[..., 0] + 1e-12) * weight).sum()) / total
-        np.put_along_axis(z, classes[..., None], np.take_along_axis(z, classes[..., None], -1) - 1, -1)
-        dz = z * (weight / total)[..., None].astype(np.float32)
-        flat = lambda m: m.reshape(-1, m.shape[-1])
-        g = {"out": flat(h).T @ flat(dz), "b": flat(dz).sum(0)}
-        dh = dz @ p["out"].T
-        g["w2"] = flat(r).T @ flat(dh)
-        dr = (dh @ p["w2"].T) * (r > 0)
-        g["w1"], g["b1"] = flat(y).T @ flat(dr), flat(dr).sum(0)
+        dim, scale = x.shape[1], np.float32(1 / np.sqrt(x.shape[1]))
+        h = h.reshape(n * t, dim)
+        w = weight.reshape(-1).astype(np.float32)
+        total = max(1.0, float(w.sum()))
+        z = h @ p["out"]
+        z += p["b"]
+        z = _softmax(z)
+        at = np.arange(len(z)), classes.ravel()
+        loss = -float(np.log(z[at] + 1e-12) @ w) / total
+        z[at] -= 1
+        z *= (w / total)[:, None]
+        g = {"out": h.T @ z, "b": z.sum(0)}
+        dh = z @ p["out"].T
+        g["w2"] = r.T @ dh
+        dr = dh @ p["w2"].T
+        dr *= r > 0
+        g["w1"], g["b1"] = y.T @ dr, dr.sum(0)
         dy = dh + dr @ p["w1"].T
-        g["o"] = flat(c).T @ flat(dy)
-        dc = dy @ p["o"].T
-        da = dc @ v.transpose(0, 2, 1)
+        g["o"] = c.T @ dy
+        dc = (dy @ p["o"].T).reshape(n, t, dim)
+        ds = dc @ v.transpose(0, 2, 1)
         dv = a.transpose(0, 2, 1) @ dc
-        ds = a * (da - (da * a).sum(-1, keepdims=True)) * np.float32(1 / np.sqrt(x.shape[-1]))
-        dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-        dx = dy + dq @ p["q"].T + dk @ p["k"].T + dv @ p["v"].T
-        g["q"], g["k"], g["v"] = flat(x).T @ flat(dq), flat(x).T @ flat(dk), flat(x).T @ flat(dv)
+        ds -= np.einsum("nij,nij->ni", ds, a)[..., None]
+        ds *= a
+        # q holds the scale already
+        dq, dk = (ds @ k) * scale, ds.transpose(0, 2, 1) @ q
+        d = np.concatenate([dq, dk, dv], 2).reshape(n * t, -1)
+        dx = dy + d @ np.concatenate([p["q"], p["k"], p["v"]], 1).T
+        g["q"], g["k"], g["v"] = np.split(x.T @ d, 3, 1)
         g["at"] = np.zeros_like(p["at"])
-        g["at"][: x.shape[1]] = dx.sum(0)
-        cells = (units.ravel()[:, None] * x.shape[-1] + np.arange(x.shape[-1])).ravel()
-        g["e"] = np.bincount(cells, dx.ravel(), p["e"].size).reshape(p["e"].shape).astype(p["e"].dtype)
+        g["at"][:t] = dx.reshape(n, t, dim).sum(0)
+        # rows of one unit, brought together, are summed
+        order = np.argsort(units.ravel(), kind="stable")
+        ordered = units.ravel()[order]
+        first = np.flatnonzero(np.diff(ordered, prepend=-1))
+        g["e"] = np.zeros_like(p["e"])
+        g["e"][ordered[first]] = np.add.reduceat(dx[order], first)
         return loss, g
 
     def train(self, units: np.ndarray, classes: np.ndarray, weight: np.ndarray, epochs: int = 2, batch: int = 64, rate: float = 1e-2, seed: int = 2) -> float:

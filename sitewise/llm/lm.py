@@ -2,11 +2,12 @@
 
 The model. A text's words, lower-cased and joined by one space each, become ids of a public vocabulary, and an end id. The
 probability of an id is that of its class, given by masked self-attention over the ids before it, times that of the id
-within its class, counted over all training documents. The most frequent ids are classes of their own. So every id
+within its class after the id just before it, counted over all training documents. The most frequent ids are classes of their own. So every id
 has a probability, and those of all continuations sum to one.
 
-What covers what. Everything is learnt from all training documents: the counts of words and of ids, the grouping of ids into
-classes and the attention's weights. Spark aggregates the counts and the grouping's sums, as many as the vocabulary has. The weights begin
+What covers what. Everything is learnt from all training documents: the counts of words, of ids and of pairs of a unit and the id after it, the grouping of
+ids into classes and the attention's weights. Spark aggregates the counts and the grouping's sums, as many as the vocabulary has, for pairs times PAIRED + GROUPS + 1
+units, which is 26 MB as half-precision logarithms. The weights begin
 from a fit in the driver to at most SAMPLE_DOCS distinct texts; then all documents are dealt to ROUNDS rounds. In a round each task
 goes by gradient descent through the windows of its own documents, from the same weights, and the next round begins from
 the tasks' weights averaged by their numbers of windows. So each training document is gone through once, and weights depend
@@ -45,6 +46,8 @@ END_WORD = -1
 HEAD, SAMPLE_DOCS, SAMPLE_WINDOWS, EPOCHS = 1 << 16, 2000, 24_000, 5
 SINGLES, GROUPS, OWN_UNITS = 64, 64, 1024
 SMOOTH = 0.1
+#: So many frequent ids are units of their own in counts of pairs; counts of an id within its class are worth so many pairs.
+PAIRED, KAPPA = 192, 20.0
 #: Rounds over all documents, windows in a step, windows that a task shuffles at a time, and the first round's rate.
 ROUNDS, BATCH, SHUFFLED, RATE = 4, 64, 4096, 4e-3
 #: Distinct words that a task holds before it hands its counts on.
@@ -179,6 +182,46 @@ def _whole_usage(encoded: DataFrame, counts: np.ndarray) -> tuple[np.ndarray, np
     return counts, about
 
 
+def _paired(model: Model, encoded: DataFrame) -> Model:
+    """The model with the logarithms of ids within their classes after each unit, from the pairs of all documents."""
+    base = model
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, total = [], 0, {}
+
+        def take() -> None:
+            at, n = np.unique(np.concatenate(held), return_counts=True)
+            for u in np.unique(at // VOCABULARY):
+                here = at // VOCABULARY == u
+                total.setdefault(int(u), np.zeros(VOCABULARY, np.int64))[at[here] % VOCABULARY] += n[here]
+
+        for ids in _ids_of(batches):
+            held.append(base.before(ids) * VOCABULARY + ids)
+            size += len(ids)
+            if size > FLUSH_WORDS:
+                take()
+                held, size = [], 0
+        if held:
+            take()
+        for u, n in total.items():
+            at = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), u), pa.int32()), pa.array(at, pa.int32()), pa.array(n[at])], ["unit", "id", "n"])
+
+    def logs(key, frame):
+        import pandas as pd
+
+        n = np.zeros(VOCABULARY)
+        n[frame["id"].to_numpy()] = frame["n"].to_numpy()
+        return pd.DataFrame({"unit": [int(key[0])], "logs": [base.after(n).astype(np.float16).tobytes()]})
+
+    counts = saved(encoded.select("ids").mapInArrow(count, "unit int, id int, n long").groupBy("unit", "id").agg(F.sum("n").alias("n")), "lm-pairs")
+    table = np.tile(model.within[0], (len(model.within) if len(model.within) > 1 else PAIRED + GROUPS + 1, 1))
+    # a group has at most the vocabulary's rows; one row for each unit comes back
+    for r in counts.groupBy("unit").applyInPandas(logs, "unit int, logs binary").collect():
+        table[r.unit] = np.frombuffer(r.logs, dtype=np.float16)
+    return replace(model, within=table)
+
+
 def _trained(model: Model, encoded: DataFrame, rounds: int = ROUNDS) -> Model:
     """The model after its attention has gone through all documents, in rounds of which each averages what the tasks have learnt."""
     names = sorted(model.attention.p)
@@ -234,6 +277,19 @@ class Model:
     unit_of: np.ndarray
     within: np.ndarray
     attention: Attention
+    pair_unit: np.ndarray
+
+    def before(self, ids: np.ndarray) -> np.ndarray:
+        """The unit, as pairs are counted, before each id; the last one stands before the first id."""
+        return np.concatenate([[PAIRED + GROUPS], self.pair_unit[ids[:-1]]])
+
+    def after(self, n: np.ndarray) -> np.ndarray:
+        """log10 of each id within its class, from the counts of ids after one unit and those over all units."""
+        classes = SINGLES + GROUPS
+        return np.log10((n + KAPPA * 10.0 ** self.within[0].astype(float)) / (np.bincount(self.class_of, n, classes) + KAPPA)[self.class_of])
+
+    def log10_within(self, ids: np.ndarray) -> np.ndarray:
+        return self.within[self.before(ids) if len(self.within) > 1 else np.zeros(len(ids), np.int64), ids].astype(np.float64)
 
     def inputs(self, ids: np.ndarray) -> np.ndarray:
         """The unit before each id; the last unit stands before the first id."""
@@ -242,10 +298,11 @@ class Model:
     def windows(self, ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Units, classes and weights of each window of a text, for training."""
         before, classes = self.inputs(ids), self.class_of[ids]
-        for at, skip in windows(len(ids)):
+        # side by side: each id is learnt once
+        for at in range(0, len(ids), WINDOW):
             u, c, w = np.zeros(WINDOW, np.int64), np.zeros(WINDOW, np.int64), np.zeros(WINDOW, np.float32)
             n = min(WINDOW, len(ids) - at)
-            u[:n], c[:n], w[skip:n] = before[at : at + n], classes[at : at + n], 1
+            u[:n], c[:n], w[:n] = before[at : at + n], classes[at : at + n], 1
             yield u, c, w
 
     def log10(self, texts: list[np.ndarray]) -> np.ndarray:
@@ -255,7 +312,7 @@ class Model:
         every = np.concatenate(texts)
         before = np.concatenate([self.inputs(t) for t in texts])
         classes = self.class_of[every]
-        total = np.bincount(np.repeat(np.arange(len(texts)), lengths), self.within[every], len(texts))
+        total = np.array([self.log10_within(t).sum() for t in texts])
         cuts = [(d, at, skip) for d, n in enumerate(lengths) for at, skip in windows(int(n))]
         for wanted in (0, OVERLAP):
             rows = np.array([(d, at) for d, at, skip in cuts if skip == wanted], dtype=np.int64).reshape(-1, 2)
@@ -318,7 +375,9 @@ def fit(texts: list[str | None], counts: np.ndarray, path: str, most_windows: in
     order = _order(counts)
     unit_of = OWN_UNITS + class_of
     unit_of[order[:OWN_UNITS]] = np.arange(OWN_UNITS)
-    model = Model(path, class_of, unit_of, within, Attention.new(OWN_UNITS + SINGLES + GROUPS + 1, SINGLES + GROUPS))
+    pair_unit = PAIRED + np.maximum(class_of - SINGLES, 0)
+    pair_unit[order[:PAIRED]] = np.arange(PAIRED)
+    model = Model(path, class_of, unit_of, within[None].astype(np.float16), Attention.new(OWN_UNITS + SINGLES + GROUPS + 1, SINGLES + GROUPS), pair_unit)
     rows = [row for ids in sample for row in model.windows(ids)]
     if rows:
         keep = np.random.default_rng(4).permutation(len(rows))[:most_windows]
@@ -344,7 +403,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     frequent.sort(key=lambda r: r.key)
     keys, numbers = np.array([r.key for r in frequent], dtype=np.int64), np.array([r.n for r in frequent], dtype=np.int64)
     start = fit(distinct_sample(train, "text", sample_docs), id_counts, path, usage=_whole_usage(encoded, id_counts))
-    model = _trained(start, encoded)
+    model = _paired(_trained(start, encoded), encoded)
     shared = docs.sparkSession.sparkContext.broadcast((model, keys, np.log10(numbers + SMOOTH)))
 
     kinds = f"row long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, key long, n long, base double, score double"

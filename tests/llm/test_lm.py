@@ -59,14 +59,14 @@ def test_scores_equal_brute_force_over_windows():
     model, path = small_model()
     texts = [L.text_ids(t, path) for t in ("", "the version of", "of the tional " * 40, "é" * 100)]
     for ids, score in zip(texts, model.log10(texts), strict=True):
-        total, before, seen = 0.0, model.inputs(ids), []
+        total, before, seen, within = 0.0, model.inputs(ids), [], model.log10_within(ids)
         for at, skip in A.windows(len(ids)):
             stop = min(at + A.WINDOW, len(ids))
             h = model.attention.hidden(before[None, at:stop])[0][0]
             for place in range(at + skip, stop):
                 z = (h[place - at] @ model.attention.p["out"] + model.attention.p["b"]).astype(float)
                 p = np.exp(z - z.max())
-                total += np.log10(p[model.class_of[ids[place]]] / p.sum()) + model.within[ids[place]]
+                total += np.log10(p[model.class_of[ids[place]]] / p.sum()) + within[place]
                 seen.append(place)
         assert seen == list(range(len(ids)))  # each place once
         assert abs(total - score) < 1e-3 * max(1, len(ids) / 10)
@@ -74,8 +74,31 @@ def test_scores_equal_brute_force_over_windows():
 
 def test_probabilities_sum_to_one():
     model, _ = small_model()
-    within = np.bincount(model.class_of, 10.0**model.within, L.SINGLES + L.GROUPS)
-    assert np.allclose(within[np.bincount(model.class_of, minlength=len(within)) > 0], 1)
+    counts = np.random.default_rng(3).poisson(0.01, L.VOCABULARY)
+    for logs in (model.within[0].astype(float), model.after(counts)):
+        within = np.bincount(model.class_of, 10.0**logs, L.SINGLES + L.GROUPS)
+        assert np.allclose(within[np.bincount(model.class_of, minlength=len(within)) > 0], 1, atol=6e-3)  # half precision
+
+
+def test_pairs_are_counted_over_all_documents(spark):
+    model, path = small_model()
+    texts = [t for _, t in corpus(80, seed=9)]
+    ids = [L.text_ids(t, path) for t in texts]
+    encoded = spark.createDataFrame([(0, bytearray(i.astype(np.uint16).tobytes())) for i in ids], "round int, ids binary").repartition(3)
+    got = L._paired(model, encoded)
+    counts = np.zeros((L.PAIRED + L.GROUPS + 1, L.VOCABULARY))
+    for i in ids:
+        np.add.at(counts, (model.before(i), i), 1)
+    for unit in range(len(counts)):
+        assert np.allclose(got.within[unit].astype(float), model.after(counts[unit]), atol=5e-3)
+    assert sum(got.log10([i])[0] for i in ids) > sum(model.log10([i])[0] for i in ids)
+
+
+def test_ahead_of_word_counts_on_the_given_table(spark):
+    """Held-out documents of the table: the model's log probability is above that of counted words."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = L.score_documents(docs).where("held_out").collect()
+    assert len(rows) > 50 and sum(r.score for r in rows) > sum(r.base_score for r in rows)
 
 
 def test_attention_is_causal_and_gradients_are_right():
