@@ -25,6 +25,19 @@ def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def flagged_alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alignments with library, flags and qualities."""
+    key = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    lines = table(spark, sf_dir, "lineitem").select("*", (F.col("l_partkey") % 3).alias("library_id"))
+    k = F.col("l_suppkey") % 21
+    return lines.select(
+        "library_id", F.concat(F.lit("a"), key).alias("name"), F.when(k == 19, F.lit("chrM")).otherwise(F.concat(F.lit("chr"), k.cast("string"))).alias("chrom"),
+        F.col("l_orderkey").alias("start_pos"), (F.col("l_orderkey") + F.col("l_quantity").cast("bigint")).alias("end_pos"), (F.col("l_linenumber") % 2 == 0).alias("reverse_strand"),
+        F.col("l_quantity").cast("int").alias("mapq"), bases(F.col("l_partkey") % 16).alias("seq"), F.lit("IIIIIIII").alias("qual"),
+        (F.col("l_partkey") % 17 == 0).alias("unmapped"), (F.col("l_suppkey") % 13 == 0).alias("secondary"), (F.col("l_orderkey") % 19 == 0).alias("chimeric"),
+    )
+
+
 def cut_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     chrom = F.concat(F.lit("chr"), (F.col("o_custkey") % 20).cast("string"))
     return table(spark, sf_dir, "orders").select(chrom.alias("chrom"), F.col("o_orderkey").alias("start")).distinct()
@@ -39,8 +52,8 @@ def ordered_umis(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every third user id of a type is a cut site."""
-    return table(spark, sf_dir, "events").where("user_id % 3 = 0").select(F.col("event_type").alias("chrom"), F.col("user_id").alias("start")).distinct()
+    """A cut site at the start of each 50 user ids in which a type has events, so that some events lie beyond the usual limit."""
+    return table(spark, sf_dir, "events").select(F.col("event_type").alias("chrom"), (F.col("user_id") - F.col("user_id") % 50).alias("start")).distinct()
 
 
 def prefixed_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,6 +118,12 @@ SQL = {
     "aln": """SELECT CASE WHEN l_suppkey % 21 = 19 THEN 'chrM' ELSE concat('chr', CAST(l_suppkey % 21 AS VARCHAR)) END AS chrom,
         l_orderkey AS start_pos, l_orderkey + CAST(l_quantity AS BIGINT) AS end_pos, l_linenumber % 2 = 0 AS reverse_strand,
         CAST(l_quantity AS INT) AS mapq, translate(lpad(CAST(l_partkey % 16 AS VARCHAR), 8, '0'), '0123456789', 'ACGTACGTAC') AS seq FROM lineitem""",
+    "fal": """SELECT l_partkey % 3 AS library_id, concat('a', l_orderkey * 8 + l_linenumber) AS name, CASE WHEN l_suppkey % 21 = 19 THEN 'chrM' ELSE concat('chr', CAST(l_suppkey % 21 AS VARCHAR)) END AS chrom,
+        l_orderkey AS start_pos, l_orderkey + CAST(l_quantity AS BIGINT) AS end_pos, l_linenumber % 2 = 0 AS reverse_strand, CAST(l_quantity AS INT) AS mapq,
+        translate(lpad(CAST(l_partkey % 16 AS VARCHAR), 8, '0'), '0123456789', 'ACGTACGTAC') AS seq, 'IIIIIIII' AS qual,
+        l_partkey % 17 = 0 AS unmapped, l_suppkey % 13 = 0 AS secondary, l_orderkey % 19 = 0 AS chimeric FROM lineitem""",
+    "fumi": """SELECT library_id, chrom, CASE WHEN reverse_strand THEN end_pos ELSE start_pos - 4 END AS pos, seq FROM fal
+        WHERE mapq >= 30 AND chrom <> 'chrM' AND NOT unmapped AND NOT secondary AND NOT chimeric""",
     "cs": "SELECT DISTINCT concat('chr', CAST(o_custkey % 20 AS VARCHAR)) AS chrom, o_orderkey AS start FROM orders",
     "umi": "SELECT chrom, CASE WHEN reverse_strand THEN end_pos ELSE start_pos - 4 END AS pos, seq FROM aln WHERE mapq >= 30 AND chrom <> 'chrM'",
     "near": """SELECT u.chrom, u.pos, u.seq, CASE WHEN p.start IS NULL THEN n.start WHEN n.start IS NULL THEN p.start
@@ -115,7 +134,7 @@ SQL = {
     "oumi": """SELECT event_id AS line_no, event_id % 3 AS library_id, event_type AS chrom, user_id AS pos,
         translate(lpad(CAST(event_id % 16 AS VARCHAR), 8, '0'), '0123456789', 'ACGTACGTAC') AS seq,
         translate(CAST(event_id % 10 AS VARCHAR), '0123456789', '?@ABCDEFGH') AS qual FROM events""",
-    "ocs": "SELECT DISTINCT event_type AS chrom, user_id AS start FROM events WHERE user_id % 3 = 0",
+    "ocs": "SELECT DISTINCT event_type AS chrom, user_id - user_id % 50 AS start FROM events",
     "oloc": "SELECT DISTINCT chrom, pos FROM oumi",
     "onear": """SELECT chrom, pos, rs_pos, abs(pos - rs_pos) AS d_rs FROM (SELECT u.chrom, u.pos, CASE WHEN p.start IS NULL THEN n.start WHEN n.start IS NULL THEN p.start
             WHEN u.pos - p.start <= n.start - u.pos THEN p.start ELSE n.start END AS rs_pos
@@ -124,13 +143,16 @@ SQL = {
     "snp": """SELECT concat('chr', CAST(p_partkey % 20 AS VARCHAR)) AS chrom, p_partkey * 7 AS snp_pos, substr('ACGT', CAST(1 + p_size % 4 AS INT), 1) AS ref,
         substr('ACGT', CAST(1 + (p_size + 1) % 4 AS INT), 1) AS alt FROM part""",
     "rd": """SELECT DISTINCT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS read_id, concat('chr', CAST(l_suppkey % 21 AS VARCHAR)) AS chrom,
-        l_orderkey AS start_pos, l_orderkey + CAST(l_quantity AS BIGINT) AS end_pos,
+        l_orderkey AS start_pos, l_orderkey + CAST(l_quantity AS BIGINT) AS end_pos, l_linenumber % 2 = 0 AS reverse_strand,
         translate(lpad(CAST(l_partkey % 16 AS VARCHAR), 8, '0'), '0123456789', 'ACGTACGTAC') AS seq FROM lineitem""",
     "ov": """SELECT r.read_id, r.chrom, r.start_pos, r.end_pos, s.snp_pos, s.ref, s.alt, substr(r.seq, CAST(1 + (s.snp_pos - r.start_pos) % 8 AS INT), 1) AS base
         FROM rd r JOIN snp s ON r.chrom = s.chrom AND s.snp_pos >= r.start_pos AND s.snp_pos < r.end_pos""",
     "cls": """SELECT read_id, n_ref, n_alt, n_other, CASE WHEN n_ref > 0 AND n_alt > 0 THEN 'conflict' WHEN n_ref > 0 THEN 'genome1' WHEN n_alt > 0 THEN 'genome2'
-        ELSE 'unassignable' END AS class, n_other > 0 AS weird FROM (SELECT read_id, count(*) FILTER (base = ref) AS n_ref, count(*) FILTER (base = alt) AS n_alt,
-        count(*) FILTER (base <> ref AND base <> alt) AS n_other FROM ov GROUP BY read_id)""",
+        ELSE 'unassignable' END AS class, n_other > 0 AS weird FROM (SELECT rd.read_id, count(*) FILTER (base = ref) AS n_ref, count(*) FILTER (base = alt) AS n_alt,
+        count(*) FILTER (base <> ref AND base <> alt) AS n_other FROM rd LEFT JOIN ov ON rd.read_id = ov.read_id GROUP BY rd.read_id)""",
+    "gumi": """SELECT CASE class WHEN 'genome1' THEN 'g1' ELSE 'g2' END AS own, chrom, CASE WHEN reverse_strand THEN end_pos ELSE start_pos - 4 END AS pos, seq
+        FROM rd JOIN cls USING (read_id) WHERE class IN ('genome1', 'genome2')""",
+    "gall": "SELECT own AS genome, chrom, pos, seq, rs_pos, d_rs FROM gnear UNION ALL SELECT 'm', chrom, pos, seq, rs_pos, d_rs FROM gnear",
     "rp": """SELECT p_partkey AS read_id, translate(lpad(CAST(p_partkey * 7919 * 104729 AS VARCHAR), 24, '0'), '0123456789', 'ACGTACGTAC') AS seq,
         list_aggregate(list_transform(range(1, 25), lambda k: chr(CAST(61 + (k * p_partkey) % 13 AS INT))), 'string_agg', '') AS qual FROM part""",
     "lg": """SELECT event_id % 3 AS library_id, event_id % 7 AS line_no, concat('[10:00:00] INFO Output: ', count(*), ' (97.50%) UMI sequences over ',
@@ -138,8 +160,19 @@ SQL = {
     "ct": "SELECT event_id % 3 AS library_id, event_type AS metric, count(*) AS value FROM events GROUP BY 1, 2",
     "osite": """SELECT o.*, n.rs_pos FROM oumi o JOIN onear n USING (chrom, pos) WHERE d_rs <= 20""",
 }
+
+
+def _near(rows: str) -> str:
+    """rows (chrom, pos and others) with the nearest site, of two as near the lower."""
+    return f"""SELECT *, abs(pos - rs_pos) AS d_rs FROM (SELECT u.*, CASE WHEN p.start IS NULL THEN n.start WHEN n.start IS NULL THEN p.start
+            WHEN u.pos - p.start <= n.start - u.pos THEN p.start ELSE n.start END AS rs_pos
+        FROM {rows} u ASOF LEFT JOIN cs p ON u.chrom = p.chrom AND u.pos >= p.start ASOF LEFT JOIN cs n ON u.chrom = n.chrom AND u.pos <= n.start
+        WHERE p.start IS NOT NULL OR n.start IS NOT NULL)"""
+
+
+SQL |= {"gnear": _near("gumi"), "fnear": _near("fumi")}
 #: Which tables each one reads.
-_NEEDS = {"umi": ["aln"], "near": ["umi", "cs"], "oloc": ["oumi"], "onear": ["oloc", "ocs"], "ov": ["rd", "snp"], "cls": ["ov"], "osite": ["oumi", "onear"]}
+_NEEDS = {"fumi": ["fal"], "fnear": ["fumi", "cs"], "gumi": ["rd", "cls"], "gnear": ["gumi", "cs"], "gall": ["gnear"], "umi": ["aln"], "near": ["umi", "cs"], "oloc": ["oumi"], "onear": ["oloc", "ocs"], "ov": ["rd", "snp"], "cls": ["rd", "ov"], "osite": ["oumi", "onear"]}
 
 
 def sql(body: str, *names: str) -> str:

@@ -1,4 +1,4 @@
-"""Whole jobs: alignments to deduplicated sites, and one library's counters."""
+"""Whole jobs: reads to routes, alignments to deduplicated sites, genomes, and each library's counters."""
 
 from __future__ import annotations
 
@@ -6,14 +6,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitewise.operators import alignments as A
+from sitewise.operators import reads as R
 from sitewise.operators import sites as S
 from sitewise.operators import umis as U
 
 
 def sites_of(alignments: DataFrame, sites: DataFrame, max_distance: int = S.MAX_DISTANCE, site_length: int = 4, **clean) -> DataFrame:
-    """Reads and distinct UMIs at each cut site: one plan from alignments, no files between."""
+    """Reads and distinct UMIs at each cut site: one plan from alignments, no files between. Equal reads are counted before anything is joined."""
     placed = A.with_site_position(A.clean(alignments, **clean), site_length).select("chrom", "pos", "seq")
-    return U.count_distinct_umis(S.within_distance(S.nearest_site(placed, sites), max_distance))
+    each = placed.groupBy("chrom", "pos", "seq").agg(F.count(F.lit(1)).alias("reads"))
+    return U.count_distinct_umis(S.within_distance(S.nearest_site(each, sites), max_distance), "reads")
+
+
+def prepared_reads(reads: DataFrame, barcode: str, site: str, substitutions: int = 1) -> DataFrame:
+    """Reads cut into their prefix and the rest, with both filters' outcomes and the route of each."""
+    sliced = R.pass_umi_quality(R.slice_prefix(reads))
+    return R.routed(R.pass_prefix(sliced, barcode, site, substitutions))
+
+
+def read_counters(prepared: DataFrame, library: str = "library_id") -> DataFrame:
+    """input, umi_hq and prefix of each library, in one pass."""
+    kept = F.col("matched") & F.col("high_quality")
+    return prepared.groupBy(library).agg(F.count(F.lit(1)).alias("input"), F.count_if(kept).alias("umi_hq"), F.count_if(kept & F.col("prefix_ok")).alias("prefix"))
+
+
+def genome_assigned(reads: DataFrame, classes: DataFrame, sites: DataFrame) -> DataFrame:
+    """Reads of genome1 (g1), genome2 (g2) and both (m), with their nearest sites, which are looked for once."""
+    own = reads.join(classes.where(F.col("class").isin("genome1", "genome2")).select("read_id", "class"), "read_id")
+    placed = A.with_site_position(own).select(F.when(F.col("class") == "genome1", "g1").otherwise("g2").alias("own"), "chrom", "pos", "seq")
+    assigned = S.nearest_site(placed, sites)
+    return assigned.select(F.explode(F.array("own", F.lit("m"))).alias("genome"), "chrom", "pos", "seq", "rs_pos", "d_rs")
 
 
 def sited_lists(umis: DataFrame, sites: DataFrame, order: str, max_distance: int = S.MAX_DISTANCE, keep_terminal_row: bool = False) -> DataFrame:
@@ -22,9 +44,15 @@ def sited_lists(umis: DataFrame, sites: DataFrame, order: str, max_distance: int
     return U.merge_sites(S.within_distance(assigned, max_distance), keep_terminal_row)
 
 
-def counters_of(alignments: DataFrame, sited: DataFrame, library: str = "library_id") -> DataFrame:
-    """Long counters of each library from tables, instead of parsed logs. Both tables carry the library's column."""
-    wide = A.alignment_counters(alignments, library)
-    first = wide.unpivot(library, ["low_mapq", "chrm", "mapped"], "metric", "value")
-    totals = sited.groupBy(library).agg(F.sum("n_reads").alias("from_cs"), F.sum("n_umis").alias("uniq"))
-    return first.unionByName(totals.unpivot(library, ["from_cs", "uniq"], "metric", "value")).withColumnRenamed(library, "library_id")
+def counters_of(reads: DataFrame, alignments: DataFrame, sites: DataFrame, library: str = "library_id") -> DataFrame:
+    """Long counters (library_id, metric, value) of each library from tables, instead of parsed logs.
+
+    reads are prepared (prepared_reads), alignments have flag columns; both carry the library's column.
+    """
+    placed = A.with_site_position(A.clean(alignments)).select(library, "chrom", "pos", "seq")
+    tables = (
+        (read_counters(reads, library), ["input", "umi_hq", "prefix"]), (A.alignment_counters(alignments, library), ["unmapped", "second_aln", "chrm", "low_mapq", "mapped"]),
+        (S.site_counters(S.nearest_site(placed, sites), library), ["n_umis", "from_cs", "uniq"]),
+    )
+    long = [t.unpivot(library, names, "metric", "value") for t, names in tables]
+    return long[0].unionByName(long[1]).unionByName(long[2]).withColumnRenamed(library, "library_id")

@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 
 from sitewise.functions.expressions import near_literal
 from sitewise.jobs import fixtures as X
-from sitewise.jobs.preprocess import sited_lists, sites_of
+from sitewise.jobs.preprocess import counters_of, genome_assigned, prepared_reads, sited_lists, sites_of
 from sitewise.operators import alignments as A
 from sitewise.operators import allelic as L
 from sitewise.operators import reads as R
 from sitewise.operators import sites as S
 from sitewise.operators import summary as M
 from sitewise.operators import umis as U
+from sitewise.sources import readers, sinks
+from sitewise.sources.shared import new_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -265,17 +267,34 @@ def genome_union_sites(spark, d):
     return each.groupBy("genome", "chrom").agg(F.sum("n").alias("reads"), F.count("start_pos").alias("positions"))
 
 
+@query("SELECT genome, chrom, rs_pos AS pos, count(*) AS n_reads, count(DISTINCT seq) AS n_umis FROM gall WHERE d_rs <= 20 GROUP BY 1, 2, 3", "gall")
+def genome_sites(spark, d):
+    """The chain of each genome and of both together: nearest site, distance limit, merge, deduplication."""
+    near = S.within_distance(_genome_assigned(spark, d))
+    each = near.groupBy("genome", "chrom", F.col("rs_pos").alias("pos"), "seq").agg(F.count(F.lit(1)).alias("reads"))
+    return each.groupBy("genome", "chrom", "pos").agg(F.sum("reads").alias("n_reads"), F.count("seq").alias("n_umis"))
+
+
+def _genome_assigned(spark, d) -> DataFrame:
+    classes = L.allele_class(_overlaps(spark, d))  # reads of a genome cover a variant
+    return genome_assigned(X.allelic_reads(spark, d), classes, X.cut_sites(spark, d))
+
+
+def _tail(g: str, whole: str) -> str:
+    return f"{g}_from_cs / {g}_n_umis AS {g}_from_cs_share, {g}_uniq / {g}_from_cs AS {g}_uniq_share, {g}_uniq / {whole} AS {g}_out_share"
+
+
+_TAILS = ", ".join(
+    f"count(*) FILTER (genome = '{g}') AS {g}_n_umis, count(*) FILTER (genome = '{g}' AND d_rs <= 20) AS {g}_from_cs, count(DISTINCT (chrom, rs_pos, seq)) FILTER (genome = '{g}' AND d_rs <= 20) AS {g}_uniq"
+    for g in ("g1", "g2", "m")
+)
+
+
 @query(
-    f"""SELECT 0 AS library_id, mapped, unassigned, genome1, genome2, weird, conflict, g1_from_cs, g2_from_cs, m_from_cs, g1_uniq, g2_uniq, m_uniq,
-      unassigned / mapped AS unassigned_share, genome1 / mapped AS genome1_share, genome2 / mapped AS genome2_share, weird / mapped AS weird_share, conflict / mapped AS conflict_share,
-      g1_from_cs / genome1 AS g1_from_cs_share, g1_uniq / g1_from_cs AS g1_uniq_share, g1_uniq / genome1 AS g1_out_share,
-      g2_from_cs / genome2 AS g2_from_cs_share, g2_uniq / g2_from_cs AS g2_uniq_share, g2_uniq / genome2 AS g2_out_share,
-      m_from_cs / (genome1 + genome2) AS m_from_cs_share, m_uniq / m_from_cs AS m_uniq_share, m_uniq / (genome1 + genome2) AS m_out_share
+    f"""SELECT 0 AS library_id, *, unassigned / mapped AS unassigned_share, genome1 / mapped AS genome1_share, genome2 / mapped AS genome2_share, weird / mapped AS weird_share,
+      conflict / mapped AS conflict_share, {_tail("g1", "genome1")}, {_tail("g2", "genome2")}, {_tail("m", "(genome1 + genome2)")}
     FROM (SELECT count(*) AS mapped, count(*) FILTER (class = 'unassignable') AS unassigned, count(*) FILTER (class = 'genome1') AS genome1, count(*) FILTER (class = 'genome2') AS genome2,
-      count(*) FILTER (weird) AS weird, count(*) FILTER (class = 'conflict') AS conflict FROM cls),
-    (SELECT count(*) FILTER (genome = 'g1') AS g1_from_cs, count(*) FILTER (genome = 'g2') AS g2_from_cs, count(*) FILTER (genome = 'm') AS m_from_cs,
-      count(DISTINCT (chrom, start_pos, seq)) FILTER (genome = 'g1') AS g1_uniq, count(DISTINCT (chrom, start_pos, seq)) FILTER (genome = 'g2') AS g2_uniq,
-      count(DISTINCT (chrom, start_pos, seq)) FILTER (genome = 'm') AS m_uniq FROM (WITH {_R} SELECT * FROM {_GENOMES}))""", "rd", "cls",
+      count(*) FILTER (weird) AS weird, count(*) FILTER (class = 'conflict') AS conflict FROM cls), (SELECT {_TAILS} FROM gall)""", "cls", "gall",
 )
 def allelic_summary(spark, d):
     """Counters of one library from classes and genomes; each genome's reads go to their nearest site within the distance limit before they are counted."""
@@ -283,9 +302,81 @@ def allelic_summary(spark, d):
     classes = _classes(spark, d)
     names = {"mapped": F.lit(True), "unassigned": F.col("class") == "unassignable", "genome1": F.col("class") == "genome1", "genome2": F.col("class") == "genome2", "weird": F.col("weird"), "conflict": F.col("class") == "conflict"}
     whole = classes.agg(*(F.count_if(x).alias(c) for c, x in names.items()))
-    placed = A.with_site_position(_genome_reads(spark, d)).select("genome", "chrom", "pos", "seq")
-    sited = S.within_distance(S.nearest_site(placed, X.cut_sites(spark, d)))
-    each = sited.groupBy("genome", "chrom", "rs_pos", "seq").agg(F.count(F.lit(1)).alias("n"))
-    tails = each.groupBy("genome").agg(F.sum("n").alias("from_cs"), F.count(F.lit(1)).alias("uniq"))
+    tails = S.site_counters(_genome_assigned(spark, d), "genome")
     long = whole.select(library, none, "*").unpivot(["library_id", "genome"], list(names), "metric", "value")
-    return M.allelic_summary(long.unionByName(tails.select(library, "*").unpivot(["library_id", "genome"], ["from_cs", "uniq"], "metric", "value")))
+    return M.allelic_summary(long.unionByName(tails.select(library, "*").unpivot(["library_id", "genome"], ["n_umis", "from_cs", "uniq"], "metric", "value")))
+
+
+@query("SELECT * EXCLUDE (name, qual) FROM fal WHERE mapq >= 30 AND chrom <> 'chrM' AND NOT unmapped AND NOT secondary AND NOT chimeric", "fal")
+def clean_flagged_alignments(spark, d):
+    return A.clean(X.flagged_alignments(spark, d)).drop("name", "qual")
+
+
+_BC, _SITE = "GTCGTATC", "GATC"
+_PREPARED = f"""(SELECT read_id, read_id % 3 AS library_id, substr(seq, 9, 8) AS bc, substr(seq, 17, 4) AS cs,
+    len(list_filter(range(1, 9), lambda i: ascii(substr(qual, CAST(i AS INT), 1)) - 33 < 30)) / 8 <= 0.2 AS hq,
+    hamming(substr(seq, 9, 8), '{_BC}') <= 6 AND hamming(substr(seq, 17, 4), '{_SITE}') <= 6 AS ok FROM rp)"""
+
+
+def _prepared(spark, d) -> DataFrame:
+    """Six substitutions, since made-up reads don't carry the barcode."""
+    return prepared_reads(X.prefixed_reads(spark, d).withColumn("library_id", F.col("read_id") % 3), _BC, _SITE, 6)
+
+
+@query(f"SELECT read_id, bc, cs, hq AS high_quality, ok AS prefix_ok, CASE WHEN NOT hq THEN 'low_quality' WHEN ok THEN 'prefix_ok' ELSE 'prefix_bad' END AS route FROM {_PREPARED}", "rp")
+def read_routes(spark, d):
+    return _prepared(spark, d).select("read_id", "bc", "cs", "high_quality", "prefix_ok", "route")
+
+
+@query(
+    f"""SELECT 'run' AS prep_run, *, umi_hq / input AS umi_hq_share, prefix / umi_hq AS prefix_share, mapped / prefix AS mapped_share, from_cs / n_umis AS from_cs_share,
+      uniq / from_cs AS uniq_share, uniq / input AS out_share
+    FROM (SELECT library_id, count(*) AS input, count(*) FILTER (hq) AS umi_hq, count(*) FILTER (hq AND ok) AS prefix FROM {_PREPARED} GROUP BY 1)
+    JOIN (SELECT library_id, count(*) FILTER (unmapped) AS unmapped, count(*) FILTER (secondary) AS second_aln, count(*) FILTER (chrom = 'chrM') AS chrm, count(*) FILTER (mapq < 30) AS low_mapq,
+      count(*) FILTER (mapq >= 30 AND chrom <> 'chrM' AND NOT unmapped AND NOT secondary AND NOT chimeric) AS mapped FROM fal GROUP BY 1) USING (library_id)
+    JOIN (SELECT library_id, count(*) AS n_umis, count(*) FILTER (d_rs <= 20) AS from_cs, count(DISTINCT (chrom, rs_pos, seq)) FILTER (d_rs <= 20) AS uniq FROM fnear GROUP BY 1) USING (library_id)""",
+    "rp", "fal", "fnear",
+)
+def library_summary(spark, d):
+    """All counters and shares of each library, from reads and alignments to distinct UMIs."""
+    table = counters_of(_prepared(spark, d), X.flagged_alignments(spark, d), X.cut_sites(spark, d))
+    return M.require(M.library_summary(table, "run"), "input", "umi_hq", "prefix", "unmapped", "second_aln", "chrm", "low_mapq", "mapped", "from_cs", "uniq")
+
+
+@query("SELECT concat('r', read_id) AS name, seq, qual FROM rp", "rp")
+def fastq_round_trip(spark, d):
+    path = new_dir(spark, "reads")
+    sinks.reads_text(X.prefixed_reads(spark, d).withColumn("name", F.concat(F.lit("r"), "read_id")), path)
+    return readers.fastq(spark, path).select("name", "seq", "qual")
+
+
+@query("SELECT name AS qname, * EXCLUDE (library_id, name, chimeric), chimeric AND NOT unmapped AS chimeric FROM fal", "fal")
+def sam_round_trip(spark, d):
+    path = new_dir(spark, "records")
+    A.sam_lines(X.flagged_alignments(spark, d), F.col("name")).write.text(path)
+    return A.from_sam(readers.sam(spark, path))
+
+
+@query("SELECT chrom, start, start + 4 AS stop, concat('site', start) AS name FROM cs", "cs")
+def sites_round_trip(spark, d):
+    path = new_dir(spark, "sites")
+    sites = X.cut_sites(spark, d)
+    sinks.tsv(sites.select("chrom", "start", (F.col("start") + 4).alias("stop"), F.concat(F.lit("site"), "start").alias("name")), path)
+    return readers.cut_sites(spark, path)
+
+
+@query(
+    """SELECT chrom, pos, string_agg(seq, ' ' ORDER BY line_no) AS seqs, string_agg(qual, ' ' ORDER BY line_no) AS quals, count(*) AS n
+    FROM oumi GROUP BY chrom, pos""", "oumi",
+)
+def grouped_umis_round_trip(spark, d):
+    path = new_dir(spark, "grouped")
+    sinks.tsv(U.group_umis(X.ordered_umis(spark, d), "line_no").select("chrom", "pos", "seqs", "quals"), path)
+    return _joined(readers.grouped_umis(spark, path))
+
+
+@query("SELECT library_id, metric, value FROM ct", "ct")
+def counters_round_trip(spark, d):
+    path = new_dir(spark, "counters")
+    sinks.counters(X.event_counters(spark, d), path)
+    return spark.read.parquet(path)

@@ -37,8 +37,10 @@ def clean(alignments: DataFrame, **how) -> DataFrame:
 
 
 def alignment_counters(alignments: DataFrame, *by: str, min_mapq: int = MIN_MAPQ, mitochondrion: str = MITOCHONDRION) -> DataFrame:
-    """All counters from one scan. They overlap, so none is derived from another."""
+    """All counters from one scan. They overlap, so none is derived from another. Flags are counted where the table has them."""
+    flags = [F.count_if(flag).alias(name) for flag, name in (("unmapped", "unmapped"), ("secondary", "second_aln")) if flag in alignments.columns]
     return alignments.groupBy(*by).agg(
+        *flags,
         F.count_if(F.col("mapq") < min_mapq).alias("low_mapq"),
         F.count_if(F.col("chrom") == mitochondrion).alias("chrm"),
         F.count_if(is_clean(alignments, min_mapq, mitochondrion)).alias("mapped"),
@@ -51,6 +53,20 @@ def with_site_position(alignments: DataFrame, site_length: int = 4) -> DataFrame
     return alignments.withColumn("pos", F.when(F.col("reverse_strand"), F.col("end_pos")).otherwise(F.col("start_pos") - site_length))
 
 
+def coordinate_sorted(alignments: DataFrame) -> DataFrame:
+    """Rows in the order of chromosome and start over the whole table: ranges are dealt to tasks, and each task sorts its own."""
+    return alignments.repartitionByRange("chrom", "start_pos").sortWithinPartitions("chrom", "start_pos", "end_pos")
+
+
+def sam_lines(alignments: DataFrame, name: Column) -> DataFrame:
+    """Records of the text format from rows with flag columns; each is one whole match. The reverse of from_sam."""
+    bits = ((F.col("unmapped"), UNMAPPED), (F.col("secondary"), SECONDARY), (F.col("reverse_strand"), REVERSE), (F.col("chimeric"), PAIRED))
+    flag = sum((F.when(c, bit).otherwise(0) for c, bit in bits), F.lit(0))
+    mate = F.when(F.col("chimeric"), F.concat("chrom", F.lit("_mate"))).otherwise("*")
+    cigar = F.concat(F.col("end_pos") - F.col("start_pos"), F.lit("M"))
+    return alignments.select(F.concat_ws("\t", name, flag, "chrom", F.col("start_pos") + 1, "mapq", cigar, mate, F.lit("0"), F.lit("0"), "seq", "qual").alias("value"))
+
+
 def read_name_flags(alignments: DataFrame, name: str = "qname") -> DataFrame:
     """Adds umi and umi_qual from the read name, found by their labels rather than by place."""
     return alignments.withColumns({"umi": named_token(F.col(name), "umi"), "umi_qual": named_token(F.col(name), "qumi")})

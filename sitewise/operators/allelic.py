@@ -44,5 +44,5 @@ def allele_class(overlaps: DataFrame, base: str = "base", read: str = "read_id",
 
 
 def genome_union(**genomes: DataFrame) -> DataFrame:
-    """Bag union of the genomes' rows under a genome column; order is left to the sink."""
+    """Bag union of the genomes' rows under a genome column; alignments.coordinate_sorted orders it."""
     return reduce(DataFrame.unionByName, (df.withColumn("genome", F.lit(name)) for name, df in genomes.items()))

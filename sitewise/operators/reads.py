@@ -39,9 +39,10 @@ def pass_prefix(reads: DataFrame, barcode: str, site: str, substitutions: int =
 
 
 def routed(reads: DataFrame) -> DataFrame:
-    """Adds route: unmatched, low_quality or high_quality; a sink partitioned by it writes all three in one pass."""
-    route = F.when(~F.col("matched"), "unmatched").when(~F.col("high_quality"), "low_quality").otherwise("high_quality")
-    return reads.withColumn("route", route)
+    """Adds route, by which a sink is partitioned and so writes all routes in one pass: unmatched, low_quality, and high_quality or, once prefixes are
+    checked (pass_prefix), prefix_ok and prefix_bad."""
+    kept = F.when(F.col("prefix_ok"), "prefix_ok").otherwise("prefix_bad") if "prefix_ok" in reads.columns else F.lit("high_quality")
+    return reads.withColumn("route", F.when(~F.col("matched"), "unmatched").when(~F.col("high_quality"), "low_quality").otherwise(kept))
 
 
 def flag_histogram(reads: DataFrame, *flags: str) -> DataFrame:

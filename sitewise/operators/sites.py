@@ -14,40 +14,42 @@ BIN_WIDTH = 1 << 20
 def nearest_site(umis: DataFrame, sites: DataFrame, bin_width: int = BIN_WIDTH) -> DataFrame:
     """Adds rs_pos and d_rs, the nearest site on the same chromosome (of two as near, the lower) and its distance.
 
-    umis has chrom and pos; sites has chrom and start. Rows on chromosomes without sites are left out.
-    Each site carries the next one, and each bin that has rows begins with the last site before it, so one
-    running window for each (chrom, bin) sees both neighbours and no row meets more than its own bin.
+    umis has chrom and pos; sites has chrom and start. Rows on chromosomes without sites are left out. Only distinct positions look for their sites, so a
+    locus with very many rows is one position there; rows meet what was found in a join, whose hot keys adaptive execution splits.
     """
-    per_chrom = W.partitionBy("chrom").orderBy("start")
-    known = sites.select("chrom", F.col("start").cast("long").alias("start")).where("chrom is not null and start is not null").distinct()
-    known = known.withColumn("next", F.lead("start").over(per_chrom))
-    bin_of = lambda c: F.floor(F.col(c) / bin_width)
+    spot = F.col("pos").cast("long")
+    found = nearest_of(umis.select("chrom", spot.alias("at")).distinct(), sites, bin_width)
+    left, right = umis.alias("umi"), found.alias("found")
+    met = left.join(right, (F.col("umi.chrom") == F.col("found.chrom")) & (F.col("umi.pos").cast("long") == F.col("found.at")))
+    return met.select("umi.*", "found.rs_pos", "found.d_rs")
+
+
+def nearest_of(spots: DataFrame, sites: DataFrame, bin_width: int = BIN_WIDTH) -> DataFrame:
+    """chrom, at, rs_pos and d_rs of each of the spots (chrom, at) whose chromosome has a site.
 
-    rows = umis.select(F.struct(*umis.columns).alias("umi"), F.col("chrom"), F.col("pos").cast("long").alias("at"), F.lit(1).alias("k"))
-    rows = rows.where("chrom is not null and at is not null").withColumn("bin", bin_of("at"))
-    entry = rows.select("chrom", "bin").distinct().withColumn("at", F.col("bin") * bin_width)
+    Spots and sites of a bin are one sorted run, in which the last site before a spot and the first one after it are running values. What lies beyond
+    the bin comes from each bin's first and last site: a small table, the only one in which a chromosome's rows meet.
+    """
+    bin_of = lambda c: F.floor(F.col(c) / bin_width)
+    known = sites.select("chrom", F.col("start").cast("long").alias("at")).where("chrom is not null and at is not null").distinct().withColumn("bin", bin_of("at"))
+    spots = spots.where("chrom is not null and at is not null").withColumn("bin", bin_of("at"))
 
-    # What precedes each bin: the last site before its first base; with none, only a next site, the chromosome's first.
+    ends = known.groupBy("chrom", "bin").agg(F.min("at").alias("low"), F.max("at").alias("high"))
     none = F.lit(None).cast("long")
-    small = known.select("chrom", F.col("start").alias("at"), F.lit(1).alias("k"), none.alias("bin"), F.struct("start", "next").alias("site")).unionByName(
-        entry.select("chrom", "at", F.lit(0).alias("k"), "bin", F.lit(None).cast("struct<start:bigint,next:bigint>").alias("site"))
-    )
-    before = F.last("site", ignorenulls=True).over(W.partitionBy("chrom").orderBy("at", "k").rowsBetween(W.unboundedPreceding, 0))
-    first = F.min("site.start").over(W.partitionBy("chrom"))
-    entries = small.withColumn("before", before).withColumn("first", first).where("k = 0")
-    entries = entries.select("chrom", "bin", F.lit(None).cast("long").alias("at"), F.coalesce("before", F.struct(none.alias("start"), F.col("first").alias("next"))).alias("site"))
-    inner = known.select("chrom", bin_of("start").alias("bin"), F.col("start").alias("at"), F.struct("start", "next").alias("site"))
-
-    no_umi = F.lit(None).cast(rows.schema["umi"].dataType)
-    line = entries.unionByName(inner).select("chrom", "bin", "at", F.lit(0).alias("k"), "site", no_umi.alias("umi"))
-    line = line.unionByName(rows.select("chrom", "bin", "at", "k", F.lit(None).cast("struct<start:bigint,next:bigint>").alias("site"), "umi"))
-    running = W.partitionBy("chrom", "bin").orderBy(F.col("at").asc_nulls_first(), "k").rowsBetween(W.unboundedPreceding, 0)
-    seen = line.withColumn("near", F.last("site", ignorenulls=True).over(running)).where("k = 1 and (near.start is not null or near.next is not null)")
-
-    left, right = F.col("at") - F.col("near.start"), F.col("near.next") - F.col("at")
-    go_left = F.col("near.next").isNull() | (left <= right)
-    rs_pos = F.when(go_left & F.col("near.start").isNotNull(), F.col("near.start")).otherwise(F.col("near.next"))
-    return seen.select("umi.*", rs_pos.alias("rs_pos"), F.abs(F.col("at") - rs_pos).alias("d_rs"))
+    bins = ends.unionByName(spots.select("chrom", "bin").distinct().select("*", none.alias("low"), none.alias("high"))).groupBy("chrom", "bin").agg(F.max("low").alias("low"), F.max("high").alias("high"))
+    along = W.partitionBy("chrom").orderBy("bin")
+    beyond = bins.select(
+        "chrom", "bin", F.last("high", ignorenulls=True).over(along.rowsBetween(W.unboundedPreceding, -1)).alias("before"),
+        F.last("low", ignorenulls=True).over(W.partitionBy("chrom").orderBy(F.desc("bin")).rowsBetween(W.unboundedPreceding, -1)).alias("after"),
+    )
+
+    line = spots.select("chrom", "bin", "at", none.alias("site")).unionByName(known.select("chrom", "bin", "at", F.col("at").alias("site")))
+    running = lambda *order: F.last("site", ignorenulls=True).over(W.partitionBy("chrom", "bin").orderBy(*order).rowsBetween(W.unboundedPreceding, 0))
+    seen = line.withColumn("left", running("at", F.col("site").asc_nulls_last())).withColumn("right", running(F.desc("at"), F.col("site").asc_nulls_last())).where("site is null")
+    seen = seen.join(beyond, ["chrom", "bin"]).select("chrom", "at", F.coalesce("left", "before").alias("left"), F.coalesce("right", "after").alias("right"))
+    go_left = F.col("right").isNull() | (F.col("at") - F.col("left") <= F.col("right") - F.col("at"))
+    rs_pos = F.when(go_left & F.col("left").isNotNull(), F.col("left")).otherwise(F.col("right"))
+    return seen.select("chrom", "at", rs_pos.alias("rs_pos")).where("rs_pos is not null").withColumn("d_rs", F.abs(F.col("at") - F.col("rs_pos")))
 
 
 def within_distance(assigned: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
@@ -73,3 +75,13 @@ def assignment_stats(assigned: DataFrame, count: str | None = None) -> DataFrame
         F.count(F.lit(1)).alias("n_locations"), (F.sum(count) if count else F.count(F.lit(1))).cast("long").alias("n_umis"),
         F.min("d_rs").alias("min_d"), F.avg("d_rs").alias("mean_d"), F.max("d_rs").alias("max_d"),
     )
+
+
+def site_counters(assigned: DataFrame, *by: str, max_distance: int = MAX_DISTANCE) -> DataFrame:
+    """For each value of by: n_umis, the reads on chromosomes with sites; from_cs, those near one; uniq, their distinct (site, sequence); and n_sites.
+
+    The first aggregation, on (site, sequence), spreads a hot site over tasks.
+    """
+    each = assigned.groupBy(*by, "chrom", "rs_pos", "seq").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("d_rs") <= max_distance).alias("near"))
+    sites = each.groupBy(*by, "chrom", "rs_pos").agg(F.sum("n").alias("n"), F.sum("near").alias("near"), F.count_if(F.col("near") > 0).alias("uniq"))
+    return sites.groupBy(*by).agg(F.sum("n").alias("n_umis"), F.sum("near").alias("from_cs"), F.sum("uniq").alias("uniq"), F.count_if(F.col("near") > 0).alias("n_sites"))

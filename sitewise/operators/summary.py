@@ -9,6 +9,9 @@ from sitewise.functions.expressions import percent_text, ratio
 
 #: What the logs of the steps say, as patterns with the place of the number. Only an importer of old logs needs them.
 LOG_PATTERNS = {
+    "umi_hq": (r"^.* (\d+)/(\d+) \([0-9.%]+\).*flag_extract\.py:246", 1),
+    "input": (r"^.* (\d+)/(\d+) \([0-9.%]+\).*flag_extract\.py:246", 2),
+    "prefix": (r"^.* (\d+)/(\d+) \([0-9.%]+\).*flag_regex\.py:156", 1),
     "unmapped": (r"^\s+(\d+) \([0-9.]+%\) aligned 0 times", 1),
     "second_aln": (r"^\s+(\d+) \([0-9.]+%\) aligned >1 times", 1),
     "from_cs": (r"^.*?Output: (\d+) \([0-9.]+%\) UMI sequences over (\d+)", 1),
@@ -16,15 +19,16 @@ LOG_PATTERNS = {
     "unassigned": (r"^(\d+) reads were unassignable", 1),
     "genome1": (r"^(\d+) reads were specific for genome 1", 1),
     "genome2": (r"^(\d+) reads were specific for genome 2", 1),
+    "weird": (r"^(\d+) reads did not contain one of the expected bases at known SNP positions", 1),
     "conflict": (r"^(\d+) contained conflicting allele-specific SNPs", 1),
 }
 
-#: Each share of the library summary: (column, part, whole).
+#: Each share of the library summary: (column, part, whole). Reads from cut sites are a share of those on chromosomes that have sites.
 SHARES = (
     ("umi_hq_share", "umi_hq", "input"), ("prefix_share", "prefix", "umi_hq"), ("mapped_share", "mapped", "prefix"),
-    ("from_cs_share", "from_cs", "mapped"), ("uniq_share", "uniq", "from_cs"), ("out_share", "uniq", "input"),
+    ("from_cs_share", "from_cs", "n_umis"), ("uniq_share", "uniq", "from_cs"), ("out_share", "uniq", "input"),
 )
-COUNTERS = ("input", "umi_hq", "prefix", "unmapped", "second_aln", "chrm", "low_mapq", "mapped", "from_cs", "uniq")
+COUNTERS = ("input", "umi_hq", "prefix", "unmapped", "second_aln", "chrm", "low_mapq", "mapped", "n_umis", "from_cs", "uniq")
 
 
 def log_values(lines: DataFrame, patterns: dict = LOG_PATTERNS, by: tuple[str, ...] = ("library_id",)) -> DataFrame:
@@ -58,11 +62,11 @@ def allelic_summary(counters: DataFrame) -> DataFrame:
     """counters: library_id, genome (g1, g2, m or empty for the whole library), metric, value."""
     named = counters.withColumn("metric", F.when(F.col("genome") == "", F.col("metric")).otherwise(F.concat_ws("_", "genome", "metric")))
     own = ("mapped", "unassigned", "genome1", "genome2", "weird", "conflict")
-    tails = tuple(f"{g}_{m}" for g in ("g1", "g2", "m") for m in ("from_cs", "uniq"))
+    tails = tuple(f"{g}_{m}" for g in ("g1", "g2", "m") for m in ("n_umis", "from_cs", "uniq"))
     table = wide(named, own + tails).withColumn("both", F.col("genome1") + F.col("genome2"))
     shares = [(f"{c}_share", c, "mapped") for c in own[1:]]
     for g, whole in (("g1", "genome1"), ("g2", "genome2"), ("m", "both")):
-        shares += [(f"{g}_from_cs_share", f"{g}_from_cs", whole), (f"{g}_uniq_share", f"{g}_uniq", f"{g}_from_cs"), (f"{g}_out_share", f"{g}_uniq", whole)]
+        shares += [(f"{g}_from_cs_share", f"{g}_from_cs", f"{g}_n_umis"), (f"{g}_uniq_share", f"{g}_uniq", f"{g}_from_cs"), (f"{g}_out_share", f"{g}_uniq", whole)]
     return with_shares(table, shares).drop("both")
 
 

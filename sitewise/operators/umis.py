@@ -15,7 +15,11 @@ def _ordered(order: list[str], *values: str) -> Column:
 
 
 def group_umis(umis: DataFrame, order: str, by: tuple[str, ...] = ("chrom", "pos")) -> DataFrame:
-    """One row for each location with parallel arrays seqs and quals in the order of a unique column."""
+    """One row for each location with parallel arrays seqs and quals in the order of a unique column.
+
+    A location's lists are one row, as files of grouped UMIs have them: safe while a location's reads fit in a task's memory (some 10 million). Where they may
+    not, and for everything that only needs counts, count_distinct_umis and site_counters give the same numbers without lists.
+    """
     rows = umis.groupBy(*by).agg(_ordered([order], "seq", "qual").alias("rows"))
     return rows.select(*by, F.col("rows.seq").alias("seqs"), F.col("rows.qual").alias("quals"), F.size("rows").cast("long").alias("n"))
 
@@ -28,8 +32,8 @@ def merge_sites(assigned: DataFrame, keep_terminal_row: bool = False) -> DataFra
     """
     by = ["chrom", "rs_pos"]
     if keep_terminal_row:
-        last = F.max(F.struct("rs_pos", "pos")).over(W.partitionBy("chrom"))
-        assigned = assigned.withColumn("terminal", F.struct("rs_pos", "pos") == last)
+        last = assigned.groupBy("chrom").agg(F.max(F.struct("rs_pos", "pos")).alias("last"))  # a row for each chromosome
+        assigned = assigned.join(last, "chrom").withColumn("terminal", F.struct("rs_pos", "pos") == F.col("last")).drop("last")
         by.append("terminal")
     rows = assigned.groupBy(*by).agg(_ordered(["pos"], "seqs", "quals").alias("rows"), F.sum("n").alias("n"))
     return rows.select("chrom", F.col("rs_pos").alias("pos"), F.flatten("rows.seqs").alias("seqs"), F.flatten("rows.quals").alias("quals"), "n")
@@ -41,12 +45,12 @@ def dedup_umis(sited: DataFrame) -> DataFrame:
     return sited.select("chrom", "pos", distinct.alias("seqs"), F.size("seqs").cast("long").alias("pre_n"), F.size(distinct).cast("long").alias("post_n"))
 
 
-def count_distinct_umis(sited: DataFrame) -> DataFrame:
+def count_distinct_umis(sited: DataFrame, reads: str | None = None) -> DataFrame:
     """What grouping, merging and deduplication give as counts, without the lists: chrom, pos, n_reads, n_umis.
 
-    Two aggregations rather than count(distinct): the first, on (site, sequence), spreads a hot site over tasks.
+    Two aggregations rather than count(distinct): the first, on (site, sequence), spreads a hot site over tasks. reads names a column with how many reads a row stands for.
     """
-    each = sited.groupBy("chrom", F.col("rs_pos").alias("pos"), "seq").agg(F.count(F.lit(1)).alias("reads"))
+    each = sited.groupBy("chrom", F.col("rs_pos").alias("pos"), "seq").agg((F.sum(reads) if reads else F.count(F.lit(1))).alias("reads"))
     return each.groupBy("chrom", "pos").agg(F.sum("reads").alias("n_reads"), F.count("seq").alias("n_umis"))
 
 

@@ -27,8 +27,8 @@ def clean_and_orphans(assigned: DataFrame, max_distance: int, clean: str, orphan
 
 
 def bed(df: DataFrame, path: str) -> None:
-    """Numbered rows in their order, over as many files as there are partitions."""
-    tsv(df.orderBy("chrom", "start", "name"), path)
+    """Numbered rows in the order of their numbers, which names end with, over as many files as there are partitions."""
+    tsv(df.orderBy("chrom", "start", F.regexp_extract("name", r"(\d+)$", 1).cast("long")), path)
 
 
 def summary(df: DataFrame, path: str, text: bool = True) -> None:
@@ -42,6 +42,11 @@ def routed_reads(reads: DataFrame, path: str) -> None:
     reads.select("route", record.alias("value")).write.partitionBy("route").option("compression", "gzip").text(path)
 
 
+def reads_text(reads: DataFrame, path: str) -> None:
+    """Reads as four lines each, unpacked by one task for each file."""
+    reads.select(F.concat_ws("\n", F.concat(F.lit("@"), "name"), "seq", F.lit("+"), "qual").alias("value")).write.option("compression", "gzip").text(path)
+
+
 def classed(reads: DataFrame, path: str, column: str = "class") -> None:
     reads.write.partitionBy(column).parquet(path)
 

@@ -98,11 +98,41 @@ def test_logs_and_summary(spark, tmp_path):
 
 
 def test_allelic_summary_ratios(spark):
-    rows = [("L", "", "mapped", 100), ("L", "", "genome1", 40), ("L", "", "genome2", 10), ("L", "g1", "from_cs", 20), ("L", "g1", "uniq", 10), ("L", "m", "uniq", 25)]
+    rows = [("L", "", "mapped", 100), ("L", "", "genome1", 40), ("L", "", "genome2", 10), ("L", "g1", "n_umis", 40), ("L", "g1", "from_cs", 20), ("L", "g1", "uniq", 10), ("L", "m", "uniq", 25)]
     r = M.allelic_summary(spark.createDataFrame(rows, "library_id string, genome string, metric string, value long")).first()
     assert (r.genome1_share, r.g1_from_cs_share, r.g1_uniq_share, r.g1_out_share, r.m_out_share, r.g2_out_share) == (0.4, 0.5, 0.5, 0.25, 0.5, None)
 
 
+def test_patterns_of_filters_and_weird_reads(spark):
+    lines = [
+        (1, 1, "[10:00] INFO kept 80/100 (80.00%) records. flag_extract.py:246"), (1, 2, "[10:01] INFO kept 60/80 (75.00%) records. flag_regex.py:156"),
+        (1, 3, "7 reads did not contain one of the expected bases at known SNP positions (1.00%)"),
+    ]
+    values = M.log_values(spark.createDataFrame(lines, "library_id long, line_no long, line string"))
+    assert {r.metric: r.value for r in values.collect()} == {"input": 100, "umi_hq": 80, "prefix": 60, "weird": 7}
+    row = M.library_summary(values, "run").first()
+    assert (row.umi_hq_share, row.prefix_share) == (0.8, 0.75)
+
+
+def test_routes_with_prefixes(spark):
+    from sitewise.jobs.preprocess import prepared_reads, read_counters
+
+    good, bad = "I" * 24, "#" * 24
+    rows = [("a", "ACGTACGTGTCGTATCGATCTTTT", good), ("b", "ACGTACGTGTCGTATAGATCTTTT", good), ("c", "ACGTACGTGTCGTATCGGGCTTTT", good), ("d", "ACGTACGTGTCGTATCGATCTTTT", bad), ("e", "ACG", "III"), ("f", None, None)]
+    got = prepared_reads(spark.createDataFrame(rows, schemas.READ).withColumn("library_id", F.lit(1)), "GTCGTATC", "GATC")
+    assert {r.name: r.route for r in got.collect()} == {"a": "prefix_ok", "b": "prefix_ok", "c": "prefix_bad", "d": "low_quality", "e": "unmatched", "f": "unmatched"}
+    assert tuple(read_counters(got).first()) == (1, 6, 3, 2)
+
+
+def test_coordinate_order_and_bed_numbers(spark, tmp_path):
+    rows = [(f"chr{i % 3}", (i * 37) % 101, (i * 37) % 101 + 5) for i in range(200)]
+    got = [tuple(r) for r in A.coordinate_sorted(spark.createDataFrame(rows, "chrom string, start_pos long, end_pos long")).collect()]
+    assert got == sorted(rows)
+    sinks.bed(spark.createDataFrame([("c", 1, 1, f"pos_{i}", 1) for i in (10, 9, 2, 1)], schemas.BED5), str(tmp_path / "bed"))
+    text = "".join(gzip.open(p, "rt").read() for p in sorted((tmp_path / "bed").glob("part*")))
+    assert [line.split("\t")[3] for line in text.splitlines()] == ["pos_1", "pos_2", "pos_9", "pos_10"]
+
+
 def test_reads_without_a_variant_are_unassignable(spark):
     over = spark.createDataFrame([("a", "A", "C", "A")], "read_id string, ref string, alt string, base string")
     got = L.allele_class(over, reads=spark.createDataFrame([("a",), ("b",)], "read_id string")).collect()
@@ -130,3 +160,5 @@ def test_allelic_summary_counts_all_reads_and_sites(spark, sf_dir):
                 n += 1
                 distinct.add((x.chrom, near, x.seq))
     assert (r.g1_from_cs, r.g1_uniq) == (n, len(distinct)) and n > 0
+    on_sites = sum(kind == "genome1" and reads[i].chrom in sites for i, kind in kinds.items())
+    assert r.g1_n_umis == on_sites and r.g1_from_cs_share == n / on_sites
