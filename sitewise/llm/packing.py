@@ -2,10 +2,10 @@
 
 Documents become token pieces of at most CAPACITY tokens in one pass of tasks; only ids' checksums and lengths
 leave it. The lengths make a histogram of at most CAPACITY bins, whatever the input's size, and the plan is made
-from that alone: patterns of a few documents that fill a sequence exactly are enumerated, their repeat counts
-are fitted to the histogram by non-negative least squares, rounded, and what is left over is packed best-fit
-decreasing, by counts. Each piece then finds its place from its length and its rank among pieces of its length.
-Ranks come from windows over (length, salt), so that a length that a third of all pieces share is dealt out.
+from that alone: all patterns of two or three documents that fill a sequence exactly are enumerated, their repeat counts
+are fitted to the histogram by non-negative least squares and rounded down; what is left over is fitted again, until rounding leaves nothing
+to use, and then packed best-fit decreasing, by counts. Each piece then finds its place from its length and its rank among pieces of its length.
+Ranks come from windows over (length, salt), so that a length that a third of all pieces share is dealt out, at any size.
 
 Null texts are empty: one piece that holds the end id alone. Repeated rows are packed like others. A null id stays
 null. An empty table gives an empty result. Columns other than the two named are ignored.
@@ -26,12 +26,10 @@ from pyspark.sql import functions as F
 from sitewise.llm.common import clean_columns, saved
 
 CAPACITY, END_ID = 1024, 2
-#: Pieces for each salt of a length.
-SALT_ROWS = 200_000
-#: At most so many enumerated patterns.
-MAX_PATTERNS = 30_000
-#: Shares of the fitted repeat counts that are tried.
-SHARES = (1.0, 0.95, 0.9, 0.8, 0.65, 0.5, 0.35, 0.2, 0.1)
+#: Salts of a length at least, and pieces for each salt beyond those.
+SALTS, SALT_ROWS = 64, 200_000
+#: A fit ends when no repeat count moves by more than this share of it (or of one), and in any case after so many steps, which leaves more to the next fit.
+SETTLED, MOST_STEPS = 1e-3, 2000
 SPECIAL = "<|endoftext|>"
 
 
@@ -89,44 +87,45 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
     return named.mapInArrow(encode, f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long")
 
 
-def enumerate_patterns(histogram: np.ndarray, most: int = MAX_PATTERNS) -> np.ndarray:
-    """Pairs and triples of lengths that occur and fill a sequence exactly; zeros pad the pairs."""
+def enumerate_patterns(histogram: np.ndarray) -> np.ndarray:
+    """All pairs and triples of lengths that occur and fill a sequence exactly; zeros pad the pairs. At the usual capacity they are some 87,000 at most."""
     capacity = len(histogram) - 1
     lengths = np.flatnonzero(histogram[1:capacity]) + 1
     here = histogram > 0
     found = [np.stack([a := lengths[(2 * lengths <= capacity) & here[capacity - lengths]], capacity - a, 0 * a], 1)]
-    stride = max(1, int(np.ceil(len(lengths) ** 2 / 12 / max(1, most))))
-    for a in lengths[lengths * 3 <= capacity][::stride]:
+    for a in lengths[lengths * 3 <= capacity]:
         b = lengths[(lengths >= a) & (a + 2 * lengths <= capacity)]
         b = b[here[capacity - a - b]]
         found.append(np.stack([np.full_like(b, a), b, capacity - a - b], 1))
     return np.concatenate(found)
 
 
-def fit_repeats(patterns: np.ndarray, histogram: np.ndarray, steps: int = 6000) -> np.ndarray:
+def fit_repeats(patterns: np.ndarray, histogram: np.ndarray) -> np.ndarray:
     """Repeat counts x >= 0 that lessen |A x - histogram|^2, column j of A being pattern j's lengths.
 
-    Coordinate descent that takes the steepest coordinate each time: few patterns get large counts, which is what
-    survives rounding. It ends when no step is worth half a sequence.
+    Accelerated projected gradient: each count's step is as long as the patterns that share its lengths allow.
     """
     x = np.zeros(len(patterns))
     if not len(patterns):
         return x
-    residual = histogram.astype(float).copy()
-    residual[0] = 0
-    # squared norm of each column, where a length may come twice or thrice
-    a, b, c = patterns.T
-    norm = np.where(c == 0, 2.0, 3.0) + 2.0 * (a == b) + 2.0 * ((b == c) & (c > 0)) + 2.0 * ((a == c) & (c > 0))
-    for _ in range(steps):
-        step = (residual[a] + residual[b] + residual[c]) / norm
-        step = np.maximum(step, -x)
-        j = int(np.argmax(np.abs(step) * np.sqrt(norm)))
-        if abs(step[j]) < 0.5:
+    n, wanted = len(histogram), histogram.astype(float)
+    wanted[0] = 0
+    three = patterns[:, 2] > 0
+    uses = np.bincount(patterns.ravel(), minlength=n).astype(float)
+    uses[0] = 0
+    bound = uses[patterns].sum(1)
+    ahead, t = x, 1.0
+    for _ in range(MOST_STEPS):
+        held = sum((np.bincount(patterns[:, k], ahead, n) for k in (0, 1)), np.bincount(patterns[three, 2], ahead[three], n))
+        left = wanted - held
+        left[0] = 0
+        new = np.maximum(0, ahead + left[patterns].sum(1) / bound)
+        further = (1 + np.sqrt(1 + 4 * t * t)) / 2
+        ahead = new + (t - 1) / further * (new - x)
+        moved = np.abs(new - x).max(initial=0.0) / max(1.0, new.max(initial=0.0))
+        x, t = new, further
+        if moved < SETTLED:
             break
-        x[j] += step[j]
-        for v in patterns[j]:
-            if v:
-                residual[v] -= step[j]
     return x
 
 
@@ -157,21 +156,29 @@ def best_fit(counts: np.ndarray) -> dict[tuple[int, ...], int]:
     return {p: k for group in left for p, k in group.items()}
 
 
-def rounded(patterns: np.ndarray, repeats: np.ndarray, histogram: np.ndarray, share: float) -> dict[tuple[int, ...], int]:
-    """The share of the fitted counts in whole numbers, as far as the lengths last, and best-fit for what is left over."""
-    rest = histogram.astype(np.int64).copy()
-    rest[0] = 0
-    whole = np.rint(repeats * share).astype(np.int64)
-    used: dict[tuple[int, ...], int] = {}
-    for j in np.argsort(-whole, kind="stable"):
+def use(patterns: np.ndarray, repeats: np.ndarray, rest: np.ndarray, used: dict[tuple[int, ...], int]) -> int:
+    """Takes the repeats, rounded down, off the rest as far as the lengths last, and adds them to what is used; returns how many."""
+    whole, taken = np.floor(repeats + 1e-9).astype(np.int64), 0
+    for j in np.lexsort((-patterns.max(1, initial=0), -whole)):
         if whole[j] <= 0:
             break
         key = tuple(sorted((int(v) for v in patterns[j] if v), reverse=True))
-        most = min(int(rest[v]) // key.count(v) for v in key)
-        if k := min(int(whole[j]), most):
+        if k := min(int(whole[j]), *(int(rest[v]) // key.count(v) for v in key)):
             used[key] = used.get(key, 0) + k
+            taken += k
             for v in key:
                 rest[v] -= k
+    return taken
+
+
+def fitted_plan(histogram: np.ndarray) -> dict[tuple[int, ...], int]:
+    """Patterns and how often each is used: fits of what is left over, until rounding down leaves nothing to use, and best-fit for the rest."""
+    rest = histogram.astype(np.int64).copy()
+    rest[0] = 0
+    used: dict[tuple[int, ...], int] = {}
+    while len(patterns := enumerate_patterns(rest)):
+        if not use(patterns, fit_repeats(patterns, rest), rest, used):
+            break
     for key, k in best_fit(rest).items():
         used[key] = used.get(key, 0) + k
     return used
@@ -180,14 +187,11 @@ def rounded(patterns: np.ndarray, repeats: np.ndarray, histogram: np.ndarray, sh
 def plan(histogram: np.ndarray) -> dict[tuple[int, ...], int]:
     """Patterns (lengths) and how often each is used; together they hold the histogram exactly.
 
-    Rounding the whole fit leaves leftovers that fit each other badly where counts are small; of several shares of
-    it, the one with the fewest sequences is taken.
+    Best-fit alone is worked out too, from the same counts, and taken in the rare case that it needs fewer sequences.
     """
-    fitted = histogram.copy()
-    fitted[0] = 0
-    patterns = enumerate_patterns(fitted)
-    repeats = fit_repeats(patterns, fitted)
-    return min((rounded(patterns, repeats, histogram, share) for share in SHARES), key=lambda used: sum(used.values()))
+    rest = histogram.astype(np.int64).copy()
+    rest[0] = 0
+    return min(fitted_plan(histogram), best_fit(rest), key=lambda used: sum(used.values()))
 
 
 def places(used: dict[tuple[int, ...], int]) -> dict[int, np.ndarray]:
@@ -208,7 +212,7 @@ def places(used: dict[tuple[int, ...], int]) -> dict[int, np.ndarray]:
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, paths: tuple[str, str] | None = None) -> DataFrame:
     """Each piece with its sequence_id and its offset there."""
     made = saved(pieces(docs, id_col, text_col, capacity, paths), "pack-pieces")
-    salts = max(1, -(-made.count() // SALT_ROWS))
+    salts = max(SALTS, -(-made.count() // SALT_ROWS))
     salted = made.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))
     counts = saved(salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n")), "pack-counts")
 

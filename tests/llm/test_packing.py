@@ -46,6 +46,21 @@ def test_ids_equal_the_other_librarys(text):
     assert ids(text) == TOKENIZER.encode(text, add_special_tokens=False).ids
 
 
+def test_ids_equal_the_other_librarys_on_the_given_table(spark):
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    ids = P.byte_bpe(*P.default_paths())
+    assert all(ids(t) == e.ids for t, e in zip(texts, TOKENIZER.encode_batch(texts, add_special_tokens=False), strict=True))
+
+
+def test_the_fit_by_itself_is_no_worse_than_best_fit(spark):
+    """On the lengths of the given table, as they are and twenty times as many."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    h = np.bincount([r.length for r in P.pieces(docs).select("length").collect()], minlength=1025)
+    for many in (h, 20 * h):
+        used = P.fitted_plan(many)
+        assert hold(used, many) and sum(used.values()) <= sum(P.best_fit(many).values())
+
+
 def test_cut():
     assert P.cut(1, 4) == [(0, 1)] and P.cut(4, 4) == [(0, 4)] and P.cut(9, 4) == [(0, 1), (1, 4), (5, 4)] and P.cut(8, 4) == [(0, 4), (4, 4)]
 
