@@ -75,17 +75,20 @@ class Attention:
         h, (x, q, k, v, a, c, y, r) = self.hidden(units)
         dim, scale = x.shape[1], np.float32(1 / np.sqrt(x.shape[1]))
         h = h.reshape(n * t, dim)
-        w = weight.reshape(-1).astype(np.float32)
+        w = weight.reshape(-1).astype(h.dtype)
         total = max(1.0, float(w.sum()))
         z = h @ p["out"]
         z += p["b"]
-        z = _softmax(z)
+        # probabilities are never made: what they are divided by goes to the narrow side of each product
+        _exp(z)
+        sums = z.sum(1)
         at = np.arange(len(z)), classes.ravel()
-        loss = -float(np.log(z[at] + 1e-12) @ w) / total
-        z[at] -= 1
-        z *= (w / total)[:, None]
-        g = {"out": h.T @ z, "b": z.sum(0)}
-        dh = z @ p["out"].T
+        right = z[at]
+        loss = -float(np.log(right / sums + 1e-12) @ w) / total
+        z[at] = right - sums
+        share = (w / (total * sums)).astype(h.dtype)
+        g = {"out": (h * share[:, None]).T @ z, "b": share @ z}
+        dh = (z @ p["out"].T) * share[:, None]
         g["w2"] = r.T @ dh
         dr = dh @ p["w2"].T
         dr *= r > 0

@@ -115,16 +115,18 @@ def _word_counts(docs: DataFrame) -> DataFrame:
 
 
 def _encoded(docs: DataFrame, path: str) -> DataFrame:
-    """round and ids, two bytes each, of every row."""
+    """docs (doc_id, train, text) with a round and ids, two bytes each: texts are read once, and cut into ids once."""
+    names = ["doc_id", "train", "text", "round", "ids"]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId()
         for batch in slices(batches):
             ids = [text_ids(t.as_py(), path).astype(np.uint16).tobytes() for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([pa.array((row + np.arange(len(ids))) % ROUNDS, pa.int32()), pa.array(ids, pa.binary())], ["round", "ids"])
+            rounds = pa.array((row + np.arange(len(ids))) % ROUNDS, pa.int32())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:3]), rounds, pa.array(ids, pa.binary())], names)
             row += len(ids)
 
-    return docs.mapInArrow(encode, "round int, ids binary")
+    return docs.select(*names[:3]).mapInArrow(encode, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, train boolean, text string, round int, ids binary")
 
 
 def _ids_of(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
@@ -393,16 +395,16 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     path = path or default_path()
     docs = clean_columns(docs, doc_id=id_col, text=text_col)
     held_out = F.coalesce(remainder(F.col("doc_id"), MODULUS) == HELD_OUT, F.lit(False))
-    train = docs.where(~held_out)
-    words = saved(_word_counts(train.select("text")), "lm-counts")
-    encoded = saved(_encoded(train.select("text"), path), "lm-ids")
+    every = saved(_encoded(docs.withColumn("train", ~held_out), path), "lm-ids")
+    encoded = every.where("train")
+    words = saved(_word_counts(encoded.select("text")), "lm-counts")
     size = words.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     train_tokens, distinct = size.n or 0, size.v
     id_counts = _id_counts(encoded)
     frequent = words.orderBy(F.desc("n"), "key").limit(head).collect()  # at most head
     frequent.sort(key=lambda r: r.key)
     keys, numbers = np.array([r.key for r in frequent], dtype=np.int64), np.array([r.n for r in frequent], dtype=np.int64)
-    start = fit(distinct_sample(train, "text", sample_docs), id_counts, path, usage=_whole_usage(encoded, id_counts))
+    start = fit(distinct_sample(encoded, "text", sample_docs), id_counts, path, usage=_whole_usage(encoded, id_counts))
     model = _paired(_trained(start, encoded), encoded)
     shared = docs.sparkSession.sparkContext.broadcast((model, keys, np.log10(numbers + SMOOTH)))
 
@@ -428,13 +430,13 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 known.append(int(n[hit].sum()))
                 base.append(float((n[hit] * logs[at[hit]]).sum()) if hit.any() else 0.0)
                 tails.append((np.full(int((~hit).sum()), ids[i]), found[~hit], n[~hit]))
-            scores = model.log10([text_ids(t, model.path) for t in texts])
+            scores = model.log10(list(_ids_of([batch])))
             # a row's own numbers have no key's word count: known words of the head stand in its key
             yield pa.RecordBatch.from_arrays([pa.array(ids), batch.column("doc_id"), pa.array(known, pa.int64()), pa.array(tokens, pa.int64()), pa.array(base, pa.float64()), pa.array(scores, pa.float64())], names)
             at, key, n = (np.concatenate([t[k] for t in tails]) for k in range(3))
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.nulls(len(at), batch.column("doc_id").type), pa.array(key), pa.array(n.astype(np.int64)), pa.nulls(len(at), pa.float64()), pa.nulls(len(at), pa.float64())], names)
 
-    made = saved(docs.mapInArrow(scan, kinds), "lm-rows")
+    made = saved(every.select("doc_id", "text", "ids").mapInArrow(scan, kinds), "lm-rows")
     rare = made.where("score is null").select("row", "key", "n").join(words.select("key", F.col("n").alias("c")), "key", "left")
     found = F.coalesce("c", F.lit(0))
     rare = rare.groupBy("row").agg(F.sum(F.col("n") * F.log10(found + SMOOTH)).alias("rare_base"), F.sum(F.when(found > 0, F.col("n")).otherwise(0)).alias("rare_known"))
