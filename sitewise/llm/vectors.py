@@ -146,21 +146,23 @@ def near_vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     tasks = left.join(right, ["label", "dim"]).where("block_a <= block_b").where(apart <= F.col("radius_a") + F.col("radius_b") + float(np.arccos(cosine)) + 1e-6)
     tasks = tasks.select("block_a", "block_b")
 
-    # First codes and factors meet one side's vectors; both sides' vectors meet where that leaves a pair undecided.
+    # First codes and factors of one block meet the vectors of the other; of those only the undecided rows go on, to meet the coded block's vectors.
     coded = blocks.select(F.col("block").alias("block_b"), "codes", "factors")
-    whole = lambda side: blocks.select(*(F.col(c).alias(f"{c}_{side}") for c in ("block", "nodes", "vectors", "copies")))
-    queries = blocks.select(F.col("block").alias("block_a"), "dim", F.col("vectors").alias("queries"))
+    queries = blocks.select(F.col("block").alias("block_a"), "dim", *(F.col(c).alias(f"{c}_a") for c in ("nodes", "vectors", "copies")))
+    kinds = [("block_a", pa.int64()), ("block_b", pa.int64()), ("dim", pa.int32()), *((c, pa.binary()) for c in ("columns", "nodes_a", "vectors_a", "copies_a"))]
 
     def estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            rows, columns = undecided(rotated(_matrix(row["queries"], row["dim"])), Codes.read(row["dim"], row["codes"], row["factors"]), cosine)
+            vectors = _matrix(row["vectors_a"], row["dim"])
+            rows, columns = undecided(rotated(vectors), Codes.read(row["dim"], row["codes"], row["factors"]), cosine)
             if len(rows):
-                out = {"block_a": row["block_a"], "block_b": row["block_b"], "dim": row["dim"], "rows": rows.astype(np.int32).tobytes(), "columns": columns.astype(np.int32).tobytes()}
-                yield pa.RecordBatch.from_pylist([out], pa.schema([("block_a", pa.int64()), ("block_b", pa.int64()), ("dim", pa.int32()), ("rows", pa.binary()), ("columns", pa.binary())]))
+                nodes, copies = (np.frombuffer(row[c], dtype=np.int64)[rows].tobytes() for c in ("nodes_a", "copies_a"))
+                out = {"block_a": row["block_a"], "block_b": row["block_b"], "dim": row["dim"], "columns": columns.astype(np.int32).tobytes(), "nodes_a": nodes, "vectors_a": vectors[rows].tobytes(), "copies_a": copies}
+                yield pa.RecordBatch.from_pylist([out], pa.schema(kinds))
 
-    kinds = "block_a long, block_b long, dim int, rows binary, columns binary"
-    left_open = saved(tasks.join(queries, "block_a").join(coded, "block_b").mapInArrow(estimate, kinds), "vectors-undecided")
-    pairs = left_open.join(whole("a"), "block_a").join(whole("b"), "block_b")
+    undecided_rows = tasks.join(queries, "block_a").join(coded, "block_b").mapInArrow(estimate, "block_a long, block_b long, dim int, columns binary, nodes_a binary, vectors_a binary, copies_a binary")
+    whole = blocks.select(*(F.col(c).alias(f"{c}_b") for c in ("block", "nodes", "vectors", "copies")))
+    pairs = undecided_rows.join(whole, "block_b")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
@@ -247,10 +249,10 @@ def _matrix(data: bytes, dim: int) -> np.ndarray:
 
 def _compare(row: dict, cosine: float) -> pd.DataFrame:
     """Counts (a, null, links) of the undecided rows of two blocks, and edges (a, b, null) of a spanning forest of their links."""
-    at, to = (np.frombuffer(row[k], dtype=np.int32) for k in ("rows", "columns"))
-    na, nb = (np.frombuffer(row[f"nodes_{s}"], dtype=np.int64)[i] for s, i in (("a", at), ("b", to)))
-    a, b = (_matrix(row[f"vectors_{s}"], row["dim"])[i] for s, i in (("a", at), ("b", to)))
-    copies_a, copies_b = (np.frombuffer(row[f"copies_{s}"], dtype=np.int64)[i] for s, i in (("a", at), ("b", to)))
+    to = np.frombuffer(row["columns"], dtype=np.int32)
+    na, copies_a = (np.frombuffer(row[f"{c}_a"], dtype=np.int64) for c in ("nodes", "copies"))
+    nb, copies_b = (np.frombuffer(row[f"{c}_b"], dtype=np.int64)[to] for c in ("nodes", "copies"))
+    a, b = _matrix(row["vectors_a"], row["dim"]), _matrix(row["vectors_b"], row["dim"])[to]
     same = row["block_a"] == row["block_b"]
     names, place = np.unique(np.concatenate([na, nb]), return_inverse=True)
     here, there, edges = np.zeros(len(na), np.int64), np.zeros(len(nb), np.int64), np.zeros((0, 2), np.int64)

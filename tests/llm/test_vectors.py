@@ -75,7 +75,7 @@ def test_a_large_group_of_near_copies_stays_small(spark):
     # one pair of dense blocks, as a task holds it
     u = V.unit_rows(x[:2048])
     row = {"block_a": 1, "block_b": 1, "dim": dim, "nodes_a": np.arange(2048).tobytes(), "vectors_a": u.tobytes(), "copies_a": np.ones(2048, np.int64).tobytes()}
-    row |= {f"{k}_b": row[f"{k}_a"] for k in ("nodes", "vectors", "copies")} | {k: np.arange(2048, dtype=np.int32).tobytes() for k in ("rows", "columns")}
+    row |= {f"{k}_b": row[f"{k}_a"] for k in ("nodes", "vectors", "copies")} | {"columns": np.arange(2048, dtype=np.int32).tobytes()}
     tracemalloc.start()
     out = V._compare(row, V.COSINE)
     most = tracemalloc.get_traced_memory()[1]
