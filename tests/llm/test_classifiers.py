@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 
 import numpy as np
@@ -90,3 +91,45 @@ def test_counterfactual_penalty_frees_group_names():
 def test_swap():
     assert T.swap_terms("Some Women and old men.") == "Some men and young people."
     assert T.swap_terms("womens") is None
+
+
+def given(spark, name):
+    return spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet")
+
+
+def plain_toxicity(model, text):
+    """The score from each word by itself: which weights its words and their beginnings have, each once."""
+    words = re.findall(rb"[0-9A-Za-z\x80-\xff]+", (text or "").encode())
+    found = {int(f) for w in words for f in T.word_features(np.frombuffer(w, dtype=np.uint8))}
+    place = {int(f): i for i, f in enumerate(model.features)}
+    return 1 / (1 + np.exp(-(model.bias + sum(model.weights[place[f]] for f in found if f in place))))
+
+
+def test_toxicity_equals_a_plain_version_and_the_penalty_acts(spark):
+    docs, labels = given(spark, "documents"), given(spark, "labels")
+    model, texts = T.fit_on(docs, labels), {r.doc_id: r.text for r in docs.collect()}
+    truth = {r.doc_id: r.toxic for r in labels.collect()}
+    got = T.toxicity(docs, labels).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert abs(r.score - plain_toxicity(model, texts[r.doc_id])) < 1e-9 and r.predicted == int(r.score >= T.THRESHOLD)
+    held = [r for r in got if r.held_out and truth.get(r.doc_id) in (0, 1)]
+    assert np.mean([r.predicted == truth[r.doc_id] for r in held]) > 0.95
+    # none of these texts names a group, so mentions are put in; with them the names get no weight of their own
+    assert model.mentioned > 20
+    free = T.fit_on(docs, labels, fairness=0.0)
+    weight = lambda m: np.abs(m.weights[m.places(" ".join(t for kind in T.IDENTITY_TERMS for t in kind))]).max()
+    assert weight(model) < 0.3 * weight(free)
+
+
+def test_quality_on_the_given_table(spark):
+    docs, labels = given(spark, "documents"), given(spark, "labels")
+    model, texts = Q.fit_on(docs, labels), {r.doc_id: r.text for r in docs.collect()}
+    truth = {r.doc_id: r.quality for r in labels.collect()}
+    got = Q.quality(docs, labels).collect()
+    for r in got:
+        buckets = Q.subword_buckets(Q.text_bytes(texts[r.doc_id]), Q.BITS)
+        mean = sum(float(model.table[b]) for b in buckets) / len(buckets) if len(buckets) else 0.0
+        assert abs(r.score - 1 / (1 + np.exp(-(model.bias + mean)))) < 1e-5
+    held = [r for r in got if r.held_out and truth.get(r.doc_id) in (0, 1)]
+    assert np.mean([r.predicted == truth[r.doc_id] for r in held]) > 0.95

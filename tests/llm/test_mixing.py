@@ -82,3 +82,13 @@ def test_other_tables(spark):
     one = M.rates(spark.createDataFrame([(1, "a b"), (2, None)], DOCS), none).collect()
     assert len(one) == 2 and all(x.p_clean > 0.99 and x.rate > 0 for x in one)
     assert M.mixed(spark.createDataFrame([(1, "a")], DOCS), none).agg(F.count("*")).first()[0] <= 3
+
+
+@pytest.mark.parametrize("floor", [0.0, 1.0])
+def test_targets_are_met_on_the_given_table(spark, floor):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    out = M.rates(docs, labels, floor=floor)
+    shares = M.reached(out).first().asDict()
+    assert all(abs(shares[d] - M.TARGETS[d]) < 0.002 for d in M.DOMAINS), shares
+    kept = out.agg(F.count_if(F.col("rate") == 0), F.count("*"), F.min("rate")).first()
+    assert kept[2] >= floor and kept[0] < 0.1 * kept[1]
