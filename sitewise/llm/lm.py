@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitewise.llm.attention import OVERLAP, WINDOW, Adam, Attention, windows
-from sitewise.llm.common import clean_columns, distinct_sample, saved, slices
+from sitewise.llm.common import clean_columns, distinct_sample, least_hashes, saved, slices
 from sitewise.llm.labelled import remainder
 from sitewise.llm.shingles import word_hashes
 
@@ -401,7 +401,9 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     size = words.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     train_tokens, distinct = size.n or 0, size.v
     id_counts = _id_counts(encoded)
-    frequent = words.orderBy(F.desc("n"), "key").limit(head).collect()  # at most head
+    # from counts of counts, so that no task sends its own most frequent words; those of one count are taken or left together
+    ranked = words.withColumn("h", F.lit((1 << 63) - 1) - F.col("n"))
+    frequent = ranked.where(least_hashes(ranked, "h", head)).select("key", "n").collect()  # at most head
     frequent.sort(key=lambda r: r.key)
     keys, numbers = np.array([r.key for r in frequent], dtype=np.int64), np.array([r.n for r in frequent], dtype=np.int64)
     start = fit(distinct_sample(encoded, "text", sample_docs), id_counts, path, usage=_whole_usage(encoded, id_counts))

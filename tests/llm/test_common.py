@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from sitewise.llm.common import key_bitmap, with_maybe
+from sitewise.llm.common import key_bitmap, least_hashes, with_maybe
 from sitewise.llm.graph import components
 from tests.llm import brute
 
@@ -27,3 +27,15 @@ def test_components(spark):
     ids = {i for a, b in edges if a != b for i in (a, b)}
     assert got == brute.reach(ids, [(a, b) for a, b in edges if a != b])
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_least_hashes_takes_the_least(spark):
+    r = random.Random(3)
+    for values in ([r.randrange(-(1 << 63), 1 << 63) for _ in range(500)], [r.randrange(40) for _ in range(500)], [7] * 20, []):
+        df = spark.createDataFrame([(v,) for v in values], "h long")
+        for limit in (0, 10, 60, 499, 1000):
+            got = [x.h for x in df.where(least_hashes(df, "h", limit)).collect()]
+            unsigned = sorted((v % (1 << 64) for v in values))
+            assert len(got) <= limit and sorted(v % (1 << 64) for v in got) == unsigned[: len(got)]
+            if len(set(values)) == len(values) and values:
+                assert len(got) >= 0.9 * min(limit, len(values))
