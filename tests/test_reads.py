@@ -162,3 +162,17 @@ def test_allelic_summary_counts_all_reads_and_sites(spark, sf_dir):
     assert (r.g1_from_cs, r.g1_uniq) == (n, len(distinct)) and n > 0
     on_sites = sum(kind == "genome1" and reads[i].chrom in sites for i, kind in kinds.items())
     assert r.g1_n_umis == on_sites and r.g1_from_cs_share == n / on_sites
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace as O
+
+    from sitewise.sources.shared import new_dir
+
+    session = lambda master, path: O(conf=O(get=lambda k, d: path, set=lambda k, v: None), sparkContext=O(master=master))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        new_dir(session("spark://host:7077", None), "x")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        new_dir(session("local-cluster[2,1,1024]", None), "x")
+    assert new_dir(session("yarn", "hdfs://n/shared/"), "x").startswith("hdfs://n/shared/x-")
+    assert new_dir(session("local[4]", None), "x").startswith("file://")
