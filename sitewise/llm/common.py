@@ -1,16 +1,15 @@
-"""What the operators share: the shared folder, saved tables, bounded key bitmaps."""
+"""What the operators share: saved tables, samples by hash, bounded key bitmaps."""
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sitewise.sources.shared import new_dir
+
 #: The white space and the words that every text operator uses.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = rb"[^\x20\x09-\x0D]+"
@@ -25,21 +24,6 @@ _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _SLOT_BITS = 16
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir. Where it is unset, a folder of our own in local mode, and an error on a cluster."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        path = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
-
-
-def new_dir(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Writes df into the shared folder and reads it back: lineage ends there, and a lost executor costs no recomputation.
 

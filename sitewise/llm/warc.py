@@ -23,6 +23,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import re
 import uuid
 import zlib
 from bisect import bisect_right
@@ -34,7 +35,8 @@ import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitewise.llm.common import clean_columns, key_bitmap, new_dir, saved, with_maybe
+from sitewise.llm.common import clean_columns, key_bitmap, saved, with_maybe
+from sitewise.sources.shared import new_dir
 
 MIN_BYTES, BLOCK_LINES, FILE_BYTES = 1000, 128, 1 << 30
 #: Fixed values of the archive format.
@@ -150,6 +152,8 @@ def write_archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 
 
 def _files(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """The file system of a local path or of a uri (file, hdfs, s3 and so on); an object store's other names in Spark are those of one client."""
+    path = re.sub(r"^s3[an]://", "s3://", path)
     return pyarrow.fs.FileSystem.from_uri(path) if "://" in path else (pyarrow.fs.LocalFileSystem(), path)
 
 
