@@ -41,15 +41,20 @@ def byte_bpe(ranks_path: str, json_path: str) -> Callable[[str], list[int]]:
 
     import public_tokenizers
     import tiktoken
-    from tokenizers import Tokenizer
 
     with open(ranks_path, "rb") as f:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
     fast = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    slow = Tokenizer.from_file(json_path)
+
+    @cache
+    def slow():
+        # most tasks never need it, and it takes some 50 MB
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(json_path)
 
     def ids(text: str) -> list[int]:
-        return slow.encode(text, add_special_tokens=False).ids if SPECIAL in text else fast.encode_ordinary(text)
+        return slow().encode(text, add_special_tokens=False).ids if SPECIAL in text else fast.encode_ordinary(text)
 
     return ids
 
