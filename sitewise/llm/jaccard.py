@@ -82,19 +82,16 @@ def _first_pass(docs: DataFrame, words: int) -> DataFrame:
 def _summed(parts: DataFrame) -> DataFrame:
     """Sums the sketch's pieces in two steps, so that no task gets the pieces of all tasks."""
 
-    def add(key, frames):
-        import pandas as pd
-
-        total = None
-        for data in frames["data"]:
-            part = np.frombuffer(zlib.decompress(data), dtype=np.uint32).astype(np.uint64)
-            total = part if total is None else total + part
+    def add(key: tuple, parts: pa.Table) -> pa.Table:
+        total = np.zeros(1 << PIECE_BITS, dtype=np.uint64)
+        for data in parts["data"]:
+            total += np.frombuffer(zlib.decompress(data.as_py()), dtype=np.uint32)
         total = np.minimum(total, np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        return pd.DataFrame({"piece": [int(key[0])], "data": [zlib.compress(total.tobytes(), 1)]})
+        return pa.table({"piece": pa.array([key[0].as_py()], pa.int32()), "data": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
 
     salted = parts.select("piece", "data", F.pmod(F.xxhash64("data"), F.lit(32)).alias("salt"))
-    half = salted.groupBy("piece", "salt").applyInPandas(add, "piece int, data binary")
-    return half.groupBy("piece").applyInPandas(add, "piece int, data binary")
+    half = salted.groupBy("piece", "salt").applyInArrow(add, "piece int, data binary")
+    return half.groupBy("piece").applyInArrow(add, "piece int, data binary")
 
 
 def list_levels(parts: DataFrame) -> np.ndarray:
