@@ -18,7 +18,7 @@ WORD = rb"[^\x20\x09-\x0D]+"
 BITMAP_BITS = 24
 _PIECE_BITS = 15
 #: Bytes of a batch for Python while a table is saved.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Leading bits of hashes that are counted at a time.
 _SLOT_BITS = 16
