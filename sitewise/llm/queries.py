@@ -83,6 +83,41 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup(spark, write_archive(pages), pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sitewise.llm.prefix_trie import prefix_trie
+
+    return prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
+def _crc32(s: str) -> str:
+    """SQL for the unsigned CRC-32 (polynomial 0xEDB88320) of an ASCII string s, byte by byte and bit by bit."""
+    values = f"[4294967295] || list_transform(range(1, len({s}) + 1), lambda i: CAST(ascii({s}[i]) AS BIGINT))"
+    step = "list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+    return f"xor(4294967295, list_reduce({values}, lambda a, b: {step}))"
+
+
+OP11_SQL = f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list({{'r': r, 'x': x}} ORDER BY turn NULLS FIRST, r, x) AS v, CAST(conv_id AS VARCHAR) AS s FROM t GROUP BY conv_id),
+c AS (SELECT o.conv_id, o.v, CAST({_crc32("o.s")} % 6 AS BIGINT) AS h, coalesce(b.v, []) AS bv FROM o LEFT JOIN o b ON b.conv_id = o.conv_id - o.conv_id % 100),
+rb AS (SELECT conv_id, list_concat(bv[1:h], v[h + 1:]) AS v FROM c),
+p AS (SELECT conv_id, d, v[1:d] AS k, len(v) = d AS ends FROM (SELECT conv_id, v, unnest(range(0, len(v) + 1)) AS d FROM rb)),
+n AS (SELECT k, d, min(conv_id) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256 FROM p GROUP BY k, d),
+kids AS (SELECT k[1:d - 1] AS k, count(*) AS c FROM n WHERE d > 0 GROUP BY 1),
+e AS (SELECT n.*, coalesce(kids.c, 0) AS n_children FROM n LEFT JOIN kids ON n.k = kids.k),
+up AS (SELECT k[1:i] AS k, leaf, saving FROM (SELECT k, n_children = 0 AS leaf, CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * length(k[d].x) END AS saving, unnest(range(0, d + 1)) AS i FROM e)),
+s AS (SELECT k, count(*) FILTER (leaf) AS n_leaves, CAST(sum(saving) AS BIGINT) AS saved_tokens FROM up GROUP BY k)
+SELECT e.conv_id, e.d AS depth, q.conv_id AS parent_conv_id, e.n_convs, e.n_children, s.n_leaves, s.saved_tokens, e.ends_sha256
+FROM e JOIN s ON e.k = s.k LEFT JOIN n q ON e.d > 0 AND q.d = e.d - 1 AND q.k = e.k[1:e.d - 1]
+"""
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sitewise.llm.sharding import sharded
+
+    return sharded(_table(spark, sf_dir, "documents"))
+
+
 OP10_SQL = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages), d AS (SELECT page_id, octet_length(b) AS n, sha1(b) AS h FROM p),
 m AS (SELECT h, max(page_id) AS top FROM d WHERE n >= 1000 GROUP BY h)
@@ -119,10 +154,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing_to_target_weights": op8_mixing,
     "op9_toxicity": op9_toxicity,
     "op10_warc": op10_warc,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op13_sharding": op13_sharding,
 }
 ORACLES: dict[str, str] = {
     "op1_embedding_near_dedup": OP1_SQL,
     "op4_ngram_jaccard_join": OP4_SQL,
     "op6_exact_dedup": OP6_SQL,
     "op10_warc": OP10_SQL,
+    "op11_prefix_trie": OP11_SQL,
 }
