@@ -112,6 +112,24 @@ FROM e JOIN s ON e.k = s.k LEFT JOIN n q ON e.d > 0 AND q.d = e.d - 1 AND q.k =
 """
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sitewise.llm.lexical import search
+
+    return search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS i, doc_id, coalesce(text, '') AS x FROM documents), q AS (SELECT item_id, coalesce(text, '') AS x FROM benchmark WHERE item_id IS NOT NULL),
+dt AS (SELECT i, doc_id, unnest(regexp_extract_all(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM d),
+qt AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM q),
+tf AS (SELECT i, doc_id, t, count(*) AS tf FROM dt GROUP BY ALL), n AS (SELECT i, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY i), s AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM n),
+m AS (SELECT i, 100 - 50 + ((50 * n * n_docs) // n_terms) AS m FROM n, s), df AS (SELECT t, count(*) AS df FROM tf GROUP BY t),
+w AS (SELECT t, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM df, s),
+r AS (SELECT item_id, i, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score FROM qt JOIN tf USING (t) JOIN w USING (t) JOIN m USING (i) GROUP BY ALL)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM r WHERE score > 0) WHERE rank <= 50
+"""
+
+
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sitewise.llm.sharding import sharded
 
@@ -155,6 +173,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_warc": op10_warc,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_lexical_search": op12_lexical_search,
     "op13_sharding": op13_sharding,
 }
 ORACLES: dict[str, str] = {
@@ -163,4 +182,5 @@ ORACLES: dict[str, str] = {
     "op6_exact_dedup": OP6_SQL,
     "op10_warc": OP10_SQL,
     "op11_prefix_trie": OP11_SQL,
+    "op12_lexical_search": OP12_SQL,
 }
