@@ -350,6 +350,14 @@ def fastq_round_trip(spark, d):
     return readers.fastq(spark, path).select("name", "seq", "qual")
 
 
+@query("SELECT concat('r', read_id) AS name, seq, qual FROM rp", "rp")
+def fastq_plain_round_trip(spark, d):
+    """Plain files, cut into ranges that begin inside records."""
+    path = new_dir(spark, "reads")
+    sinks.reads_text(X.prefixed_reads(spark, d).withColumn("name", F.concat(F.lit("r"), "read_id")), path, compress=False)
+    return readers.fastq(spark, path, split_bytes=2_500).select("name", "seq", "qual")
+
+
 @query("SELECT name AS qname, * EXCLUDE (library_id, name, chimeric), chimeric AND NOT unmapped AS chimeric FROM fal", "fal")
 def sam_round_trip(spark, d):
     path = new_dir(spark, "records")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from sitewise.sources import fastq as source
 from sitewise.sources import schemas
 
 #: Lines of one FASTQ record.
@@ -43,8 +45,22 @@ def sam(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).where("not value like '@%' and value <> ''").select(*fields)
 
 
-def fastq(spark: SparkSession, path: str) -> DataFrame:
-    """Reads with library_id and read_no. A gzip file is one partition, so ids that rise along the scan are in line order.
+def fastq(spark: SparkSession, path: str, split_bytes: int | None = None) -> DataFrame:
+    """Reads with library_id, file and read_no, which rises along a file. Plain files are read in ranges of split_bytes, packed ones by a task each; nothing is shuffled.
+
+    A store that only Spark can open is read by lines (fastq_by_lines).
+    """
+    try:
+        source.opened(path)
+    except (pa.ArrowInvalid, OSError, NotImplementedError):
+        return fastq_by_lines(spark, path)
+    spark.dataSource.register(source.ReadsSource)
+    reads = spark.read.format(source.NAME).option("splitBytes", split_bytes or source.SPLIT_BYTES).load(path)
+    return reads.select(library_of(F.col("file")).alias("library_id"), "file", "read_no", "name", "seq", "qual")
+
+
+def fastq_by_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The same from Spark's own lines, for packed files in any store: ids that rise along the scan are in line order, since a file is one partition.
 
     Records are put together by their number, which shuffles each file over many tasks behind the one that unpacks it.
     """
@@ -58,7 +74,7 @@ def fastq(spark: SparkSession, path: str) -> DataFrame:
     record = rows.groupBy("file", F.floor(at / _RECORD).alias("read_no")).agg(
         *(F.max(F.when(F.pmod(at, F.lit(_RECORD)) == i, F.col("value"))).alias(c) for i, c in ((0, "name"), (1, "seq"), (3, "qual")))
     )
-    return record.select(library_of(F.col("file")).alias("library_id"), "read_no", F.substr("name", F.lit(2)).alias("name"), "seq", "qual")
+    return record.select(library_of(F.col("file")).alias("library_id"), "file", "read_no", F.substr("name", F.lit(2)).alias("name"), "seq", "qual")
 
 
 def library_of(path: Column) -> Column:

@@ -42,9 +42,10 @@ def routed_reads(reads: DataFrame, path: str) -> None:
     reads.select("route", record.alias("value")).write.partitionBy("route").option("compression", "gzip").text(path)
 
 
-def reads_text(reads: DataFrame, path: str) -> None:
-    """Reads as four lines each, unpacked by one task for each file."""
-    reads.select(F.concat_ws("\n", F.concat(F.lit("@"), "name"), "seq", F.lit("+"), "qual").alias("value")).write.option("compression", "gzip").text(path)
+def reads_text(reads: DataFrame, path: str, compress: bool = True) -> None:
+    """Reads as four lines each; packed files are read back by one task for each, plain ones in ranges."""
+    record = F.concat_ws("\n", F.concat(F.lit("@"), "name"), "seq", F.lit("+"), "qual")
+    reads.select(record.alias("value")).write.option("compression", "gzip" if compress else "none").text(path)
 
 
 def classed(reads: DataFrame, path: str, column: str = "class") -> None:
