@@ -39,6 +39,35 @@ def reference_length(cigar: Column) -> Column:
     return F.aggregate(runs, F.lit(0).cast("long"), lambda total, run: total + run.cast("long"))
 
 
+def cigar_runs(cigar: Column) -> Column:
+    """An alignment's runs as an array of (length, op), in order; empty where there is none (* or null)."""
+    found = lambda group: F.regexp_extract_all(F.coalesce(cigar, F.lit("")), F.lit(r"(\d+)([MIDNSHP=X])"), F.lit(group))
+    return F.zip_with(found(1), found(2), lambda n, op: F.struct(n.cast("long").alias("length"), op.alias("op")))
+
+
+def query_place(runs: Column, start: Column, pos: Column) -> Column:
+    """Where a read that is aligned from start (zero-based) holds a position of the reference: a struct of kind and offset.
+
+    kind is base (offset is the place in the sequence, from 0), deleted (D), skipped (N), clipped (under a soft clip, which lies before or after the aligned part; its bases have an offset too)
+    or outside. Insertions (I) move the offset, hard clips and padding (H, P) move nothing. One walk over the runs: read and reference advance as each of them says.
+    """
+    pos, none = pos.cast("long"), F.lit(None).cast("long")
+    begin = F.struct(start.cast("long").alias("ref"), F.lit(0).cast("long").alias("query"), F.lit(False).alias("aligned"), F.lit("outside").alias("kind"), none.alias("offset"))
+
+    def step(seen: Column, run: Column) -> Column:
+        op, length = run["op"], run["length"]
+        on_reference, on_read = op.isin("M", "D", "N", "=", "X"), op.isin("M", "I", "S", "=", "X")
+        first = F.when((op == "S") & ~seen["aligned"], seen["ref"] - length).otherwise(seen["ref"])  # a clip before the aligned part ends at start
+        hit = (on_reference | (op == "S")) & (pos >= first) & (pos < first + length) & (seen["kind"] == "outside")
+        kind = F.when(op == "D", "deleted").when(op == "N", "skipped").when(op == "S", "clipped").otherwise("base")
+        return F.struct(
+            (seen["ref"] + F.when(on_reference, length).otherwise(0)).alias("ref"), (seen["query"] + F.when(on_read, length).otherwise(0)).alias("query"), (seen["aligned"] | on_reference).alias("aligned"),
+            F.when(hit, kind).otherwise(seen["kind"]).alias("kind"), F.when(hit & on_read, seen["query"] + pos - first).otherwise(seen["offset"]).alias("offset"),
+        )
+
+    return F.aggregate(runs, begin, step, lambda seen: F.struct(seen["kind"].alias("kind"), seen["offset"].alias("offset")))
+
+
 def has_flag(flag: Column, bit: int) -> Column:
     return flag.bitwiseAND(bit) != 0
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sitewise.functions.expressions import reference_length
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -99,6 +101,17 @@ def alignments_with_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Runs of eight bases of a read: how they lie on the reference.
+CIGARS = ("8M", "2S6M", "3M2I3M", "3M4D5M", "4M20N4M", "5=3X", "2H3M1I2M2S", "1S2M1D1M2I2=")
+
+
+def cigar_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reads by order and line with runs of every kind, as long on the reference as their runs say."""
+    reads = allelic_reads(spark, sf_dir)
+    cigar = F.element_at(F.array(*map(F.lit, CIGARS)), (1 + (F.col("end_pos") - F.col("start_pos")) % len(CIGARS)).cast("int"))
+    return reads.withColumn("cigar", cigar).withColumn("end_pos", F.col("start_pos") + reference_length(F.col("cigar")))
+
+
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that report how many rows each kind of event had; later kinds overwrite earlier ones."""
     counts = table(spark, sf_dir, "events").groupBy((F.col("event_id") % 3).alias("library_id"), (F.col("event_id") % 7).alias("line_no")).agg(
@@ -147,6 +160,13 @@ SQL = {
         translate(lpad(CAST(l_partkey % 16 AS VARCHAR), 8, '0'), '0123456789', 'ACGTACGTAC') AS seq FROM lineitem""",
     "ov": """SELECT r.read_id, r.chrom, r.start_pos, r.end_pos, s.snp_pos, s.ref, s.alt, substr(r.seq, CAST(1 + (s.snp_pos - r.start_pos) % 8 AS INT), 1) AS base
         FROM rd r JOIN snp s ON r.chrom = s.chrom AND s.snp_pos >= r.start_pos AND s.snp_pos < r.end_pos""",
+    "cig": """SELECT * FROM (VALUES (0, 0, 8, 0, 'base'), (1, 0, 6, 2, 'base'), (2, 0, 3, 0, 'base'), (2, 3, 6, 5, 'base'), (3, 0, 3, 0, 'base'), (3, 3, 7, NULL, 'deleted'), (3, 7, 12, 3, 'base'),
+        (4, 0, 4, 0, 'base'), (4, 4, 24, NULL, 'skipped'), (4, 24, 28, 4, 'base'), (5, 0, 8, 0, 'base'), (6, 0, 3, 0, 'base'), (6, 3, 5, 4, 'base'),
+        (7, 0, 2, 1, 'base'), (7, 2, 3, NULL, 'deleted'), (7, 3, 4, 3, 'base'), (7, 4, 6, 6, 'base')) AS t(k, low, high, query, kind)""",
+    "bov": """SELECT r.read_id, r.chrom, r.reverse_strand, r.start_pos, r.start_pos + l.n AS end_pos, s.snp_pos, s.ref, s.alt, c.kind, CAST(c.query + s.snp_pos - r.start_pos - c.low AS BIGINT) AS "offset",
+          CASE WHEN c.query IS NOT NULL THEN substr(r.seq, CAST(1 + c.query + s.snp_pos - r.start_pos - c.low AS INT), 1) END AS base
+        FROM rd r JOIN (SELECT k, max(high) AS n FROM cig GROUP BY k) l ON l.k = (r.end_pos - r.start_pos) % 8 JOIN snp s ON r.chrom = s.chrom AND s.snp_pos >= r.start_pos AND s.snp_pos < r.start_pos + l.n
+        JOIN cig c ON c.k = l.k AND s.snp_pos - r.start_pos >= c.low AND s.snp_pos - r.start_pos < c.high""",
     "cls": """SELECT read_id, n_ref, n_alt, n_other, CASE WHEN n_ref > 0 AND n_alt > 0 THEN 'conflict' WHEN n_ref > 0 THEN 'genome1' WHEN n_alt > 0 THEN 'genome2'
         ELSE 'unassignable' END AS class, n_other > 0 AS weird FROM (SELECT rd.read_id, count(*) FILTER (base = ref) AS n_ref, count(*) FILTER (base = alt) AS n_alt,
         count(*) FILTER (base <> ref AND base <> alt) AS n_other FROM rd LEFT JOIN ov ON rd.read_id = ov.read_id GROUP BY rd.read_id)""",
@@ -172,7 +192,7 @@ def _near(rows: str) -> str:
 
 SQL |= {"gnear": _near("gumi"), "fnear": _near("fumi")}
 #: Which tables each one reads.
-_NEEDS = {"fumi": ["fal"], "fnear": ["fumi", "cs"], "gumi": ["rd", "cls"], "gnear": ["gumi", "cs"], "gall": ["gnear"], "umi": ["aln"], "near": ["umi", "cs"], "oloc": ["oumi"], "onear": ["oloc", "ocs"], "ov": ["rd", "snp"], "cls": ["rd", "ov"], "osite": ["oumi", "onear"]}
+_NEEDS = {"fumi": ["fal"], "fnear": ["fumi", "cs"], "gumi": ["rd", "cls"], "gnear": ["gumi", "cs"], "gall": ["gnear"], "umi": ["aln"], "near": ["umi", "cs"], "oloc": ["oumi"], "onear": ["oloc", "ocs"], "ov": ["rd", "snp"], "bov": ["rd", "snp", "cig"], "cls": ["rd", "ov"], "osite": ["oumi", "onear"]}
 
 
 def sql(body: str, *names: str) -> str:

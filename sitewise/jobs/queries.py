@@ -249,6 +249,23 @@ def allele_class(spark, d):
     return _classes(spark, d)
 
 
+@query("SELECT * FROM bov", "bov")
+def snp_bases(spark, d):
+    """Bases at variants through alignments with insertions, deletions, skips and clips."""
+    return L.snp_bases(X.cigar_reads(spark, d), X.snps(spark, d))
+
+
+@query(
+    """SELECT read_id, n_ref, n_alt, n_other, CASE WHEN n_ref > 0 AND n_alt > 0 THEN 'conflict' WHEN n_ref > 0 THEN 'genome1' WHEN n_alt > 0 THEN 'genome2' ELSE 'unassignable' END AS class,
+    n_other > 0 AS weird FROM (SELECT rd.read_id, count(*) FILTER (base = ref) AS n_ref, count(*) FILTER (base = alt) AS n_alt, count(*) FILTER (base <> ref AND base <> alt) AS n_other
+    FROM rd LEFT JOIN bov ON rd.read_id = bov.read_id GROUP BY rd.read_id)""", "rd", "bov",
+)
+def allele_class_of_bases(spark, d):
+    """Classes of all reads from their alignments' bases: deleted and skipped variants count for none."""
+    reads = X.cigar_reads(spark, d)
+    return L.allele_class(L.snp_bases(reads, X.snps(spark, d)), reads=reads)
+
+
 def _genome_reads(spark, d) -> DataFrame:
     """Reads of genome1 and genome2, and both again as genome12."""
     reads = X.allelic_reads(spark, d).join(L.allele_class(_overlaps(spark, d)).select("read_id", "class"), "read_id")  # of the genomes, all cover a variant

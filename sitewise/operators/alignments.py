@@ -12,14 +12,14 @@ from sitewise.functions.expressions import (
 MIN_MAPQ, MITOCHONDRION = 30, "chrM"
 
 
-def from_sam(sam: DataFrame) -> DataFrame:
-    """Half-open, zero-based coordinates and flag columns from alignment records."""
+def from_sam(sam: DataFrame, *also: str) -> DataFrame:
+    """Half-open, zero-based coordinates and flag columns from alignment records; also names further fields to keep, such as cigar."""
     start = F.col("pos") - 1
     mate_elsewhere = has_flag(F.col("flag"), PAIRED) & ~has_flag(F.col("flag"), MATE_UNMAPPED) & ~F.col("rnext").isin("=", "*") & (F.col("rnext") != F.col("chrom"))
     return sam.select(
         "qname", "chrom", start.alias("start_pos"), (start + reference_length(F.col("cigar"))).alias("end_pos"), "mapq", "seq", "qual",
         has_flag(F.col("flag"), UNMAPPED).alias("unmapped"), has_flag(F.col("flag"), SECONDARY).alias("secondary"),
-        has_flag(F.col("flag"), REVERSE).alias("reverse_strand"), (mate_elsewhere & ~has_flag(F.col("flag"), UNMAPPED)).alias("chimeric"),
+        has_flag(F.col("flag"), REVERSE).alias("reverse_strand"), (mate_elsewhere & ~has_flag(F.col("flag"), UNMAPPED)).alias("chimeric"), *also,
     )
 
 

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sitewise.functions.expressions import cigar_runs, query_place
+
 #: Bases for each bucket of the interval join; about a read's length, so that a read meets one or two.
 BUCKET = 64
 
@@ -23,6 +25,19 @@ def snp_overlap(reads: DataFrame, snps: DataFrame, bucket: int = BUCKET) -> Data
     return found.where("snp_pos >= start_pos and snp_pos < end_pos").drop("bucket")
 
 
+def snp_bases(reads: DataFrame, snps: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    """Each read's base at each variant that its alignment spans, through the alignment's runs.
+
+    reads: read_id, chrom, start_pos, end_pos, cigar and seq, as aligned (a reverse read's sequence is stored that way). Adds kind (base, deleted or skipped), offset and base: null where the
+    read has no base there, so such a variant says nothing about the read in allele_class, as does a sequence that isn't stored (*). A read's runs are taken apart once, before it meets variants.
+    """
+    found = snp_overlap(reads.withColumn("runs", cigar_runs(F.col("cigar"))).drop("cigar"), snps, bucket)
+    found = found.withColumn("place", query_place(F.col("runs"), F.col("start_pos"), F.col("snp_pos"))).drop("runs")
+    has_base = (F.col("place.kind") == "base") & (F.col("seq") != "*")
+    base = F.nullif(F.upper(F.substring("seq", (F.col("place.offset") + 1).cast("int"), F.lit(1))), F.lit(""))
+    return found.withColumns({"kind": F.col("place.kind"), "offset": F.col("place.offset"), "base": F.when(has_base, base)}).drop("place", "seq")
+
+
 def allele_class(overlaps: DataFrame, base: str = "base", read: str = "read_id", reads: DataFrame | None = None) -> DataFrame:
     """A class for each read: genome1, genome2, conflict or unassignable; weird says that some base was neither allele.
 
