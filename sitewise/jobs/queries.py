@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitewise.functions.expressions import near_literal
 from sitewise.jobs import fixtures as X
-from sitewise.jobs.preprocess import counters_of, genome_assigned, prepared_reads, sited_lists, sites_of
+from sitewise.jobs.preprocess import allelic_counters, counters_of, genome_assigned, prepared_reads, sited_lists, sites_of
 from sitewise.operators import alignments as A
 from sitewise.operators import allelic as L
 from sitewise.operators import reads as R
@@ -229,9 +229,13 @@ def library_discovery(spark, d):
     return files.groupBy(library_of(F.col("path")).alias("library_id")).agg(F.count(F.lit(1)).alias("files"))
 
 
+def _base() -> Column:
+    """A base at a variant that the fixture makes up from a read's eight."""
+    return F.substring("seq", (1 + (F.col("snp_pos") - F.col("start_pos")) % 8).cast("int"), F.lit(1))
+
+
 def _overlaps(spark, d) -> DataFrame:
-    found = L.snp_overlap(X.allelic_reads(spark, d), X.snps(spark, d))
-    return found.withColumn("base", F.substring("seq", (1 + (F.col("snp_pos") - F.col("start_pos")) % 8).cast("int"), F.lit(1))).drop("seq", "reverse_strand")
+    return L.snp_overlap(X.allelic_reads(spark, d), X.snps(spark, d)).withColumn("base", _base()).drop("seq", "reverse_strand")
 
 
 @query("SELECT * FROM ov", "ov")
@@ -241,7 +245,7 @@ def snp_overlap(spark, d):
 
 def _classes(spark, d) -> DataFrame:
     """All reads, also those that cover no variant."""
-    return L.allele_class(_overlaps(spark, d), reads=X.allelic_reads(spark, d))
+    return L.class_reads(X.allelic_reads(spark, d), X.snps(spark, d), _base())
 
 
 @query("SELECT * FROM cls", "cls")
@@ -315,13 +319,8 @@ _TAILS = ", ".join(
 )
 def allelic_summary(spark, d):
     """Counters of one library from classes and genomes; each genome's reads go to their nearest site within the distance limit before they are counted."""
-    library, none = F.lit(0).alias("library_id"), F.lit("").alias("genome")
-    classes = _classes(spark, d)
-    names = {"mapped": F.lit(True), "unassigned": F.col("class") == "unassignable", "genome1": F.col("class") == "genome1", "genome2": F.col("class") == "genome2", "weird": F.col("weird"), "conflict": F.col("class") == "conflict"}
-    whole = classes.agg(*(F.count_if(x).alias(c) for c, x in names.items()))
-    tails = S.site_counters(_genome_assigned(spark, d), "genome")
-    long = whole.select(library, none, "*").unpivot(["library_id", "genome"], list(names), "metric", "value")
-    return M.allelic_summary(long.unionByName(tails.select(library, "*").unpivot(["library_id", "genome"], ["n_umis", "from_cs", "uniq"], "metric", "value")))
+    reads = X.allelic_reads(spark, d).withColumn("library_id", F.lit(0))
+    return M.allelic_shares(allelic_counters(reads, X.snps(spark, d), _base(), X.cut_sites(spark, d)))
 
 
 @query("SELECT * EXCLUDE (name, qual) FROM fal WHERE mapq >= 30 AND chrom <> 'chrM' AND NOT unmapped AND NOT secondary AND NOT chimeric", "fal")

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sitewise.functions.expressions import cigar_runs, query_place
@@ -43,21 +44,41 @@ def allele_class(overlaps: DataFrame, base: str = "base", read: str = "read_id",
 
     reads are all reads, of which those that cover no variant are unassignable; without them only reads with overlaps are classed.
     """
-    counts = overlaps.groupBy(read).agg(
-        F.count_if(F.col(base) == F.col("ref")).alias("n_ref"), F.count_if(F.col(base) == F.col("alt")).alias("n_alt"),
-        F.count_if((F.col(base) != F.col("ref")) & (F.col(base) != F.col("alt"))).alias("n_other"),
-    )
+    counts = overlaps.groupBy(read).agg(*_allele_counts(base))
     if reads is not None:
         counts = reads.select(read).distinct().join(counts, read, "left").na.fill(0, ["n_ref", "n_alt", "n_other"])
-    kind = (
-        F.when((F.col("n_ref") > 0) & (F.col("n_alt") > 0), "conflict")
-        .when(F.col("n_ref") > 0, "genome1")
-        .when(F.col("n_alt") > 0, "genome2")
-        .otherwise("unassignable")
-    )
+    return _classed(counts)
+
+
+def _allele_counts(base: str) -> list[Column]:
+    is_ref, is_alt = F.col(base) == F.col("ref"), F.col(base) == F.col("alt")
+    return [F.count_if(is_ref).alias("n_ref"), F.count_if(is_alt).alias("n_alt"), F.count_if(~is_ref & ~is_alt).alias("n_other")]
+
+
+def _classed(counts: DataFrame) -> DataFrame:
+    ref, alt = F.col("n_ref") > 0, F.col("n_alt") > 0
+    kind = F.when(ref & alt, "conflict").when(ref, "genome1").when(alt, "genome2").otherwise("unassignable")
     return counts.withColumn("class", kind).withColumn("weird", F.col("n_other") > 0)
 
 
+def class_reads(reads: DataFrame, snps: DataFrame, base: Column, *keep: str, read: str = "read_id", bucket: int = BUCKET) -> DataFrame:
+    """The class of each read from one pass over the reads: those that cover no variant stay in the same join and the same aggregation.
+
+    base says a read's base at a variant, over the columns of both. With keep there is a row for each read and values of those columns (a read may be aligned more than once; rows that repeat
+    wholly are one), all with the read's class; first marks one of a read's rows, so that reads can be counted.
+    """
+    buckets = F.when(F.col("end_pos") > F.col("start_pos"), F.sequence(F.floor(F.col("start_pos") / bucket), F.floor((F.col("end_pos") - 1) / bucket)))
+    spread = reads.select("*", F.explode_outer(buckets).alias("at_bucket"))
+    known = snps.withColumn("snp_bucket", F.floor(F.col("snp_pos") / bucket)).withColumnRenamed("chrom", "snp_chrom")
+    on = (F.col("chrom") == F.col("snp_chrom")) & (F.col("at_bucket") == F.col("snp_bucket")) & (F.col("snp_pos") >= F.col("start_pos")) & (F.col("snp_pos") < F.col("end_pos"))
+    met = spread.join(known, on, "left").select(read, *keep, base.alias("base"), "ref", "alt")
+    if not keep:
+        return _classed(met.groupBy(read).agg(*_allele_counts("base")))
+    counts = met.repartition(read).groupBy(read, *keep).agg(*_allele_counts("base"))
+    own = W.partitionBy(read)
+    return _classed(counts.withColumns({c: F.sum(c).over(own) for c in ("n_ref", "n_alt", "n_other")} | {"first": F.row_number().over(own.orderBy(*keep)) == 1}))
+
+
 def genome_union(**genomes: DataFrame) -> DataFrame:
     """Bag union of the genomes' rows under a genome column; alignments.coordinate_sorted orders it."""
     return reduce(DataFrame.unionByName, (df.withColumn("genome", F.lit(name)) for name, df in genomes.items()))

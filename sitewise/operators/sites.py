@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -11,12 +11,74 @@ MAX_DISTANCE = 20
 BIN_WIDTH = 1 << 20
 
 
+def _refuse(umis: DataFrame) -> None:
+    if taken := {"rs_pos", "d_rs"} & {c.lower() for c in umis.columns}:
+        raise ValueError(f"rows have a column named {sorted(taken)} already")
+
+
+def site_cells(sites: DataFrame, max_distance: int = MAX_DISTANCE, bin_width: int = BIN_WIDTH) -> tuple[DataFrame, int]:
+    """The positions that belong to each site: chrom, cell, low and high (both included) and rs_pos; and by how many bits a position is shifted to its cell.
+
+    A site has what lies within max_distance of it and no nearer to another one; of two as near, the lower has it. Cells are twice that distance or more, so a site is in one or two of
+    them. Only neighbours within reach matter: sites near a bin's edge are in both bins while neighbours are looked up, and no chromosome's sites meet in one task. Repeated sites are one.
+    """
+    bits = max(6, (2 * max_distance).bit_length())
+    at, reach = F.col("start").cast("long"), 2 * max_distance + 1
+    bin_of = lambda c: F.floor(c / bin_width)
+    known = sites.select("chrom", at.alias("at")).where("chrom is not null and at is not null")
+    near_bins = F.sequence(bin_of(F.col("at") - reach), bin_of(F.col("at") + reach))
+    halo = known.select("chrom", "at", F.explode(near_bins).alias("bin")).repartition("chrom", "bin")
+    along = W.partitionBy("chrom", "bin").orderBy("at")
+    # of a repeated site all but the ends of the run are left with nothing
+    low = F.greatest(F.col("at") - max_distance, F.shiftright(F.col("at") + F.lag("at").over(along), 1) + 1)
+    high = F.least(F.col("at") + max_distance, F.shiftright(F.col("at") + F.lead("at").over(along), 1))
+    own = halo.select("chrom", "at", "bin", low.alias("low"), high.alias("high")).where((F.col("bin") == bin_of(F.col("at"))) & (F.col("low") <= F.col("high")))
+    cell = F.explode(F.sequence(F.shiftright("low", bits), F.shiftright("high", bits)))
+    return own.select("chrom", cell.alias("cell"), "low", "high", F.col("at").alias("rs_pos")), bits
+
+
+def near_site(umis: DataFrame, sites: DataFrame, max_distance: int = MAX_DISTANCE, how: str = "inner") -> DataFrame:
+    """Adds rs_pos and d_rs of the nearest site within the distance; rows without one are left out, or have nulls where how is left.
+
+    The same as nearest_site and within_distance, for a limit that is known beforehand: one equi-join on (chrom, cell), in which a row meets its one site, and no sort of the rows.
+    """
+    _refuse(umis)
+    cells, bits = site_cells(sites, max_distance)
+    pos = F.col("umi.pos").cast("long")
+    left, right = umis.alias("umi"), cells.alias("site")
+    met = left.join(right, (F.col("umi.chrom") == F.col("site.chrom")) & (F.shiftright(pos, bits) == F.col("site.cell")) & (pos >= F.col("site.low")) & (pos <= F.col("site.high")), how)
+    return met.select("umi.*", "site.rs_pos", F.abs(pos - F.col("site.rs_pos")).alias("d_rs"))
+
+
+def near_counters(umis: DataFrame, sites: DataFrame, *by: str, max_distance: int = MAX_DISTANCE, **counts: Column) -> DataFrame:
+    """For each value of by and of counts (conditions over rows of umis): <name>_n_umis, the rows on chromosomes with sites; <name>_from_cs, those near one; <name>_uniq, their distinct
+    (site, sequence); <name>_all, all rows. Without counts, all rows under plain names.
+
+    Rows are read once. They are aggregated by (site, sequence), which spreads a hot site over tasks, then by chromosome; only that small table meets the chromosomes that have sites.
+    """
+    named = {f"{name}_": when for name, when in counts.items()} or {"": F.lit(True)}
+    near = near_site(umis, sites, max_distance, "left")
+    each = near.groupBy(*by, "chrom", "rs_pos", "seq").agg(*(F.count_if(when).alias(f"{name}n") for name, when in named.items()))
+    has, n = F.col("rs_pos").isNotNull(), lambda name: F.col(f"{name}n")
+    chroms = each.groupBy(*by, "chrom").agg(
+        *(F.sum(n(name)).alias(f"{name}all") for name in named), *(F.sum(F.when(has, n(name)).otherwise(0)).alias(f"{name}from_cs") for name in named),
+        *(F.count_if(has & (n(name) > 0)).alias(f"{name}uniq") for name in named),
+    )
+    sited = sites.select("chrom").distinct().withColumn("sited", F.lit(True))
+    chroms = chroms.join(sited, "chrom", "left")
+    out = [x for name in named for x in (
+        F.sum(F.when(F.col("sited"), F.col(f"{name}all")).otherwise(0)).alias(f"{name}n_umis"), F.sum(f"{name}from_cs").alias(f"{name}from_cs"),
+        F.sum(f"{name}uniq").alias(f"{name}uniq"), F.sum(f"{name}all").alias(f"{name}all"))]
+    return chroms.groupBy(*by).agg(*out)
+
+
 def nearest_site(umis: DataFrame, sites: DataFrame, bin_width: int = BIN_WIDTH) -> DataFrame:
     """Adds rs_pos and d_rs, the nearest site on the same chromosome (of two as near, the lower) and its distance.
 
     umis has chrom and pos; sites has chrom and start. Rows on chromosomes without sites are left out. Only distinct positions look for their sites, so a
     locus with very many rows is one position there; rows meet what was found in a join, whose hot keys adaptive execution splits.
     """
+    _refuse(umis)
     spot = F.col("pos").cast("long")
     found = nearest_of(umis.select("chrom", spot.alias("at")).distinct(), sites, bin_width)
     left, right = umis.alias("umi"), found.alias("found")

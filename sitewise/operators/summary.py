@@ -63,8 +63,13 @@ def allelic_summary(counters: DataFrame) -> DataFrame:
     named = counters.withColumn("metric", F.when(F.col("genome") == "", F.col("metric")).otherwise(F.concat_ws("_", "genome", "metric")))
     own = ("mapped", "unassigned", "genome1", "genome2", "weird", "conflict")
     tails = tuple(f"{g}_{m}" for g in ("g1", "g2", "m") for m in ("n_umis", "from_cs", "uniq"))
-    table = wide(named, own + tails).withColumn("both", F.col("genome1") + F.col("genome2"))
-    shares = [(f"{c}_share", c, "mapped") for c in own[1:]]
+    return allelic_shares(wide(named, own + tails))
+
+
+def allelic_shares(table: DataFrame) -> DataFrame:
+    """The shares of the allelic summary, from its counters in columns."""
+    table = table.withColumn("both", F.col("genome1") + F.col("genome2"))
+    shares = [(f"{c}_share", c, "mapped") for c in ("unassigned", "genome1", "genome2", "weird", "conflict")]
     for g, whole in (("g1", "genome1"), ("g2", "genome2"), ("m", "both")):
         shares += [(f"{g}_from_cs_share", f"{g}_from_cs", f"{g}_n_umis"), (f"{g}_uniq_share", f"{g}_uniq", f"{g}_from_cs"), (f"{g}_out_share", f"{g}_uniq", whole)]
     return with_shares(table, shares).drop("both")

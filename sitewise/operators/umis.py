@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-NUMBER_BIN = 1 << 20
+from sitewise.sources.shared import new_dir
+
+#: A row's place in its task, in ids that rise along each task.
+_TASK_BITS = 33
 
 
 def _ordered(order: list[str], *values: str) -> Column:
@@ -39,6 +41,17 @@ def merge_sites(assigned: DataFrame, keep_terminal_row: bool = False) -> DataFra
     return rows.select("chrom", F.col("rs_pos").alias("pos"), F.flatten("rows.seqs").alias("seqs"), F.flatten("rows.quals").alias("quals"), "n")
 
 
+def site_lists(near: DataFrame, order: str, keep_terminal_row: bool = False) -> DataFrame:
+    """What group_umis and merge_sites give together, from reads with their site (chrom, pos, rs_pos, seq, qual and a unique order): one row for each site, in one aggregation."""
+    by = ["chrom", "rs_pos"]
+    if keep_terminal_row:
+        last = near.groupBy("chrom").agg(F.max(F.struct("rs_pos", "pos")).alias("last"))  # a row for each chromosome
+        near = near.join(last, "chrom").withColumn("terminal", F.struct("rs_pos", "pos") == F.col("last")).drop("last")
+        by.append("terminal")
+    rows = near.groupBy(*by).agg(_ordered(["pos", order], "seq", "qual").alias("rows"))
+    return rows.select("chrom", F.col("rs_pos").alias("pos"), F.col("rows.seq").alias("seqs"), F.col("rows.qual").alias("quals"), F.size("rows").cast("long").alias("n"))
+
+
 def dedup_umis(sited: DataFrame) -> DataFrame:
     """Exactly equal sequences of a row become one, in the order of their first occurrence; quality is dropped."""
     distinct = F.array_distinct("seqs")
@@ -65,18 +78,24 @@ def umi_lengths(umis: DataFrame) -> DataFrame:
     return lengths.agg(F.count("n").alias("n_lengths"), F.avg("n").alias("mean_length"), F.min("n").alias("min_length"), F.max("n").alias("max_length"))
 
 
-def numbered(rows: DataFrame, *ties: str, bin_width: int = NUMBER_BIN) -> DataFrame:
-    """Adds number, from 1, in the order of chrom, pos and ties, without bringing all rows to one task.
+def numbered(rows: DataFrame, *ties: str, by: tuple[str, ...] = ("chrom", "pos")) -> DataFrame:
+    """Adds number, from 1, in the order of by and ties, without bringing all rows to one task and without working out the rows twice.
 
-    Rows are counted by (chrom, bin of positions); only those counts are summed up in order, and rows are
-    numbered inside their bin.
+    Rows are dealt to tasks by ranges and sorted there, and written with their place in the task, which ids that rise along a task hold. Rows are then counted by task,
+    and a task's rows begin behind those of the tasks before.
     """
-    binned = rows.withColumn("bin", F.floor(F.col("pos") / bin_width))
-    counts = binned.groupBy("chrom", "bin").agg(F.count(F.lit(1)).alias("rows"))
-    before = F.sum("rows").over(W.orderBy("chrom", "bin").rowsBetween(W.unboundedPreceding, -1))
-    starts = counts.select("chrom", "bin", F.coalesce(before, F.lit(0)).alias("before"))
-    inside = F.row_number().over(W.partitionBy("chrom", "bin").orderBy("pos", *ties))
-    return binned.withColumn("inside", inside).join(starts, ["chrom", "bin"]).withColumn("number", F.col("before") + F.col("inside")).drop("bin", "before", "inside")
+    spark, path = rows.sparkSession, new_dir(rows.sparkSession, "numbered")
+    held = rows.repartitionByRange(*by, *ties).sortWithinPartitions(*by, *ties).withColumn("id", F.monotonically_increasing_id())
+    held.write.parquet(path)
+    held = spark.read.schema(held.schema).parquet(path).withColumn("task", F.shiftright("id", _TASK_BITS))
+    counts = sorted((r.task, r.n) for r in held.groupBy("task").agg(F.count(F.lit(1)).alias("n")).collect())  # a row for each task of the sort
+    before, starts = 0, []
+    for task, n in counts:
+        starts.append((task, before))
+        before += n
+    starts = spark.createDataFrame(starts, "task long, before long")
+    place = F.col("id").bitwiseAND(F.lit((1 << _TASK_BITS) - 1))
+    return held.join(F.broadcast(starts), "task").withColumn("number", F.col("before") + place + 1).drop("task", "id", "before")
 
 
 def bed5(deduplicated: DataFrame, *ties: str) -> DataFrame:

@@ -74,7 +74,7 @@ def test_bed_numbers_rows_in_order(spark):
     rows = [("chr2", 5, 1), ("chr1", 100, 3), ("chr1", 9, 2), ("chr10", 7, 4)]
     got = U.bed5(spark.createDataFrame(rows, "chrom string, pos long, post_n long")).collect()
     assert sorted(map(tuple, got)) == [("chr1", 9, 9, "pos_1", 2), ("chr1", 100, 100, "pos_2", 3), ("chr10", 7, 7, "pos_3", 4), ("chr2", 5, 5, "pos_4", 1)]
-    narrow = U.numbered(spark.createDataFrame(rows, "chrom string, pos long, post_n long"), bin_width=10)
+    narrow = U.numbered(spark.createDataFrame(rows, "chrom string, pos long, post_n long"))
     assert [r.post_n for r in narrow.orderBy("number").collect()] == [2, 3, 4, 1]
     groups = U.row_groups(spark.createDataFrame(rows, "chrom string, pos long, post_n long"), 3).groupBy("row_group").agg(F.count("*").alias("n")).collect()
     assert {r.row_group: r.n for r in groups} == {1: 3, 2: 1}
