@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Generator, Iterator
 from dataclasses import dataclass, field, replace
 from functools import cache
@@ -169,12 +169,19 @@ def parse(page: str) -> Nodes:
     # open elements: name, its block node, whether it is a link, whether nothing in it is seen
     stack: list[tuple[str, int, bool, bool]] = [("#root", nodes.add("html", -1), False, False)]
     run, at, size = -1, 0, len(page)
-    # how often each name is open, so that no search of the open elements is in vain
-    opened: Counter = Counter()
+    # where each name is open in the stack, and where elements that aren't inline are, so that no look at the open elements goes through them
+    places: dict[str, list[int]] = defaultdict(list)
+    blocks = [0]
+
+    def last(names: tuple[str, ...]) -> int:
+        return max((places[n][-1] for n in names if places[n]), default=0)
 
     def close_to(depth: int) -> None:
         nonlocal run
-        opened.subtract(name for name, _, _, _ in stack[depth:])
+        for name, _, _, _ in stack[depth:]:
+            places[name].pop()
+        while blocks[-1] >= depth:
+            blocks.pop()
         if any(block != stack[depth - 1][1] for _, block, _, _ in stack[depth:]):
             run = -1
         del stack[depth:]
@@ -206,15 +213,10 @@ def parse(page: str) -> Nodes:
         if name is None:
             continue
         if attributes is None:
-            if not opened[name]:
-                continue
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == name:
-                    close_to(depth)
-                    break
-                # the end of an inline element closes no block
-                if name in INLINE and stack[depth][0] not in INLINE:
-                    break
+            depth = last((name,))
+            # the end of an inline element closes no block
+            if depth and (name not in INLINE or depth > blocks[-1]):
+                close_to(depth)
             continue
         if name in RAW:
             end = _raw_end(name).search(page, at)
@@ -233,30 +235,23 @@ def parse(page: str) -> Nodes:
             continue
         if name == "html":
             continue
-        if name in CLOSES_P and opened["p"]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == "p":
-                    close_to(depth)
-                    break
-                if stack[depth][0] not in INLINE:
-                    break
+        if name in CLOSES_P and blocks[-1] and blocks[-1] == last(("p",)):
+            close_to(blocks[-1])
         if name in ENDS:
             names, stops = ENDS[name]
-            for depth in range(len(stack) - 1, 0, -1) if any(opened[n] for n in names) else ():
-                if stack[depth][0] in stops:
+            while last(names) > last(stops):
+                close_to(last(names))
+                if name not in ("tr", "tbody", "tfoot"):
                     break
-                if stack[depth][0] in names:
-                    close_to(depth)
-                    if name not in ("tr", "tbody", "tfoot"):
-                        break
         if attributes.endswith("/") and name in ("svg", "math"):
             continue
         _, block, link, unseen = stack[-1]
-        opened[name] += 1
+        places[name].append(len(stack))
         if name in INLINE:
             stack.append((name, block, link or name == "a", unseen))
         else:
             run = -1
+            blocks.append(len(stack))
             inside = unseen or name in UNSEEN
             if name in ("button", "select"):
                 nodes.inputs[block] += 1
@@ -382,10 +377,41 @@ _PUT_IN = (
 _MAIN_TAGS = ('<div class="content">', '<main>', '<div id="main-content">', '<section class="post">', '<div class="entry-body">', *["<div>"] * 5)
 
 
+def _words(page: str) -> list[str]:
+    """The words outside of tags, scripts and styles; each search of what isn't there is made once."""
+    out, at, missing = [], 0, set()
+
+    def after(what: str, start: int) -> int:
+        found = -1 if what in missing else page.find(what, start)
+        if found < 0:
+            missing.add(what)
+        return found + len(what) if found >= 0 else 0
+
+    while (start := page.find("<", at)) >= 0:
+        out.append(page[at:start])
+        name = next((n for n in ("script", "style") if page.startswith(n, start + 1)), None)
+        at = (after(f"</{name}>", start) if name else 0) or after(">", start) or start + 1
+    out.append(page[at:])
+    return " ".join(out).split()
+
+
+def _shortened(page: str, paragraphs: int) -> str:
+    """The page with no more than so many paragraphs of its first article, where the article has an end; otherwise the page itself."""
+    start = page.find("<article")
+    at = page.find(">", start) + 1 if start >= 0 else 0
+    ends = []
+    while at and len(ends) < paragraphs and (at := page.find("</p>", at) + 4) > 3:
+        ends.append(at)
+    for end in reversed(ends):
+        if (stop := page.find("</article>", end)) >= 0:
+            return page[:end] + page[stop:]
+    return page
+
+
 def _augmented(page: str, r: np.random.Generator) -> Iterator[tuple[Nodes, np.ndarray]]:
     """The page, and copies of it with things put in, its main element renamed, and tags and tokens wiped, with labels."""
     # running words of the page itself, punctuation included, so that how a text reads doesn't tell what was put in
-    words = re.sub(r"<(script|style).*?</\1>|<[^>]*>", " ", page, flags=re.S).replace("<", " ").split() or ["x"]
+    words = _words(page) or ["x"]
 
     def some(n: int) -> str:
         at = int(r.integers(max(1, len(words) - n)))
@@ -394,13 +420,15 @@ def _augmented(page: str, r: np.random.Generator) -> Iterator[tuple[Nodes, np.nd
     copies = [page]
     for _ in range(3):
         # short articles too, so that how large a part of the page a node is doesn't decide by itself
-        put = page if r.random() < 0.3 else re.sub(r"(<article[^>]*>(?:.*?</p>){1,%d}).*?(?=</article>)" % r.integers(1, 5), r"\1", page, count=1, flags=re.S)
+        put = page if r.random() < 0.3 else _shortened(page, int(r.integers(1, 5)))
         for where, markup, names in _PUT_IN:
             if r.random() < 0.4:
                 names = names.split()
                 piece = markup.format(c=names[int(r.integers(len(names)))], t=some(int(r.integers(8, 150))), s=some(int(r.integers(1, 4))))
                 if where == "top":
-                    put = re.sub(r"(<body[^>]*>)", lambda m, piece=piece: m[1] + piece, put, count=1)
+                    body = put.find("<body")
+                    inside = put.find(">", body) + 1 if body >= 0 else 0
+                    put = put[:inside] + piece + put[inside:] if inside else put
                 else:
                     put = put.replace("</article>", "</article>" + piece, 1)
         copies.append(put)

@@ -66,7 +66,9 @@ class Codes:
 
 
 def unit_rows(vectors: np.ndarray) -> np.ndarray:
-    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    """Vectors of length one; scaled by their largest component first, so that no square of a very small or large one is lost."""
+    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
 def rotated(unit: np.ndarray) -> np.ndarray:
@@ -203,7 +205,7 @@ def _blocks(nodes: DataFrame, block: int) -> DataFrame:
             n, node = batch.column("n").to_numpy(), batch.column("node").to_numpy()
             for d in np.unique(dims):
                 at = np.flatnonzero(dims == d)
-                x = _stack(batch.column("vector").take(pa.array(at)))
+                x = unit_rows(_stack(batch.column("vector").take(pa.array(at))))
                 used = np.arange(PIVOTS)[None, :] < -(-n[at] // block)[:, None]
                 pivot[at] = np.argmax(np.where(used, x @ pivots(int(d)).T, -np.inf), 1)
             salt[:] = (node & 0x7FFFFFFF) % np.maximum(1, -(-n // (block * PIVOTS)))
@@ -222,6 +224,7 @@ def _blocks(nodes: DataFrame, block: int) -> DataFrame:
             center = u.mean(0)
             center = center / np.linalg.norm(center) if np.linalg.norm(center) > 0 else u[0]
             radius = float(np.arccos(np.clip(u @ center, -1, 1)).max())
+            radius = radius if np.isfinite(radius) else float(np.pi)  # compared with all, rather than with none
             node, codes = pdf["node"].to_numpy()[part], Codes.of(u)
             blocks = (node.tobytes(), u.tobytes(), codes.bits.tobytes(), codes.factor.astype(np.float32).tobytes(), pdf["copies"].to_numpy()[part].tobytes())
             out.append((int(node.min()), pdf["label"].iloc[0], int(pdf["dim"].iloc[0]), int(pdf["pivot"].iloc[0]), radius, center.tolist(), *blocks))

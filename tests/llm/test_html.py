@@ -65,6 +65,35 @@ def test_bad_markup_takes_linear_time(piece, close):
     assert time.process_time() - began < 6  # a second or two; a quadratic scan takes hours
 
 
+@pytest.mark.parametrize("start,one,other", [("<ul><li><ul>", "<div>", "<li></li>"), ("<dl><dt><dl>", "<div>", "<dt></dt>"), ("<table><tr><td><table>", "<div>", "<td></td>"), ("<i><div><b>", "<u>", "</i>"), ("<p><div>", "<b>", "<p></p></section>")])
+def test_deep_markup_takes_linear_time(start, one, other):
+    n = 1_000_000 // len(one + other)
+    page = start + one * n + other * n
+    began = time.process_time()
+    assert H.parse(page).tag
+    assert time.process_time() - began < 6
+
+
+@pytest.mark.parametrize("piece", ["<p>a</p>", "<script", "<style>", "<", "<body", "<article", "</article", "<p>a</p></article"])
+def test_fitting_on_a_truncated_page_takes_linear_time(piece):
+    page = "<html><body><article>" + "<p>word and word, again.</p>" * 20 + piece * 10_000
+    began = time.process_time()
+    H._words(page)
+    for k in range(1, 5):
+        H._shortened(page, k)
+    assert time.process_time() - began < 1
+
+
+def test_pages_are_shortened_like_the_pattern_says(pages):
+    import re
+
+    rows = [r.html for r in pages.limit(40).collect() if r.html] + ["<article><p>a</p><p>b</p>c</article>d</article>", "<article", "<article>x</article><p>y</p></article>", "<article>x<p>y</p>"]
+    for page in rows:
+        for k in range(1, 5):
+            assert H._shortened(page, k) == re.sub(r"(<article[^>]*>(?:.*?</p>){1,%d}).*?(?=</article>)" % k, r"\1", page, count=1, flags=re.S)
+        assert H._words(page) == re.sub(r"<(script|style).*?</\1>|<[^>]*>", " ", page, flags=re.S).replace("<", " ").split()
+
+
 def test_unnamed_main_elements(pages):
     rows = [r.html for r in pages.collect() if r.html]
     bare = [p.replace("<article>", "<div>").replace("</article>", "</div>") for p in rows]

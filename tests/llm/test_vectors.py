@@ -83,6 +83,12 @@ def test_a_large_group_of_near_copies_stays_small(spark):
     assert most < 300e6 and out["links"].sum() == 2048 * 2047
 
 
+def test_very_small_and_large_components_lose_no_link(spark):
+    rows = [(5, [1.0, 0.0], 1), (8, [5.0, 0.01], 1), (1, [1e-200, 0.0], 1), (2, [1e200, 0.0], 1), (3, [2e200, 1e198], 1), (4, [5e-324, 0.0], 1), (6, [0.0, 5e-324], 1), (7, [1.7e308, -1.7e308], 1), (9, [1.0, -1.0], 1)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in V.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == {i: (5, 1) for i in (1, 2, 3, 4, 5, 8)} | {6: (0, 6), 7: (1, 7), 9: (1, 7)}
+
+
 def test_forest_spans():
     r = np.random.default_rng(6)
     for _ in range(50):
