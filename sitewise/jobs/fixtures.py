@@ -40,6 +40,13 @@ def flagged_alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A header that lists chromosomes by number, so not by name, and the mitochondrion last."""
+    n = F.element_at(F.split("chrom", "chr"), 2)
+    chroms = alignments(spark, sf_dir).groupBy("chrom").agg(F.max("end_pos").alias("length"))
+    return chroms.select("chrom", F.when(n == "M", 21).otherwise(F.expr("try_cast(element_at(split(chrom, 'chr'), 2) as bigint)")).cast("long").alias("index"), "length")
+
+
 def cut_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     chrom = F.concat(F.lit("chr"), (F.col("o_custkey") % 20).cast("string"))
     return table(spark, sf_dir, "orders").select(chrom.alias("chrom"), F.col("o_orderkey").alias("start")).distinct()
@@ -53,6 +60,13 @@ def ordered_umis(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hot_umis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ordered rows of which a third are at one position, with some thousands of different sequences."""
+    rows, hot = ordered_umis(spark, sf_dir), F.col("line_no") % 3 == 0
+    place = {"chrom": F.when(hot, "hot").otherwise(F.col("chrom")), "pos": F.when(hot, 7).otherwise(F.col("pos"))}
+    return rows.withColumns(place | {"seq": bases(F.col("line_no") * 7919 % 6000)})
+
+
 def event_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A cut site at the start of each 50 user ids in which a type has events, so that some events lie beyond the usual limit."""
     return table(spark, sf_dir, "events").select(F.col("event_type").alias("chrom"), (F.col("user_id") - F.col("user_id") % 50).alias("start")).distinct()
@@ -147,6 +161,8 @@ SQL = {
     "oumi": """SELECT event_id AS line_no, event_id % 3 AS library_id, event_type AS chrom, user_id AS pos,
         translate(lpad(CAST(event_id % 16 AS VARCHAR), 8, '0'), '0123456789', 'ACGTACGTAC') AS seq,
         translate(CAST(event_id % 10 AS VARCHAR), '0123456789', '?@ABCDEFGH') AS qual FROM events""",
+    "hot": """SELECT line_no, CASE WHEN line_no % 3 = 0 THEN 'hot' ELSE chrom END AS chrom, CASE WHEN line_no % 3 = 0 THEN 7 ELSE pos END AS pos,
+        translate(lpad(CAST(line_no * 7919 % 6000 AS VARCHAR), 8, '0'), '0123456789', 'ACGTACGTAC') AS seq, qual FROM oumi""",
     "ocs": "SELECT DISTINCT event_type AS chrom, user_id - user_id % 50 AS start FROM events",
     "oloc": "SELECT DISTINCT chrom, pos FROM oumi",
     "onear": """SELECT chrom, pos, rs_pos, abs(pos - rs_pos) AS d_rs FROM (SELECT u.chrom, u.pos, CASE WHEN p.start IS NULL THEN n.start WHEN n.start IS NULL THEN p.start
@@ -192,7 +208,7 @@ def _near(rows: str) -> str:
 
 SQL |= {"gnear": _near("gumi"), "fnear": _near("fumi")}
 #: Which tables each one reads.
-_NEEDS = {"fumi": ["fal"], "fnear": ["fumi", "cs"], "gumi": ["rd", "cls"], "gnear": ["gumi", "cs"], "gall": ["gnear"], "umi": ["aln"], "near": ["umi", "cs"], "oloc": ["oumi"], "onear": ["oloc", "ocs"], "ov": ["rd", "snp"], "bov": ["rd", "snp", "cig"], "cls": ["rd", "ov"], "osite": ["oumi", "onear"]}
+_NEEDS = {"fumi": ["fal"], "fnear": ["fumi", "cs"], "gumi": ["rd", "cls"], "gnear": ["gumi", "cs"], "gall": ["gnear"], "umi": ["aln"], "near": ["umi", "cs"], "oloc": ["oumi"], "hot": ["oumi"], "onear": ["oloc", "ocs"], "ov": ["rd", "snp"], "bov": ["rd", "snp", "cig"], "cls": ["rd", "ov"], "osite": ["oumi", "onear"]}
 
 
 def sql(body: str, *names: str) -> str:

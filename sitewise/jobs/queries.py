@@ -381,6 +381,43 @@ def sam_round_trip(spark, d):
     return A.from_sam(readers.sam(spark, path))
 
 
+@query(
+    """SELECT chrom, start_pos, end_pos, CAST(i AS BIGINT) AS "index", row_number() OVER (ORDER BY i, start_pos, end_pos) AS number
+    FROM (SELECT *, dense_rank() OVER (ORDER BY CASE WHEN chrom = 'chrM' THEN 21 ELSE CAST(substr(chrom, 4) AS INT) END) - 1 AS i FROM fal)""", "fal",
+)
+def coordinate_order(spark, d):
+    """Records of two sorted files, one for each strand, merged in the order of their headers' references."""
+    path, references = new_dir(spark, "sorted"), X.references(spark, d)
+    rows = X.flagged_alignments(spark, d).withColumnRenamed("name", "qname")
+    for strand in ("reverse_strand", "not reverse_strand"):
+        sinks.sam(rows.where(strand), f"{path}/{strand.split()[0]}", references)
+    files = f"{path}/*"
+    known = readers.sam_references(spark, files)
+    records = A.with_reference_index(A.merged(known, A.from_sam(readers.sam(spark, files))), known)
+    return U.numbered(records.select("chrom", "start_pos", "end_pos", "index"), "end_pos", by=("index", "start_pos"))
+
+
+_CHUNKED = "SELECT *, CASE WHEN count(*) OVER (PARTITION BY chrom, pos) > 100 THEN line_no // 100 ELSE 0 END AS chunk FROM"
+
+
+@query(
+    f"""SELECT chrom, pos, chunk, string_agg(seq, ' ' ORDER BY line_no) AS seqs, string_agg(qual, ' ' ORDER BY line_no) AS quals, count(*) AS n
+    FROM ({_CHUNKED} hot) GROUP BY chrom, pos, chunk""", "hot",
+)
+def hot_locus_lists(spark, d):
+    """Lists of a locus with a third of all reads, in pieces of at most a hundred rows."""
+    return _joined(U.list_chunks(X.hot_umis(spark, d), "line_no", limit=100))
+
+
+@query(
+    f"""SELECT chrom, pos, chunk, string_agg(seq, ' ' ORDER BY line_no) AS seqs, CAST(sum(copies) AS BIGINT) AS pre_n, count(*) AS post_n
+    FROM ({_CHUNKED} (SELECT chrom, pos, seq, min(line_no) AS line_no, count(*) AS copies FROM hot GROUP BY chrom, pos, seq)) GROUP BY chrom, pos, chunk""", "hot",
+)
+def hot_locus_dedup(spark, d):
+    """Distinct sequences of the same loci by first occurrence, in pieces."""
+    return _joined(U.dedup_chunks(X.hot_umis(spark, d), "line_no", limit=100))
+
+
 @query("SELECT chrom, start, start + 4 AS stop, concat('site', start) AS name FROM cs", "cs")
 def sites_round_trip(spark, d):
     path = new_dir(spark, "sites")

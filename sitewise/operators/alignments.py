@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,18 +55,36 @@ def with_site_position(alignments: DataFrame, site_length: int = 4) -> DataFrame
     return alignments.withColumn("pos", F.when(F.col("reverse_strand"), F.col("end_pos")).otherwise(F.col("start_pos") - site_length))
 
 
-def coordinate_sorted(alignments: DataFrame) -> DataFrame:
-    """Rows in the order of chromosome and start over the whole table: ranges are dealt to tasks, and each task sorts its own."""
-    return alignments.repartitionByRange("chrom", "start_pos").sortWithinPartitions("chrom", "start_pos", "end_pos")
+def with_reference_index(alignments: DataFrame, references: DataFrame) -> DataFrame:
+    """Adds index, a chromosome's place in the header (references: chrom, index); null for reads that have none, such as unmapped ones."""
+    known = references.select(F.col("chrom").alias("known_chrom"), "index")  # a row for each chromosome
+    return alignments.join(known, F.col("chrom") == F.col("known_chrom"), "left").drop("known_chrom")
+
+
+def coordinate_sorted(alignments: DataFrame, references: DataFrame | None = None) -> DataFrame:
+    """Rows in the order of chromosome and start over the whole table: ranges are dealt to tasks, and each task sorts its own.
+
+    Chromosomes come in the order of the header where references are given (chr2 before chr10), those that it lacks and unmapped reads last; without, in the order of their names.
+    """
+    if references is None:
+        return alignments.repartitionByRange("chrom", "start_pos").sortWithinPartitions("chrom", "start_pos", "end_pos")
+    index = F.col("index").asc_nulls_last()
+    rows = with_reference_index(alignments, references)
+    return rows.repartitionByRange(index, "start_pos").sortWithinPartitions(index, "start_pos", "end_pos").drop("index")
+
+
+def merged(references: DataFrame, *parts: DataFrame) -> DataFrame:
+    """All rows of several tables of alignments in coordinate order."""
+    return coordinate_sorted(reduce(DataFrame.unionByName, parts), references)
 
 
-def sam_lines(alignments: DataFrame, name: Column) -> DataFrame:
-    """Records of the text format from rows with flag columns; each is one whole match. The reverse of from_sam."""
+def sam_lines(alignments: DataFrame, name: Column, *also: Column | str) -> DataFrame:
+    """Records of the text format from rows with flag columns, as value; each is one whole match. The reverse of from_sam. also are further columns to give."""
     bits = ((F.col("unmapped"), UNMAPPED), (F.col("secondary"), SECONDARY), (F.col("reverse_strand"), REVERSE), (F.col("chimeric"), PAIRED))
     flag = sum((F.when(c, bit).otherwise(0) for c, bit in bits), F.lit(0))
     mate = F.when(F.col("chimeric"), F.concat("chrom", F.lit("_mate"))).otherwise("*")
     cigar = F.concat(F.col("end_pos") - F.col("start_pos"), F.lit("M"))
-    return alignments.select(F.concat_ws("\t", name, flag, "chrom", F.col("start_pos") + 1, "mapq", cigar, mate, F.lit("0"), F.lit("0"), "seq", "qual").alias("value"))
+    return alignments.select(*also, F.concat_ws("\t", name, flag, "chrom", F.col("start_pos") + 1, "mapq", cigar, mate, F.lit("0"), F.lit("0"), "seq", "qual").alias("value"))
 
 
 def read_name_flags(alignments: DataFrame, name: str = "qname") -> DataFrame:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from sitewise.sources.shared import new_dir
 
+#: Rows of one piece of a list: with sequences and qualities some 100 MB.
+CHUNK_ROWS = 1 << 20
 #: A row's place in its task, in ids that rise along each task.
 _TASK_BITS = 33
 
@@ -20,12 +22,41 @@ def group_umis(umis: DataFrame, order: str, by: tuple[str, ...] = ("chrom", "pos
     """One row for each location with parallel arrays seqs and quals in the order of a unique column.
 
     A location's lists are one row, as files of grouped UMIs have them: safe while a location's reads fit in a task's memory (some 10 million). Where they may
-    not, and for everything that only needs counts, count_distinct_umis and site_counters give the same numbers without lists.
+    not, list_chunks and dedup_chunks give the same lists in pieces, and count_distinct_umis the counts without lists.
     """
     rows = umis.groupBy(*by).agg(_ordered([order], "seq", "qual").alias("rows"))
     return rows.select(*by, F.col("rows.seq").alias("seqs"), F.col("rows.qual").alias("quals"), F.size("rows").cast("long").alias("n"))
 
 
+def list_chunks(rows: DataFrame, order: str, by: tuple[str, ...] = ("chrom", "pos"), within: str | None = None, values: tuple[str, ...] = ("seq", "qual"), limit: int = CHUNK_ROWS, **sums: str) -> DataFrame:
+    """A group's ordered lists in pieces of at most limit rows, for groups that one row can't hold: by, the chunk's place, the lists (<value>s), n, and sums of named columns.
+
+    order is a unique whole number, within a column that comes before it. A group of more than limit rows is cut where order passes a multiple of limit (and where within changes), so no piece
+    can hold more, whatever the group's size, and no row is numbered; other groups are one piece. A group's pieces in the order of (within, chunk) are its list.
+    """
+    large = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("group_rows")).where(F.col("group_rows") > limit).select(*by, F.lit(True).alias("large"))  # one for each limit rows at most
+    left, right = rows.alias("left"), large.alias("right")
+    marked = left.join(right, [F.col(f"left.{c}").eqNullSafe(F.col(f"right.{c}")) for c in by], "left").select("left.*", F.coalesce("right.large", F.lit(False)).alias("large"))
+    marked = marked.withColumn("chunk", F.when(F.col("large"), F.floor(F.col(order) / limit)).otherwise(0).cast("long"))
+    keys, first = [*by, "chunk"], [order]
+    if within:
+        marked = marked.withColumn(f"chunk_{within}", F.when(F.col("large"), F.col(within)))
+        keys, first = [*by, f"chunk_{within}", "chunk"], [within, order]
+    lists = marked.groupBy(*keys).agg(_ordered(first, *values).alias("rows"), *(F.sum(c).alias(name) for name, c in sums.items()))
+    return lists.select(*keys, *(F.col(f"rows.{v}").alias(f"{v}s") for v in values), F.size("rows").cast("long").alias("n"), *sums)
+
+
+def dedup_chunks(rows: DataFrame, order: str, by: tuple[str, ...] = ("chrom", "pos"), within: str | None = None, limit: int = CHUNK_ROWS) -> DataFrame:
+    """Distinct sequences of each group in the order of their first occurrence, in pieces of at most limit: by, the chunk's place, seqs, pre_n and post_n of the piece.
+
+    A sequence's first row and its copies are aggregated by (group, sequence), so a hot group is spread over tasks, and only then listed.
+    """
+    place = ([within] if within else []) + [order]
+    firsts = rows.groupBy(*by, "seq").agg(F.min(F.struct(*place)).alias("first"), F.count(F.lit(1)).alias("copies"))
+    lists = list_chunks(firsts.select(*by, "seq", "first.*", "copies"), order, by, within, ("seq",), limit, pre_n="copies")
+    return lists.withColumnRenamed("n", "post_n")
+
+
 def merge_sites(assigned: DataFrame, keep_terminal_row: bool = False) -> DataFrame:
     """Rows assigned to the same site become one, their lists in the order of the original positions.
 

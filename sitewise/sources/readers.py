@@ -45,6 +45,16 @@ def sam(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).where("not value like '@%' and value <> ''").select(*fields)
 
 
+def sam_references(spark: SparkSession, path: str) -> DataFrame:
+    """The header's dictionary: chrom, index (its order, from 0) and length. Files that give a chromosome different places or lengths fail."""
+    lines = spark.read.text(path).where("value like '@SQ\t%'").select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("id"), "value")
+    field = lambda tag: F.regexp_extract("value", rf"\t{tag}:([^\t]+)", 1)
+    each = lines.select(field("SN").alias("chrom"), (F.row_number().over(W.partitionBy("file").orderBy("id")) - 1).cast("long").alias("index"), field("LN").cast("bigint").alias("length"))
+    known = each.groupBy("chrom").agg(F.min(F.struct("index", "length")).alias("x"), F.max(F.struct("index", "length")).alias("y"))
+    differ = F.raise_error(F.concat(F.lit("headers differ about "), "chrom")).cast("bigint")
+    return known.select("chrom", F.when(F.col("x") == F.col("y"), F.col("x.index")).otherwise(differ).alias("index"), F.col("x.length").alias("length"))
+
+
 def fastq(spark: SparkSession, path: str, split_bytes: int | None = None) -> DataFrame:
     """Reads with library_id, file and read_no, which rises along a file. Plain files are read in ranges of split_bytes, packed ones by a task each; nothing is shuffled.
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
+from sitewise.operators.alignments import sam_lines, with_reference_index
 from sitewise.operators.summary import as_text
 
 
@@ -31,6 +32,19 @@ def bed(df: DataFrame, path: str) -> None:
     tsv(df.orderBy("chrom", "start", F.regexp_extract("name", r"(\d+)$", 1).cast("long")), path)
 
 
+def sam(alignments: DataFrame, path: str, references: DataFrame, name: str = "qname") -> None:
+    """Records in coordinate order behind a header that lists the references; the files in order are one file."""
+    header = references.select(
+        F.lit(0).alias("part"), "index", F.lit(0).cast("long").alias("start_pos"), F.concat_ws("\t", F.lit("@SQ"), F.concat(F.lit("SN:"), "chrom"), F.concat(F.lit("LN:"), "length")).alias("value")
+    )
+    rows = with_reference_index(alignments, references)
+    records = sam_lines(rows, F.col(name), F.lit(1).alias("part"), "index", "start_pos")
+    first = references.sparkSession.createDataFrame([(-1, None, 0, "@HD\tVN:1.6\tSO:coordinate")], "part int, index long, start_pos long, value string")
+    place = ["part", F.col("index").asc_nulls_last(), "start_pos"]
+    lines = first.unionByName(header).unionByName(records).repartitionByRange(*place).sortWithinPartitions(*place, "value")
+    lines.select("value").write.text(path)
+
+
 def summary(df: DataFrame, path: str, text: bool = True) -> None:
     """One file with a header, sorted by library: a row for each library is small by nature."""
     tsv((as_text(df) if text else df).orderBy("library_id").coalesce(1), path, compress=False, header=True)
