@@ -87,6 +87,18 @@ def barcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(key.alias("read_id"), F.overlay(code, base(key), F.lit(5), F.lit(1)).alias("bc"))
 
 
+def known_barcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A barcode for each supplier."""
+    return table(spark, sf_dir, "supplier").select(bases(F.col("s_suppkey") * 37).alias("barcode"))
+
+
+def barcoded_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads with such a code, one base of it overwritten."""
+    key = F.col("p_partkey")
+    base = F.substring(F.lit("ACGT"), (1 + F.col("p_size") % 4).cast("int"), F.lit(1))
+    return table(spark, sf_dir, "part").select(key.alias("read_id"), F.overlay(bases(key % 1500 * 37), base, (1 + key % 8).cast("int"), F.lit(1)).alias("bc"))
+
+
 def named_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = ordered_umis(spark, sf_dir)
     name = F.concat(F.lit("r"), "line_no", F.lit("~~umi~"), "seq", F.lit("~~bc~GTCGTATC~~cs~GATC~~qumi~"), "qual")
@@ -191,6 +203,9 @@ SQL = {
     "gall": "SELECT own AS genome, chrom, pos, seq, rs_pos, d_rs FROM gnear UNION ALL SELECT 'm', chrom, pos, seq, rs_pos, d_rs FROM gnear",
     "rp": """SELECT p_partkey AS read_id, translate(lpad(CAST(p_partkey * 7919 * 104729 AS VARCHAR), 24, '0'), '0123456789', 'ACGTACGTAC') AS seq,
         list_aggregate(list_transform(range(1, 25), lambda k: chr(CAST(61 + (k * p_partkey) % 13 AS INT))), 'string_agg', '') AS qual FROM part""",
+    "bk": "SELECT DISTINCT translate(lpad(CAST(s_suppkey * 37 AS VARCHAR), 8, '0'), '0123456789', 'ACGTACGTAC') AS barcode FROM supplier",
+    "br": """SELECT p_partkey AS read_id, concat(substr(c, 1, CAST(p_partkey % 8 AS INT)), substr('ACGT', CAST(1 + p_size % 4 AS INT), 1), substr(c, CAST(2 + p_partkey % 8 AS INT))) AS bc
+        FROM (SELECT p_partkey, p_size, translate(lpad(CAST(p_partkey % 1500 * 37 AS VARCHAR), 8, '0'), '0123456789', 'ACGTACGTAC') AS c FROM part)""",
     "lg": """SELECT event_id % 3 AS library_id, event_id % 7 AS line_no, concat('[10:00:00] INFO Output: ', count(*), ' (97.50%) UMI sequences over ',
         count(DISTINCT user_id), ' (80.00%) locations') AS line FROM events GROUP BY 1, 2""",
     "ct": "SELECT event_id % 3 AS library_id, event_type AS metric, count(*) AS value FROM events GROUP BY 1, 2",

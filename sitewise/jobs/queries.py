@@ -16,7 +16,7 @@ from sitewise.operators import reads as R
 from sitewise.operators import sites as S
 from sitewise.operators import summary as M
 from sitewise.operators import umis as U
-from sitewise.sources import readers, sinks
+from sitewise.sources import readers, schemas, sinks
 from sitewise.sources.shared import new_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -441,3 +441,76 @@ def counters_round_trip(spark, d):
     path = new_dir(spark, "counters")
     sinks.counters(X.event_counters(spark, d), path)
     return spark.read.parquet(path)
+
+
+_GROUPED = """(SELECT chrom, pos, string_agg(seq, ' ' ORDER BY line_no) AS seqs, string_agg(qual, ' ' ORDER BY line_no) AS quals, count(*) AS n FROM oumi GROUP BY chrom, pos)"""
+
+
+def _sided(spark, d) -> DataFrame:
+    return S.nearest_site(U.group_umis(X.ordered_umis(spark, d), "line_no"), X.event_sites(spark, d))
+
+
+@query(f"SELECT CASE WHEN d_rs <= 20 THEN 'clean' ELSE 'orphan' END AS side, chrom, rs_pos AS pos, seqs, quals, n FROM onear JOIN {_GROUPED} USING (chrom, pos)", "onear")
+def clean_orphan_round_trip(spark, d):
+    """Both sides of the limit, written in one pass and read back by folder."""
+    path = new_dir(spark, "sides")
+    sinks.clean_and_orphans(_sided(spark, d), path, S.MAX_DISTANCE)
+    return _joined(readers.sides(spark, path))
+
+
+@query(
+    f"""UNPIVOT (SELECT 'run1' AS run, 0 AS library_id, 'assign' AS step, count(*) AS n_locations, CAST(sum(n) AS BIGINT) AS n_umis, count(*) FILTER (d_rs <= 20) AS kept_locations,
+    CAST(sum(n) FILTER (d_rs <= 20) AS BIGINT) AS from_cs FROM onear JOIN {_GROUPED} USING (chrom, pos)) ON n_locations, n_umis, kept_locations, from_cs INTO NAME metric VALUE value""", "onear",
+)
+def assignment_counters(spark, d):
+    """Counts that the writing pass observed, put into the counters' table; the step runs twice and counts once."""
+    path = new_dir(spark, "counters")
+    for _ in range(2):
+        counts = sinks.clean_and_orphans(_sided(spark, d), new_dir(spark, "sides"), S.MAX_DISTANCE)
+        sinks.run_counters(spark.createDataFrame([(0, m, v) for m, v in counts.items()], "library_id int, metric string, value long"), path, "run1", "assign")
+    return spark.read.parquet(path).select("run", "library_id", "step", "metric", "value")
+
+
+@query(
+    f"""SELECT CASE WHEN NOT hq THEN 'low_quality' WHEN ok THEN 'prefix_ok' ELSE 'prefix_bad' END AS route, concat('r', read_id) AS name, substr(rp.seq, 21) AS seq, substr(rp.qual, 21) AS qual
+    FROM {_PREPARED} JOIN rp USING (read_id)""", "rp",
+)
+def routes_round_trip(spark, d):
+    """Reads in a folder for each route, read back from there."""
+    path = new_dir(spark, "routes")
+    sinks.routed_reads(_prepared(spark, d).withColumn("name", F.concat(F.lit("r"), "read_id")), path)
+    reads = readers.fastq(spark, path)
+    return reads.select(F.regexp_extract("file", "/route=([^/]+)/", 1).alias("route"), "name", "seq", "qual")
+
+
+@query(f"SELECT chrom, pos, string_agg(seq, ' ' ORDER BY first) AS seqs, CAST(count(*) AS INT) AS counts FROM {_DEDUP} GROUP BY chrom, pos", "osite")
+def dedup_round_trip(spark, d):
+    path = new_dir(spark, "dedup")
+    lists = U.dedup_umis(sited_lists(X.ordered_umis(spark, d), X.event_sites(spark, d), "line_no"))
+    sinks.tsv(lists.select("chrom", "pos", "seqs", F.col("post_n").alias("counts")), path)
+    return readers.tsv(spark, path, schemas.DEDUP_UMI)
+
+
+@query("SELECT chrom, pos AS start, pos AS stop, concat('pos_', row_number() OVER (ORDER BY chrom, pos)) AS name, post_n AS score FROM " + _COUNTS, "near")
+def bed5_round_trip(spark, d):
+    path = new_dir(spark, "bed")
+    sinks.bed(U.bed5(_site_counts(spark, d)), path)
+    return readers.tsv(spark, path, schemas.BED5)
+
+
+@query("SELECT read_id, n_ref, n_alt, n_other, class, weird FROM cls", "cls")
+def classes_round_trip(spark, d):
+    """Reads in a folder for each class of allele, read back with their class from the folder."""
+    path = new_dir(spark, "classes")
+    sinks.classed(_classes(spark, d), path)
+    return spark.read.parquet(path).select("read_id", "n_ref", "n_alt", "n_other", "class", "weird")
+
+
+@query(
+    """SELECT read_id, bc, CASE WHEN d = 0 OR n = 1 THEN barcode END AS barcode, CASE WHEN d = 0 THEN 'exact' WHEN n = 1 THEN 'near' WHEN n > 1 THEN 'ambiguous' ELSE 'none' END AS match
+    FROM (SELECT read_id, any_value(r.bc) AS bc, arg_min(barcode, hamming(bc, barcode)) AS barcode, min(hamming(bc, barcode)) AS d, count(barcode) AS n
+      FROM br r LEFT JOIN bk b ON length(bc) = length(barcode) AND hamming(bc, barcode) <= 1 GROUP BY read_id)""", "br", "bk",
+)
+def barcode_index(spark, d):
+    """Reads with their barcode out of many, ambiguous ones kept apart."""
+    return R.match_barcodes(X.barcoded_reads(spark, d), X.known_barcodes(spark, d))

@@ -38,6 +38,23 @@ def pass_prefix(reads: DataFrame, barcode: str, site: str, substitutions: int =
     return reads.withColumn("prefix_ok", F.coalesce(both, F.lit(False)))
 
 
+def match_barcodes(reads: DataFrame, barcodes: DataFrame, flag: str = "bc") -> DataFrame:
+    """Adds barcode, the expected one within one substitution, and match: exact, near, ambiguous (several as near; barcode is null) or none.
+
+    barcodes has barcode. Two strings that differ in one place are equal once that place is masked, so both sides meet in an equi-join on strings with one place masked, however many
+    barcodes there are. Only the different values of the flag look for theirs; reads meet what was found by value.
+    """
+    masked = lambda c: F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c), F.lit(1))), lambda i: F.overlay(c, F.lit("*"), i)))
+    values = reads.select(F.col(flag).alias("value")).where("value <> ''").distinct()
+    known = barcodes.select("barcode").where("barcode <> ''").distinct()
+    met = values.select("value", masked(F.col("value")).alias("key")).join(known.select("barcode", masked(F.col("barcode")).alias("key")), "key")
+    found = met.groupBy("value").agg(F.max(F.when(F.col("value") == F.col("barcode"), F.col("barcode"))).alias("same"), F.min("barcode").alias("low"), F.max("barcode").alias("high"))
+    kind = F.when(F.col("same").isNotNull(), "exact").when(F.col("low") == F.col("high"), "near").otherwise("ambiguous")
+    found = found.select(F.col("value").alias("found_value"), F.coalesce("same", F.when(F.col("low") == F.col("high"), F.col("low"))).alias("barcode"), kind.alias("match"))
+    out = reads.join(found, F.col(flag) == F.col("found_value"), "left").drop("found_value")
+    return out.withColumn("match", F.coalesce("match", F.lit("none")))
+
+
 def routed(reads: DataFrame) -> DataFrame:
     """Adds route, by which a sink is partitioned and so writes all routes in one pass: unmatched, low_quality, and high_quality or, once prefixes are
     checked (pass_prefix), prefix_ok and prefix_bad."""

@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from sitewise.sources import fastq as source
 from sitewise.sources import schemas
@@ -27,6 +27,14 @@ def grouped_umis(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumns(lists).withColumn("n", F.size("seqs").cast("long"))
 
 
+def sides(spark: SparkSession, path: str) -> DataFrame:
+    """What clean_and_orphans wrote, with side from the folders."""
+    schema = StructType([*schemas.GROUPED_UMI.fields, StructField("side", StringType())])
+    rows = tsv(spark, path, schema)
+    lists = {c: F.split(F.col(c), " ") for c in ("seqs", "quals")}
+    return rows.withColumns(lists).withColumn("n", F.size("seqs").cast("long"))
+
+
 def cut_sites(spark: SparkSession, path: str) -> DataFrame:
     """Sites with three or more columns; a missing name is null and further columns are left out."""
     parts = F.split("value", "\t")

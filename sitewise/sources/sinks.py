@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
@@ -10,21 +10,25 @@ from sitewise.operators.alignments import sam_lines, with_reference_index
 from sitewise.operators.summary import as_text
 
 
-def tsv(df: DataFrame, path: str, compress: bool = True, header: bool = False, sep: str = "\t", mode: str = "errorifexists") -> None:
-    """Arrays become space-joined text; quotes and backslashes stay as they are."""
+def tsv(df: DataFrame, path: str, compress: bool = True, header: bool = False, sep: str = "\t", mode: str = "errorifexists", folders: tuple[str, ...] = ()) -> None:
+    """Arrays become space-joined text; quotes and backslashes stay as they are. Rows go to a folder for each value of the columns named in folders."""
     flat = df.select(*(F.concat_ws(" ", f.name).alias(f.name) if isinstance(f.dataType, ArrayType) else F.col(f.name) for f in df.schema))
-    flat.write.mode(mode).option("sep", sep).option("quote", "").option("escape", "").option("header", header).option("compression", "gzip" if compress else "none").csv(path)
+    flat.write.mode(mode).partitionBy(*folders).option("sep", sep).option("quote", "").option("escape", "").option("header", header).option("compression", "gzip" if compress else "none").csv(path)
 
 
-def clean_and_orphans(assigned: DataFrame, max_distance: int, clean: str, orphan: str, compress: bool = True) -> None:
-    """Both sides of the distance limit; the plan behind them is kept so that it runs once."""
-    assigned = assigned.persist()
-    try:
-        columns = ["chrom", F.col("rs_pos").alias("pos"), "seqs", "quals"]
-        tsv(assigned.where(F.col("d_rs") <= max_distance).select(*columns), clean, compress)
-        tsv(assigned.where(F.col("d_rs") > max_distance).select(*columns), orphan, compress)
-    finally:
-        assigned.unpersist()
+def clean_and_orphans(assigned: DataFrame, path: str, max_distance: int, compress: bool = True) -> dict[str, int]:
+    """Both sides of the distance limit in one pass, in folders side=clean and side=orphan, and the counts that the same pass observed.
+
+    The counts are rows and UMIs of the input and of what is kept, for counters. assigned has chrom, rs_pos, d_rs, seqs, quals and n.
+    """
+    kept = F.col("d_rs") <= max_distance
+    seen, n = Observation(), F.coalesce("n", F.lit(0))
+    zero = lambda x: F.coalesce(x, F.lit(0))
+    counts = {"n_locations": F.count(F.lit(1)), "n_umis": zero(F.sum(n)), "kept_locations": F.count_if(kept), "from_cs": zero(F.sum(F.when(kept, n)))}
+    rows = assigned.observe(seen, *(x.cast("long").alias(name) for name, x in counts.items()))
+    side = F.when(kept, "clean").otherwise("orphan")
+    tsv(rows.select(side.alias("side"), "chrom", F.col("rs_pos").alias("pos"), "seqs", "quals"), path, compress, folders=("side",))
+    return seen.get
 
 
 def bed(df: DataFrame, path: str) -> None:
@@ -69,3 +73,9 @@ def classed(reads: DataFrame, path: str, column: str = "class") -> None:
 def counters(df: DataFrame, path: str) -> None:
     """Appends long counters (library_id, metric, value) to a table."""
     df.select("library_id", "metric", "value").write.mode("append").parquet(path)
+
+
+def run_counters(df: DataFrame, path: str, run: str, step: str) -> None:
+    """Puts a step's counters (library_id, metric, value) into a table by run, library and step: what that step of that run wrote before is replaced, so a step may be repeated."""
+    rows = df.select(F.lit(run).alias("run"), "library_id", F.lit(step).alias("step"), "metric", "value")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run", "library_id", "step").parquet(path)
