@@ -514,3 +514,16 @@ def classes_round_trip(spark, d):
 def barcode_index(spark, d):
     """Reads with their barcode out of many, ambiguous ones kept apart."""
     return R.match_barcodes(X.barcoded_reads(spark, d), X.known_barcodes(spark, d))
+
+
+@query(
+    r"""SELECT CAST(library_id AS VARCHAR) AS library_id, 'from_cs' AS metric, arg_max(CAST(regexp_extract(line, 'Output: (\d+)', 1) AS BIGINT), line_no) AS value FROM lg GROUP BY library_id
+    UNION ALL SELECT CAST(library_id AS VARCHAR), 'lines', count(*) FROM lg GROUP BY library_id""", "lg",
+)
+def reports_round_trip(spark, d):
+    """Reports and counter files of each library, written and read back: the last line that matches counts, and a counter file's first line."""
+    path, lines = new_dir(spark, "reports"), X.log_lines(spark, d)
+    sinks.reports(lines, f"{path}/log")
+    counts = lines.groupBy("library_id").agg(F.count(F.lit(1)).cast("string").alias("line"), F.lit(1).alias("line_no"))
+    sinks.reports(counts.unionByName(counts.select("library_id", F.lit("more").alias("line"), F.lit(2).alias("line_no"))), f"{path}/counts")
+    return M.log_values(readers.log_lines(spark, f"{path}/log")).unionByName(readers.counter_files(spark, f"{path}/counts", "lines"))

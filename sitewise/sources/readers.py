@@ -107,9 +107,11 @@ def libraries(spark: SparkSession, glob: str) -> DataFrame:
 
 
 def log_lines(spark: SparkSession, glob: str) -> DataFrame:
-    """library_id, source, line_no, line."""
-    lines = spark.read.text(glob).select(F.col("_metadata.file_path").alias("source"), F.monotonically_increasing_id().alias("id"), F.col("value").alias("line"))
-    return lines.select(library_of(F.col("source")).alias("library_id"), "source", F.row_number().over(W.partitionBy("source").orderBy("id")).cast("long").alias("line_no"), "line")
+    """library_id, source, line_no (from 1 in each file), line. The library is that of the folder (library_id=...) or else of the file's name."""
+    text = spark.read.text(glob)
+    library = F.col("library_id").cast("string") if "library_id" in text.columns else library_of(F.col("source"))
+    lines = text.select("*", F.col("_metadata.file_path").alias("source"), F.monotonically_increasing_id().alias("id"))
+    return lines.select(library.alias("library_id"), "source", F.row_number().over(W.partitionBy("source").orderBy("id")).cast("long").alias("line_no"), F.col("value").alias("line"))
 
 
 def counter_files(spark: SparkSession, glob: str, metric: str) -> DataFrame:

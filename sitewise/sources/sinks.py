@@ -75,6 +75,12 @@ def counters(df: DataFrame, path: str) -> None:
     df.select("library_id", "metric", "value").write.mode("append").parquet(path)
 
 
+def reports(lines: DataFrame, path: str) -> None:
+    """Lines (library_id, line_no, line) of a step's report, a file in order in a folder for each library; also counters that are one number in a file."""
+    rows = lines.select("library_id", "line_no", F.col("line").alias("value"))
+    rows.repartition("library_id").sortWithinPartitions("library_id", "line_no").drop("line_no").write.partitionBy("library_id").text(path)
+
+
 def run_counters(df: DataFrame, path: str, run: str, step: str) -> None:
     """Puts a step's counters (library_id, metric, value) into a table by run, library and step: what that step of that run wrote before is replaced, so a step may be repeated."""
     rows = df.select(F.lit(run).alias("run"), "library_id", F.lit(step).alias("step"), "metric", "value")
