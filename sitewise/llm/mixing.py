@@ -6,12 +6,14 @@ by Spark, gives every document a posterior for each domain from its telling word
 the expected tokens of each domain, the sum of rate x tokens x posterior, are to match the targets, while a small
 weight keeps rates near 1.
 
-A document's rate is a function of its posterior. So Spark sums tokens and tokens x posterior, as they are, over cells of a grid of
-posteriors (GRID steps to a side, at most 1,326 cells, whatever the input), and the documents of a cell share a rate: expected totals are
-exact, only rates have the grid's steps. The gradient has three numbers, one for each domain; rates are a step along it from the usual
-rate of one, projected to rates of at least the floor. Each iteration is one aggregation of the cells: the gaps that projected rates leave, and
-the curvature of the cells that are free to move, which says how far to go next; of several lengths the best is taken. It ends at the
-optimum. Where that leaves a gap, the targets can't be met with these posteriors, and Fit tells how much is left.
+A pass is one aggregation over the documents: from their rates, one for each, it sums the expected tokens of each domain; the gaps to the targets, three
+numbers, are all that comes back. A document's rate then goes a step against its own gradient, which is its posterior times the weighed gaps and what keeps it near 1,
+and is projected to rates of at least the floor. Several lengths of a step are summed in the same pass and the best is taken. Rates aren't written between passes: a
+document's rate is worked out again from its posterior by the steps so far, a few numbers each, so passes only read the table of members. It ends where a further step
+would move no rate to speak of, which is the optimum; where that leaves a gap, the targets can't be met with these posteriors, and Fit tells how much is left.
+
+So that few passes are needed, rates begin near the optimum: the same squares are first solved by Newton steps over domains' multipliers on a grid of posteriors (GRID steps to a side,
+at most 1,326 cells, whatever the input), and a document begins at what the multipliers say for its own posterior. Where it begins changes the number of passes, not where they end.
 
 Texts are read once: what the posteriors come from goes no further than the table of members that is written.
 
@@ -39,8 +41,11 @@ TARGETS = {"clean": 0.90, "low": 0.08, "toxic": 0.02}
 MAX_LABELLED, MAX_WORDS = 12_000, 512
 #: Steps of the grid of posteriors, how near to the targets is near enough, and the weight that keeps rates near 1.
 GRID, NEAR, RIDGE = 50, 1e-3, 1e-4
-#: Fractions of a step that are tried at once.
+#: Fractions of a Newton step, and lengths of a gradient step (1 is what the curvature of all documents asks for), that are tried at once.
 _FRACTIONS = (1.0, 0.5, 0.2, 0.05, 0.01, 1e-3)
+_LENGTHS = (1.0, 0.5, 2.0, 4.0, 16.0, 64.0)
+#: Passes end where a step of length 1 would move rates by less than this, on average over tokens, or would better the squares by less than this share.
+STILL = 1e-6
 #: (name, pattern that is counted, most, bins): shares of characters, in bins of equal width up to most.
 _SHAPES = (("upper", "[A-Z]", 0.4, 8), ("symbol", r"[!#$%&*|]", 0.2, 8))
 _REPEAT_BINS = 8
@@ -157,54 +162,65 @@ def cells(members: DataFrame) -> DataFrame:
 
 @dataclass
 class Fit:
-    """The multipliers of the domains, the least rate, and what is left of each domain's gap as a share of the budget."""
+    """Where rates begin (the multipliers of the domains), the steps since, the least rate, and what is left of each domain's gap as a share of the budget."""
 
     multipliers: list[float]
     floor: float
     gaps: dict[str, float]
+    #: Each step as (length, weighed gaps): what rates went by.
+    steps: list[tuple[float, list[float]]] = field(default_factory=list)
 
     @property
     def met(self) -> bool:
         return max(map(abs, self.gaps.values()), default=0.0) <= NEAR
 
+    def rate(self) -> Column:
+        """A document's rate from its column posterior: where it begins, then each step and its projection."""
+        first = _projected(F.lit(_usual(self.floor)) - _along(self.multipliers), self.floor)
+        if not self.steps:
+            return first
+        steps = F.array(*(F.array(*(F.lit(float(x)) for x in (length, *way))) for length, way in self.steps))
+        return F.aggregate(steps, first, lambda r, x: _projected(r - x[0] * (_along([x[k + 1] for k in range(len(DOMAINS))]) + RIDGE * (r - _usual(self.floor))), self.floor))
+
+
+def _usual(floor: float) -> float:
+    """The rate that documents have where nothing draws them from it."""
+    return float(max(1.0, floor))
+
+
+def _projected(rate: Column, floor: float) -> Column:
+    return F.greatest(F.lit(float(floor)), rate)
+
+
+def _along(way) -> Column:
+    """The posterior times three numbers."""
+    return sum((F.get("posterior", F.lit(k)) * x for k, x in enumerate(way)), F.lit(0.0))
+
 
 def _mean(k: int) -> Column:
     """A cell's mean posterior of domain k."""
     return F.when(F.col("t") > 0, F.get("s", F.lit(k)) / F.col("t")).otherwise(0.0)
 
 
-def _raw(multipliers: list[Column], floor: float) -> Column:
-    """A step along the gradient from the usual rate; the floor is the projection's."""
-    return F.lit(float(max(1.0, floor))) - sum((_mean(k) * x for k, x in enumerate(multipliers)), F.lit(0.0))
-
+def begin(table: DataFrame, share: np.ndarray, budget: float, floor: float, most: int = 100) -> list[float]:
+    """Multipliers of the domains from cells (cell, t, s), by Newton steps in the dual of the squares: a rate is the usual one less the posterior times them.
 
-def fit_rates(table: DataFrame, targets: dict[str, float] | None = None, floor: float = 0.0, most: int = 100) -> Fit:
-    """Fits rates over cells (cell, t, s) to shares of the budget.
-
-    The budget is the tokens there are; with a floor, the least at which no rate has to be below it. Gaps are weighed by the inverse
-    of H, the tokens' mean outer product of posteriors: domains that overlap or are small then count like others. The number of steps has a limit only
-    as a guard; a fit that reaches it says so in its log.
+    Each step is one aggregation of the cells. The number of steps has a limit only as a guard.
     """
-    targets = targets or TARGETS
-    share = np.array([targets[d] for d in DOMAINS]) / sum(targets.values())
-    k, usual = range(len(DOMAINS)), max(1.0, floor)
+    k, usual = range(len(DOMAINS)), _usual(floor)
     s = [F.get("s", F.lit(i)) for i in k]
     outer = [s[i] * _mean(j) for i in k for j in k]
-    first = table.agg(*(F.sum(x).alias(f"x{i}") for i, x in enumerate([*s, *outer]))).first()
-    first = np.array([x or 0.0 for x in first])
-    have, h = first[: len(DOMAINS)], first[len(DOMAINS) :].reshape(len(DOMAINS), -1)
-    n = have.sum()
-    if not n:
-        return Fit([0.0] * len(DOMAINS), floor, dict.fromkeys(DOMAINS, 0.0))
+    first = np.array(table.agg(*(F.sum(x).alias(f"x{i}") for i, x in enumerate([*s, *outer]))).first(), dtype=float)
+    n, h = first[: len(DOMAINS)].sum(), first[len(DOMAINS) :].reshape(len(DOMAINS), -1)
     # in units of RIDGE, so that a multiplier is what it takes off a rate
     soft = RIDGE * (h / n + 1e-6 * np.eye(len(DOMAINS)))
-    budget = max([n] + ([floor * x / y for x, y in zip(have, share, strict=True) if y > 0] if floor else []))
 
-    def at(ways: list[np.ndarray]) -> list[tuple[float, np.ndarray, np.ndarray, np.ndarray]]:
-        """For each choice of multipliers: the dual of the squares, its gradient, its curvature and the gaps."""
+    def at(ways: list[np.ndarray]) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """For each choice of multipliers: the dual of the squares, its gradient and its curvature."""
         each = F.explode(F.array(*(F.struct(F.lit(i).alias("way"), *(F.lit(float(x)).alias(f"m{j}") for j, x in enumerate(w))) for i, w in enumerate(ways)))).alias("x")
         rated = table.select("t", "s", each).select("t", "s", "x.*")
-        rated = rated.withColumn("raw", _raw([F.col(f"m{j}") for j in k], floor)).withColumn("rate", F.greatest("raw", F.lit(float(floor))))
+        raw = F.lit(usual) - sum((_mean(j) * F.col(f"m{j}") for j in k), F.lit(0.0))
+        rated = rated.withColumn("raw", raw).withColumn("rate", _projected(F.col("raw"), floor))
         off = sum((F.col(f"m{j}") * s[j] for j in k), F.lit(0.0))
         free = F.when(F.col("raw") >= floor, 1.0).otherwise(0.0)
         sums = [F.sum(F.col("t") * (F.col("rate") - usual) ** 2 / 2 + off * F.col("rate")), *(F.sum(F.col("rate") * x) for x in s), *(F.sum(free * x) for x in outer)]
@@ -212,12 +228,11 @@ def fit_rates(table: DataFrame, targets: dict[str, float] | None = None, floor:
         out = []
         for i, w in enumerate(ways):
             value, total, curve = rows[i][0], rows[i][1 : 1 + len(DOMAINS)], rows[i][1 + len(DOMAINS) :].reshape(len(DOMAINS), -1)
-            gaps = total - budget * share / n
-            out.append((float(value - w @ soft @ w / 2 - w @ (budget * share / n)), gaps - soft @ w, curve + soft, gaps))
+            out.append((float(value - w @ soft @ w / 2 - w @ (budget * share / n)), total - budget * share / n - soft @ w, curve + soft))
         return out
 
     m, tried = np.zeros(len(DOMAINS)), 0
-    value, gradient, curve, gaps = at([m])[0]
+    value, gradient, curve = at([m])[0]
     while np.abs(gradient).max() > 1e-9 and tried < most:
         way = np.linalg.solve(curve, gradient)
         ways = [m + f * way for f in _FRACTIONS]
@@ -226,19 +241,66 @@ def fit_rates(table: DataFrame, targets: dict[str, float] | None = None, floor:
         tried += 1
         if found[i][0] <= value + 1e-15 * abs(value):
             break
-        m, (value, gradient, curve, gaps) = ways[i], found[i]
-    out = Fit(m.tolist(), floor, dict(zip(DOMAINS, (gaps * n / budget).tolist(), strict=True)))
-    if not out.met:
-        logging.getLogger(__name__).warning("targets are missed by %s of the budget after %d steps", out.gaps, tried)
-    return out
+        m, (value, gradient, curve) = ways[i], found[i]
+    return m.tolist()
+
+
+def fit_rates(members: DataFrame, targets: dict[str, float] | None = None, floor: float = 0.0, warm: bool = True, most: int = 100) -> Fit:
+    """Fits the rates of members (n_tokens, posterior, cell) to shares of the budget by projected gradient; without warm they begin at the usual rate.
+
+    The budget is the tokens there are; with a floor, the least at which no rate has to be below it. Gaps are weighed by the inverse
+    of H, the tokens' mean outer product of posteriors: domains that overlap or are small then count like others. The number of passes has a limit only
+    as a guard; a fit that reaches it says so in its log.
+    """
+    targets = targets or TARGETS
+    share = np.array([targets[d] for d in DOMAINS]) / sum(targets.values())
+    k, usual, tokens = range(len(DOMAINS)), _usual(floor), F.col("n_tokens")
+    p = [F.get("posterior", F.lit(i)) for i in k]
+    table = members.select("n_tokens", "posterior")
+    sums = [*(tokens * x for x in p), *(tokens * p[i] * p[j] for i in k for j in k)]
+    first = np.array([x or 0.0 for x in table.agg(*(F.sum(x).alias(f"x{i}") for i, x in enumerate(sums))).first()])
+    have, h = first[: len(DOMAINS)], first[len(DOMAINS) :].reshape(len(DOMAINS), -1)
+    n = have.sum()
+    fit = Fit([0.0] * len(DOMAINS), floor, dict.fromkeys(DOMAINS, 0.0))
+    if not n:
+        return fit
+    budget = max([n] + ([floor * x / y for x, y in zip(have, share, strict=True) if y > 0] if floor else []))
+    weigh = np.linalg.inv(h / n + 1e-6 * np.eye(len(DOMAINS)))
+    if warm:
+        fit.multipliers = begin(saved(cells(members), "mix-cells"), share, budget, floor)
+
+    def at(lengths: tuple[float, ...], way: list[float]) -> list[tuple[float, float, np.ndarray]]:
+        """For each length of a step along way: the squares, how far it moves rates, and the gaps; one pass over the documents."""
+        rated = table.withColumn("rate", fit.rate()).withColumn("slope", _along(way) + RIDGE * (F.col("rate") - usual))
+        rated = rated.select("n_tokens", "posterior", "rate", *(_projected(F.col("rate") - x * F.col("slope"), floor).alias(f"r{i}") for i, x in enumerate(lengths)))
+        each = [(tokens * (r - usual) ** 2, tokens * F.abs(r - F.col("rate")), *(tokens * r * x for x in p)) for r in (F.col(f"r{i}") for i in range(len(lengths)))]
+        row = rated.agg(*(F.sum(x).alias(f"x{i}") for i, x in enumerate(x for one in each for x in one))).first()
+        out = []
+        for spread, moved, *total in np.array(row, dtype=float).reshape(len(lengths), -1) / n:
+            gap = np.array(total) - budget * share / n
+            out.append((float(gap @ weigh @ gap + RIDGE * spread), float(moved), gap))
+        return out
+
+    value, _, gap = at((0.0,), [0.0] * len(DOMAINS))[0]
+    passes = 1
+    while passes < most:
+        way = (weigh @ gap).tolist()
+        found = at(_LENGTHS, way)
+        passes += 1
+        i = int(np.argmin([x[0] for x in found]))
+        if found[0][1] <= STILL or found[i][0] >= value * (1 - STILL):
+            break
+        fit.steps.append((_LENGTHS[i], way))
+        value, _, gap = found[i]
+    fit.gaps = dict(zip(DOMAINS, (gap * n / budget).tolist(), strict=True))
+    if not fit.met:
+        logging.getLogger(__name__).warning("targets are missed by %s of the budget after %d passes", fit.gaps, passes)
+    return fit
 
 
 def _rated(members: DataFrame, targets: dict[str, float] | None, floor: float) -> DataFrame:
     """members (cell, posterior, n_tokens, chance and others) with rate and copies: the rate rounded up or down by the row's chance."""
-    table = saved(cells(members), "mix-cells")
-    fit = fit_rates(table, targets, floor)
-    by_cell = table.select("cell", F.greatest(F.lit(float(floor)), _raw([F.lit(x) for x in fit.multipliers], floor)).alias("rate"))  # no more rows than the grid has cells
-    out = members.join(F.broadcast(by_cell), "cell")
+    out = members.withColumn("rate", fit_rates(members, targets, floor).rate())
     return out.withColumn("copies", (F.floor("rate") + (F.col("chance") < F.col("rate") - F.floor("rate")).cast("int")).cast("int"))
 
 
