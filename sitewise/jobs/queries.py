@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,9 +10,12 @@ from pyspark.sql import functions as F
 
 from sitewise.functions.expressions import near_literal
 from sitewise.jobs import fixtures as X
+from sitewise.jobs import run as J
 from sitewise.jobs.preprocess import allelic_counters, counters_of, genome_assigned, prepared_reads, sited_lists, sites_of
 from sitewise.operators import alignments as A
 from sitewise.operators import allelic as L
+from sitewise.operators import histograms as H
+from sitewise.operators import layout as T
 from sitewise.operators import reads as R
 from sitewise.operators import sites as S
 from sitewise.operators import summary as M
@@ -527,3 +531,59 @@ def reports_round_trip(spark, d):
     counts = lines.groupBy("library_id").agg(F.count(F.lit(1)).cast("string").alias("line"), F.lit(1).alias("line_no"))
     sinks.reports(counts.unionByName(counts.select("library_id", F.lit("more").alias("line"), F.lit(2).alias("line_no"))), f"{path}/counts")
     return M.log_values(readers.log_lines(spark, f"{path}/log")).unionByName(readers.counter_files(spark, f"{path}/counts", "lines"))
+
+
+def _stored(spark, d) -> T.AlignmentTable:
+    """The flagged alignments as a table; cells of over a hundred rows are spread over salts."""
+    return T.store(X.flagged_alignments(spark, d), f"alignments_{uuid.uuid4().hex}", new_dir(spark, "alignments"), "name", hot_rows=100)
+
+
+@query("SELECT chrom, rs_pos AS pos, count(*) AS n_reads, count(DISTINCT seq) AS n_umis FROM fnear WHERE d_rs <= 20 GROUP BY 1, 2", "fnear")
+def stored_alignment_sites(spark, d):
+    """Reads and UMIs at sites from the table of alignments, which stay where they are stored."""
+    return U.count_distinct_umis(T.near_site_stored(spark, _stored(spark, d), X.cut_sites(spark, d)))
+
+
+@query("SELECT name, chrom, pos, mapq FROM (SELECT name, chrom, mapq, CASE WHEN reverse_strand THEN end_pos ELSE start_pos - 4 END AS pos, mapq >= 30 AND chrom <> 'chrM' AND NOT unmapped AND NOT secondary AND NOT chimeric AS kept FROM fal) WHERE kept AND chrom = 'chr3' AND pos >= 1000 AND pos < 9000", "fal")
+def stored_alignment_region(spark, d):
+    """Clean alignments at a region, of which the scan prunes all else."""
+    return T.region(spark, _stored(spark, d), "chr3", 1000, 9000).select("name", "chrom", "pos", "mapq")
+
+
+@query(
+    """SELECT coalesce(CAST(library_id AS VARCHAR), 'all') AS library_id, count(*) AS n, min(d_rs) AS low, avg(d_rs) AS mean, max(d_rs) AS high, quantile_cont(d_rs, 0.25) AS q25, quantile_cont(d_rs, 0.5) AS median, quantile_cont(d_rs, 0.75) AS q75
+    FROM fnear GROUP BY GROUPING SETS ((library_id), ())""", "fnear",
+)
+def distance_quantiles(spark, d):
+    """The spread of distances of each library and of all together, the latter from the libraries' histograms."""
+    placed = A.with_site_position(A.clean(X.flagged_alignments(spark, d))).select("library_id", "chrom", "pos")
+    each = H.histogram(S.nearest_site(placed, X.cut_sites(spark, d)), "d_rs", "library_id")
+    both = F.explode(F.array(F.col("library_id").cast("string"), F.lit("all"))).alias("library_id")
+    return H.spread(each.select(both, "value", "n"), "library_id")
+
+
+@query(
+    """SELECT flag, value, CAST(sum(n) AS BIGINT) AS n, count(*) AS libraries FROM (SELECT 'bc' AS flag, read_id % 3 AS library_id, substr(seq, 9, 8) AS value, count(*) AS n FROM rp GROUP BY 2, 3
+    UNION ALL SELECT 'cs', read_id % 3, substr(seq, 17, 4), count(*) FROM rp GROUP BY 2, 3) GROUP BY flag, value""", "rp",
+)
+def merged_flag_histogram(spark, d):
+    """Values of flags over all libraries, from the histograms of each, and how many libraries have a value."""
+    reads = R.slice_prefix(X.prefixed_reads(spark, d)).withColumn("library_id", F.col("read_id") % 3)
+    flags = F.explode(F.array(*(F.struct(F.lit(f).alias("flag"), F.col(f).alias("x")) for f in ("bc", "cs"))))
+    each = H.histogram(reads.select("library_id", flags.alias("f")).select("library_id", "f.*"), "x", "library_id", "flag")
+    seen = each.groupBy("flag", "value").agg(F.count(F.lit(1)).alias("libraries"))
+    return H.merged(each, by=("flag",)).join(seen, ["flag", "value"])
+
+
+@query(
+    """SELECT chrom, pos AS start, pos AS stop, concat('pos_', row_number() OVER (ORDER BY chrom, pos)) AS name, post_n AS score
+    FROM (SELECT chrom, rs_pos AS pos, count(DISTINCT seq) AS post_n FROM fnear WHERE d_rs <= 20 GROUP BY 1, 2)""", "fnear",
+)
+def run_to_bed(spark, d):
+    """A library from files to files: records and sites as text, and the numbered rows that the job leaves."""
+    path = new_dir(spark, "run")
+    name = F.concat("name", F.lit("~~umi~"), "seq", F.lit("~~qumi~"), "qual")
+    A.sam_lines(X.flagged_alignments(spark, d), name).write.text(f"{path}/in/sam")
+    sinks.tsv(X.cut_sites(spark, d).select("chrom", "start", (F.col("start") + 4).alias("stop")), f"{path}/in/sites")
+    J.sites_step(spark, f"{path}/in/sam", f"{path}/in/sites", f"{path}/out", "run1", "lib")
+    return readers.tsv(spark, f"{path}/out/lib/bed", schemas.BED5)

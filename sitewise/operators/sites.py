@@ -16,13 +16,18 @@ def _refuse(umis: DataFrame) -> None:
         raise ValueError(f"rows have a column named {sorted(taken)} already")
 
 
+def cell_bits(max_distance: int) -> int:
+    """By how many bits a position is shifted to its cell: cells are twice the distance or more."""
+    return max(6, (2 * max_distance).bit_length())
+
+
 def site_cells(sites: DataFrame, max_distance: int = MAX_DISTANCE, bin_width: int = BIN_WIDTH) -> tuple[DataFrame, int]:
     """The positions that belong to each site: chrom, cell, low and high (both included) and rs_pos; and by how many bits a position is shifted to its cell.
 
     A site has what lies within max_distance of it and no nearer to another one; of two as near, the lower has it. Cells are twice that distance or more, so a site is in one or two of
     them. Only neighbours within reach matter: sites near a bin's edge are in both bins while neighbours are looked up, and no chromosome's sites meet in one task. Repeated sites are one.
     """
-    bits = max(6, (2 * max_distance).bit_length())
+    bits = cell_bits(max_distance)
     at, reach = F.col("start").cast("long"), 2 * max_distance + 1
     bin_of = lambda c: F.floor(c / bin_width)
     known = sites.select("chrom", at.alias("at")).where("chrom is not null and at is not null")

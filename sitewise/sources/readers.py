@@ -37,20 +37,28 @@ def sides(spark: SparkSession, path: str) -> DataFrame:
 
 def cut_sites(spark: SparkSession, path: str) -> DataFrame:
     """Sites with three or more columns; a missing name is null and further columns are left out."""
-    parts = F.split("value", "\t")
+    parts = F.split(F.when(~F.col("value").startswith("#"), F.col("value")), "\t")  # null fields of headers, as in sam
     line = spark.read.text(path).where("value <> '' and not value like '#%'")
-    return line.select(parts[0].alias("chrom"), parts[1].cast("bigint").alias("start"), parts[2].cast("bigint").alias("stop"), F.get(parts, F.lit(3)).alias("name"))
+    return line.select(*(F.get(parts, F.lit(i)).cast(kind).alias(c) for i, (c, kind) in enumerate((("chrom", "string"), ("start", "bigint"), ("stop", "bigint")))), F.get(parts, F.lit(3)).alias("name"))
 
 
 def snps(spark: SparkSession, path: str) -> DataFrame:
     return tsv(spark, path, schemas.SNP)
 
 
-def sam(spark: SparkSession, path: str) -> DataFrame:
-    """Alignment records from text; header lines are left out."""
-    parts = F.split("value", "\t")
-    fields = [parts[i].cast(schemas.SAM_INTS.get(c, "string")).alias(c) for i, c in enumerate(schemas.SAM)]
-    return spark.read.text(path).where("not value like '@%' and value <> ''").select(*fields)
+def sam(spark: SparkSession, path: str, numbered: bool = False) -> DataFrame:
+    """Alignment records from text; header lines are left out. numbered adds line, which sorts in the order of files and of the lines in them."""
+    # a later filter may be worked out beside ours, so header lines have null fields rather than wrong ones; a record that is cut short fails by its name
+    header = F.col("value").startswith("@")
+    parts = F.split(F.when(~header, F.col("value")), "\t")
+    fields = [F.get(parts, F.lit(i)).cast(schemas.SAM_INTS.get(c, "string")).alias(c) for i, c in enumerate(schemas.SAM)]
+    short = F.raise_error(F.concat(F.lit("not an alignment record: "), "value")).cast("string")
+    fields[0] = F.when(F.size(parts) < len(schemas.SAM), F.when(~header, short)).otherwise(F.get(parts, F.lit(0))).alias("qname")
+    # ids rise along a piece of a file, and pieces are told by where they begin
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"))
+    lines = spark.read.text(path)
+    lines = lines.select("value", place.alias("line")) if numbered else lines
+    return lines.where("not value like '@%' and value <> ''").select(*fields, *(["line"] if numbered else []))
 
 
 def sam_references(spark: SparkSession, path: str) -> DataFrame:
