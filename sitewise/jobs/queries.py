@@ -587,3 +587,11 @@ def run_to_bed(spark, d):
     sinks.tsv(X.cut_sites(spark, d).select("chrom", "start", (F.col("start") + 4).alias("stop")), f"{path}/in/sites")
     J.sites_step(spark, f"{path}/in/sam", f"{path}/in/sites", f"{path}/out", "run1", "lib")
     return readers.tsv(spark, f"{path}/out/lib/bed", schemas.BED5)
+
+
+@query("SELECT chrom, snp_pos, ref, alt FROM snp", "snp")
+def snp_list_round_trip(spark, d):
+    """Variants written and read back as lists for allele splitting have them."""
+    path = new_dir(spark, "variants")
+    sinks.snp_list(X.snps(spark, d), path)
+    return readers.snp_list(spark, path)

@@ -46,6 +46,19 @@ def snps(spark: SparkSession, path: str) -> DataFrame:
     return tsv(spark, path, schemas.SNP)
 
 
+def snp_list(spark: SparkSession, path: str) -> DataFrame:
+    """Variants as lists for allele splitting have them: id, chromosome, position (from 1), strand and both bases as C/T, in tabs, with or without a line of names.
+
+    Gives chrom, snp_pos (from 0), ref and alt, in upper case. Lines whose bases aren't two single ones, such as insertions, are left out; a line with a position that is no number fails.
+    """
+    parts = F.split("value", "\t")
+    field = lambda i: F.trim(F.get(parts, F.lit(i)))
+    both = F.split(F.upper(field(4)), "/")
+    rows = spark.read.text(path).select(field(1).alias("chrom"), field(2).alias("at"), F.get(both, F.lit(0)).alias("ref"), F.get(both, F.lit(1)).alias("alt"), F.size(both).alias("n"))
+    single = [F.col(c).rlike("^[ACGT]$") for c in ("ref", "alt")]  # a line of names has none
+    return rows.where(single[0] & single[1] & (F.col("n") == 2)).select("chrom", F.when(single[0], F.col("at")).cast("bigint").alias("x"), "ref", "alt").select("chrom", (F.col("x") - 1).alias("snp_pos"), "ref", "alt")
+
+
 def sam(spark: SparkSession, path: str, numbered: bool = False) -> DataFrame:
     """Alignment records from text; header lines are left out. numbered adds line, which sorts in the order of files and of the lines in them."""
     # a later filter may be worked out beside ours, so header lines have null fields rather than wrong ones; a record that is cut short fails by its name

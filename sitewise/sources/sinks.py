@@ -49,6 +49,12 @@ def sam(alignments: DataFrame, path: str, references: DataFrame, name: str = "qn
     lines.select("value").write.text(path)
 
 
+def snp_list(snps: DataFrame, path: str) -> None:
+    """Variants (chrom, snp_pos from 0, ref, alt) as readers.snp_list reads them; an id tells chromosome and position."""
+    at = F.col("snp_pos") + 1
+    tsv(snps.select(F.concat_ws(":", "chrom", at).alias("id"), "chrom", at.alias("position"), F.lit(1).alias("strand"), F.concat_ws("/", "ref", "alt").alias("bases")), path, header=True)
+
+
 def summary(df: DataFrame, path: str, text: bool = True) -> None:
     """One file with a header, sorted by library: a row for each library is small by nature."""
     tsv((as_text(df) if text else df).orderBy("library_id").coalesce(1), path, compress=False, header=True)

@@ -66,3 +66,13 @@ def test_header_lines_and_short_records(spark, tmp_path):
     (tmp_path / "z.sam").write_text("a\t0\tchr1\t5\n")
     with pytest.raises(Exception, match="not an alignment record"):
         readers.sam(spark, str(tmp_path / "z.sam")).collect()
+
+
+def test_variant_lists(spark, tmp_path):
+    lines = ["ID\tChr\tPosition\tSNP value\tRef/SNP", "7\tchr5\t48794752\t1\tC/T", "8\tchr5\t10\t-1\ta/g", "9\tchr5\t11\t1\tAC/T", "10\tchr5\t12\t1\tA/C/G", "", "11\tchr6"]
+    (tmp_path / "x.txt").write_text("\n".join(lines) + "\n")
+    got = sorted(map(tuple, readers.snp_list(spark, str(tmp_path / "x.txt")).where("snp_pos >= 0 and chrom = 'chr5'").collect()))
+    assert got == [("chr5", 9, "A", "G"), ("chr5", 48794751, "C", "T")]
+    (tmp_path / "y.txt").write_text("1\tchr5\tmany\t1\tC/T\n")
+    with pytest.raises(Exception, match="many"):
+        readers.snp_list(spark, str(tmp_path / "y.txt")).collect()
