@@ -1,4 +1,7 @@
-"""A library from files to files: reads to routes, and alignments to clean and orphan rows, deduplicated rows, numbered BED rows, counters and the summary."""
+"""A library from files to files: reads to routes, and alignments to clean and orphan rows, deduplicated rows, numbered BED rows, counters and the summary.
+
+A step that is repeated puts its files and counts in the place of those that it left before.
+"""
 
 from __future__ import annotations
 
@@ -12,6 +15,8 @@ from sitewise.operators import summary as M
 from sitewise.operators import umis as U
 from sitewise.sources import readers, sinks
 
+_AGAIN = "overwrite"
+
 
 def _count(spark: SparkSession, out: str, run: str, library: str, step: str, counts: dict[str, int]) -> None:
     rows = spark.createDataFrame([(library, m, int(v or 0)) for m, v in counts.items()], "library_id string, metric string, value long")
@@ -24,7 +29,7 @@ def reads_step(spark: SparkSession, fastq: str, out: str, run: str, library: str
     counts = {"input": F.count(F.lit(1)), "umi_hq": F.count_if(kept), "prefix": F.count_if(kept & F.col("prefix_ok"))}
     reads = prepared_reads(readers.fastq(spark, fastq), barcode, site, substitutions)
     named = reads.withColumn("name", F.concat("name", *(x for f in ("umi", "bc", "cs") for x in (F.lit(f"~~{f}~"), F.coalesce(f, F.lit("")), F.lit(f"~~q{f}~"), F.coalesce(f"{f}_qual", F.lit(""))))))
-    sinks.routed_reads(named.observe(seen, *(c.alias(m) for m, c in counts.items())), f"{out}/{library}/reads")
+    sinks.routed_reads(named.observe(seen, *(c.alias(m) for m, c in counts.items())), f"{out}/{library}/reads", mode=_AGAIN)
     _count(spark, out, run, library, "reads", seen.get)
 
 
@@ -40,7 +45,7 @@ def sites_step(spark: SparkSession, sam: str, sites: str, out: str, run: str, li
 
     place = F.struct("reverse_strand", "line").alias("place")
     umis = A.with_site_position(A.read_name_flags(A.clean(alignments)), site_length).select("chrom", "pos", F.col("umi").alias("seq"), F.col("umi_qual").alias("qual"), place)
-    S.nearest_site(U.group_umis(umis, "place"), cut).write.parquet(f"{here}/assigned")
+    S.nearest_site(U.group_umis(umis, "place"), cut).write.mode(_AGAIN).parquet(f"{here}/assigned")
     assigned = spark.read.parquet(f"{here}/assigned")
 
     seen, n = Observation(), F.coalesce("n", F.lit(0))
@@ -48,21 +53,21 @@ def sites_step(spark: SparkSession, sam: str, sites: str, out: str, run: str, li
     counts = {"n_umis": F.sum(n), "from_cs": F.sum(F.when(F.col("d_rs") <= max_distance, n)), "n_locations": F.count(F.lit(1))}
     _count(spark, out, run, library, "assign", assigned.agg(*(c.cast("long").alias(m) for m, c in counts.items())).first().asDict())
     columns = ("chrom", "pos", "seqs", "quals")
-    sinks.tsv(far.withColumn("pos", F.col("rs_pos")).select(*columns), f"{here}/orphan")
+    sinks.tsv(far.withColumn("pos", F.col("rs_pos")).select(*columns), f"{here}/orphan", mode=_AGAIN)
     merged = U.merge_sites(near)
-    sinks.tsv(merged.select(*columns), f"{here}/clean")
+    sinks.tsv(merged.select(*columns), f"{here}/clean", mode=_AGAIN)
 
     rows = U.dedup_umis(readers.grouped_umis(spark, f"{here}/clean"))
     left = {"pre_n": F.sum("pre_n"), "uniq": F.sum("post_n"), "n_sites": F.count(F.lit(1))}
-    sinks.tsv(rows.observe(seen, *(c.cast("long").alias(m) for m, c in left.items())).select("chrom", "pos", "seqs", F.col("post_n").alias("counts")), f"{here}/dedup")
+    sinks.tsv(rows.observe(seen, *(c.cast("long").alias(m) for m, c in left.items())).select("chrom", "pos", "seqs", F.col("post_n").alias("counts")), f"{here}/dedup", mode=_AGAIN)
     _count(spark, out, run, library, "dedup", seen.get)
     counted = readers.tsv(spark, f"{here}/dedup", readers.schemas.DEDUP_UMI).select("chrom", "pos", F.col("counts").cast("long").alias("post_n"))
-    sinks.bed(U.bed5(counted), f"{here}/bed")
+    sinks.bed(U.bed5(counted), f"{here}/bed", mode=_AGAIN)
 
 
 def summary_step(spark: SparkSession, out: str, run: str) -> DataFrame:
     """The summary of a run's libraries from what their steps have counted, also written as <out>/summary."""
     counters = spark.read.parquet(f"{out}/counters").where(F.col("run") == run)
     table = M.library_summary(counters.withColumn("library_id", F.col("library_id").cast("string")), run)
-    sinks.summary(table, f"{out}/summary")
+    sinks.summary(table, f"{out}/summary", mode=_AGAIN)
     return table

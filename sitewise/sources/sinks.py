@@ -31,9 +31,9 @@ def clean_and_orphans(assigned: DataFrame, path: str, max_distance: int, compres
     return seen.get
 
 
-def bed(df: DataFrame, path: str) -> None:
+def bed(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Numbered rows in the order of their numbers, which names end with, over as many files as there are partitions."""
-    tsv(df.orderBy("chrom", "start", F.regexp_extract("name", r"(\d+)$", 1).cast("long")), path)
+    tsv(df.orderBy("chrom", "start", F.regexp_extract("name", r"(\d+)$", 1).cast("long")), path, mode=mode)
 
 
 def sam(alignments: DataFrame, path: str, references: DataFrame, name: str = "qname") -> None:
@@ -55,15 +55,15 @@ def snp_list(snps: DataFrame, path: str) -> None:
     tsv(snps.select(F.concat_ws(":", "chrom", at).alias("id"), "chrom", at.alias("position"), F.lit(1).alias("strand"), F.concat_ws("/", "ref", "alt").alias("bases")), path, header=True)
 
 
-def summary(df: DataFrame, path: str, text: bool = True) -> None:
+def summary(df: DataFrame, path: str, text: bool = True, mode: str = "errorifexists") -> None:
     """One file with a header, sorted by library: a row for each library is small by nature."""
-    tsv((as_text(df) if text else df).orderBy("library_id").coalesce(1), path, compress=False, header=True)
+    tsv((as_text(df) if text else df).orderBy("library_id").coalesce(1), path, compress=False, header=True, mode=mode)
 
 
-def routed_reads(reads: DataFrame, path: str) -> None:
+def routed_reads(reads: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Reads of each route in a folder of its own, in one pass."""
     record = F.concat_ws("\n", F.concat(F.lit("@"), "name"), "seq", F.lit("+"), "qual")
-    reads.select("route", record.alias("value")).write.partitionBy("route").option("compression", "gzip").text(path)
+    reads.select("route", record.alias("value")).write.mode(mode).partitionBy("route").option("compression", "gzip").text(path)
 
 
 def reads_text(reads: DataFrame, path: str, compress: bool = True) -> None:
