@@ -44,8 +44,8 @@ GRID, NEAR, RIDGE = 50, 1e-3, 1e-4
 #: Fractions of a Newton step, and lengths of a gradient step (1 is what the curvature of all documents asks for), that are tried at once.
 _FRACTIONS = (1.0, 0.5, 0.2, 0.05, 0.01, 1e-3)
 _LENGTHS = (1.0, 0.5, 2.0, 4.0, 16.0, 64.0)
-#: Passes end where a step of length 1 would move rates by less than this, on average over tokens, or would better the squares by less than this share.
-STILL = 1e-6
+#: Passes end where a step of length 1 would move rates by less than this, on average over tokens, or where the best step betters the squares by less than that share.
+STILL, BETTER = 1e-6, 1e-4
 #: (name, pattern that is counted, most, bins): shares of characters, in bins of equal width up to most.
 _SHAPES = (("upper", "[A-Z]", 0.4, 8), ("symbol", r"[!#$%&*|]", 0.2, 8))
 _REPEAT_BINS = 8
@@ -288,7 +288,7 @@ def fit_rates(members: DataFrame, targets: dict[str, float] | None = None, floor
         found = at(_LENGTHS, way)
         passes += 1
         i = int(np.argmin([x[0] for x in found]))
-        if found[0][1] <= STILL or found[i][0] >= value * (1 - STILL):
+        if found[0][1] <= STILL or found[i][0] >= value * (1 - BETTER):
             break
         fit.steps.append((_LENGTHS[i], way))
         value, _, gap = found[i]
