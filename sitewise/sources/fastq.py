@@ -22,6 +22,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 NAME = "sitewise_fastq"
 SCHEMA = "file string, read_no bigint, name string, seq string, qual string"
 SPLIT_BYTES = 64 << 20
+#: Ranges below SPLIT_BYTES are made as much longer as it takes for so many of them to hold all bytes, so that a small range doesn't make tasks without end.
+MOST_SMALL = 512
 #: Bytes read at once, and suffixes of packed files, which are read whole.
 _BLOCK = 4 << 20
 PACKED = {".gz": "gzip", ".bz2": "bz2", ".zst": "zstd"}
@@ -65,6 +67,7 @@ def files_of(path: str) -> list[tuple[str, int]]:
 
 def pieces_of(files: list[tuple[str, int]], split_bytes: int) -> list[list[tuple[str, int, int]]]:
     """Pieces for each task: large plain files are cut, small files share a task."""
+    split_bytes = max(split_bytes, min(SPLIT_BYTES, -(-sum(size for _, size in files) // MOST_SMALL)))
     tasks: list[list[tuple[str, int, int]]] = []
     room = 0
     for path, size in files:
@@ -139,6 +142,7 @@ def read_piece(path: str, start: int, end: int, block: int = _BLOCK) -> Iterator
     else:
         stream = system.open_input_file(inside)
         at, last = _first_record(stream, start, end), end
+        block = min(block, max(end - start, 1 << 16))  # what lies beyond the range is another task's
         stream.seek(at)
         if at >= end:
             return

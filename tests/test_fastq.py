@@ -81,3 +81,35 @@ def test_lines_give_the_same_reads_and_empty_folders_none(spark, tmp_path):
         assert sorted(map(tuple, read(spark, str(tmp_path / "x")).select("name", "seq", "qual").collect())) == sorted(rows)
     (tmp_path / "none").mkdir()
     assert readers.fastq(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_small_ranges_are_a_bounded_number_of_tasks(tmp_path):
+    files = [("a", 3_000_000), ("b", 1_000_001), ("c", 7)]
+    pieces = [x for t in S.pieces_of(files, 100) for x in t]
+    assert len(S.pieces_of(files, 100)) <= S.MOST_SMALL + len(files)
+    for path, size in files:
+        ends = [(start, end) for p, start, end in pieces if p == path]
+        assert ends[0][0] == 0 and ends[-1][1] == size and all(x[1] == y[0] for x, y in zip(ends, ends[1:]))
+    assert len(S.pieces_of([("a", 100 << 40)], 100)) == (100 << 40) // S.SPLIT_BYTES  # and no range is above the usual length
+
+
+def test_a_small_range_reads_little(tmp_path, monkeypatch):
+    path, read = tmp_path / "a.fastq", []
+    path.write_text(text([("n", "ACGT" * 500, "IIII" * 500)] * 1000))
+    opened = S.opened
+
+    class Counted:
+        def __init__(self, stream):
+            self.stream, self.seek = stream, stream.seek
+
+        def read(self, n):
+            read.append(len(more := self.stream.read(n)))
+            return more
+
+    class System:
+        def open_input_file(self, inside):
+            return Counted(opened(str(path))[0].open_input_file(inside))
+
+    monkeypatch.setattr(S, "opened", lambda p: (System(), p))
+    assert sum(b.num_rows for b in S.read_piece(str(path), 1_000_000, 1_010_000)) == 3
+    assert sum(read) < 300_000
