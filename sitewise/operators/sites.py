@@ -128,7 +128,8 @@ def orphans(assigned: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
 
 
 def shared_chroms(umis: DataFrame, sites: DataFrame) -> DataFrame:
-    return umis.select("chrom").intersect(sites.select("chrom"))
+    """Chromosomes with both; each side is distinct before they meet, so that no chromosome's rows come together in a task."""
+    return umis.select("chrom").distinct().intersect(sites.select("chrom").distinct())
 
 
 def missing_chroms(umis: DataFrame, sites: DataFrame) -> DataFrame:

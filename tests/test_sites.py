@@ -85,3 +85,13 @@ def test_positions(spark):
 
     df = spark.createDataFrame([(104, 150, False), (60, 100, True)], "start_pos long, end_pos long, reverse_strand boolean")
     assert [r.pos for r in with_site_position(df).collect()] == [100, 100]
+
+
+def test_shared_chroms_are_distinct_before_they_meet(spark):
+    many = umis(spark, [1] * 50).unionByName(umis(spark, [1, 2], "a")).unionByName(umis(spark, [3], None))
+    known = sites(spark, [1, 1, 2]).unionByName(sites(spark, [5], None)).unionByName(sites(spark, [5], "b"))
+    shared = S.shared_chroms(many, known)
+    assert {r.chrom for r in shared.collect()} == {"c", None} and shared.count() == 2
+    plan = shared._jdf.queryExecution().optimizedPlan().toString()
+    join = plan[plan.index("Join") :].splitlines()
+    assert sum("Aggregate [chrom" in line for line in join) == 2
