@@ -30,12 +30,15 @@ def read_counters(prepared: DataFrame, library: str = "library_id") -> DataFrame
     return prepared.groupBy(library).agg(F.count(F.lit(1)).alias("input"), F.count_if(kept).alias("umi_hq"), F.count_if(kept & F.col("prefix_ok")).alias("prefix"))
 
 
-def genome_assigned(reads: DataFrame, classes: DataFrame, sites: DataFrame) -> DataFrame:
-    """Reads of genome1 (g1), genome2 (g2) and both (m), with their nearest sites, which are looked for once."""
-    own = reads.join(classes.where(F.col("class").isin("genome1", "genome2")).select("read_id", "class"), "read_id")
-    placed = A.with_site_position(own).select(F.when(F.col("class") == "genome1", "g1").otherwise("g2").alias("own"), "chrom", "pos", "seq")
-    assigned = S.nearest_site(placed, sites)
-    return assigned.select(F.explode(F.array("own", F.lit("m"))).alias("genome"), "chrom", "pos", "seq", "rs_pos", "d_rs")
+def genome_near(reads: DataFrame, snps: DataFrame, base: Column, sites: DataFrame, max_distance: int = S.MAX_DISTANCE) -> DataFrame:
+    """Reads of genome1 (g1), genome2 (g2) and both (m) near a site, with that site, from one pass: each read is classed with its place, and only those of a genome look for sites.
+
+    Rows of a read that repeat wholly are one, so reads needn't be distinct.
+    """
+    classed = L.class_reads(reads, snps, base, "chrom", "start_pos", "end_pos", "reverse_strand", "seq")
+    own = F.when(F.col("class") == "genome1", "g1").otherwise("g2").alias("own")
+    placed = A.with_site_position(classed.where(F.col("class").isin("genome1", "genome2"))).select(own, "chrom", "pos", "seq")
+    return S.near_site(placed, sites, max_distance).select(F.explode(F.array("own", F.lit("m"))).alias("genome"), "chrom", "pos", "seq", "rs_pos", "d_rs")
 
 
 def allelic_counters(reads: DataFrame, snps: DataFrame, base: Column, sites: DataFrame, library: str = "library_id") -> DataFrame:

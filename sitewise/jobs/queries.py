@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sitewise.functions.expressions import near_literal
 from sitewise.jobs import fixtures as X
 from sitewise.jobs import run as J
-from sitewise.jobs.preprocess import allelic_counters, counters_of, genome_assigned, prepared_reads, sited_lists, sites_of
+from sitewise.jobs.preprocess import allelic_counters, counters_of, genome_near, prepared_reads, sited_lists, sites_of
 from sitewise.operators import alignments as A
 from sitewise.operators import allelic as L
 from sitewise.operators import histograms as H
@@ -295,16 +295,11 @@ def genome_union_sites(spark, d):
 @query("SELECT genome, chrom, rs_pos AS pos, count(*) AS n_reads, count(DISTINCT seq) AS n_umis FROM gall WHERE d_rs <= 20 GROUP BY 1, 2, 3", "gall")
 def genome_sites(spark, d):
     """The chain of each genome and of both together: nearest site, distance limit, merge, deduplication."""
-    near = S.within_distance(_genome_assigned(spark, d))
+    near = genome_near(X.alignments_with_id(spark, d), X.snps(spark, d), _base(), X.cut_sites(spark, d))
     each = near.groupBy("genome", "chrom", F.col("rs_pos").alias("pos"), "seq").agg(F.count(F.lit(1)).alias("reads"))
     return each.groupBy("genome", "chrom", "pos").agg(F.sum("reads").alias("n_reads"), F.count("seq").alias("n_umis"))
 
 
-def _genome_assigned(spark, d) -> DataFrame:
-    classes = L.allele_class(_overlaps(spark, d))  # reads of a genome cover a variant
-    return genome_assigned(X.allelic_reads(spark, d), classes, X.cut_sites(spark, d))
-
-
 def _tail(g: str, whole: str) -> str:
     return f"{g}_from_cs / {g}_n_umis AS {g}_from_cs_share, {g}_uniq / {g}_from_cs AS {g}_uniq_share, {g}_uniq / {whole} AS {g}_out_share"
 
