@@ -45,9 +45,9 @@ PERCENT = 80
 SKETCH_BITS, PIECE_BITS = 22, 16
 #: Bits of the parities that bound from below how far two sets differ.
 PARITY_BITS = 256
-#: Leader rounds go on while each settles at least this share of the open lists' postings, at most so many rounds. What they leave
-#: is done exactly by the last step, so neither number changes the result.
-WORTHWHILE, LEADER_ROUNDS = 0.05, 8
+#: Leader rounds go on while the last step would have more than FEW_PAIRS pairs for each posting, each round settles at least this share of the
+#: open lists' postings, and there were fewer than so many rounds. What they leave is done exactly by the last step, so no number changes the result.
+FEW_PAIRS, WORTHWHILE, LEADER_ROUNDS = 16, 0.05, 8
 
 
 def _ceil_div(a, b: int):
@@ -95,12 +95,21 @@ def _summed(parts: DataFrame) -> DataFrame:
 
 
 def list_levels(parts: DataFrame) -> np.ndarray:
-    """How long each list is, as a level: 0 for lists that look like all others, one more for each doubling. 4 MB, always."""
+    """How long each list is, as a level (levels_of). 4 MB, always."""
     counts = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
     for row in _summed(parts).toLocalIterator():  # 64 rows
         counts[row.piece << PIECE_BITS : (row.piece + 1) << PIECE_BITS] = np.frombuffer(zlib.decompress(row.data), dtype=np.uint32)
-    usual = 4 * counts.mean() + 32
-    return np.log2(np.maximum(1, counts / usual)).astype(np.uint8)
+    return levels_of(counts)
+
+
+def levels_of(counts: np.ndarray) -> np.ndarray:
+    """0 for counters that look like all others, one more for each doubling of what a counter has above their mean.
+
+    Short lists fall on counters at random and spread them by the root of their mean; so the length from which a list is told from others grows
+    with the root of the input, and pairs in lists that aren't told apart grow no faster than the input.
+    """
+    mean = counts.mean()
+    return np.log2(np.maximum(1, (counts - mean) / (2 * np.sqrt(mean) + 4))).astype(np.uint8)
 
 
 def parity(s: np.ndarray) -> np.ndarray:
@@ -233,8 +242,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     postings = short.select("doc_id", "n", "bits", F.posexplode("keys").alias("place", "key"))
 
     # Lists of one document lead nowhere; a bitmap keeps most of their postings out of the join.
-    lists = postings.select("key").groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
+    lists = postings.select("key").groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     lists = saved(lists, "join-lists")
+    size = lists.agg(F.sum("m").alias("postings"), F.sum(F.col("m") * (F.col("m") - 1)).alias("pairs")).first()
+    still_open, pairs_left = size.postings or 0, size.pairs or 0
+    lists = lists.select("key")
     maybe = with_maybe(postings, F.xxhash64("key"), saved(key_bitmap(lists, F.xxhash64("key")), "join-maybe")).where("maybe").drop("maybe")
     postings = saved(maybe.join(lists, "key").select("key", "doc_id", "n", "bits", "place"), "join-postings")
 
@@ -242,8 +254,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         return saved(_probe(saved(pairs.select("a", "b"), f"{name}-pairs"), docs, words, percent), name)
 
     links = spark.createDataFrame([], "a long, b long")
-    open_lists, still_open = postings.withColumn("component", F.col("doc_id")), postings.count()
+    open_lists = postings.withColumn("component", F.col("doc_id"))
     for turn in range(LEADER_ROUNDS):
+        if pairs_left <= FEW_PAIRS * still_open:
+            break
         # One leader for each list: at first a document with the fewest rarer shingles, which resembles most of the others where they are
         # copies; then by an order that changes each turn. Of the leaders that a document meets, the one met most often is probed.
         first = F.col("place") if turn == 0 else F.lit(0)
@@ -257,13 +271,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             break
         links = links.unionByName(new)
         open_lists, before = saved(_open(postings, components(links)), f"join-open{turn}"), still_open
-        still_open = open_lists.count()
+        of_list = _component_sizes(open_lists).groupBy("key").agg(F.sum("m").alias("m"), F.max("m").alias("most"))
+        size = of_list.agg(F.sum("m").alias("postings"), F.sum((F.col("m") - F.col("most")) * F.col("m")).alias("pairs")).first()
+        still_open, pairs_left = size.postings or 0, size.pairs or 0
         if still_open > (1 - WORTHWHILE) * before:
             break
 
     # What is left, exactly: of each list, the documents outside its largest component with all others.
-    sizes = open_lists.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"))
-    major = sizes.groupBy("key").agg(F.max_by("component", F.struct("m", "component")).alias("major"))
+    major = _component_sizes(open_lists).groupBy("key").agg(F.max_by("component", F.struct("m", "component")).alias("major"))
     split = open_lists.join(major, "key").withColumn("minor", F.col("component") != F.col("major")).drop("major")
     new = links_of(_often_enough(_candidates(split.where("minor"), split, percent), percent), "join-links")
     label = components(links.unionByName(new))
@@ -297,3 +312,7 @@ def _open(postings: DataFrame, label: DataFrame) -> DataFrame:
     named = postings.join(label.withColumnRenamed("vertex", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     several = named.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("key")
     return named.join(several, "key").select("key", "doc_id", "n", "bits", "place", "component")
+
+
+def _component_sizes(open_lists: DataFrame) -> DataFrame:
+    return open_lists.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"))

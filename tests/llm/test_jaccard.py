@@ -1,9 +1,11 @@
 import random
 
 import numpy as np
+import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 
+from sitewise.llm import jaccard as J
 from sitewise.llm.jaccard import jaccard_components
 from sitewise.llm.shingles import shingle_set, word_hashes
 from tests.llm import brute
@@ -50,3 +52,29 @@ def test_other_tables(spark):
     rows = [(3, "a b c d e f g"), (3, "a b c d e f g"), (None, "a b c d e f g"), (1, "a b c d e f g"), (9, "z"), (None, None)]
     got = jaccard_components(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sorted((x.doc_id or -1, x.n_shingles, x.component_id or -1) for x in got) == [(-1, 0, -1), (-1, 3, -1), (1, 3, 1), (3, 3, 1), (3, 3, 1), (9, 1, 9)]
+
+
+def test_long_lists_are_told_apart_by_the_root_of_the_mean():
+    counts = np.random.default_rng(1).poisson(1000, 1 << 16).astype(np.uint32)
+    counts[[7, 8]] += np.array([400, 4000], dtype=np.uint32)  # beside a thousand that share the counter
+    level = J.levels_of(counts)
+    assert level[7] >= 2 and level[8] > level[7]
+    assert (level > 0).sum() < 20
+    assert not J.levels_of(np.zeros(8, dtype=np.uint32)).any()
+
+
+@pytest.mark.parametrize("few", [0, 10**9])
+def test_rounds_and_pairs_give_the_same(spark, monkeypatch, few):
+    """With leader rounds as long as they help, and with the last step alone."""
+    monkeypatch.setattr(J, "FEW_PAIRS", few)
+    words = [f"w{i}" for i in range(60)]
+    docs = [(10 * g + k, " ".join([*words[: 58 - k], f"x{g}", f"y{k}"] if g else words[k : k + 50])) for g in range(3) for k in range(6)]
+    got = J.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    sets = {i: {tuple(t.split()[j : j + 5]) for j in range(len(t.split()) - 4)} for i, t in docs}
+    label = {i: i for i in sets}
+    for _ in sets:
+        for a in sets:
+            for b in sets:
+                if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    label[a] = min(label[a], label[b])
+    assert {r.doc_id: r.component_id for r in got} == label
