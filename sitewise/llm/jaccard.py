@@ -16,7 +16,8 @@ search, only for documents that came up often enough.
 Documents with equal sets are one vertex, found before any list is made. What is asked for is components, not
 pairs, so a list of m documents that resemble each other doesn't need all its pairs: rounds compare each list with
 one leader, which costs as much as the list is long. Then only pairs of documents that are still in different
-components are merged and probed. No pair that could join two components is left out.
+components are merged and probed, and of their lists only those that come early enough in both documents' order. No pair that could join two
+components is left out.
 
 A set has the distinct runs of WORDS words, as 64-bit hashes; with fewer words, the whole sequence; with none, it is empty
 and links with nothing (its component is the document itself). Null texts are empty. Repeated rows are equal sets; an
@@ -47,7 +48,9 @@ SKETCH_BITS, PIECE_BITS = 22, 16
 PARITY_BITS = 256
 #: Leader rounds go on while the last step would have more than FEW_PAIRS pairs for each posting, each round settles at least this share of the
 #: open lists' postings, and there were fewer than so many rounds. What they leave is done exactly by the last step, so no number changes the result.
-FEW_PAIRS, WORTHWHILE, LEADER_ROUNDS = 16, 0.05, 8
+FEW_PAIRS, WORTHWHILE, LEADER_ROUNDS = 1, 0.05, 8
+#: One part in so many of DivideSkip's bound is asked for: less makes fewer rows of common lists, and more pairs to probe. No number changes the result.
+PART = 4
 
 
 def _ceil_div(a, b: int):
@@ -159,11 +162,19 @@ def _needed(na: Column, nb: Column, percent: int) -> Column:
     return F.ceil(F.lit(percent) * (na + nb) / F.lit(100 + percent)).cast("long")
 
 
-def _candidates(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
+def _asked(na: Column, nb: Column, percent: int) -> Column:
+    """On how many common short lists a pair is looked for: a part of DivideSkip's bound T - L, L being the long lists of the document whose short lists
+    end first. Which of both that is isn't known here, so the smaller of the two bounds is taken."""
+    long_lists = lambda n: F.ceil(F.lit(percent) * n / 100).cast("long") - 1
+    return F.ceil(F.greatest(F.lit(1), _needed(na, nb, percent) - F.greatest(long_lists(na), long_lists(nb))) / F.lit(PART)).cast("long")
+
+
+def _candidates(left: DataFrame, right: DataFrame, percent: int, early: bool = False) -> DataFrame:
     """Pairs a < b of different components, with how many short lists both are on.
 
     Each side has key, doc_id, n, bits, place (in the order of its document's lists) and component; both sides may hold
-    a pair, in which case minor on the right keeps it from meeting twice.
+    a pair, in which case minor on the right keeps it from meeting twice. With early, lists count only where the pair's first _asked common ones
+    can be: behind the k-th of at least T common shingles there are T - k more in each set. Where all lists are met, no pair is lost by that.
     """
     left = left.select("key", *(F.col(c).alias(f"{c}_a") for c in ("doc_id", "n", "bits", "place", "component")))
     right = right.select("key", "minor", *(F.col(c).alias(f"{c}_b") for c in ("doc_id", "n", "bits", "place", "component")))
@@ -172,6 +183,9 @@ def _candidates(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
     fits = (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & (most >= _needed(na, nb, percent))
     differ = sum((F.bit_count(F.get("bits_a", F.lit(i)).bitwiseXOR(F.get("bits_b", F.lit(i)))) for i in range(PARITY_BITS // 64)), F.lit(0))
     fits &= differ <= na + nb - 2 * _needed(na, nb, percent)
+    if early:
+        k = _asked(na, nb, percent) - _needed(na, nb, percent)
+        fits &= (F.col("place_a") < na + k) & (F.col("place_b") < nb + k)
     once = ~F.col("minor") | (F.col("doc_id_a") < F.col("doc_id_b"))
     # one condition of the join, so that pairs which fail it are never rows
     right = right.withColumnRenamed("key", "key_b")
@@ -183,15 +197,9 @@ def _candidates(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
     return met.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("on"))
 
 
-def _often_enough(pairs: DataFrame, percent: int, part: int = 1) -> DataFrame:
-    """DivideSkip's bound: on at least T - L short lists, L being the long ones of the document whose short lists end first.
-
-    Which of both that is isn't known here, so the smaller of the two bounds is asked for; of it, one part in so many,
-    where a leader met a document on some of their common lists only.
-    """
-    needed = _needed(F.col("na"), F.col("nb"), percent)
-    long_lists = lambda c: F.ceil(F.lit(percent) * F.col(c) / 100).cast("long") - 1
-    return pairs.where(part * F.col("on") >= F.greatest(F.lit(1), needed - F.greatest(long_lists("na"), long_lists("nb"))))
+def _often_enough(pairs: DataFrame, percent: int) -> DataFrame:
+    """Pairs that are on as many common lists as is asked for."""
+    return pairs.where(F.col("on") >= _asked(F.col("na"), F.col("nb"), percent))
 
 
 def _probe(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -263,7 +271,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         first = F.col("place") if turn == 0 else F.lit(0)
         order = F.struct(first.alias("first"), F.xxhash64("doc_id", F.lit(turn)).alias("h"), "doc_id", "n", "bits", "place", "component")
         leaders = open_lists.groupBy("key").agg(F.min(order).alias("x")).select("key", "x.doc_id", "x.n", "x.bits", "x.place", "x.component")
-        met = _often_enough(_candidates(leaders, open_lists.withColumn("minor", F.lit(False)), percent), percent, 4)
+        met = _often_enough(_candidates(leaders, open_lists.withColumn("minor", F.lit(False)), percent), percent)
         either = met.select(F.explode(F.array("a", "b")).alias("doc_id"), "a", "b", "on")
         best = either.groupBy("doc_id").agg(F.max(F.struct("on", "a", "b")).alias("x")).select("x.a", "x.b").distinct()
         new = links_of(best, f"join-links{turn}")
@@ -280,7 +288,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # What is left, exactly: of each list, the documents outside its largest component with all others.
     major = _component_sizes(open_lists).groupBy("key").agg(F.max_by("component", F.struct("m", "component")).alias("major"))
     split = open_lists.join(major, "key").withColumn("minor", F.col("component") != F.col("major")).drop("major")
-    new = links_of(_often_enough(_candidates(split.where("minor"), split, percent), percent), "join-links")
+    new = links_of(_often_enough(_candidates(split.where("minor"), split, percent, early=True), percent), "join-links")
     label = components(links.unionByName(new))
 
     vertex_of = label.select(F.col("vertex"), F.col("component").alias("component_id"))

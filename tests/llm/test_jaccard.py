@@ -78,3 +78,38 @@ def test_rounds_and_pairs_give_the_same(spark, monkeypatch, few):
                 if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
                     label[a] = min(label[a], label[b])
     assert {r.doc_id: r.component_id for r in got} == label
+
+
+def test_copies_make_no_more_rows_than_postings(spark, monkeypatch):
+    """Lists of 15 near copies each: neither rounds nor the last step make all pairs."""
+    r = random.Random(4)
+    rows = list(enumerate(t for _ in range(8) for t in family(r, 15, 150, 1)))
+    made, usual = [], J._candidates
+
+    def counted(left, right, *rest, **more):
+        pairs = usual(left, right, *rest, **more)
+        made.append((pairs.groupBy().sum("on").first()[0] or 0, right.count()))
+        return pairs
+
+    monkeypatch.setattr(J, "_candidates", counted)
+    got = jaccard_components(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in got} == brute.jaccard(rows)
+    assert made and all(joined <= postings for joined, postings in made)
+
+
+def test_only_early_lists_of_a_pair_meet(spark):
+    """Sets of 100 need 89 in common, of which a pair's first is at one of the first 12 places; the last list of 21 can't be it."""
+    side = [(7, 1, 100, [0] * 4, 20, 1), (8, 1, 100, [0] * 4, 3, 1), (7, 2, 100, [0] * 4, 20, 2), (8, 2, 100, [0] * 4, 3, 2)]
+    left = spark.createDataFrame(side, "key long, doc_id long, n long, bits array<long>, place int, component long")
+    right = left.selectExpr("*", "true as minor")
+    assert [tuple(x) for x in J._candidates(left, right, 80, early=True).collect()] == [(1, 2, 100, 100, 1)]
+    assert [x.on for x in J._candidates(left, right, 80).collect()] == [2]
+
+
+@pytest.mark.parametrize("few", [0, 10**9])
+def test_pairs_near_the_limit_equal_brute_force(spark, monkeypatch, few):
+    monkeypatch.setattr(J, "FEW_PAIRS", few)
+    r = random.Random(9)
+    rows = list(enumerate(t for length in (7, 30, 90, 200, 400) for edits in (1, length // 60 + 1, length // 40 + 1) for t in family(r, 8, length, edits)))
+    got = jaccard_components(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in got} == brute.jaccard(rows)
