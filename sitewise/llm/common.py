@@ -39,6 +39,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def deleted(table: DataFrame) -> None:
+    """Deletes the folder of a saved table that nothing reads any more, so that rounds don't fill the shared folder."""
+    context = table.sparkSession.sparkContext
+    for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """Smaller batches, so that what a task makes of one stays small."""
     for batch in batches:

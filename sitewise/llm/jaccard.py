@@ -16,8 +16,8 @@ search, only for documents that came up often enough.
 Documents with equal sets are one vertex, found before any list is made. What is asked for is components, not
 pairs, so a list of m documents that resemble each other doesn't need all its pairs: rounds compare each list with
 one leader, which costs as much as the list is long. Then only pairs of documents that are still in different
-components are merged and probed, and of their lists only those that come early enough in both documents' order. No pair that could join two
-components is left out.
+components are merged and probed. They meet on lists that can be the first common one of a pair that links, and not where they met on one of the last few before;
+how many short lists both are on is then counted from the documents' own short lists, once for each pair. No pair that could join two components is left out.
 
 A set has the distinct runs of WORDS words, as 64-bit hashes; with fewer words, the whole sequence; with none, it is empty
 and links with nothing (its component is the document itself). Null texts are empty. Repeated rows are equal sets; an
@@ -33,10 +33,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitewise.llm.common import clean_columns, key_bitmap, saved, slices, with_maybe
+from sitewise.llm.common import clean_columns, deleted, key_bitmap, saved, slices, with_maybe
 from sitewise.llm.graph import components
 from sitewise.llm.shingles import WORDS, shingle_set
 
@@ -49,8 +49,10 @@ PARITY_BITS = 256
 #: Leader rounds go on while the last step would have more than FEW_PAIRS pairs for each posting, each round settles at least this share of the
 #: open lists' postings, and there were fewer than so many rounds. What they leave is done exactly by the last step, so no number changes the result.
 FEW_PAIRS, WORTHWHILE, LEADER_ROUNDS = 1, 0.05, 8
-#: One part in so many of DivideSkip's bound is asked for: less makes fewer rows of common lists, and more pairs to probe. No number changes the result.
+#: Rounds ask for one part in so many of DivideSkip's bound: less makes fewer rows of common lists, and more pairs to probe. No number changes the result.
 PART = 4
+#: A pair doesn't meet on a list where both have a common one among so many of their open lists before it.
+LOOK_BACK = 4
 
 
 def _ceil_div(a, b: int):
@@ -162,30 +164,34 @@ def _needed(na: Column, nb: Column, percent: int) -> Column:
     return F.ceil(F.lit(percent) * (na + nb) / F.lit(100 + percent)).cast("long")
 
 
-def _asked(na: Column, nb: Column, percent: int) -> Column:
+def _asked(na: Column, nb: Column, percent: int, part: int = PART) -> Column:
     """On how many common short lists a pair is looked for: a part of DivideSkip's bound T - L, L being the long lists of the document whose short lists
     end first. Which of both that is isn't known here, so the smaller of the two bounds is taken."""
     long_lists = lambda n: F.ceil(F.lit(percent) * n / 100).cast("long") - 1
-    return F.ceil(F.greatest(F.lit(1), _needed(na, nb, percent) - F.greatest(long_lists(na), long_lists(nb))) / F.lit(PART)).cast("long")
+    return F.ceil(F.greatest(F.lit(1), _needed(na, nb, percent) - F.greatest(long_lists(na), long_lists(nb))) / F.lit(part)).cast("long")
 
 
 def _candidates(left: DataFrame, right: DataFrame, percent: int, early: bool = False) -> DataFrame:
     """Pairs a < b of different components, with how many short lists both are on.
 
     Each side has key, doc_id, n, bits, place (in the order of its document's lists) and component; both sides may hold
-    a pair, in which case minor on the right keeps it from meeting twice. With early, lists count only where the pair's first _asked common ones
-    can be: behind the k-th of at least T common shingles there are T - k more in each set. Where all lists are met, no pair is lost by that.
+    a pair, in which case minor on the right keeps it from meeting twice. With early, lists count only where the pair's first common one
+    can be: behind the first of at least T common shingles there are T - 1 more in each set. Where both sides have before, some of the document's lists
+    before this one, a pair that has one of those in common doesn't meet here: it meets there. Where all lists are met, no pair is lost by either.
     """
-    left = left.select("key", *(F.col(c).alias(f"{c}_a") for c in ("doc_id", "n", "bits", "place", "component")))
-    right = right.select("key", "minor", *(F.col(c).alias(f"{c}_b") for c in ("doc_id", "n", "bits", "place", "component")))
+    of_side = ("doc_id", "n", "bits", "place", "component", *(["before"] if "before" in left.columns else []))
+    left = left.select("key", *(F.col(c).alias(f"{c}_a") for c in of_side))
+    right = right.select("key", "minor", *(F.col(c).alias(f"{c}_b") for c in of_side))
     na, nb = F.col("n_a"), F.col("n_b")
     most = F.least("place_a", "place_b") + F.least(na - F.col("place_a"), nb - F.col("place_b"))
     fits = (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & (most >= _needed(na, nb, percent))
     differ = sum((F.bit_count(F.get("bits_a", F.lit(i)).bitwiseXOR(F.get("bits_b", F.lit(i)))) for i in range(PARITY_BITS // 64)), F.lit(0))
     fits &= differ <= na + nb - 2 * _needed(na, nb, percent)
     if early:
-        k = _asked(na, nb, percent) - _needed(na, nb, percent)
-        fits &= (F.col("place_a") < na + k) & (F.col("place_b") < nb + k)
+        needed = _needed(na, nb, percent)
+        fits &= (F.col("place_a") <= na - needed) & (F.col("place_b") <= nb - needed)
+    if "before" in of_side:
+        fits &= ~F.arrays_overlap("before_a", "before_b")
     once = ~F.col("minor") | (F.col("doc_id_a") < F.col("doc_id_b"))
     # one condition of the join, so that pairs which fail it are never rows
     right = right.withColumnRenamed("key", "key_b")
@@ -202,6 +208,22 @@ def _often_enough(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.where(F.col("on") >= _asked(F.col("na"), F.col("nb"), percent))
 
 
+def _with_before(open_lists: DataFrame) -> DataFrame:
+    """With the keys of up to LOOK_BACK open lists that come last before each in its document's order."""
+    earlier = Window.partitionBy("doc_id", "own").orderBy("place").rowsBetween(-LOOK_BACK, -1)
+    return open_lists.withColumn("before", F.collect_list("key").over(earlier))
+
+
+def _on_short_lists(pairs: DataFrame, short: DataFrame, percent: int) -> DataFrame:
+    """Of pairs (a, b, na, nb), those that are on as many common short lists as DivideSkip's bound says. A bitmap keeps other documents' lists out of the join."""
+    named = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
+    bitmap = saved(key_bitmap(named, F.xxhash64("doc_id")), "join-counted")
+    lists = with_maybe(short, F.xxhash64("doc_id"), bitmap).where("maybe")
+    both = pairs.join(lists.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("keys").alias("keys_a")), ["a", "na"])
+    both = both.join(lists.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("keys").alias("keys_b")), ["b", "nb"])
+    return both.where(F.size(F.array_intersect("keys_a", "keys_b")) >= _asked(F.col("na"), F.col("nb"), percent, 1)).select("a", "b").distinct()
+
+
 def _probe(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """Those of the pairs (a, b) that link: exact overlaps by binary search of the smaller set in the larger one.
 
@@ -247,7 +269,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     short = _short_lists(marked.select("doc_id", "text", "maybe"), levels, words, percent)
     short = saved(short, "join-short")
     short = short.where(~F.col("maybe")).unionByName(short.where("maybe").join(vertices, "doc_id", "left_semi")).drop("maybe")
-    postings = short.select("doc_id", "n", "bits", F.posexplode("keys").alias("place", "key"))
+    # an id may have several texts, so its sets are told apart by a hash
+    postings = short.select("doc_id", "n", "bits", F.xxhash64("keys").alias("own"), F.posexplode("keys").alias("place", "key"))
 
     # Lists of one document lead nowhere; a bitmap keeps most of their postings out of the join.
     lists = postings.select("key").groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
@@ -256,7 +279,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     still_open, pairs_left = size.postings or 0, size.pairs or 0
     lists = lists.select("key")
     maybe = with_maybe(postings, F.xxhash64("key"), saved(key_bitmap(lists, F.xxhash64("key")), "join-maybe")).where("maybe").drop("maybe")
-    postings = saved(maybe.join(lists, "key").select("key", "doc_id", "n", "bits", "place"), "join-postings")
+    postings = saved(maybe.join(lists, "key").select("key", "doc_id", "n", "bits", "own", "place"), "join-postings")
 
     def links_of(pairs: DataFrame, name: str) -> DataFrame:
         return saved(_probe(saved(pairs.select("a", "b"), f"{name}-pairs"), docs, words, percent), name)
@@ -278,7 +301,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         if not new.limit(1).count():
             break
         links = links.unionByName(new)
-        open_lists, before = saved(_open(postings, components(links)), f"join-open{turn}"), still_open
+        last, before = open_lists, still_open
+        open_lists = saved(_open(postings, components(links)), f"join-open{turn}")
+        if turn:
+            deleted(last)
         of_list = _component_sizes(open_lists).groupBy("key").agg(F.sum("m").alias("m"), F.max("m").alias("most"))
         size = of_list.agg(F.sum("m").alias("postings"), F.sum((F.col("m") - F.col("most")) * F.col("m")).alias("pairs")).first()
         still_open, pairs_left = size.postings or 0, size.pairs or 0
@@ -287,8 +313,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     # What is left, exactly: of each list, the documents outside its largest component with all others.
     major = _component_sizes(open_lists).groupBy("key").agg(F.max_by("component", F.struct("m", "component")).alias("major"))
-    split = open_lists.join(major, "key").withColumn("minor", F.col("component") != F.col("major")).drop("major")
-    new = links_of(_often_enough(_candidates(split.where("minor"), split, percent, early=True), percent), "join-links")
+    split = saved(_with_before(open_lists).join(major, "key").withColumn("minor", F.col("component") != F.col("major")).drop("major"), "join-split")
+    deleted(open_lists)
+    deleted(postings)
+    met = saved(_candidates(split.where("minor"), split, percent, early=True), "join-met-pairs")
+    new = links_of(_on_short_lists(met, short, percent), "join-links")
     label = components(links.unionByName(new))
 
     vertex_of = label.select(F.col("vertex"), F.col("component").alias("component_id"))
@@ -319,7 +348,7 @@ def _open(postings: DataFrame, label: DataFrame) -> DataFrame:
     """Postings of the lists whose documents are still of several components, with their components."""
     named = postings.join(label.withColumnRenamed("vertex", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     several = named.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("key")
-    return named.join(several, "key").select("key", "doc_id", "n", "bits", "place", "component")
+    return named.join(several, "key").select("key", "doc_id", "n", "bits", "own", "place", "component")
 
 
 def _component_sizes(open_lists: DataFrame) -> DataFrame:

@@ -113,3 +113,38 @@ def test_pairs_near_the_limit_equal_brute_force(spark, monkeypatch, few):
     rows = list(enumerate(t for length in (7, 30, 90, 200, 400) for edits in (1, length // 60 + 1, length // 40 + 1) for t in family(r, 8, length, edits)))
     got = jaccard_components(spark.createDataFrame(rows, SCHEMA)).collect()
     assert {x.doc_id: (x.n_shingles, x.component_id) for x in got} == brute.jaccard(rows)
+
+
+def test_a_pair_meets_once_in_the_last_step(spark, monkeypatch):
+    """Texts that share most of their lists without linking, and some that link: rows are as many as pairs, not as their common lists."""
+    monkeypatch.setattr(J, "LEADER_ROUNDS", 0)
+    r = random.Random(6)
+    rows = list(enumerate(t for edits in (4, 16) for t in family(r, 10, 500, edits)))
+    made, usual = [], J._candidates
+
+    def counted(left, right, *rest, **more):
+        pairs = usual(left, right, *rest, **more)
+        made.append(tuple(pairs.selectExpr("sum(on)", "count(*)").first()))
+        return pairs
+
+    monkeypatch.setattr(J, "_candidates", counted)
+    got = jaccard_components(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in got} == brute.jaccard(rows)
+    [(joined, pairs)] = made
+    assert pairs >= 40 and joined <= 2 * pairs
+
+
+def test_an_id_with_several_texts_links_where_any_does(spark):
+    """Lists before one are told apart by the text that they are of."""
+    r = random.Random(8)
+    texts = [t for _ in range(4) for t in family(r, 6, 120, 2)]
+    rows = [(i % 9, t) for i, t in enumerate(texts)]
+    sets = [(i, brute.shingles(t)) for i, t in rows]
+    label = {i: i for i, _ in rows}
+    for _ in label:
+        for i, x in sets:
+            for j, y in sets:
+                if 100 * len(x & y) >= 80 * len(x | y):
+                    label[i] = min(label[i], label[j])
+    got = jaccard_components(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {x.doc_id: x.component_id for x in got} == label
