@@ -21,13 +21,12 @@ def _exp(z: np.ndarray) -> np.ndarray:
     return np.exp(z, out=z)
 
 
-def _softmax(z: np.ndarray) -> np.ndarray:
-    _exp(z)
-    z /= z.sum(-1, keepdims=True)
-    return z
+_MASK = np.where(np.tri(WINDOW, dtype=bool), 0, -1e4).astype(np.float32)
 
 
-_MASK = np.where(np.tri(WINDOW, dtype=bool), 0, -1e4).astype(np.float32)
+def _beside(x: np.ndarray, value: float) -> np.ndarray:
+    """x with one more column, of this value."""
+    return np.concatenate([x, np.full((len(x), 1), value, x.dtype)], 1)
 
 
 @dataclass
@@ -43,76 +42,104 @@ class Attention:
         scale = {"e": 0.3, "at": 0.1, "b1": 0.0, "b": 0.0}
         return Attention({n: (r.standard_normal(s) * scale.get(n, 1 / np.sqrt(s[0]))).astype(np.float32) for n, s in shapes.items()})
 
+    def products(self) -> tuple[np.ndarray, ...]:
+        """The weights as products use them: states and places with a column of ones, queries by keys, values by outputs, and biases as rows that meet the ones."""
+        p = self.p
+        scale = p["q"].dtype.type(1 / np.sqrt(len(p["q"])))
+        return (
+            _beside(p["e"], 1), _beside(p["at"], 0), (p["q"] @ p["k"].T) * scale, _beside(p["v"] @ p["o"], 0), np.concatenate([p["w1"], p["b1"][None]]), _beside(p["w2"], 0),
+            np.concatenate([p["out"], p["b"][None]]),
+        )
+
+    def _states(self, units: np.ndarray, products: tuple[np.ndarray, ...], skip: int = 0) -> tuple:
+        """Hidden states [n * (t - skip), dim + 1] of the places from skip on, the last column ones, and what they were made of.
+
+        Scores are x (q k') x' and outputs (a x) (v o), so keys and values are the states themselves; their column of ones gives the sums of the
+        exponentials, which divide what they weigh and not themselves.
+        """
+        n, t = units.shape
+        e, at, joint, through, w1, w2, _ = products
+        dim = len(joint)
+        x = e.take(units, 0)
+        x += at[:t]
+        own = x if not skip else np.ascontiguousarray(x[:, skip:])
+        flat = own.reshape(-1, dim + 1)
+        q = (flat[:, :dim] @ joint).reshape(n, t - skip, dim)
+        a = q @ x[:, :, :dim].transpose(0, 2, 1)
+        a += _MASK[skip:t, :t]
+        _exp(a)
+        c = (a @ x).reshape(-1, dim + 1)
+        sums = c[:, dim:]
+        c = c[:, :dim] / sums
+        y = c @ through
+        y += flat
+        r = y @ w1
+        np.maximum(r, 0, out=r)
+        h = r @ w2
+        h += y
+        return h, (x, q, a, sums, c, y, r)
+
     def hidden(self, units: np.ndarray) -> tuple[np.ndarray, tuple]:
         """units [n, t] to hidden states [n, t, dim]; a place sees itself and what precedes it."""
-        p, (n, t) = self.p, units.shape
-        x = (p["e"][units] + p["at"][:t]).reshape(n * t, -1)
-        dim = x.shape[1]
-        q, k, v = np.split((x @ np.concatenate([p["q"] * np.float32(1 / np.sqrt(dim)), p["k"], p["v"]], 1)).reshape(n, t, -1), 3, 2)
-        a = q @ k.transpose(0, 2, 1)
-        a += _MASK[:t, :t]
-        a = _softmax(a)
-        c = (a @ v).reshape(n * t, dim)
-        y = x + c @ p["o"]
-        r = y @ p["w1"]
-        r += p["b1"]
-        np.maximum(r, 0, out=r)
-        return (y + r @ p["w2"]).reshape(n, t, dim), (x, q, k, v, a, c, y, r)
+        h, made = self._states(units, self.products())
+        return h[:, :-1].reshape(*units.shape, -1), made
 
-    def log_probabilities(self, units: np.ndarray, classes: np.ndarray, skip: int = 0) -> np.ndarray:
-        """Natural logarithms of the probability of each place's class, from place skip on."""
+    def log_probabilities(self, units: np.ndarray, classes: np.ndarray, skip: int = 0, products: tuple[np.ndarray, ...] | None = None) -> np.ndarray:
+        """Natural logarithms of the probability of each place's class, from place skip on; products() may be made once for many calls."""
         n, t = units.shape
-        h = self.hidden(units)[0][:, skip:].reshape(n * (t - skip), -1)
-        z = h @ self.p["out"]
-        z += self.p["b"]
-        at = np.arange(len(z)), classes[:, skip:].ravel()
-        _exp(z)
-        return np.log(z[at] / z.sum(1) + 1e-30).reshape(n, t - skip)
+        products = products or self.products()
+        z = _exp(self._states(units, products, skip)[0] @ products[-1])
+        right = z[np.arange(len(z)), classes[:, skip:].ravel()]
+        return np.log(right / (z @ np.ones(z.shape[1], z.dtype)) + 1e-30).reshape(n, t - skip)
 
     def gradients(self, units: np.ndarray, classes: np.ndarray, weight: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean loss over places of weight 1, and its gradient."""
         p, (n, t) = self.p, units.shape
-        h, (x, q, k, v, a, c, y, r) = self.hidden(units)
-        dim, scale = x.shape[1], np.float32(1 / np.sqrt(x.shape[1]))
-        h = h.reshape(n * t, dim)
+        _, _, joint, through, _, _, out = products = self.products()
+        h, (x, q, a, sums, c, y, r) = self._states(units, products)
+        dim, scale = len(joint), p["q"].dtype.type(1 / np.sqrt(len(joint)))
         w = weight.reshape(-1).astype(h.dtype)
         total = max(1.0, float(w.sum()))
-        z = h @ p["out"]
-        z += p["b"]
         # probabilities are never made: what they are divided by goes to the narrow side of each product
-        _exp(z)
-        sums = z.sum(1)
+        z = _exp(h @ out)
+        whole = z @ np.ones(z.shape[1], z.dtype)
         at = np.arange(len(z)), classes.ravel()
         right = z[at]
-        loss = -float(np.log(right / sums + 1e-12) @ w) / total
-        z[at] = right - sums
-        share = (w / (total * sums)).astype(h.dtype)
-        g = {"out": (h * share[:, None]).T @ z, "b": share @ z}
-        dh = (z @ p["out"].T) * share[:, None]
-        g["w2"] = r.T @ dh
+        loss = -float(np.log(right / whole + 1e-12) @ w) / total
+        z[at] = right - whole
+        share = (w / (total * whole)).astype(h.dtype)[:, None]
+        dh = z @ p["out"].T
+        dh *= share
+        g = {"out": (h[:, :dim] * share).T @ z, "b": share[:, 0] @ z, "w2": r.T @ dh}
         dr = dh @ p["w2"].T
         dr *= r > 0
-        g["w1"], g["b1"] = y.T @ dr, dr.sum(0)
-        dy = dh + dr @ p["w1"].T
-        g["o"] = c.T @ dy
-        dc = (dy @ p["o"].T).reshape(n, t, dim)
-        ds = dc @ v.transpose(0, 2, 1)
-        dv = a.transpose(0, 2, 1) @ dc
-        ds -= np.einsum("nij,nij->ni", ds, a)[..., None]
+        g["w1"], g["b1"] = y[:, :dim].T @ dr, np.ones(len(dr), dr.dtype) @ dr
+        dy = dr @ p["w1"].T
+        dy += dh
+        d = c.T @ dy
+        g["v"], g["o"] = d @ p["o"].T, p["v"].T @ d
+        dc = dy @ _beside(through[:, :dim].T, 0)
+        dc /= sums
+        dc[:, dim] = -np.einsum("ij,ij->i", dc[:, :dim], c)
+        dc = dc.reshape(n, t, dim + 1)
+        ds = dc @ x.transpose(0, 2, 1)
         ds *= a
-        # q holds the scale already
-        dq, dk = (ds @ k) * scale, ds.transpose(0, 2, 1) @ q
-        d = np.concatenate([dq, dk, dv], 2).reshape(n * t, -1)
-        dx = dy + d @ np.concatenate([p["q"], p["k"], p["v"]], 1).T
-        g["q"], g["k"], g["v"] = np.split(x.T @ d, 3, 1)
+        dq = (ds @ x[:, :, :dim]).reshape(-1, dim)
+        d = (x.reshape(-1, dim + 1)[:, :dim].T @ dq) * scale
+        g["q"], g["k"] = d @ p["k"], d.T @ p["q"]
+        dx = dq @ joint.T
+        dx += dy
+        dx = dx.reshape(n, t, dim)
+        dx += ds.transpose(0, 2, 1) @ q
+        dx += a.transpose(0, 2, 1) @ dc[:, :, :dim]
         g["at"] = np.zeros_like(p["at"])
-        g["at"][:t] = dx.reshape(n, t, dim).sum(0)
+        g["at"][:t] = dx.sum(0)
         # rows of one unit, brought together, are summed
-        order = np.argsort(units.ravel(), kind="stable")
+        order = np.argsort(units.ravel().astype(np.uint16 if len(p["e"]) <= 1 << 16 else np.int64), kind="stable")
         ordered = units.ravel()[order]
         first = np.flatnonzero(np.diff(ordered, prepend=-1))
         g["e"] = np.zeros_like(p["e"])
-        g["e"][ordered[first]] = np.add.reduceat(dx[order], first)
+        g["e"][ordered[first]] = np.add.reduceat(dx.reshape(-1, dim).take(order, 0), first)
         return loss, g
 
     def train(self, units: np.ndarray, classes: np.ndarray, weight: np.ndarray, epochs: int = 2, batch: int = 64, rate: float = 1e-2, seed: int = 2) -> float:
@@ -131,22 +158,35 @@ class Attention:
 
 
 class Adam:
-    """Running means of the gradients of one model, which step() changes."""
+    """Running means of the gradients of one model, which step() changes in place. Its weights become parts of one array, so that a step is few passes."""
 
     def __init__(self, model: Attention) -> None:
         self.model, self.steps = model, 0
-        self.m = {n: np.zeros_like(v) for n, v in model.p.items()}
-        self.s = {n: np.zeros_like(v) for n, v in model.p.items()}
+        self.names, parts = list(model.p), [v.ravel() for v in model.p.values()]
+        self.all = np.concatenate(parts)
+        places = np.split(self.all, np.cumsum([len(v) for v in parts])[:-1])
+        model.p = {n: place.reshape(v.shape) for (n, v), place in zip(model.p.items(), places, strict=True)}
+        self.m, self.s = np.zeros_like(self.all), np.zeros_like(self.all)
 
     def step(self, units: np.ndarray, classes: np.ndarray, weight: np.ndarray, rate: float) -> float:
         """One step over a batch of windows; returns its loss before the step."""
         loss, g = self.model.gradients(units, classes, weight)
         self.steps += 1
-        m, s, k = self.m, self.s, self.steps
-        for n, d in g.items():
-            m[n] += 0.1 * (d - m[n])
-            s[n] += 0.01 * (d * d - s[n])
-            self.model.p[n] -= (rate * (m[n] / (1 - 0.9**k)) / (np.sqrt(s[n] / (1 - 0.99**k)) + 1e-8)).astype(np.float32)
+        k, kind = self.steps, self.all.dtype.type
+        d = np.concatenate([g[n].ravel() for n in self.names])
+        self.m *= kind(0.9)
+        self.m += d * kind(0.1)
+        d *= d
+        d *= kind(0.01)
+        self.s *= kind(0.99)
+        self.s += d
+        # both means over what is left of them at this step, as ever
+        np.sqrt(self.s, out=d)
+        d *= kind(1 / np.sqrt(1 - 0.99**k))
+        d += kind(1e-8)
+        np.divide(self.m, d, out=d)
+        d *= kind(rate / (1 - 0.9**k))
+        self.all -= d
         return loss
 
 

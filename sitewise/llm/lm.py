@@ -24,6 +24,8 @@ gives an empty result. Columns other than the two named are ignored.
 
 from __future__ import annotations
 
+import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from functools import cache
@@ -41,6 +43,9 @@ from sitewise.llm.shingles import word_hashes
 
 MODULUS, HELD_OUT = 10, 0
 END_ID, VOCABULARY = 50256, 50257
+_END = array("H", [END_ID]).tobytes()
+#: White space of Unicode that doesn't part words here.
+_OTHER_SPACE = re.compile(r"[^\S\x20\x09-\x0D\x1C-\x1F]")
 #: The word that stands for the end, a key that no word's hash is meant to have.
 END_WORD = -1
 HEAD, SAMPLE_DOCS, SAMPLE_WINDOWS, EPOCHS = 1 << 16, 2000, 24_000, 5
@@ -52,6 +57,8 @@ PAIRED, KAPPA = 192, 20.0
 ROUNDS, BATCH, SHUFFLED, RATE = 4, 64, 4096, 4e-3
 #: Distinct words that a task holds before it hands its counts on.
 FLUSH_WORDS = 2_000_000
+#: Words of at most 64 bytes whose ids a process keeps.
+KNOWN_WORDS = 1 << 17
 #: Windows at a time: few enough that their arrays stay in the cache.
 _CHUNK = 64
 
@@ -74,11 +81,54 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+@cache
+def _begins(path: str) -> np.ndarray:
+    """Whether an id's bytes begin with a space."""
+    spaced = np.zeros(VOCABULARY, dtype=bool)
+    for token, rank in _vocabulary(path)[1].items():
+        spaced[rank] = token.startswith(b" ")
+    return spaced
+
+
+@cache
+def _known(path: str) -> dict[bytes, bytes]:
+    """Ids of words that were met before, kept by the process."""
+    return {}
+
+
+def _packed_ids(texts: list[str | None], path: str) -> list[bytes]:
+    """Ids of each text's lower-cased words, each after one space, and the end, two bytes each.
+
+    The vocabulary's pattern begins a match at every space before a word, so a word's ids are the same in each text: those of new words are made in
+    one go, and told apart by the ids that begin with a space. Only where a word holds white space of Unicode, which may be taken together with
+    the space beside it, the whole text is cut into ids.
+    """
+    encode, known = _vocabulary(path)[0].encode_ordinary, _known(path)
+    words = [(t or "").encode("utf-8", "surrogatepass").lower().split() for t in texts]  # ASCII white space and letters alone
+    new = [w for w in set().union(*words).difference(known) if not _other_space(w)]
+    if new:
+        ids = np.array(encode(" " + b" ".join(new).decode("utf-8", "replace")), dtype=np.uint16)
+        first = (np.flatnonzero(_begins(path)[ids]) * 2).tolist()
+        every = ids.tobytes()
+        known.update(zip(new, map(every.__getitem__, map(slice, first, [*first[1:], len(every)])), strict=True))
+    out = []
+    for some in words:
+        try:
+            out.append(b"".join(map(known.__getitem__, some)) + _END)
+        except KeyError:
+            out.append(array("H", encode(" " + b" ".join(some).decode("utf-8", "replace"))).tobytes() + _END)
+    for w in new if len(known) > KNOWN_WORDS else [w for w in new if len(w) > 64]:
+        del known[w]
+    return out
+
+
+def _other_space(word: bytes) -> bool:
+    return not word.isascii() and _OTHER_SPACE.search(word.decode("utf-8", "replace")) is not None
+
+
 def text_ids(text: str | None, path: str) -> np.ndarray:
     """Ids of the lower-cased words, each after one space, and the end."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # ASCII white space and letters alone
-    ids = _vocabulary(path)[0].encode_ordinary(" " + b" ".join(words).decode("utf-8", "replace")) if words else []
-    return np.array([*ids, END_ID], dtype=np.int64)
+    return np.frombuffer(_packed_ids([text], path)[0], dtype=np.uint16).astype(np.int64)
 
 
 def _word_counts(docs: DataFrame) -> DataFrame:
@@ -121,7 +171,7 @@ def _encoded(docs: DataFrame, path: str) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId()
         for batch in slices(batches):
-            ids = [text_ids(t.as_py(), path).astype(np.uint16).tobytes() for t in batch.column("text")]
+            ids = _packed_ids(batch.column("text").to_pylist(), path)
             rounds = pa.array((row + np.arange(len(ids))) % ROUNDS, pa.int32())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:3]), rounds, pa.array(ids, pa.binary())], names)
             row += len(ids)
@@ -193,9 +243,11 @@ def _paired(model: Model, encoded: DataFrame) -> Model:
 
         def take() -> None:
             at, n = np.unique(np.concatenate(held), return_counts=True)
-            for u in np.unique(at // VOCABULARY):
-                here = at // VOCABULARY == u
-                total.setdefault(int(u), np.zeros(VOCABULARY, np.int64))[at[here] % VOCABULARY] += n[here]
+            units = np.arange(at[0] // VOCABULARY, at[-1] // VOCABULARY + 2)
+            first = np.searchsorted(at, units * VOCABULARY)  # at is sorted
+            for u, start, stop in zip(units.tolist(), first, first[1:]):
+                if start < stop:
+                    total.setdefault(u, np.zeros(VOCABULARY, np.int64))[at[start:stop] - u * VOCABULARY] += n[start:stop]
 
         for ids in _ids_of(batches):
             held.append(base.before(ids) * VOCABULARY + ids)
@@ -232,27 +284,29 @@ def _trained(model: Model, encoded: DataFrame, rounds: int = ROUNDS) -> Model:
         rate = RATE * (1 - 0.8 * number / rounds)
 
         def learn(batches: Iterator[pa.RecordBatch], shared=shared, rate=rate, number=number) -> Iterator[pa.RecordBatch]:
-            model, r, seen, rows = shared.value, np.random.default_rng(number), 0, []
+            model, r, seen, held, waiting = shared.value, np.random.default_rng(number), 0, [], 0
             own = Attention({n: v.copy() for n, v in model.attention.p.items()})
             adam = Adam(own)
 
-            def take() -> None:
-                u, c, w = (np.stack(x) for x in zip(*rows, strict=True))
-                order = r.permutation(len(u))
+            def take(most: int) -> None:
+                u, c, w = (np.concatenate(x) for x in zip(*held, strict=True))
+                held[:] = [(u[most:], c[most:], w[most:])]
+                order = r.permutation(min(most, len(u)))
                 for at in range(0, len(order), BATCH):
                     i = order[at : at + BATCH]
                     adam.step(u[i], c[i], w[i], rate * min(1.0, (adam.steps + 1) / 10))
 
             for ids in _ids_of(batches):
-                for row in model.windows(ids):
-                    rows.append(row)
-                    if len(rows) == SHUFFLED:
-                        take()
-                        seen += len(rows)
-                        rows.clear()
-            if rows:
-                take()
-                seen += len(rows)
+                for some in model.windows(ids):
+                    held.append(some)
+                    waiting += len(some[0])
+                    if waiting >= SHUFFLED:  # less than twice as many
+                        take(SHUFFLED)
+                        seen += SHUFFLED
+                        waiting -= SHUFFLED
+            if waiting:
+                take(waiting)
+                seen += waiting
             if seen:
                 flat = np.concatenate([own.p[n].ravel() for n in names]).astype(np.float64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat)), pa.int32()), pa.array(flat * seen), pa.array(np.full(len(flat), float(seen)))], ["place", "total", "n"])
@@ -291,20 +345,26 @@ class Model:
         return np.log10((n + KAPPA * 10.0 ** self.within[0].astype(float)) / (np.bincount(self.class_of, n, classes) + KAPPA)[self.class_of])
 
     def log10_within(self, ids: np.ndarray) -> np.ndarray:
-        return self.within[self.before(ids) if len(self.within) > 1 else np.zeros(len(ids), np.int64), ids].astype(np.float64)
+        return self._within(self.before(ids), ids)
+
+    def _within(self, before: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        return self.within[before if len(self.within) > 1 else np.zeros(len(ids), np.int64), ids].astype(np.float64)
 
     def inputs(self, ids: np.ndarray) -> np.ndarray:
         """The unit before each id; the last unit stands before the first id."""
         return np.concatenate([[len(self.attention.p["e"]) - 1], self.unit_of[ids[:-1]]])
 
     def windows(self, ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Units, classes and weights of each window of a text, for training."""
-        before, classes = self.inputs(ids), self.class_of[ids]
+        """Units, classes and weights of the windows of a text, for training, at most SHUFFLED at a time."""
         # side by side: each id is learnt once
-        for at in range(0, len(ids), WINDOW):
-            u, c, w = np.zeros(WINDOW, np.int64), np.zeros(WINDOW, np.int64), np.zeros(WINDOW, np.float32)
-            n = min(WINDOW, len(ids) - at)
-            u[:n], c[:n], w[:n] = before[at : at + n], classes[at : at + n], 1
+        for at in range(0, len(ids), SHUFFLED * WINDOW):
+            part = ids[at : at + SHUFFLED * WINDOW]
+            shape = (-(-len(part) // WINDOW), WINDOW)
+            u, c, w = np.zeros(shape, np.int64), np.zeros(shape, np.int64), np.zeros(shape, np.float32)
+            u.ravel()[: len(part)] = self.inputs(part)
+            if at:
+                u[0, 0] = self.unit_of[ids[at - 1]]
+            c.ravel()[: len(part)], w.ravel()[: len(part)] = self.class_of[part], 1
             yield u, c, w
 
     def log10(self, texts: list[np.ndarray]) -> np.ndarray:
@@ -312,9 +372,10 @@ class Model:
         lengths = np.array([len(t) for t in texts])
         first = np.concatenate([[0], np.cumsum(lengths)])
         every = np.concatenate(texts)
-        before = np.concatenate([self.inputs(t) for t in texts])
-        classes = self.class_of[every]
-        total = np.array([self.log10_within(t).sum() for t in texts])
+        before, pairs = self.inputs(every), self.before(every)
+        before[first[:-1]], pairs[first[:-1]] = before[0], pairs[0]
+        classes, products = self.class_of[every], self.attention.products()
+        total = np.add.reduceat(self._within(pairs, every), first[:-1])
         cuts = [(d, at, skip) for d, n in enumerate(lengths) for at, skip in windows(int(n))]
         for wanted in (0, OVERLAP):
             rows = np.array([(d, at) for d, at, skip in cuts if skip == wanted], dtype=np.int64).reshape(-1, 2)
@@ -323,7 +384,7 @@ class Model:
                 place = at[:, None] + np.arange(WINDOW)
                 valid = place < lengths[d][:, None]
                 index = np.where(valid, first[d][:, None] + place, 0)
-                logs = self.attention.log_probabilities(before[index], classes[index], wanted)
+                logs = self.attention.log_probabilities(before[index], classes[index], wanted, products)
                 total += np.bincount(d, np.where(valid[:, wanted:], logs, 0).sum(1), len(texts)) / np.log(10)
         return total
 
@@ -365,11 +426,8 @@ def _order(counts: np.ndarray) -> np.ndarray:
 
 def fit(texts: list[str | None], counts: np.ndarray, path: str, most_windows: int = SAMPLE_WINDOWS, epochs: int = EPOCHS, usage: tuple[np.ndarray, np.ndarray] | None = None) -> Model:
     """Learns the attention from the texts; counts are those of all training documents' ids, and so is usage (of the texts where left out)."""
-    _, ranks = _vocabulary(path)
-    spaced = np.zeros(VOCABULARY, dtype=np.float32)
-    for token, rank in ranks.items():
-        spaced[rank] = token.startswith(b" ")
-    spaced[END_ID] = 1
+    spaced = _begins(path).copy()
+    spaced[END_ID] = True
     sample = [text_ids(t, path) for t in texts]
     class_of = _classes(counts, usage or _usage(iter(sample), counts), spaced)
     totals, sizes = np.bincount(class_of, counts, SINGLES + GROUPS), np.bincount(class_of, minlength=SINGLES + GROUPS)
@@ -380,10 +438,10 @@ def fit(texts: list[str | None], counts: np.ndarray, path: str, most_windows: in
     pair_unit = PAIRED + np.maximum(class_of - SINGLES, 0)
     pair_unit[order[:PAIRED]] = np.arange(PAIRED)
     model = Model(path, class_of, unit_of, within[None].astype(np.float16), Attention.new(OWN_UNITS + SINGLES + GROUPS + 1, SINGLES + GROUPS), pair_unit)
-    rows = [row for ids in sample for row in model.windows(ids)]
+    rows = [some for ids in sample for some in model.windows(ids)]
     if rows:
-        keep = np.random.default_rng(4).permutation(len(rows))[:most_windows]
-        u, c, w = (np.stack([rows[i][k] for i in keep]) for k in range(3))
+        keep = np.random.default_rng(4).permutation(sum(len(u) for u, _, _ in rows))[:most_windows]
+        u, c, w = (np.concatenate(x)[keep] for x in zip(*rows, strict=True))
         # begin with the classes' frequencies
         model.attention.p["b"] += np.log((totals + 1) / (totals + 1).sum()).astype(np.float32)
         model.attention.train(u, c, w, epochs)

@@ -150,3 +150,69 @@ def test_sample_takes_each_text_once(spark, monkeypatch):
     rows = [(i, f"copied text {i // 100}") for i in range(1000)]
     L.score_documents(spark.createDataFrame(rows, SCHEMA), sample_docs=5)
     assert len(seen) == len(set(seen)) == 5
+
+
+def test_words_are_cut_into_ids_once_and_as_in_whole_texts(monkeypatch):
+    path = L.default_path()
+    encode, calls = L._vocabulary(path)[0].encode_ordinary, []
+    r = random.Random(5)
+    odd = "abZ é'stll1 9 \t\n\x0b\x1c\x1f\x85  　​中😀.,!?-'re\ud800 ½²"
+    texts = [None, "", " \n", *("".join(r.choice(odd) for _ in range(r.randrange(14))) for _ in range(2000))]
+    for text, ids in zip(texts, L._packed_ids(texts, path), strict=True):
+        words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+        whole = encode(" " + b" ".join(words).decode("utf-8", "replace")) if words else []
+        assert np.frombuffer(ids, np.uint16).tolist() == [*whole, L.END_ID], repr(text)
+
+    class Counted:
+        @staticmethod
+        def encode_ordinary(text):
+            calls.append(text)
+            return encode(text)
+
+    monkeypatch.setattr(L, "_vocabulary", lambda _: (Counted, {}))
+    plain = [t for _, t in corpus(50, seed=11)]
+    first = L._packed_ids(plain * 3, path)
+    assert len(calls) <= 1 and L._packed_ids(plain, path) == first[:50] and len(calls) <= 1
+    monkeypatch.setattr(L, "KNOWN_WORDS", 0)
+    assert L._packed_ids(["unseenword of the", "of unseenword"], path) == L._packed_ids(["unseenword of the", "of unseenword"], path)
+    assert b"unseenword" not in L._known(path)
+
+
+def test_places_that_only_give_context_are_not_computed():
+    r = np.random.default_rng(3)
+    model = A.Attention.new(20, 7, dim=6)
+    units = r.integers(0, 20, (3, A.WINDOW))
+    got = model._states(units, model.products(), A.OVERLAP)[0]
+    assert got.shape == (3 * (A.WINDOW - A.OVERLAP), 7) and np.allclose(got[:, -1], 1)
+    assert np.allclose(got[:, :-1], model.hidden(units)[0][:, A.OVERLAP :].reshape(len(got), 6), atol=1e-5)
+
+
+def test_step_changes_weights_in_place_by_adam():
+    r = np.random.default_rng(4)
+    model = A.Attention.new(20, 7, dim=6)
+    units, classes, weight = r.integers(0, 20, (3, A.WINDOW)), r.integers(0, 7, (3, A.WINDOW)), np.ones((3, A.WINDOW), np.float32)
+    want = {n: v.astype(np.float64) for n, v in model.p.items()}
+    m, s = ({n: np.zeros_like(v) for n, v in want.items()} for _ in range(2))
+    adam = A.Adam(model)
+    held = dict(model.p)
+    for k in range(1, 4):
+        g = model.gradients(units, classes, weight)[1]
+        adam.step(units, classes, weight, 1e-2)
+        for n, d in g.items():
+            m[n], s[n] = 0.9 * m[n] + 0.1 * d, 0.99 * s[n] + 0.01 * d * d
+            want[n] -= 1e-2 * (m[n] / (1 - 0.9**k)) / (np.sqrt(s[n] / (1 - 0.99**k)) + 1e-8)
+    for n, v in want.items():
+        assert model.p[n] is held[n] and np.abs(model.p[n] - v).max() < 1e-3
+
+
+def test_windows_of_a_long_text_come_in_parts(monkeypatch):
+    model, path = small_model()
+    ids = L.text_ids("of the version " * 100, path)
+    whole = list(model.windows(ids))
+    monkeypatch.setattr(L, "SHUFFLED", 3)
+    parts = list(model.windows(ids))
+    assert len(whole) == 1 and len(parts) > 2 and max(len(u) for u, _, _ in parts) == 3
+    for one, many in zip(whole[0], zip(*parts, strict=True), strict=True):
+        assert np.array_equal(one, np.concatenate(many))
+    u, c, w = whole[0]
+    assert np.array_equal(u.ravel()[: len(ids)], model.inputs(ids)) and np.array_equal(c.ravel()[: len(ids)], model.class_of[ids]) and w.sum() == len(ids)
